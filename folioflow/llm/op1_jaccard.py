@@ -28,6 +28,8 @@ from .kernels import SPACED, U64, chunks, doc_of, grams, mix64, texts_of, words
 
 #: Fragments of the shingle order in the pair counts.
 FRAGMENTS = 4
+#: Finer fragments whose counts bound a pair's overlap before it is counted.
+PROFILE = 128
 #: Text bytes whose shingles travel as one block.
 BLOCK_BYTES = 16 << 20
 
@@ -205,6 +207,19 @@ def _set_rows(k: int):
     return run
 
 
+def _profiles(batches):
+    """How many of a class's shared shingles lie in each of PROFILE fragments."""
+    schema = pa.schema([("id", pa.int64()), ("profile", pa.list_(pa.int32()))])
+    for batch in batches:
+        lists = batch.column(1)
+        values = lists.flatten().to_numpy(zero_copy_only=False).view(U64)
+        size = np.diff(lists.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(size)), size)
+        count = np.bincount(owner * PROFILE + (values >> U64(64 - PROFILE.bit_length() + 1)).astype(np.int64), minlength=len(size) * PROFILE)
+        offsets = pa.array(np.arange(len(size) + 1) * PROFILE, pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(count, pa.int32()))], schema=schema)
+
+
 def _linked(pairs: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (x, y, nx, ny) whose fragments' overlaps sum to the threshold."""
     a = segments.select(F.col("id").alias("x"), "part", F.col("seg").alias("sx"))
@@ -259,13 +274,17 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     found = stored(components(links), "first")
 
     # The rest, exactly: buckets that still hold several components, members of different ones only.
+    # A pair's overlap is at most the sum of the smaller of both counts in each fragment, which settles most of them here.
     placed = entries.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     placed = stored(placed, "placed")
     mixed = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h")
     open_ = placed.join(mixed, "h")
-    l, r = open_.select("h", *(F.col(c).alias(f"{c}_l") for c in ("id", "n", "s", "component"))), open_.select("h", *(F.col(c).alias(f"{c}_r") for c in ("id", "n", "s", "component")))
-    l, r = l.withColumnRenamed("h", "hl"), r.withColumnRenamed("h", "hr")
-    cross = l.join(r, (F.col("hl") == F.col("hr")) & (F.col("component_l") < F.col("component_r")) & _close(F.col("n_l"), F.col("n_r"), F.col("s_l"), F.col("s_r"), num, den))
+    profiles = known.join(open_.select("id").distinct(), "id", "left_semi").select("id", "order").mapInArrow(_profiles, "id long, profile array<int>")
+    open_ = stored(open_.join(stored(profiles, "profiles"), "id"), "open")
+    l, r = (open_.select(*(F.col(c).alias(f"{c}_{side}") for c in ("h", "id", "n", "s", "component", "profile"))) for side in "lr")
+    most = F.expr("aggregate(zip_with(profile_l, profile_r, (x, y) -> least(x, y)), 0, (t, x) -> t + x)")
+    near = _close(F.col("n_l"), F.col("n_r"), F.col("s_l"), F.col("s_r"), num, den) & ((num + den) * most >= num * (F.col("n_l") + F.col("n_r")))
+    cross = l.join(r, (F.col("h_l") == F.col("h_r")) & (F.col("component_l") < F.col("component_r")) & near)
     cross = cross.select(F.col("id_l").alias("x"), F.col("id_r").alias("y"), F.col("n_l").alias("nx"), F.col("n_r").alias("ny")).distinct()
     more = _linked(stored(cross, "cross"), segments, num, den)
     parts = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
