@@ -22,7 +22,7 @@ from .common import documents, stored
 #: No source is given more than this many times its own words.
 MOST_COPIES = 3
 #: Rows of one size and source in a bucket, about.
-BUCKET_ROWS = 2000
+BUCKET_ROWS = 250
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
