@@ -32,6 +32,8 @@ FRAGMENTS = 4
 PROFILE = 128
 #: Text bytes whose shingles travel as one block.
 BLOCK_BYTES = 16 << 20
+#: Bits of the broadcast bitmap that goes before the join of sets (2 MB); when it fills up, more sets reach the join.
+SIEVE_BITS = 1 << 24
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,11 +194,14 @@ def document_sets(docs: DataFrame, k: int = 5) -> DataFrame:
     return counted.repartition(p, "block").sortWithinPartitions("block", F.col("postings").isNotNull()).mapInArrow(_summed, _DOC)
 
 
-def _set_rows(k: int):
+def _set_rows(k: int, side):
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches):
+        sieve = side.value
         for batch in batches:
+            b = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            batch = batch.filter(pa.array(((sieve[b >> 6] >> (b & 63).astype(U64)) & U64(1)).astype(bool)))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = texts_of(batch.column(1))
             for first, last in chunks(offsets, 1 << 20):
@@ -249,9 +254,16 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     classes = stored(may.groupBy("n", "a", "b").agg(F.min("doc_id").alias("id")), "classes")
 
     reps = classes.select(F.col("id").alias("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = texts.join(reps, "doc_id", "left_semi").mapInArrow(_set_rows(k), "id long, n long, shingles array<long>")
-    sets = stored(sets, "shingles").dropDuplicates(["id"])
+    # A bitmap of fixed size lets through the representatives and few others, so texts are never shuffled; the join then is exact.
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS))
+    marks = reps.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("m")).toPandas()  # at most SIEVE_BITS / 64 rows
+    sieve = np.zeros(SIEVE_BITS >> 6, np.int64)
+    sieve[marks.w.to_numpy(np.int64)] = marks.m.to_numpy(np.int64)
+    side = docs.sparkSession.sparkContext.broadcast(sieve.view(U64))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("b", bit)
+    sets = texts.where("doc_id IS NOT NULL").mapInArrow(_set_rows(k, side), "id long, n long, shingles array<long>")
+    sets = sets.join(reps.withColumnRenamed("doc_id", "id"), "id", "left_semi").dropDuplicates(["id"])
+    sets = stored(sets, "shingles")
 
     # The global order: by number of classes that have the shingle, then hash.  One class's own shingles only take up places.
     each = sets.select("id", "n", F.explode("shingles").alias("h"))
