@@ -256,9 +256,9 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     reps = classes.select(F.col("id").alias("doc_id"))
     # A bitmap of fixed size lets through the representatives and few others, so texts are never shuffled; the join then is exact.
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS))
-    marks = reps.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("m")).toPandas()  # at most SIEVE_BITS / 64 rows
+    marks = reps.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("m")).toArrow()  # at most SIEVE_BITS / 64 rows
     sieve = np.zeros(SIEVE_BITS >> 6, np.int64)
-    sieve[marks.w.to_numpy(np.int64)] = marks.m.to_numpy(np.int64)
+    sieve[marks["w"].to_numpy()] = marks["m"].to_numpy()
     side = docs.sparkSession.sparkContext.broadcast(sieve.view(U64))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("b", bit)
     sets = texts.where("doc_id IS NOT NULL").mapInArrow(_set_rows(k, side), "id long, n long, shingles array<long>")

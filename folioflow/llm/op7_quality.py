@@ -114,17 +114,21 @@ class Logistic:
 
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 12) -> Logistic:
-        """Newton steps on the ridge-penalised likelihood of standardised columns."""
-        x = x.astype(np.float64)
-        mean, scale = x.mean(0), x.std(0) + 1e-6
-        z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
-        w = np.zeros(z.shape[1])
-        penalty = np.full(z.shape[1], ridge)
+        """Newton steps on the ridge-penalised likelihood of standardised columns, a block of rows at a time."""
+        mean = x.mean(0, dtype=np.float64)
+        scale = x.std(0, dtype=np.float64) + 1e-6
+        d = x.shape[1] + 1
+        w, penalty = np.zeros(d), np.full(d, ridge)
         penalty[-1] = 1e-6
         for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            g = z.T @ (weight * (p - y)) + penalty * w
-            h = (z * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ z + np.diag(penalty)
+            g, h = penalty * w, np.diag(penalty)
+            for i in range(0, len(x), 2048):
+                part = slice(i, i + 2048)
+                z = np.ones((len(x[part]), d))
+                np.divide(x[part] - mean, scale, out=z[:, :-1])
+                p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+                g += z.T @ (weight[part] * (p - y[part]))
+                h += (z * (weight[part] * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ z
             step = np.linalg.solve(h, g)
             w -= step
             if np.abs(step).max() < 1e-5:
@@ -218,12 +222,16 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled:
     ids = chosen.unionByName(rest.withColumn("y", F.lit(-1)))
     # At most labelled + pool rows of two integers: a proven bound.
     rows = _rows(docs).join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").select(*_COLUMNS).mapInArrow(_features, "doc_id long, a binary, b binary")
-    got = {r.doc_id: (r.a, r.b) for r in rows.toLocalIterator()}
-    y = {r.doc_id: r.y for r in ids.collect()}
-    have = sorted(d for d in y if d in got)
-    a = np.stack([np.frombuffer(got[d][0], np.float32) for d in have]) if have else np.zeros((0, CONTENT_DIM), np.float32)
-    b = np.stack([np.frombuffer(got[d][1], np.float32) for d in have]) if have else np.zeros((0, META_DIM), np.float32)
-    t = np.array([y[d] for d in have])
+    table, y = rows.toArrow(), {r.doc_id: r.y for r in ids.collect()}
+    have, pick = np.unique(table["doc_id"].to_numpy(), return_index=True)
+
+    def view(name, width):
+        column = table[name].combine_chunks()
+        return np.frombuffer(column.buffers()[2], np.float32).reshape(-1, width)[pick] if len(pick) else np.zeros((0, width), np.float32)
+
+    a, b = view("a", CONTENT_DIM), view("b", META_DIM)
+    del table
+    t = np.array([y[d] for d in have.tolist()], np.int64)
     k = t >= 0
     held = np.array([zlib.crc32(str(d).encode()) % HELD == 0 for d in have])
     return co_train(a[k], b[k], t[k], held[k], a[~k], b[~k])
