@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, documents, partitions, stored
-from .kernels import SPACED, U64, chunks, doc_of, grams, mix64, texts_of, words
+from .kernels import SPACED, U64, chunks, doc_of, grams, mix64, released, texts_of, words
 
 #: Fragments of the shingle order in the pair counts.
 FRAGMENTS = 4
@@ -189,9 +189,9 @@ def document_sets(docs: DataFrame, k: int = 5) -> DataFrame:
     """(doc_id, n, a, b, shared): set size, 128-bit identity, shingles that other documents have (an upper bound)."""
     p = partitions(docs.sparkSession)
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cut = rows.mapInArrow(_blocks(k, p), _BLOCK).repartitionById(p, F.col("part"))
-    counted = cut.mapInArrow(_shared, _BLOCK)
-    return counted.repartition(p, "block").sortWithinPartitions("block", F.col("postings").isNotNull()).mapInArrow(_summed, _DOC)
+    cut = rows.mapInArrow(released(_blocks(k, p)), _BLOCK).repartitionById(p, F.col("part"))
+    counted = cut.mapInArrow(released(_shared), _BLOCK)
+    return counted.repartition(p, "block").sortWithinPartitions("block", F.col("postings").isNotNull()).mapInArrow(released(_summed), _DOC)
 
 
 def _set_rows(k: int, side):
@@ -261,7 +261,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     sieve[marks["w"].to_numpy()] = marks["m"].to_numpy()
     side = docs.sparkSession.sparkContext.broadcast(sieve.view(U64))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("b", bit)
-    sets = texts.where("doc_id IS NOT NULL").mapInArrow(_set_rows(k, side), "id long, n long, shingles array<long>")
+    sets = texts.where("doc_id IS NOT NULL").mapInArrow(released(_set_rows(k, side)), "id long, n long, shingles array<long>")
     sets = sets.join(reps.withColumnRenamed("doc_id", "id"), "id", "left_semi").dropDuplicates(["id"])
     sets = stored(sets, "shingles")
 
@@ -291,7 +291,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     placed = stored(placed, "placed")
     mixed = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h")
     open_ = placed.join(mixed, "h")
-    profiles = known.join(open_.select("id").distinct(), "id", "left_semi").select("id", "order").mapInArrow(_profiles, "id long, profile array<int>")
+    profiles = known.join(open_.select("id").distinct(), "id", "left_semi").select("id", "order").mapInArrow(released(_profiles), "id long, profile array<int>")
     open_ = stored(open_.join(stored(profiles, "profiles"), "id"), "open")
     l, r = (open_.select(*(F.col(c).alias(f"{c}_{side}") for c in ("h", "id", "n", "s", "component", "profile"))) for side in "lr")
     most = F.expr("aggregate(zip_with(profile_l, profile_r, (x, y) -> least(x, y)), 0, (t, x) -> t + x)")

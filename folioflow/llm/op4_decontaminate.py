@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
-from .kernels import ALNUM, U64, chunks, doc_of, grams, sliding, texts_of, words
+from .kernels import ALNUM, U64, chunks, doc_of, grams, released, sliding, texts_of, words
 
 #: Words of a window, of a fingerprint, and fingerprints of which the smallest is kept (K + W - 1 = WINDOW).
 WINDOW, K = 10, 5
@@ -175,7 +175,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
         side = spark.sparkContext.broadcast(Fingerprints([i for i, _ in block], [t for _, t in block], window, k))
         parts.append(side)
     if len(parts) == 1:
-        return texts.mapInArrow(_search(parts[0]), _OUT)
+        return texts.mapInArrow(released(_search(parts[0])), _OUT)
     # More than one block: a row number of a stored input names each row, and its hits are united.
     keyed = texts.withColumn("row", F.monotonically_increasing_id())
     from .common import stored
@@ -183,7 +183,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     keyed = stored(keyed, "texts")
     every = None
     for side in parts:
-        one = keyed.select("row", "text").mapInArrow(_search(side), _OUT).withColumnRenamed("doc_id", "row")
+        one = keyed.select("row", "text").mapInArrow(released(_search(side)), _OUT).withColumnRenamed("doc_id", "row")
         every = one if every is None else every.union(one)
     united = every.groupBy("row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     merge = """aggregate(array_sort(spans), cast(array() as array<struct<first:int,after:int>>), (l, s) ->

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, partitions, shared_dir, stored
-from .kernels import U64, chunks, texts_of
+from .kernels import U64, chunks, released, texts_of
 
 MAX_BITS = 16
 CHECKPOINT = 256
@@ -155,7 +155,7 @@ def _tokenize(path: str, end: int):
 def tokenized(docs: DataFrame, path: str | None = None, end: int = END_ID) -> DataFrame:
     """(doc_id, n, ids): a document's ids with the end id, as little-endian 16-bit integers."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_tokenize(path or tokenizer_path(), end), "doc_id long, n long, ids binary")
+    return rows.mapInArrow(released(_tokenize(path or tokenizer_path(), end)), "doc_id long, n long, ids binary")
 
 
 def _count(batches):
@@ -224,7 +224,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end:
     """
     spark = docs.sparkSession
     ids = stored(tokenized(docs, tokenizer, end), "ids")
-    counts = ids.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most MOST_IDS rows
+    counts = ids.select("ids").mapInArrow(released(_count), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most MOST_IDS rows
     total = np.zeros(MOST_IDS, np.int64)
     for r in counts:
         total[r.id] = r.n
@@ -235,7 +235,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end:
     # A checksum spreads rows of one doc_id and keeps their order.
     line = ids.repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first(), F.crc32("ids"))
     line = line.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.crc32("ids"), "ids")
-    line.select("doc_id", "ids", F.spark_partition_id().alias("part")).mapInArrow(_write(side), _BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    line.select("doc_id", "ids", F.spark_partition_id().alias("part")).mapInArrow(released(_write(side)), _BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     parts = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n").alias("n"))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     parts.select("part", F.coalesce(before, F.lit(0)).alias("start")).write.parquet(f"{path}/parts")
@@ -281,7 +281,7 @@ def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFra
         lengths[r.id] = r.length
     read = _read(spark.sparkContext.broadcast(lengths))
     last = "ids_crc32 long" if digest else "ids binary"
-    rows = spark.read.schema(_BLOCK).parquet(f"{path}/blocks").mapInArrow(_digest(read) if digest else read, f"part int, first long, doc_id long, n_tokens long, {last}")
+    rows = spark.read.schema(_BLOCK).parquet(f"{path}/blocks").mapInArrow(released(_digest(read) if digest else read), f"part int, first long, doc_id long, n_tokens long, {last}")
     return rows.join(spark.read.parquet(f"{path}/parts"), "part").select("doc_id", (F.col("start") + F.col("first")).alias("start"), "n_tokens", last.split()[0])
 
 

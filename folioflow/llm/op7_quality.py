@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
-from .kernels import SPACED, U64, chunks, doc_of, texts_of, words
+from .kernels import SPACED, U64, chunks, doc_of, released, texts_of, words
 
 #: Bounds of the fit: labelled rows, unlabelled rows.
 LABELLED, POOL = 16_000, 8_000
@@ -221,7 +221,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled:
     rest = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().join(marks, "doc_id", "left_anti").orderBy(order, "doc_id").limit(pool)
     ids = chosen.unionByName(rest.withColumn("y", F.lit(-1)))
     # At most labelled + pool rows of two integers: a proven bound.
-    rows = _rows(docs).join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").select(*_COLUMNS).mapInArrow(_features, "doc_id long, a binary, b binary")
+    rows = _rows(docs).join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").select(*_COLUMNS).mapInArrow(released(_features), "doc_id long, a binary, b binary")
     table, y = rows.toArrow(), {r.doc_id: r.y for r in ids.collect()}
     have, pick = np.unique(table["doc_id"].to_numpy(), return_index=True)
 
@@ -260,7 +260,7 @@ def scored(docs: DataFrame, model: CoTrained, keep: float = KEEP) -> DataFrame:
     scores.  Extra columns are not read.
     """
     side = docs.sparkSession.sparkContext.broadcast(model)
-    return _rows(docs).mapInArrow(_score(side), "doc_id long, p_content double, p_meta double, p_quality double").withColumn("keep", F.col("p_quality") >= keep)
+    return _rows(docs).mapInArrow(released(_score(side)), "doc_id long, p_content double, p_meta double, p_quality double").withColumn("keep", F.col("p_quality") >= keep)
 
 
 def kept(docs: DataFrame, model: CoTrained, keep: float = KEEP) -> DataFrame:
@@ -277,7 +277,7 @@ def kept(docs: DataFrame, model: CoTrained, keep: float = KEEP) -> DataFrame:
                 # Rounded as in scored(), so that both decide alike.
                 yield batch.filter(pa.array(np.round(np.concatenate(good), 9) >= keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,14 +127,14 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
     schema = "page_id long, host string, path string, rule string, rule_verdict string"
     sides = [spark.sparkContext.broadcast(Rules(b)) for b in _blocks(rules)]
     if len(sides) == 1:
-        out = cut.mapInArrow(_judge(sides[0]), schema)
+        out = cut.mapInArrow(released(_judge(sides[0])), schema)
     else:
         from .common import stored
 
         keyed = stored(cut.withColumn("row", F.monotonically_increasing_id()), "urls")
         every = None
         for side in sides:
-            one = keyed.select(F.col("row").alias("page_id"), "host", "path").mapInArrow(_judge(side), schema)
+            one = keyed.select(F.col("row").alias("page_id"), "host", "path").mapInArrow(released(_judge(side)), schema)
             every = one if every is None else every.union(one)
         length = F.struct(F.size(F.split(F.regexp_extract("rule", "^[^/]*", 0), r"\.")), F.length("rule"), (F.col("rule_verdict") == "block"))
         best = every.groupBy("page_id").agg(F.max_by(F.struct("rule", "rule_verdict"), F.when(F.col("rule").isNotNull(), length)).alias("best"))

@@ -194,7 +194,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = SCALE) -
             continue
         width = max(len(r.q) for r in block)
         side = spark.sparkContext.broadcast((np.array([r.vec_id for r in block], np.int64), _matrix([r.q for r in block], width)))
-        one = rows.mapInArrow(_search(side, k), "query_id long, vec_id long, score long")
+        one = rows.mapInArrow(released(_search(side, k)), "query_id long, vec_id long, score long")
         found = one if found is None else found.union(one)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
