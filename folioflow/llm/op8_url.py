@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .kernels import released
+
 #: Rules broadcast at once.
 RULE_BLOCK = 500_000
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .kernels import released
+
 #: Queries broadcast at once; rows in one index block; queries whose bitmaps are added together.
 QUERY_BLOCK, ROW_BLOCK, TOGETHER = 4096, 1 << 16, 64
 SCALE = 256
