@@ -19,6 +19,14 @@ U64 = np.uint64
 CHUNK_BYTES = 1 << 21
 
 
+def release() -> None:
+    """Gives memory that this process freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def released(run):
     """Wraps a function for mapInArrow: what it freed goes back to the system when its task ends.
 
@@ -31,10 +39,7 @@ def released(run):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-            if trim:
-                trim(0)
+            release()
 
     return task
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
-from .kernels import SPACED, U64, chunks, doc_of, released, texts_of, words
+from .kernels import SPACED, U64, chunks, doc_of, release, released, texts_of, words
 
 #: Bounds of the fit: labelled rows, unlabelled rows.
 LABELLED, POOL = 16_000, 8_000
@@ -33,6 +33,8 @@ HELD = 4
 WORD_BINS, META_BINS = 64, 32
 CONTENT_DIM = 128 + 8 + WORD_BINS + 10
 META_DIM = 2 * META_BINS + 8
+#: Rows that the fit and the scores take at a time.
+BLOCK = 2048
 #: A document is kept from this calibrated probability of good quality on.
 KEEP = 0.5
 
@@ -116,14 +118,14 @@ class Logistic:
     def fit(cls, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 12) -> Logistic:
         """Newton steps on the ridge-penalised likelihood of standardised columns, a block of rows at a time."""
         mean = x.mean(0, dtype=np.float64)
-        scale = x.std(0, dtype=np.float64) + 1e-6
+        scale = np.sqrt(sum(((x[i : i + BLOCK] - mean) ** 2).sum(0) for i in range(0, len(x), BLOCK)) / len(x)) + 1e-6
         d = x.shape[1] + 1
         w, penalty = np.zeros(d), np.full(d, ridge)
         penalty[-1] = 1e-6
         for _ in range(steps):
             g, h = penalty * w, np.diag(penalty)
-            for i in range(0, len(x), 2048):
-                part = slice(i, i + 2048)
+            for i in range(0, len(x), BLOCK):
+                part = slice(i, i + BLOCK)
                 z = np.ones((len(x[part]), d))
                 np.divide(x[part] - mean, scale, out=z[:, :-1])
                 p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
@@ -136,7 +138,11 @@ class Logistic:
         return cls(mean, scale, w[:-1], float(w[-1]))
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(((x - self.mean) / self.scale) @ self.w + self.b, -30, 30)
+        out = np.empty(len(x))
+        for i in range(0, len(x), BLOCK):
+            part = slice(i, i + BLOCK)
+            out[part] = ((x[part] - self.mean) / self.scale) @ self.w + self.b
+        return np.clip(out, -30, 30)
 
 
 @dataclass
@@ -234,7 +240,12 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled:
     t = np.array([y[d] for d in have.tolist()], np.int64)
     k = t >= 0
     held = np.array([zlib.crc32(str(d).encode()) % HELD == 0 for d in have])
-    return co_train(a[k], b[k], t[k], held[k], a[~k], b[~k])
+    views = (a[k], b[k], t[k], held[k], a[~k], b[~k])
+    del a, b
+    model = co_train(*views)
+    del views
+    release()
+    return model
 
 
 def _score(side):
