@@ -16,7 +16,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text handled by one NumPy pass; a longer text is a pass of its own.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def release() -> None:
