@@ -1 +1,4 @@
-"""See the modules."""
+"""The catalogue of queries: QUERIES and, where SQL can say it, ORACLE_SQL."""
+
+from . import records  # noqa: F401
+from .catalogue import ORACLE_SQL, QUERIES  # noqa: F401

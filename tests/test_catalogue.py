@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from folioflow.plans.catalogue import ORACLE_SQL, QUERIES
+from folioflow.plans import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
