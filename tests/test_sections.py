@@ -1,0 +1,26 @@
+"""Section scores and the greedy scan."""
+
+from folioflow.operators.sections import Rule, detected, score, section_scores, start_line
+
+#: A lambda, so that it reaches the workers by value.
+norm = lambda t: "".join(c for c in t.lower() if c.isalnum())
+
+
+RULES = [Rule("one", "Morning Hymn", ["morning"], [["hymn", "song"]]), Rule("two", "Evening Psalm", ["dusk"]), Rule("three", "Zzz Qqq")]
+
+
+def test_score():
+    assert score("x\nMorning Hymn\ny", RULES[0], norm) == 1.0
+    assert score("Morning light", RULES[0], norm) == 0.52
+    assert score("a song", RULES[0], norm) >= 0.78
+    assert score("", RULES[1], norm) == 0.0
+    assert start_line("a\nb\nc\nd hymn", RULES[0], norm) == 1 and start_line("nothing", RULES[0], norm) == 0
+
+
+def test_scan(spark):
+    pages = spark.createDataFrame([("b", 1, "Evening Psalm"), ("b", 2, None), ("b", 3, "intro\nMorning Hymn"), ("b", 4, "Evening Psalm\nmore"), ("b", 5, "Morning Hymn")], "book string, page int, text string")
+    s = section_scores(pages, RULES, norm, ["book", "page"])
+    assert s.count() == 15
+    got = {r.section: (r.start_page, r.start_line, r.outcome) for r in detected(s, "book", "page").collect()}
+    assert got["one"] == (3, 0, "found") and got["two"] == (4, 0, "found") and got["three"][0] is None and got["three"][2] == "undetected"
+    assert detected(s.where("false"), "book", "page").count() == 0
