@@ -3,12 +3,14 @@
 Two views of a document: its content (byte, word-shape and word statistics of
 the whole text) and its page metadata (language, source, stated length, layout
 of lines).  A logistic model per view is fitted on labelled rows; in each round
-either model hands its most confident pseudo-labels on unlabelled rows to the
-other.  Both are then calibrated on held-out labels, and the calibrated views
-are combined to score every document.
-
-Fitting uses at most LABELLED labelled and POOL unlabelled rows, picked by a
-hash of doc_id (documented bounds of the fit).  Scoring reads all of every text.
+either model scores all unlabelled rows and hands its most confident
+pseudo-labels to the other.  Both are then calibrated on held-out labels, and
+the calibrated views are combined to score every document.
+
+Fitting uses at most LABELLED labelled rows, picked by a hash of doc_id (a
+documented bound of the fit), and every unlabelled row.  The views of unlabelled
+rows stay on the executors, which count confident rows by size of logit, pick
+them, and add up the sums of each refit.  Scoring reads all of every text.
 """
 
 from __future__ import annotations
@@ -21,13 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, stored
 from .kernels import SPACED, U64, chunks, doc_of, release, released, texts_of, words
 
-#: Bounds of the fit: labelled rows, unlabelled rows.
-LABELLED, POOL = 16_000, 8_000
-#: Rounds of co-training, pseudo-labels per class and round (share of the pool), least confidence.
+#: Bound of the fit: labelled rows.
+LABELLED = 16_000
+#: Rounds of co-training, pseudo-labels per class and round (share of the unlabelled rows), least confidence.
 ROUNDS, SHARE, SURE = 4, 0.05, 0.9
+#: Bins per unit of logit in which confident rows are counted; rows of one bin are handed on together.
+BINS = 64
+#: Partial sums that one task, or the driver, adds up.
+FAN = 32
 #: One labelled row in HELD is kept back for calibration.
 HELD = 4
 WORD_BINS, META_BINS = 64, 32
@@ -107,6 +113,26 @@ def meta_view(data: np.ndarray, offsets: np.ndarray, lang, source, n_chars) -> n
     return out
 
 
+def _penalty(d: int, ridge: float) -> np.ndarray:
+    penalty = np.full(d, ridge)
+    penalty[-1] = 1e-6
+    return penalty
+
+
+def newton_sums(x, y, weight, mean, scale, w) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' share of the likelihood's gradient and Hessian, a block of rows at a time."""
+    d = x.shape[1] + 1
+    g, h = np.zeros(d), np.zeros((d, d))
+    for i in range(0, len(x), BLOCK):
+        part = slice(i, i + BLOCK)
+        z = np.ones((len(x[part]), d))
+        np.divide(x[part] - mean, scale, out=z[:, :-1])
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        g += z.T @ (weight[part] * (p - y[part]))
+        h += (z * (weight[part] * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ z
+    return g, h
+
+
 @dataclass
 class Logistic:
     mean: np.ndarray
@@ -119,19 +145,10 @@ class Logistic:
         """Newton steps on the ridge-penalised likelihood of standardised columns, a block of rows at a time."""
         mean = x.mean(0, dtype=np.float64)
         scale = np.sqrt(sum(((x[i : i + BLOCK] - mean) ** 2).sum(0) for i in range(0, len(x), BLOCK)) / len(x)) + 1e-6
-        d = x.shape[1] + 1
-        w, penalty = np.zeros(d), np.full(d, ridge)
-        penalty[-1] = 1e-6
+        w, penalty = np.zeros(x.shape[1] + 1), _penalty(x.shape[1] + 1, ridge)
         for _ in range(steps):
-            g, h = penalty * w, np.diag(penalty)
-            for i in range(0, len(x), BLOCK):
-                part = slice(i, i + BLOCK)
-                z = np.ones((len(x[part]), d))
-                np.divide(x[part] - mean, scale, out=z[:, :-1])
-                p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-                g += z.T @ (weight[part] * (p - y[part]))
-                h += (z * (weight[part] * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ z
-            step = np.linalg.solve(h, g)
+            g, h = newton_sums(x, y, weight, mean, scale, w)
+            step = np.linalg.solve(h + np.diag(penalty), g + penalty * w)
             w -= step
             if np.abs(step).max() < 1e-5:
                 break
@@ -162,29 +179,176 @@ class CoTrained:
         return squash(ca), squash(cb), squash(both)
 
 
-def co_train(a, b, y, held, pa_, pb_, rounds: int = ROUNDS, share: float = SHARE, sure: float = SURE) -> CoTrained:
-    """a, b: labelled rows' views, y: labels, held: rows kept for calibration; pa_, pb_: the pool's views."""
+def _bin(z: np.ndarray, sure: float) -> np.ndarray:
+    """Bin of each logit's size, from 0 where the model is sure enough, negative below."""
+    return np.floor((np.abs(z) - np.log(sure / (1 - sure))) * BINS).astype(np.int64)
+
+
+def handed(views, turns, sure: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which turn hands each row on (-1: none), and as which label.  A turn is (view, its model, least bins of labels 0 and 1)."""
+    turn, label = np.full(len(views[0]), -1), np.zeros(len(views[0]), np.int64)
+    for k, (v, model, least) in enumerate(turns):
+        left = np.flatnonzero(turn < 0)
+        z = model.logit(views[v][left])
+        pick = _bin(z, sure) >= np.where(z > 0, least[1], least[0])
+        turn[left[pick]], label[left[pick]] = k, z[pick] > 0
+    return turn, label
+
+
+def least_bins(counts: dict, most: tuple[int, int]) -> tuple[int, int]:
+    """For each label the highest bin from which on there are `most` rows, or 0. counts: rows by (label, bin)."""
+    out = [0, 0]
+    for label in (0, 1):
+        n = 0
+        for b in sorted((b for k, b in counts if k == label), reverse=True):
+            n += counts[label, b]
+            if n >= most[label]:
+                out[label] = b
+                break
+    return tuple(out)
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return texts_of(column)[0].view(np.float32).reshape(-1, width)
+
+
+def _pool_views(batch: pa.RecordBatch):
+    return _matrix(batch.column(0), CONTENT_DIM), _matrix(batch.column(1), META_DIM)
+
+
+def _count_open(pool: DataFrame, turns, v: int, model: Logistic, sure: float) -> dict:
+    """Sure rows of the pool that no turn has handed on, by (label, bin)."""
+
+    def run(batches):
+        total: dict = {}
+        for batch in batches:
+            views = _pool_views(batch)
+            z = model.logit(views[v][handed(views, turns, sure)[0] < 0])
+            b = _bin(z, sure)
+            for key, n in zip(*(x.tolist() for x in np.unique((2 * b + (z > 0))[b >= 0], return_counts=True)), strict=True):
+                total[key] = total.get(key, 0) + n
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["key", "n"])
+
+    # Two labels of at most 30 * BINS bins.
+    rows = pool.mapInArrow(released(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()
+    return {(r.key & 1, r.key >> 1): r.n for r in rows}
+
+
+def _picked(pool: DataFrame, turns, sure: float) -> DataFrame:
+    """What the last two turns hand on: the view that gets the row, the label, the row in that view."""
+    last = len(turns) - 2
+
+    def run(batches):
+        for batch in batches:
+            views = _pool_views(batch)
+            turn, label = handed(views, turns, sure)
+            for k in (last, last + 1):
+                to, rows = 1 - turns[k][0], np.flatnonzero(turn == k)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), to, np.int32)), pa.array(label[rows].astype(np.int32)), pa.array([r.tobytes() for r in views[to][rows]], pa.binary())], names=["view", "label", "x"])
+
+    return stored(pool.mapInArrow(released(run), "view int, label int, x binary"), "handed")
+
+
+def _added(batches):
+    total: dict = {}
+    for batch in batches:
+        for v, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            total[v] = total.get(v, 0) + np.frombuffer(x)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["view", "sums"])
+
+
+def _summed(given: DataFrame, n: int, part) -> dict:
+    """Sums over the given rows by view: part(view, x, label) adds up one batch. n: partitions of given."""
+
+    def run(batches):
+        total: dict = {}
+        for batch in batches:
+            view, label = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for v, width in enumerate((CONTENT_DIM, META_DIM)):
+                own = view == v
+                sums = part(v, _matrix(batch.column(2).filter(pa.array(own)), width), label[own].astype(float)) if own.any() else None
+                if sums is not None:
+                    total[v] = total.get(v, 0) + sums
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["view", "sums"])
+
+    parts = given.mapInArrow(released(run), "view int, sums binary")
+    while n > FAN:
+        n = -(-n // FAN)
+        parts = parts.repartition(n).mapInArrow(_added, "view int, sums binary")
+    out: dict = {}
+    for r in parts.collect():
+        out[r.view] = out.get(r.view, 0) + np.frombuffer(r.sums)
+    return out
+
+
+def refit(own, models, given: DataFrame, weight: float = 0.5, ridge: float = 1.0, steps: int = 12) -> list[Logistic]:
+    """Logistic.fit of both views on the labelled rows own[v] = (x, y) and all given rows, whose sums come from the executors; starts from `models`."""
+    n = given.rdd.getNumPartitions()
+    centre = [x.mean(0, dtype=np.float64) for x, _ in own]
+
+    def moments(v, x, _):
+        d = x - centre[v]
+        return np.concatenate([[len(x)], d.sum(0), (d**2).sum(0)])
+
+    far, at = _summed(given, n, moments), {}
+    for v, (x, _) in enumerate(own):
+        total = far.get(v, 0) + sum(moments(v, x[i : i + BLOCK], None) for i in range(0, len(x), BLOCK))
+        first, second = total[1:].reshape(2, -1) / total[0]
+        mean, scale = centre[v] + first, np.sqrt(np.maximum(second - first**2, 0)) + 1e-6
+        slope = models[v].w / models[v].scale
+        at[v] = (mean, scale, np.append(slope * scale, models[v].b + slope @ (mean - models[v].mean)))
+    out = {}
+    for _ in range(steps):
+        upper = {v: np.triu_indices(len(at[v][2])) for v in at}
+
+        def packed(v, x, y, at=at, upper=upper):
+            if v not in at:
+                return None
+            g, h = newton_sums(x, y, np.full(len(y), weight), *at[v])
+            return np.concatenate([g, h[upper[v]]])
+
+        far = _summed(given, n, packed)
+        for v in list(at):
+            mean, scale, w = at[v]
+            x, y = own[v]
+            g, h = newton_sums(x, y, np.ones(len(y)), mean, scale, w)
+            if v in far:
+                g += far[v][: len(g)]
+                half = np.zeros_like(h)
+                half[upper[v]] = far[v][len(g) :]
+                h += half + np.triu(half, 1).T
+            penalty = _penalty(len(w), ridge)
+            step = np.linalg.solve(h + np.diag(penalty), g + penalty * w)
+            w = w - step
+            out[v] = Logistic(mean, scale, w[:-1], float(w[-1]))
+            at[v] = (mean, scale, w)
+            if np.abs(step).max() < 1e-5:
+                del at[v]
+        if not at:
+            break
+    return [out[0], out[1]]
+
+
+def co_train(a, b, y, held, pool: DataFrame, rounds: int = ROUNDS, share: float = SHARE, sure: float = SURE) -> CoTrained:
+    """a, b: labelled rows' views, y: labels, held: rows kept for calibration; pool: both views of all unlabelled rows."""
     fit = ~held
     if len(set(y[fit].tolist())) < 2:
         raise ValueError("labels of both classes are needed")
-    sets = {0: (a[fit], y[fit].astype(float), np.ones(fit.sum())), 1: (b[fit], y[fit].astype(float), np.ones(fit.sum()))}
-    pools, open_ = (pa_, pb_), np.ones(len(pa_), bool)
-    models = [Logistic.fit(*sets[v]) for v in (0, 1)]
-    for _ in range(rounds if len(pa_) else 0):
-        given = {0: [], 1: []}
-        for v in (0, 1):
-            p = 1 / (1 + np.exp(-models[v].logit(pools[v])))
-            for label in (0, 1):
-                sureness = np.where(open_, p if label else 1 - p, -1)
-                top = np.argsort(-sureness, kind="stable")[: max(1, int(share * len(p) * (y.mean() if label else 1 - y.mean())))]
-                top = top[sureness[top] >= sure]
-                given[1 - v].append((top, label))
-                open_[top] = False
+    own = [(x[fit], y[fit].astype(float)) for x in (a, b)]
+    models = [Logistic.fit(*x, np.ones(fit.sum())) for x in own]
+    size, turns, given = pool.count(), [], None
+    most = tuple(max(1, int(share * size * (y.mean() if label else 1 - y.mean()))) for label in (0, 1))
+    for _ in range(rounds if size else 0):
+        found = 0
         for v in (0, 1):
-            for rows, label in given[v]:
-                x, t, w = sets[v]
-                sets[v] = (np.vstack([x, pools[v][rows]]), np.append(t, np.full(len(rows), float(label))), np.append(w, np.full(len(rows), 0.5)))
-        models = [Logistic.fit(*sets[v]) for v in (0, 1)]
+            counts = _count_open(pool, turns, v, models[v], sure)
+            turns.append((v, models[v], least_bins(counts, most)))
+            found += len(counts)
+        if not found:
+            break
+        new = _picked(pool, turns, sure)
+        given = new if given is None else given.unionByName(new)
+        models = refit(own, models, given)
     one = np.ones(held.sum())
     cal, mix, base = ((1.0, 0.0), (1.0, 0.0)), None, float(np.log(max(y.mean(), 1e-3) / max(1 - y.mean(), 1e-3)))
     if held.sum() >= 20 and len(set(y[held].tolist())) == 2:
@@ -219,16 +383,20 @@ def _features(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in a], pa.binary()), pa.array([r.tobytes() for r in b], pa.binary())], names=["doc_id", "a", "b"])
 
 
-def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, pool: int = POOL, seed: int = 1) -> CoTrained:
-    """Fits on at most `labelled` labelled and `pool` unlabelled documents; what is collected is bounded by both."""
-    order = F.xxhash64("doc_id", F.lit(seed))
+def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, seed: int = 1) -> CoTrained:
+    """Fits on at most `labelled` labelled documents, which bounds what is collected, and on every row without a label.
+
+    Rows without doc_id have no label; a repeated row weighs as often as it stands there.
+    """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("y"))
-    chosen = marks.orderBy(order, "doc_id").limit(labelled)
-    rest = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().join(marks, "doc_id", "left_anti").orderBy(order, "doc_id").limit(pool)
-    ids = chosen.unionByName(rest.withColumn("y", F.lit(-1)))
-    # At most labelled + pool rows of two integers: a proven bound.
-    rows = _rows(docs).join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").select(*_COLUMNS).mapInArrow(released(_features), "doc_id long, a binary, b binary")
-    table, y = rows.toArrow(), {r.doc_id: r.y for r in ids.collect()}
+    ids = marks.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(labelled)
+    views = lambda d: d.select(*_COLUMNS).mapInArrow(released(_features), "doc_id long, a binary, b binary")
+    rows = _rows(docs)
+    # Views are joined, not texts: they are smaller.
+    rest = views(rows.where("doc_id IS NOT NULL")).join(marks, "doc_id", "left_anti").unionByName(views(rows.where("doc_id IS NULL")))
+    pool = stored(rest.select("a", "b"), "views")
+    # At most `labelled` rows of two integers: a proven bound.
+    table, y = views(rows.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")).toArrow(), {r.doc_id: r.y for r in ids.collect()}
     have, pick = np.unique(table["doc_id"].to_numpy(), return_index=True)
 
     def view(name, width):
@@ -238,12 +406,9 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled:
     a, b = view("a", CONTENT_DIM), view("b", META_DIM)
     del table
     t = np.array([y[d] for d in have.tolist()], np.int64)
-    k = t >= 0
-    held = np.array([zlib.crc32(str(d).encode()) % HELD == 0 for d in have])
-    views = (a[k], b[k], t[k], held[k], a[~k], b[~k])
+    held = np.array([zlib.crc32(str(d).encode()) % HELD == 0 for d in have], bool)
+    model = co_train(a, b, t, held, pool)
     del a, b
-    model = co_train(*views)
-    del views
     release()
     return model
 
