@@ -4,9 +4,9 @@ Lines that begin with > are quotes, nested by the number of marks.  Runs of one
 level are passages; passages and their lines are normalised and hashed, and each
 hash is looked up among what earlier messages of the conversation wrote
 themselves: one ordered pass per hash carries the latest earlier turn along, so a
-common line costs its occurrences, not their square.  The first-level quotes of a
-message name the message it replies to; roots and depths follow by pointer
-doubling.  Messages come out without quotes, ordered by (root_turn, turn), in
+common line costs its occurrences, not their square.  The quotes of the shallowest
+level that matches name the message that a message replies to; roots and depths
+follow by pointer doubling.  Messages come out without quotes, ordered by (root_turn, turn), in
 which every reply follows what it replies to.
 """
 
@@ -32,8 +32,8 @@ def linked(messages: DataFrame) -> DataFrame:
     """One row per message: conv_id, turn, role, content, n_quotes, quote_levels, parent_turn, root_turn, depth, formatted.
 
     content is the text without quotes, lead lines and surrounding blank lines;
-    parent_turn is the earlier message its first-level quotes come from (most
-    matched lines, then the latest), or null; root_turn is reached by following
+    parent_turn is the earlier message that its quotes of the shallowest matched
+    level come from (most matched lines, then the latest), or null; root_turn is reached by following
     parents.  Null texts are empty; rows with null conv_id or turn are kept,
     unlinked.  Repeated rows come back once each.  Other columns are not read.
     """
@@ -53,7 +53,7 @@ def linked(messages: DataFrame) -> DataFrame:
     q = q.withColumn("new", (F.coalesce(F.lag("level").over(per), F.lit(-1)) != F.col("level")).cast("int")).withColumn("run", F.sum("new").over(per)).where((F.col("level") > 0) & (F.col("body") != ""))
     lines_ = q.select("conv_id", "turn", "level", F.sha2("body", 256).alias("h"), F.lit(1).alias("w"))
     whole = q.groupBy("conv_id", "turn", "level", "run").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "body"))), lambda x: x["body"]), " ").alias("body"))
-    units = stored(lines_.union(whole.select("conv_id", "turn", "level", F.sha2("body", 256), F.lit(PASSAGE_WEIGHT))).where("level = 1"), "quotes")
+    units = stored(lines_.union(whole.select("conv_id", "turn", "level", F.sha2("body", 256), F.lit(PASSAGE_WEIGHT))), "quotes")
 
     # What messages of quoting conversations wrote themselves: whole texts, paragraphs and lines.
     convs = units.select("conv_id").distinct()
@@ -63,11 +63,11 @@ def linked(messages: DataFrame) -> DataFrame:
     o = o.join(units.select("conv_id", "h").distinct(), ["conv_id", "h"], "left_semi").distinct()
 
     # Latest earlier turn that wrote the same: an ordered pass over each hash.
-    both = o.select("conv_id", "h", "turn", F.lit(None).cast("int").alias("w"), F.col("turn").alias("wrote")).union(units.select("conv_id", "h", "turn", "w", F.lit(None).cast("long")))
+    both = o.select("conv_id", "h", "turn", F.lit(None).cast("int").alias("level"), F.lit(None).cast("int").alias("w"), F.col("turn").alias("wrote")).union(units.select("conv_id", "h", "turn", "level", "w", F.lit(None).cast("long")))
     asof = F.last("wrote", ignorenulls=True).over(Window.partitionBy("conv_id", "h").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1))
     hits = both.withColumn("from", asof).where("w IS NOT NULL AND from IS NOT NULL")
-    score = hits.groupBy("conv_id", "turn", "from").agg(F.sum("w").alias("score"))
-    parent = stored(score.groupBy("conv_id", "turn").agg(F.max(F.struct("score", "from"))["from"].alias("parent")), "parents")
+    score = hits.groupBy("conv_id", "turn", "level", "from").agg(F.sum("w").alias("score"))
+    parent = stored(score.groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("level"), "score", "from"))["from"].alias("parent")), "parents")
 
     # Roots by pointer doubling: each round doubles the path that is followed.
     path = parent.select("conv_id", "turn", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth"))
