@@ -20,7 +20,8 @@ from .kernels import U64, _random_words, spans
 #: The pre-token pattern the quick way implements (a fixed value of the vocabulary file).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LIMIT = 0x250
-ODD = re.compile("[^\t-\r -~\x85\xa0-ɏ]|İ|<\\|")
+#: Among them characters below LIMIT whose lower case is longer or lies beyond it.
+ODD = re.compile("[^\t-\r -~\x85\xa0-ɏ]|[" + "".join(c for c in map(chr, range(LIMIT)) if len(c.lower()) != 1 or ord(c.lower()) >= LIMIT) + "]|<\\|")
 SPACE, LETTER, DIGIT, OTHER = 0, 1, 2, 3
 
 
