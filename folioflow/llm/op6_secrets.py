@@ -24,12 +24,13 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 #: An assignment's value has so many characters at least; shorter matches are dropped, after they have been consumed.
 ASSIGN_LEAST = 8
-CANDIDATE = r"[A-Za-z0-9+/_=-]{24,}"
 WINDOW = 20
+#: Every run that a whole window fits in.
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 #: Bits a window needs, by class.
 THRESHOLDS = {"hex": 3.0, "alnum": 3.4, "base64": 3.5}
-#: Harmless shapes: words without digits, plain numbers, one repeated unit, dates, dashed ids.
-ALLOW = (r"^[^0-9]*$", r"^[0-9+/_=-]*$", r"^(.{1,8})\1+.?$", r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$")
+#: Harmless shapes: words without digits (single-case runs, CamelCase, dashed words; capitals strewn among letters are not words), plain numbers, one repeated unit, dates, dashed ids.
+ALLOW = (r"^(?!.*(?:[A-Z][a-z][A-Z]|[a-z][A-Z]{2}|[A-Z]{2}[a-z]))[^0-9]*$", r"^[0-9+/_=-]*$", r"^(.{1,8})\1+.?$", r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 
