@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def fresh_names(columns: list[str], *names: str) -> list[str]:
+    """Names for helper columns that clash with no column of a table (Spark does not tell cases apart)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def bitmap(values: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of fixed size, as 64-bit words, with the bit of every value (one long column) modulo bits, a power of two."""
+    bit = F.col(values.columns[0]).bitwiseAND(F.lit(bits - 1))
+    marks = values.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("m")).toArrow()  # at most bits / 64 rows
+    out = np.zeros(bits >> 6, np.int64)
+    out[marks["w"].to_numpy()] = marks["m"].to_numpy()
+    return out.view(np.uint64)
+
+
 def spread(column, lo: int = 0, hi: int = 1 << 31):
     """A deterministic integer in [lo, hi) for a row, equal on every run."""
     return F.pmod(F.xxhash64(column), F.lit(hi - lo)) + F.lit(lo)

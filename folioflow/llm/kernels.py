@@ -1,15 +1,17 @@
 """Vectorised text kernels shared by the operators of this subpackage.
 
 Everything here is NumPy over the UTF-8 buffers of Arrow string columns: no
-per-word Python.  Hashes are 64 bits wide; two different words or shingles
-inside one comparison collide with a probability near 1e-11 even for very long
-texts, and no hash is ever compared across more than the rows of one decision.
+per-word Python but for words of over LONG bytes.  Hashes are 64 bits wide: two
+given words or shingles that differ have one hash with a probability near 2**-64,
+whatever their bytes.  Where one collision alone would change a result, a second
+hash of another seed is compared too.
 """
 
 from __future__ import annotations
 
 import ctypes
 import functools
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -44,38 +46,11 @@ def released(run):
     return task
 
 
-def _random_words(n: int, seed: int) -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(seed)).integers(1, 2**64 - 1, n, dtype=U64) | U64(1)
-
-
-#: Odd multiplier of the rolling hash, and its inverse modulo 2**64.
-PRIME = U64(0x9E3779B97F4A7C15 | 1)
-PRIME_INV = U64(pow(int(PRIME), -1, 2**64))
+#: Multipliers of the running combinations below; odd, so that no bit is lost.
 STEP = U64(0xD6E8FEB86659FD93)
-
-
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.full(n, base, U64)
-    if n:
-        out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(out, dtype=U64)
-
-
-class _Powers:
-    """Grows on demand and is kept for the life of the Python worker."""
-
-    def __init__(self, base: np.uint64):
-        self.base, self.table = base, powers(base, 1 << 16)
-
-    def upto(self, n: int) -> np.ndarray:
-        if len(self.table) < n:
-            self.table = powers(self.base, 1 << int(n - 1).bit_length())
-        return self.table
-
-
-_POW, _INV = _Powers(PRIME), _Powers(PRIME_INV)
+CHAIN = U64(0x9E3779B97F4A7C15)
+#: Words of up to so many bytes are hashed eight bytes at a time, longer ones by BLAKE2b.
+LONG = 64
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -90,13 +65,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class Alphabet:
-    """Which bytes make words, and the value each byte has once A-Z is lower-cased."""
+    """Which bytes make words, and what each byte is once A-Z is lower-cased."""
 
-    def __init__(self, is_word: np.ndarray, seed: int = 7):
+    def __init__(self, is_word: np.ndarray):
         self.is_word = is_word
-        fold = np.arange(256)
-        fold[65:91] += 32
-        self.value = _random_words(256, seed)[fold]
+        self.fold = np.arange(256, dtype=np.uint8)
+        self.fold[65:91] += 32
 
 
 _ascii_space = np.zeros(256, bool)
@@ -112,17 +86,37 @@ _alnum[0x80:] = True
 ALNUM = Alphabet(_alnum)
 
 
-def spans(data: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of every span data[starts:ends], from one running sum."""
-    n = len(data)
-    with np.errstate(over="ignore"):
-        run = np.empty(n + 1, U64)
-        run[0] = 0
-        np.cumsum(values[data] * _POW.upto(n)[:n], dtype=U64, out=run[1:])
-        return mix64((run[ends] - run[starts]) * _INV.upto(n)[starts] + (ends - starts).astype(U64))
-
+def spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of every span of bytes raw[starts:ends]; hashes of two seeds are independent.
 
-def words(data: np.ndarray, doc_starts: np.ndarray, alphabet: Alphabet):
+    Eight bytes at a time go through mix64, a bijection, so no pattern inside a
+    span cancels out as it would in a polynomial modulo 2**64.
+    """
+    size = ends - starts
+    with np.errstate(over="ignore"):
+        start = mix64(np.array([seed + 1], U64) * CHAIN)[0]
+        eight = np.zeros((len(raw) >> 3) + 3, U64)
+        eight.view(np.uint8)[: len(raw)] = raw
+        out = np.full(len(starts), start, U64)
+        at, left, rows = starts, size, slice(None)
+        for _ in range(LONG // 8):
+            low, shift = at >> 3, ((at & 7) << 3).astype(U64)
+            part = (eight[low] >> shift) | ((eight[low + 1] << U64(1)) << (U64(63) - shift))
+            part &= ~U64(0) >> ((8 - np.minimum(left, 8)) << 3).astype(U64)
+            out[rows] = mix64(out[rows] * CHAIN + part)
+            more = left > 8
+            if not more.any():
+                break
+            rows = np.flatnonzero(more) if isinstance(rows, slice) else rows[more]
+            at, left = at[more] + 8, left[more] - 8
+        out = mix64(out ^ (size.astype(U64) * STEP + start))
+    view = memoryview(np.ascontiguousarray(raw))
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(view[starts[i] : ends[i]], digest_size=8, key=b"%d" % seed).digest(), "little")
+    return out
+
+
+def words(data: np.ndarray, doc_starts: np.ndarray, alphabet: Alphabet, seed: int = 0):
     """Start and end byte and hash of every word of a buffer; words never cross doc_starts."""
     n = len(data)
     if n == 0:
@@ -140,7 +134,7 @@ def words(data: np.ndarray, doc_starts: np.ndarray, alphabet: Alphabet):
     last[cut - 1] = mark[cut - 1]
     starts = np.flatnonzero(first)
     ends = np.flatnonzero(last) + 1
-    return starts, ends, spans(data, alphabet.value, starts, ends)
+    return starts, ends, spans(alphabet.fold[data], starts, ends, seed)
 
 
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -3,12 +3,14 @@
 Of every window of consecutive k-gram hashes the smallest is kept, for the
 benchmark and for the documents.  A span of K + W - 1 words that both hold has
 the same window, so both keep the same fingerprint: joining fingerprints misses
-no span of that length.  Each join hit is then extended left and right word by
-word, and counts only when the run covers a whole benchmark window.
+no span of that length.  Each join hit is then extended left and right to every
+whole benchmark window around it, and counts where all words of the window are
+there, by two independent hashes.
 
-Benchmark fingerprints travel to the executors in blocks of BLOCK_WORDS words
-(a proven bound); documents are read once per block and never shuffled unless
-the benchmark needs more than one block.
+A benchmark of up to BLOCK_WORDS words travels to the executors whole (a checked
+bound), and documents are judged where they lie.  A larger one stays distributed:
+a bitmap of fixed size picks the documents' windows that may occur in it, and
+those join the benchmark's windows.
 """
 
 from __future__ import annotations
@@ -17,16 +19,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import bitmap, documents, fresh_names, stored
 from .kernels import ALNUM, U64, chunks, doc_of, grams, released, sliding, texts_of, words
 
 #: Words of a window, of a fingerprint, and fingerprints of which the smallest is kept (K + W - 1 = WINDOW).
 WINDOW, K = 10, 5
-#: Words of benchmark text in one broadcast block: 16 bytes each.
+#: Words of a benchmark that is broadcast, about 30 bytes each.
 BLOCK_WORDS = 1 << 20
+#: Bits of the bitmap that stands for a larger benchmark's fingerprints (8 MB).
+SIEVE_BITS = 1 << 26
 
 
 def winnow(h: np.ndarray, w: int) -> np.ndarray:
@@ -38,126 +42,261 @@ def winnow(h: np.ndarray, w: int) -> np.ndarray:
     return sliding(np.maximum, np.concatenate([pad, low, pad]), w) == h
 
 
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... count[0] of them, then the same for the next."""
+    total = np.cumsum(count)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(begin - (total - count), count)
+
+
+class Text:
+    """The words of a buffer of texts: hashes, row of each word, first word of each row."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data, self.at, self.rows = data, offsets[:-1], len(offsets) - 1
+        self.starts, _, self.h = words(data, self.at, ALNUM)
+        self.doc = doc_of(self.starts, self.at)
+        self.begin = np.searchsorted(self.doc, np.arange(self.rows + 1))
+        self.count = np.diff(self.begin)
+        self._grams: dict = {}
+
+    def grams(self, m: int, seed: int = 0) -> np.ndarray:
+        """Hash of the m words from each word on; those that leave a row are never asked for."""
+        if (m, seed) not in self._grams:
+            if seed and ("h", seed) not in self._grams:
+                self._grams["h", seed] = words(self.data, self.at, ALNUM, seed)[2]
+            self._grams[m, seed] = grams(self._grams["h", seed] if seed else self.h, m)
+        return self._grams[m, seed]
+
+    def inside(self, m: int) -> np.ndarray:
+        """Whether the m words from each word on lie in one row."""
+        return self.doc[: len(self.doc) - m + 1] == self.doc[m - 1 :] if len(self.doc) >= m else np.zeros(0, bool)
+
+    def prints(self, k: int, window: int) -> np.ndarray:
+        """First words of the kept fingerprints; a window across rows only adds some."""
+        g = self.grams(k)
+        if not len(g):
+            return np.empty(0, np.int64)
+        # A buffer shorter than a window of fingerprints holds no whole window.
+        return np.flatnonzero(winnow(g, window - k + 1) & self.inside(k))
+
+
 class Fingerprints:
-    """The benchmark's side of the join, for items of at least one word."""
+    """A broadcast benchmark: fingerprints, the windows around each, and the items of each window."""
 
     def __init__(self, ids: list[str], texts: list[str], window: int, k: int):
-        self.ids, self.window, self.k = ids, window, k
-        column = pa.array([t or "" for t in texts], pa.large_string())
-        data, offsets = texts_of(column)
-        starts, _, h = words(data, offsets[:-1], ALNUM)
-        count = np.bincount(doc_of(starts, offsets[:-1]), minlength=len(ids)) if len(ids) else np.zeros(0, np.int64)
-        self.begin = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
-        self.words = h
-        prints, items, places, self.short = [], [], [], {}
-        for i in range(len(ids)):
-            own = h[self.begin[i] : self.begin[i + 1]]
-            if len(own) >= window:
-                g = grams(own, k)
-                at = np.flatnonzero(winnow(g, window - k + 1))
-                prints.append(g[at])
-                items.append(np.full(len(at), i))
-                places.append(at)
-            elif len(own):
-                self.short.setdefault(len(own), []).append((grams(own, len(own))[0], i))
-        cat = lambda x, t: np.concatenate(x).astype(t) if x else np.empty(0, t)
-        p = cat(prints, U64)
-        order = np.argsort(p, kind="stable")
-        self.prints, self.items, self.places = p[order], cat(items, np.int64)[order], cat(places, np.int64)[order]
-        self.short = {m: (np.array(sorted(x for x, _ in v), U64), [i for _, i in sorted(v)]) for m, v in self.short.items()}
+        self.window, self.k, around = window, k, window - k + 1
+        self.ids = sorted(set(ids))
+        number = {v: i for i, v in enumerate(self.ids)}
+        item = np.array([number[v] for v in ids], np.int64)
+        t = Text(*texts_of(pa.array([x or "" for x in texts], pa.large_string())))
+        # All windows, by length, then hashes; equal ones are one.
+        length = np.minimum(t.count, window)
+        keys = []
+        for m in np.unique(length[length > 0]).tolist():
+            own = length[t.doc] == m
+            first = np.flatnonzero(own[: len(t.doc) - m + 1] & t.inside(m) & ((m == window) | (t.count[t.doc] == m))[: len(t.doc) - m + 1])
+            keys.append((np.full(len(first), m), t.grams(m)[first], t.grams(m, 1)[first], first))
+        m, g, c, first = (np.concatenate(x) for x in zip(*keys, strict=True)) if keys else (np.empty(0, np.int64), np.empty(0, U64), np.empty(0, U64), np.empty(0, np.int64))
+        order = np.lexsort((c, g, m))
+        m, g, c, first = m[order], g[order], c[order], first[order]
+        new = np.ones(len(m), bool)
+        new[1:] = (m[1:] != m[:-1]) | (g[1:] != g[:-1]) | (c[1:] != c[:-1])
+        which = np.cumsum(new) - 1
+        self.length, self.hash, self.check = m[new], g[new], c[new]
+        pairs = np.unique(which * (len(self.ids) + 1) + item[t.doc[first]])
+        self.items = pairs % (len(self.ids) + 1)
+        self.items_from = np.searchsorted(pairs // (len(self.ids) + 1), np.arange(len(self.hash) + 1))
+        self.short = [int(x) for x in np.unique(self.length) if x < window]
+        # Fingerprints, each with the windows that hold it; equal surroundings are one.
+        window_of = np.full(len(t.h) + 1, -1, np.int64)
+        full = m == window
+        window_of[first[full]] = which[full]
+        at = t.prints(k, window)
+        ctx = np.stack([np.where((at >= o) & (t.doc[at] == t.doc[np.maximum(at - o, 0)]), window_of[np.maximum(at - o, 0)], -1) for o in range(around)], 1) if len(at) else np.empty((0, around), np.int64)
+        some = (ctx >= 0).any(1)
+        table = np.concatenate([t.grams(k)[at[some]].view(np.int64)[:, None], ctx[some]], 1) if some.any() else np.empty((0, around + 1), np.int64)
+        table = np.unique(table, axis=0)
+        prints = table[:, 0].copy().view(U64)
+        order = np.argsort(prints, kind="stable")
+        self.prints, self.ctx = prints[order], table[order, 1:].astype(np.int32)
         #: Tells most absent fingerprints by 16 of their bits.
         self.sieve = np.zeros(1 << 16, bool)
         self.sieve[(self.prints >> U64(48)).astype(np.int64)] = True
 
-    def hits(self, h: np.ndarray, doc: np.ndarray):
-        """Runs (first word, word after the last, item) of one buffer's words, all of them full matches."""
-        n, out = len(h), []
-        g = grams(h, self.k)
-        if len(g) and len(self.prints):
-            # A fingerprint window must lie in one document; one that crosses a border only adds selections.
-            at = np.flatnonzero(winnow(g, self.window - self.k + 1) & self.sieve[(g >> U64(48)).astype(np.int64)])
-            lo, hi = np.searchsorted(self.prints, g[at], "left"), np.searchsorted(self.prints, g[at], "right")
-            done: dict = {}
-            for p, a, b in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
-                for j in range(a, b):
-                    i, q = int(self.items[j]), int(self.places[j])
-                    line = (i, p - q)
-                    if done.get(line, -1) > p:
-                        continue
-                    item = self.words[self.begin[i] : self.begin[i + 1]]
-                    left, x, y = p, q, p
-                    while x > 0 and left > 0 and doc[left - 1] == doc[p] and h[left - 1] == item[x - 1]:
-                        left, x = left - 1, x - 1
-                    right, z = p, q
-                    while z < len(item) and right < n and doc[right] == doc[p] and h[right] == item[z]:
-                        right, z = right + 1, z + 1
-                    done[line] = max(right, y + 1)
-                    if right - left >= self.window:
-                        out.append((left, right, i))
-        for m, (keys, items) in self.short.items():
-            g = grams(h, m)
-            if not len(g):
-                continue
-            spot = np.searchsorted(keys, g)
-            found = np.flatnonzero(keys[np.minimum(spot, len(keys) - 1)] == g)
-            for p in found[doc[found] == doc[found + m - 1]].tolist():
-                for j in range(int(np.searchsorted(keys, g[p], "left")), int(np.searchsorted(keys, g[p], "right"))):
-                    out.append((p, p + m, items[j]))
-        return out
+    def hits(self, t: Text) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, window) of every benchmark window in the texts, once each."""
+        found = []
+        if len(self.prints):
+            g = t.grams(self.k)
+            at = t.prints(self.k, self.window)
+            at = at[self.sieve[(g[at] >> U64(48)).astype(np.int64)]]
+            lo = np.searchsorted(self.prints, g[at], "left")
+            count = np.searchsorted(self.prints, g[at], "right") - lo
+            p, e = np.repeat(at, count), _ranges(lo, count)
+            inside = t.inside(self.window)
+            for o in range(self.ctx.shape[1] if len(p) else 0):
+                s, w = p - o, self.ctx[e, o]
+                ok = (w >= 0) & (s >= 0) & (s < len(inside))
+                s, w = s[ok], w[ok].astype(np.int64)
+                ok = inside[s] & (t.grams(self.window)[s] == self.hash[w])
+                found.append((s[ok], w[ok]))
+        for m in self.short:
+            lo, hi = np.searchsorted(self.length, [m, m + 1])
+            g = t.grams(m)
+            spot = np.searchsorted(self.hash[lo:hi], g)
+            s = np.flatnonzero((self.hash[lo:hi][np.minimum(spot, hi - lo - 1)] == g) & t.inside(m)) if len(g) else np.empty(0, np.int64)
+            count = np.searchsorted(self.hash[lo:hi], g[s], "right") - spot[s]
+            found.append((np.repeat(s, count), _ranges(spot[s] + lo, count)))
+        s, w = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
+        if len(s):
+            ok = np.zeros(len(s), bool)
+            for m in np.unique(self.length[w]).tolist():
+                own = np.flatnonzero(self.length[w] == m)
+                ok[own] = t.grams(m, 1)[s[own]] == self.check[w[own]]
+            both = np.unique(np.stack([s[ok], w[ok]], 1), axis=0)
+            s, w = both[:, 0], both[:, 1]
+        return s, w
 
 
-_OUT = "doc_id long, n_words long, spans array<struct<first:int,after:int>>, items array<string>"
-_OUT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))), ("items", pa.list_(pa.string()))])
+def _covered(t: Text, s: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, after) of the runs of words that windows cover; a run stays in its row."""
+    n = len(t.h)
+    step = np.bincount(s, minlength=n + 1) - np.bincount(s + length, minlength=n + 1)
+    on = np.cumsum(step)[:n] > 0
+    new = t.doc[1:] != t.doc[:-1]
+    first, last = on.copy(), on.copy()
+    first[1:] &= ~on[:-1] | new
+    last[:-1] &= ~on[1:] | new
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(runs):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+_OUT = "doc_id long, n_words long, spans array<struct<first:int,after:int>>, items array<string>"
+_SPAN = pa.struct([("first", pa.int32()), ("after", pa.int32())])
+_OUT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string()))])
 
 
 def _search(side):
     def run(batches):
         have = side.value
+        names = pa.array(have.ids, pa.string())
         for batch in batches:
             data, offsets = texts_of(batch.column(1))
             for first, last in chunks(offsets):
-                at = offsets[first:last] - offsets[first]
-                starts, _, h = words(data[offsets[first] : offsets[last]], at, ALNUM)
-                doc = doc_of(starts, at)
-                begin = np.searchsorted(doc, np.arange(last - first + 1))
-                runs: dict = {}
-                for a, b, i in have.hits(h, doc):
-                    d = int(doc[a])
-                    own = runs.setdefault(d, ([], set()))
-                    own[0].append((a - int(begin[d]), b - int(begin[d])))
-                    own[1].add(have.ids[i])
-                rows = last - first
-                spans, items = [[] for _ in range(rows)], [[] for _ in range(rows)]
-                for d, (where, which) in runs.items():
-                    spans[d] = [{"first": a, "after": b} for a, b in _merged(where)]
-                    items[d] = sorted(which)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, rows).cast(pa.int64()), pa.array(np.diff(begin)), pa.array(spans, _OUT_ARROW.field("spans").type), pa.array(items, pa.list_(pa.string()))], schema=_OUT_ARROW)
+                t = Text(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+                s, w = have.hits(t)
+                a, b = _covered(t, s, have.length[w]) if len(s) else (s, s)
+                d = t.doc[a]
+                spans = pa.StructArray.from_arrays([pa.array((x - t.begin[d]).astype(np.int32)) for x in (a, b)], fields=list(_SPAN))
+                # Distinct (row, item), by item id.
+                count = have.items_from[w + 1] - have.items_from[w]
+                pairs = np.unique(np.repeat(t.doc[s], count) * (len(have.ids) + 1) + have.items[_ranges(have.items_from[w], count)])
+                edge = lambda rows, t=t: pa.array(np.searchsorted(rows, np.arange(t.rows + 1)).astype(np.int32))
+                items = pa.ListArray.from_arrays(edge(pairs // (len(have.ids) + 1)), names.take(pa.array(pairs % (len(have.ids) + 1))))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, t.rows).cast(pa.int64()), pa.array(t.count.astype(np.int64)), pa.ListArray.from_arrays(edge(d), spans).cast(_OUT_ARROW.field("spans").type), items], schema=_OUT_ARROW)
 
     return run
 
 
-def _item_blocks(benchmark: DataFrame):
-    """The benchmark in blocks of BLOCK_WORDS words at most, an item longer than that alone."""
-    held, size = [], 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t")).where("i IS NOT NULL AND t <> ''")
-    for r in rows.toLocalIterator():
-        n = len(r.t) // 2 + 1
-        if held and size + n > BLOCK_WORDS:
-            yield held
-            held, size = [], 0
-        held.append((r.i, r.t))
-        size += n
-    yield held
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("string").alias("i"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t")).where("i IS NOT NULL AND t <> ''")
+
+
+def _broadcastable(items: DataFrame) -> bool:
+    """A text has one word for two bytes at most."""
+    return (items.agg(F.sum(F.octet_length("t") / 2 + 1)).first()[0] or 0) <= BLOCK_WORDS
+
+
+def _side(items: DataFrame, window: int, k: int):
+    rows = items.collect()  # at most BLOCK_WORDS words
+    return items.sparkSession.sparkContext.broadcast(Fingerprints([r.i for r in rows], [r.t for r in rows], window, k))
+
+
+# ---- a benchmark that is too large to broadcast ----------------------------
+
+_WINDOW = "item string, m int, g long, c long, print long"
+
+
+def _item_windows(window: int, k: int):
+    """Every window of every item, and with g null every kept fingerprint."""
+    schema = pa.schema([("item", pa.string()), ("m", pa.int32()), ("g", pa.int64()), ("c", pa.int64()), ("print", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = texts_of(batch.column(1))
+            for first, last in chunks(offsets):
+                t = Text(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+                ids = batch.column(0).slice(first, t.rows)
+                length = np.minimum(t.count, window)
+                for m in np.unique(length[length > 0]).tolist():
+                    s = np.flatnonzero(t.inside(m) & (length[t.doc[: len(t.doc) - m + 1]] == m))
+                    g, c = t.grams(m)[s].view(np.int64), t.grams(m, 1)[s].view(np.int64)
+                    mark = pa.array(g) if m < window else pa.nulls(len(s), pa.int64())
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(t.doc[s])), pa.array(np.full(len(s), m, np.int32)), pa.array(g), pa.array(c), mark], schema=schema)
+                at = t.prints(k, window)
+                at = at[t.count[t.doc[at]] >= window]
+                none = pa.nulls(len(at), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.string()), pa.array(np.full(len(at), window, np.int32)), none, none, pa.array(t.grams(k)[at].view(np.int64))], schema=schema)
+
+    return run
+
+
+def _candidates(window: int, k: int, short: list[int], side):
+    """Per document: its words, and the windows around fingerprints that the bitmap knows."""
+    win = pa.struct([("at", pa.int32()), ("m", pa.int32()), ("g", pa.int64()), ("c", pa.int64())])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("wins", pa.list_(win))])
+
+    def run(batches):
+        sieve = side.value
+        known = lambda g: ((sieve[((g % U64(SIEVE_BITS)) >> U64(6)).astype(np.int64)] >> (g & U64(63))) & U64(1)).astype(bool)
+        for batch in batches:
+            data, offsets = texts_of(batch.column(2))
+            for first, last in chunks(offsets):
+                t = Text(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+                at = t.prints(k, window)
+                at = at[known(t.grams(k)[at])] if len(at) else at
+                inside = t.inside(window)
+                s = np.unique(np.concatenate([at - o for o in range(window - k + 1)]))
+                s = s[(s >= 0) & (s < len(inside))]
+                s = s[inside[s]]
+                parts = [(s, np.full(len(s), window))]
+                for m in short:
+                    s = np.flatnonzero(t.inside(m) & known(t.grams(m))) if len(t.grams(m)) else np.empty(0, np.int64)
+                    parts.append((s, np.full(len(s), m)))
+                s, m = (np.concatenate(x) for x in zip(*parts, strict=True))
+                g, c = np.empty(len(s), U64), np.empty(len(s), U64)
+                for v in np.unique(m).tolist():
+                    g[m == v], c[m == v] = t.grams(v)[s[m == v]], t.grams(v, 1)[s[m == v]]
+                order = np.argsort(t.doc[s], kind="stable")
+                s, m, g, c = (x[order] for x in (s, m, g, c))
+                d = t.doc[s]
+                wins = pa.StructArray.from_arrays([pa.array((s - t.begin[d]).astype(np.int32)), pa.array(m.astype(np.int32)), pa.array(g.view(np.int64)), pa.array(c.view(np.int64))], fields=list(win))
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(d, np.arange(t.rows + 1)).astype(np.int32)), wins)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, t.rows), batch.column(1).slice(first, t.rows), pa.array(t.count.astype(np.int64)), lists.cast(schema.field("wins").type)], schema=schema)
+
+    return run
+
+
+def _joined(texts: DataFrame, items: DataFrame, window: int, k: int) -> DataFrame:
+    """contamination() by a join of windows; nothing of the benchmark's size is collected or broadcast."""
+    spark = texts.sparkSession
+    have = stored(items.mapInArrow(released(_item_windows(window, k)), _WINDOW), "windows")
+    short = sorted(r.m for r in have.where(F.col("m") < window).select("m").distinct().collect())  # lengths below the window
+    side = spark.sparkContext.broadcast(bitmap(have.where("print IS NOT NULL").select("print"), SIEVE_BITS))
+    rows = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    base = stored(rows.mapInArrow(released(_candidates(window, k, short, side)), "row long, doc_id long, n_words long, wins array<struct<at:int,m:int,g:long,c:long>>"), "candidates")
+    wins = base.where(F.size("wins") > 0).select("row", F.explode("wins").alias("w")).select("row", "w.*")
+    items_of = have.where("g IS NOT NULL").select("item", "m", "g", "c").distinct()
+    # Windows that occur at all, then their items by distinct window of a document.
+    real = stored(wins.join(items_of.select("m", "g", "c").distinct(), ["m", "g", "c"], "left_semi"), "hits")
+    which = real.select("row", "m", "g", "c").distinct().join(items_of, ["m", "g", "c"]).groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    # Runs of a document: at most as many windows as it has words.
+    line = Window.partitionBy("row").orderBy("at", "after")
+    ends = real.groupBy("row", "at").agg(F.max(F.col("at") + F.col("m")).alias("after"))
+    new = F.coalesce(F.col("at") > F.max("after").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)).cast("int")
+    runs = ends.withColumn("new", new).withColumn("run", F.sum("new").over(line)).groupBy("row", "run").agg(F.min("at").alias("first"), F.max("after").alias("after"))
+    spans = runs.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("first", "after"))).alias("spans"))
+    out = base.select("row", "doc_id", "n_words").join(spans, "row", "left").join(which, "row", "left")
+    return out.select("doc_id", "n_words", F.coalesce("spans", F.expr("cast(array() as array<struct<first:int,after:int>>)")).alias("spans"), F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
@@ -165,32 +304,36 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
 
     A window is `window` consecutive item words, or the whole of a shorter
     item.  Null, empty and wordless texts have no words and no hits; items
-    without id or words match nothing.  Repeated documents come back once each,
-    repeated items count once.  Extra columns are not read.
+    without id or words match nothing.  Repeated documents, with or without
+    doc_id, come back once each; repeated items count once.  Long texts are
+    read whole; texts and items that repeat one word cost their length.  Extra
+    columns are not read.  An empty table gives no rows.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = []
-    for block in _item_blocks(benchmark):
-        side = spark.sparkContext.broadcast(Fingerprints([i for i, _ in block], [t for _, t in block], window, k))
-        parts.append(side)
-    if len(parts) == 1:
-        return texts.mapInArrow(released(_search(parts[0])), _OUT)
-    # More than one block: a row number of a stored input names each row, and its hits are united.
-    keyed = texts.withColumn("row", F.monotonically_increasing_id())
-    from .common import stored
-
-    keyed = stored(keyed, "texts")
-    every = None
-    for side in parts:
-        one = keyed.select("row", "text").mapInArrow(released(_search(side)), _OUT).withColumnRenamed("doc_id", "row")
-        every = one if every is None else every.union(one)
-    united = every.groupBy("row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    merge = """aggregate(array_sort(spans), cast(array() as array<struct<first:int,after:int>>), (l, s) ->
-        case when size(l) > 0 and s.first <= element_at(l, -1).after
-             then concat(slice(l, 1, size(l) - 1), array(named_struct('first', element_at(l, -1).first, 'after', greatest(s.after, element_at(l, -1).after))))
-             else concat(l, array(s)) end)"""
-    return united.join(keyed.select("row", "doc_id"), "row").select("doc_id", "n_words", F.expr(merge).alias("spans"), "items")
+    items = _items(benchmark)
+    if _broadcastable(items):
+        return texts.mapInArrow(released(_search(_side(items, window, k))), _OUT)
+    return _joined(texts, items, window, k)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
+    """The documents without a benchmark window, all columns; each row is judged by itself, with or without doc_id."""
+    items, columns = _items(benchmark), docs.columns
+    if _broadcastable(items):
+        search, at = _search(_side(items, window, k)), columns.index("text")
+
+        def run(batches):
+            for batch in batches:
+                text = batch.column(at).cast(pa.string())
+                spans = [r.column(2) for r in search([pa.RecordBatch.from_arrays([pa.nulls(len(text), pa.int64()), text], names=["doc_id", "text"])])]
+                if spans:
+                    yield batch.filter(pa.array(np.concatenate([np.diff(x.offsets.to_numpy()) for x in spans]) == 0))
+
+        return docs.mapInArrow(released(run), docs.schema)
+    (row,) = fresh_names(columns, "row")
+    keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    found = contamination(keyed.select(F.col(row).alias("doc_id"), "text"), benchmark, window, k)
+    return keyed.join(found.where(F.size("spans") > 0).select(F.col("doc_id").alias(row)), row, "left_anti").select(*columns)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import unicodedata
 
 import numpy as np
 
-from .kernels import U64, _random_words, spans
+from .kernels import U64, spans
 
 #: The pre-token pattern the quick way implements (a fixed value of the vocabulary file).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -68,11 +68,11 @@ class Encoder:
         self.chars = _byte_chars()
         self.kind = _classes()
         self.odd = np.array([bool(ODD.match(chr(c))) for c in range(LIMIT)])
-        self.values = _random_words(1 << 10, 11)
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(self.SLOTS, U64)
+        self.checks = np.zeros(self.SLOTS, U64)
         self.at = np.zeros(self.SLOTS, np.int32)
         self.size = np.zeros(self.SLOTS, np.int32)
         self.pool = np.empty(1 << 16, np.uint32)
@@ -128,12 +128,23 @@ class Encoder:
         last[-1] = kind[-1] != SPACE
         last[:-1] = (kind[:-1] != SPACE) & (first[1:] | (kind[1:] == SPACE))
         starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
-        h = spans(code, self.values, starts, stops)
+        # A pre-token is known by 128 bits: two hashes of other seeds.
+        raw = code.view(np.uint8)
+        h, check = (spans(raw, 2 * starts, 2 * stops, seed) for seed in (0, 1))
         slot = (h & U64(self.SLOTS - 1)).astype(np.int64)
         where, size = self.at[slot], self.size[slot]
-        miss = np.flatnonzero(self.keys[slot] != h)
+        miss = np.flatnonzero((self.keys[slot] != h) | (self.checks[slot] != check))
         if len(miss):
-            new, pick, back = np.unique(h[miss], return_index=True, return_inverse=True)
+            pair = np.empty(len(miss), [("h", U64), ("check", U64)])
+            pair["h"], pair["check"] = h[miss], check[miss]
+            order = np.argsort(pair["h"], kind="stable")
+            if (same := pair["h"][order[1:]] == pair["h"][order[:-1]]).any() and (same & (pair["check"][order[1:]] != pair["check"][order[:-1]])).any():
+                order = np.argsort(pair, order=["h", "check"], kind="stable")
+            fresh = np.ones(len(miss), bool)
+            fresh[1:] = pair[order[1:]] != pair[order[:-1]]
+            pick, back = order[fresh], np.empty(len(miss), np.int64)
+            back[order] = np.cumsum(fresh) - 1
+            new = pair[pick]
             at, sizes, pieces, used = np.empty(len(new), np.int32), np.empty(len(new), np.int32), [], self.used
             for j, m in enumerate(miss[pick].tolist()):
                 ids = self._unit(joined[starts[m] : stops[m]])
@@ -147,8 +158,11 @@ class Encoder:
             self.pool[self.used : used] = pieces
             self.used = used
             where[miss], size[miss] = at[back], sizes[back]
-            spot = (new & U64(self.SLOTS - 1)).astype(np.int64)
-            self.keys[spot], self.at[spot], self.size[spot] = new, at, sizes
+            spot = (new["h"] & U64(self.SLOTS - 1)).astype(np.int64)
+            # Of new pre-tokens that share a slot, the last one stays, in all four tables.
+            spot, last = np.unique(spot[::-1], return_index=True)
+            last = len(new) - 1 - last
+            self.keys[spot], self.checks[spot], self.at[spot], self.size[spot] = new["h"][last], new["check"][last], at[last], sizes[last]
         total = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         step = np.arange(total[-1]) - np.repeat(total[:-1], size)
         ids = self.pool[np.repeat(where, size) + step]
