@@ -38,60 +38,87 @@ def _lit(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+#: A span array without spans.
+NONE = "cast(array() as array<struct<start:bigint,end:bigint,s:string,keep:boolean>>)"
+
+
+def _running(values: str, op: str) -> str:
+    """Running op (x, y -> op) of an array: each round reaches twice as far back, so n elements cost n log n steps."""
+    back = "a[i - shiftleft(1, k)]"
+    return f"aggregate(sequence(0, cast(ceil(log2(size({values}) + 1)) as int)), {values}, (a, k) -> transform(a, (x, i) -> case when i >= shiftleft(1, k) then {op.format(x='x', y=back)} else x end))"
+
+
+def _let(value: str, name: str, body: str) -> str:
+    """body with `name` bound to value, which is evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def _spans(pattern: str, least_value: int | None = None) -> Column:
-    """array<struct<start, end, s>> of a pattern's matches in _t."""
+    """array<struct<start, end, s, keep>> of a pattern's matches in _t: a match ends where all that is cut and matched up to it adds up to."""
     p = _lit(pattern)
-    keep = f"length(v[i]) >= {least_value}" if least_value else "true"
+    keep = f"length(r.v[i]) >= {least_value}" if least_value else "true"
     value = f"regexp_extract_all(_t, {p}, 2)" if least_value else "array()"
-    return F.expr(f"""
-        case when _t rlike {p} then
-          transform(array(named_struct('cut', transform(split(_t, {p}, -1), x -> length(x)), 'hit', regexp_extract_all(_t, {p}, 0), 'v', {value})), r ->
-            filter(aggregate(sequence(0, size(r.hit) - 1), named_struct('at', 0L, 'out', cast(array() as array<struct<start:bigint,end:bigint,s:string,keep:boolean>>)),
-              (a, i) -> named_struct('at', a.at + r.cut[i] + length(r.hit[i]),
-                                     'out', concat(a.out, array(named_struct('start', a.at + r.cut[i], 'end', a.at + r.cut[i] + length(r.hit[i]), 's', r.hit[i], 'keep', {keep.replace("v[i]", "r.v[i]")})))),
-              a -> a.out), x -> x.keep))[0]
-        else cast(array() as array<struct<start:bigint,end:bigint,s:string,keep:boolean>>) end""")
+    found = f"named_struct('cut', transform(split(_t, {p}, -1), x -> length(x)), 'hit', regexp_extract_all(_t, {p}, 0), 'v', {value})"
+    ends = _let("transform(r.hit, (h, i) -> cast(r.cut[i] + length(h) as bigint))", "n", _running("n", "{x} + {y}"))
+    spans = f"filter(transform(r.hit, (h, i) -> named_struct('start', e[i] - length(h), 'end', e[i], 's', h, 'keep', {keep})), x -> x.keep)"
+    return F.expr(f"case when _t rlike {p} then {_let(found, 'r', _let(ends, 'e', spans))} else {NONE} end")
 
 
 def _entropy_spans() -> Column:
-    """The stretch of each candidate that its windows of high entropy cover."""
+    """The stretch of each candidate that its windows of high entropy cover.
+
+    A step costs the same wherever it is: characters are numbered once, and the
+    counts of a window lie eight to a 64-bit word, of which one enters and one leaves.
+    """
     xlogx = ", ".join(f"cast({c} * log2({c}) as double)" if c else "0D" for c in range(WINDOW + 1))
-    n = len(ALPHABET)
     allow = " or ".join(f"c.s rlike {_lit(a)}" for a in ALLOW)
     limit = f"case when c.s rlike '^[0-9a-fA-F]+$' then {THRESHOLDS['hex']}D when c.s rlike '^[A-Za-z0-9]+$' then {THRESHOLDS['alnum']}D else {THRESHOLDS['base64']}D end"
-    step = f"""named_struct(
-        'k', transform(a.k, (x, j) -> x + case when j + 1 = instr('{ALPHABET}', substr(c.s, i, 1)) then 1 else 0 end - case when i > {WINDOW} and j + 1 = instr('{ALPHABET}', substr(c.s, i - {WINDOW}, 1)) then 1 else 0 end),
-        'sum', a.sum + case when i > {WINDOW} and substr(c.s, i, 1) = substr(c.s, i - {WINDOW}, 1) then 0D else
-              f[a.k[instr('{ALPHABET}', substr(c.s, i, 1)) - 1] + 1] - f[a.k[instr('{ALPHABET}', substr(c.s, i, 1)) - 1]]
-              + case when i > {WINDOW} then f[a.k[instr('{ALPHABET}', substr(c.s, i - {WINDOW}, 1)) - 1] - 1] - f[a.k[instr('{ALPHABET}', substr(c.s, i - {WINDOW}, 1)) - 1]] else 0D end end)"""
+    one = lambda j: f"shiftleft(1L, shiftleft({j} & 7, 3))"
+    count = lambda j: f"cast(shiftright(a.k[shiftright({j}, 3)], shiftleft({j} & 7, 3)) & 255 as int)"
+    gone = f"(case when i >= {WINDOW} then z.d[i - {WINDOW}] else -1 end)"
+    moved = f"""named_struct(
+        'k', transform(a.k, (x, w) -> x + case when w = shiftright(m.j, 3) then {one('m.j')} else 0L end - case when m.g >= 0 and w = shiftright(m.g, 3) then {one('m.g')} else 0L end),
+        'sum', a.sum + z.f[{count('m.j')} + 1] - z.f[{count('m.j')}] + case when m.g >= 0 then z.f[{count('m.g')} - 1] - z.f[{count('m.g')}] else 0D end)"""
+    step = _let(f"named_struct('j', z.d[i], 'g', {gone})", "m", f"case when m.j = m.g then named_struct('k', a.k, 'sum', a.sum) else {moved} end")
     # The window that ends at i is judged right after its step.
-    return F.expr(f"""
-        filter(transform(filter(_c, c -> not ({allow})), c ->
-          transform(array(array({xlogx})), f ->
-            aggregate(sequence(1, length(c.s)), named_struct('k', array_repeat(0, {n}), 'sum', 0D, 'lo', cast(null as bigint), 'hi', cast(null as bigint)),
-              (a, i) -> transform(array({step}), b -> named_struct('k', b.k, 'sum', b.sum,
-                  'lo', coalesce(a.lo, case when i >= {WINDOW} and log2({WINDOW}) - b.sum / {WINDOW} >= {limit} then cast(i - {WINDOW} as bigint) end),
-                  'hi', case when i >= {WINDOW} and log2({WINDOW}) - b.sum / {WINDOW} >= {limit} then cast(i as bigint) else a.hi end))[0],
-              a -> named_struct('start', c.start + a.lo, 'end', c.start + a.hi, 's', '', 'keep', a.lo is not null)))[0]), x -> x.keep)""")
+    high = f"i >= {WINDOW - 1} and log2({WINDOW}) - b.sum / {WINDOW} >= z.limit"
+    judged = _let(step, "b", f"named_struct('k', b.k, 'sum', b.sum, 'lo', coalesce(a.lo, case when {high} then cast(i - {WINDOW - 1} as bigint) end), 'hi', case when {high} then cast(i + 1 as bigint) else a.hi end)")
+    start = f"named_struct('k', array_repeat(0L, {-(-len(ALPHABET) // 8)}), 'sum', 0D, 'lo', cast(null as bigint), 'hi', cast(null as bigint))"
+    end = "a -> named_struct('start', c.start + a.lo, 'end', c.start + a.hi, 's', '', 'keep', a.lo is not null)"
+    chars = f"transform(split(c.s, '', length(c.s)), x -> cast(instr('{ALPHABET}', x) - 1 as int))"
+    scan = _let(f"named_struct('d', {chars}, 'f', array({xlogx}), 'limit', {limit})", "z", f"aggregate(sequence(0, size(z.d) - 1), {start}, (a, i) -> {judged}, {end})")
+    return F.expr(f"filter(transform(filter(_c, c -> not ({allow})), c -> {scan}), x -> x.keep)")
+
+
+def _outside() -> Column:
+    """Entropy spans that lie in no base span: by start, base spans first, none before reaches as far."""
+    every = "sort_array(concat(transform(concat(assign, access, hex), x -> named_struct('start', x.start, 'own', 0, 'end', x.end)), transform(_e, x -> named_struct('start', x.start, 'own', 1, 'end', x.end))))"
+    reach = _running("t", "greatest({x}, {y})")
+    left = f"filter(transform(v, (x, i) -> named_struct('start', x.start, 'end', x.end, 's', '', 'keep', x.own = 1 and r[i] < x.end)), x -> x.keep)"
+    # A span of its own reaches nowhere, so it hides no other.
+    body = _let(every, "v", _let(_let("transform(v, x -> case when x.own = 0 then x.end else -1L end)", "t", reach), "r", left))
+    return F.expr(f"case when size(_e) = 0 then {NONE} else {body} end")
 
 
 def secrets(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, and arrays assign, access, hex, entropy of struct<start, end, s, keep>.
 
-    Offsets are code points, end exclusive.  A null text is an empty one.  An
-    entropy span inside a base span is not reported again.  Repeated rows come
-    back once each; other columns are not read.
+    Offsets are code points, end exclusive.  A null text is an empty one, and an
+    empty text has no spans; a null doc_id stays null.  Long texts are scanned
+    whole: time grows with the text, whatever the length of its candidates or the
+    number of its matches.  An entropy span inside a base span is not reported
+    again.  Repeated rows come back once each; other columns are not read.  An
+    empty table gives no rows.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_t"))
     d = d.select("doc_id", _spans(ASSIGN, ASSIGN_LEAST).alias("assign"), _spans(ACCESS).alias("access"), _spans(HEX).alias("hex"), _spans(CANDIDATE).alias("_c"))
     d = d.select("doc_id", "assign", "access", "hex", _entropy_spans().alias("_e"))
-    inside = "exists(concat(assign, access, hex), b -> b.start <= e.start and e.end <= b.end)"
-    return d.select("doc_id", "assign", "access", "hex", F.expr(f"filter(_e, e -> not {inside})").alias("entropy"))
+    return d.select("doc_id", "assign", "access", "hex", _outside().alias("entropy"))
 
 
 def _listed(*kinds: str) -> Column:
     every = ", ".join(f"transform({k}, x -> named_struct('start', x.start, 'ord', {i}, 'end', x.end, 'kind', '{k}'))" for i, k in enumerate(kinds))
-    return F.expr(f"array_join(transform(array_sort(concat({every})), x -> concat(x.kind, ':', cast(x.start as string), ':', cast(x.end as string))), ',')")
+    return F.expr(f"array_join(transform(sort_array(concat({every})), x -> concat(x.kind, ':', cast(x.start as string), ':', cast(x.end as string))), ',')")
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
