@@ -8,7 +8,8 @@ and summed.  Three counts use that cut:
    the threshold's share of its set means it links with nothing, which settles
    most of a corpus without one candidate pair;
 2. per candidate pair: partial overlaps by fragment, summed to the intersection;
-3. candidates: pairs that meet in the rarest shingles of both (prefix filter).
+3. candidates: pairs that meet in the rarest shingles of both (prefix filter), with
+   enough shingles left from there on.
 
 Equal sets are one class.  Dense groups are first tied together by one star per
 prefix shingle; only pairs whose components still differ are then compared, so
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, documents, partitions, stored
+from .common import bitmap, components, documents, partitions, stored
 from .kernels import SPACED, U64, chunks, doc_of, grams, mix64, released, texts_of, words
 
 #: Fragments of the shingle order in the pair counts.
@@ -195,7 +196,7 @@ def document_sets(docs: DataFrame, k: int = 5) -> DataFrame:
 
 
 def _set_rows(k: int, side):
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches):
         sieve = side.value
@@ -207,7 +208,7 @@ def _set_rows(k: int, side):
             for first, last in chunks(offsets, 1 << 20):
                 n, values = shingle_sets(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], k)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[first:last], pa.int64()), pa.array(n, pa.int64()), lists], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[first:last], pa.int64()), pa.array(n, pa.int64()), *map(pa.array, _prints(values, n)), lists], schema=schema)
 
     return run
 
@@ -245,69 +246,95 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
 
     Documents link when den * |x & y| >= num * |x | y|; component_id is the
     smallest doc_id reachable.  A null, empty or all-space text has no set and
-    links with nothing.  Rows without doc_id are left out.
-    Repeated rows come back once each.  doc_id names one text; columns other
-    than doc_id and text are not read.  An empty table gives an empty result.
+    links with nothing.  Rows without doc_id are left out.  Repeated rows come
+    back once each; rows of one doc_id with different texts are linked by their
+    own texts.  Columns other than doc_id and text are not read.  An empty table
+    gives an empty result.
     """
     base = stored(document_sets(docs, k), "sets")
-    may = base.where((F.col("n") > 0) & (den * F.col("shared") >= num * F.col("n")))
-    classes = stored(may.groupBy("n", "a", "b").agg(F.min("doc_id").alias("id")), "classes")
+    linkable = (F.col("n") > 0) & (den * F.col("shared") >= num * F.col("n"))
+    # A class is known by a number of its own, its smallest doc_id stands for its text.
+    classes = base.where(linkable).groupBy("n", "a", "b").agg(F.min("doc_id").alias("doc_id"))
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
-    reps = classes.select(F.col("id").alias("doc_id"))
     # A bitmap of fixed size lets through the representatives and few others, so texts are never shuffled; the join then is exact.
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS))
-    marks = reps.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("m")).toArrow()  # at most SIEVE_BITS / 64 rows
-    sieve = np.zeros(SIEVE_BITS >> 6, np.int64)
-    sieve[marks["w"].to_numpy()] = marks["m"].to_numpy()
-    side = docs.sparkSession.sparkContext.broadcast(sieve.view(U64))
+    side = docs.sparkSession.sparkContext.broadcast(bitmap(classes.select(bit.alias("b")), SIEVE_BITS))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("b", bit)
-    sets = texts.where("doc_id IS NOT NULL").mapInArrow(released(_set_rows(k, side)), "id long, n long, shingles array<long>")
-    sets = sets.join(reps.withColumnRenamed("doc_id", "id"), "id", "left_semi").dropDuplicates(["id"])
+    sets = texts.where("doc_id IS NOT NULL").mapInArrow(released(_set_rows(k, side)), "doc_id long, n long, a long, b long, shingles array<long>")
+    sets = sets.join(classes, ["doc_id", "n", "a", "b"]).dropDuplicates(["id"]).select("id", "n", "shingles")
     sets = stored(sets, "shingles")
 
     # The global order: by number of classes that have the shingle, then hash.  One class's own shingles only take up places.
+    # Counts are combined before the shuffle; a shingle that very many classes have is a skewed join, which is dealt anew at run time.
     each = sets.select("id", "n", F.explode("shingles").alias("h"))
-    each = each.withColumn("df", F.count("*").over(Window.partitionBy("h"))).where("df > 1")
-    known = each.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("order"))
+    df = each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    known = each.join(df, "h").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("order"))
     known = known.withColumn("s", F.size("order").cast("long")).where(den * F.col("s") >= num * F.col("n"))
     known = stored(known.select("id", "n", "s", F.expr("order.h").alias("order")), "order")
 
     # n - ceil(threshold * n) + 1 shingles, of which n - s are the class's own.
     length = f"cast(greatest(0, s + 1 - ceil({num} * n / {den})) as int)"
-    entries = stored(known.select("id", "n", "s", F.explode(F.expr(f"slice(order, 1, {length})")).alias("h")), "prefix")
+    entries = known.select("id", "n", "s", F.posexplode(F.expr(f"slice(order, 1, {length})")).alias("pos", "h"))
+    # Two classes that first meet in this shingle share none before it: what is left bounds their overlap.
+    entries = stored(entries.select("id", "n", (F.col("s") - F.col("pos")).alias("left"), "h"), "prefix")
     part = F.shiftrightunsigned(F.col("h"), 64 - int(np.log2(FRAGMENTS)))
     segments = stored(known.select("id", F.explode("order").alias("h")).groupBy("id", part.alias("part")).agg(F.collect_list("h").alias("seg")), "segments")
 
     # Stars: in every prefix shingle's bucket, each member against the one with most shared shingles.
-    centre = entries.groupBy("h").agg(F.max(F.struct((F.col("s") / F.col("n")).alias("c"), (-F.col("id")).alias("m"), "n", "s")).alias("top"), F.count("*").alias("members")).where("members > 1")
-    star = entries.join(centre.select("h", (-F.col("top.m")).alias("x"), F.col("top.n").alias("nx"), F.col("top.s").alias("sx")), "h")
-    star = star.where((F.col("x") != F.col("id")) & _close(F.col("nx"), F.col("n"), F.col("sx"), F.col("s"), num, den)).select("x", F.col("id").alias("y"), "nx", F.col("n").alias("ny")).distinct()
+    centre = entries.groupBy("h").agg(F.max(F.struct((F.col("left") / F.col("n")).alias("c"), (-F.col("id")).alias("m"), "n", "left")).alias("top"), F.count("*").alias("members")).where("members > 1")
+    star = entries.join(centre.select("h", (-F.col("top.m")).alias("x"), F.col("top.n").alias("nx"), F.col("top.left").alias("lx")), "h")
+    star = star.where((F.col("x") != F.col("id")) & _close(F.col("nx"), F.col("n"), F.col("lx"), F.col("left"), num, den)).select("x", F.col("id").alias("y"), "nx", F.col("n").alias("ny")).distinct()
     links = stored(_linked(stored(star, "star"), segments, num, den), "links")
     found = stored(components(links), "first")
 
     # The rest, exactly: buckets that still hold several components, members of different ones only.
-    # A pair's overlap is at most the sum of the smaller of both counts in each fragment, which settles most of them here.
     placed = entries.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = stored(placed, "placed")
-    mixed = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h")
-    open_ = placed.join(mixed, "h")
+    # The largest partner that what is left admits; members that admit nobody of their bucket go before any pair is made.
+    placed = stored(placed.withColumn("most", F.floor(F.col("left") * (num + den) / num) - F.col("n")), "placed")
+    mixed = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("small"), F.max("most").alias("reach")).where("lo < hi").select("h", "small", "reach")
+    open_ = placed.join(mixed, "h").where((F.col("most") >= F.col("small")) & (F.col("n") <= F.col("reach"))).drop("small", "reach")
+    # A pair's overlap is at most the sum of the smaller of both counts in each fragment, which settles most of them here.
     profiles = known.join(open_.select("id").distinct(), "id", "left_semi").select("id", "order").mapInArrow(released(_profiles), "id long, profile array<int>")
     open_ = stored(open_.join(stored(profiles, "profiles"), "id"), "open")
-    l, r = (open_.select(*(F.col(c).alias(f"{c}_{side}") for c in ("h", "id", "n", "s", "component", "profile"))) for side in "lr")
+    l, r = (open_.select(*(F.col(c).alias(f"{c}_{side}") for c in ("h", "id", "n", "left", "component", "profile"))) for side in "lr")
     most = F.expr("aggregate(zip_with(profile_l, profile_r, (x, y) -> least(x, y)), 0, (t, x) -> t + x)")
-    near = _close(F.col("n_l"), F.col("n_r"), F.col("s_l"), F.col("s_r"), num, den) & ((num + den) * most >= num * (F.col("n_l") + F.col("n_r")))
+    near = _close(F.col("n_l"), F.col("n_r"), F.col("left_l"), F.col("left_r"), num, den) & ((num + den) * most >= num * (F.col("n_l") + F.col("n_r")))
     cross = l.join(r, (F.col("h_l") == F.col("h_r")) & (F.col("component_l") < F.col("component_r")) & near)
     cross = cross.select(F.col("id_l").alias("x"), F.col("id_r").alias("y"), F.col("n_l").alias("nx"), F.col("n_r").alias("ny")).distinct()
     more = _linked(stored(cross, "cross"), segments, num, den)
     parts = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
 
-    # Back to every document; a class's component follows its representative.
-    named = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").select("n", "a", "b", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"))
-    named = named.withColumnsRenamed({"n": "cn", "a": "ca", "b": "cb"})
-    hit = base.join(named, (base.n == F.col("cn")) & (base.a == F.col("ca")) & (base.b == F.col("cb")), "left")
-    out = hit.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out
+    # Back to every document; a class's component follows its representative, documents that link with nothing stay as they are.
+    named = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    first = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(first, "component").select("n", "a", "b", F.col("doc_id").alias("class_id"), "component_id")
+    hit = base.where(linkable).join(named, ["n", "a", "b"]).select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id")
+    lone = base.where(~linkable).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
+    return hit.unionByName(lone)
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM w),
+reps AS (SELECT min(doc_id) AS id, list_sort(s) AS s FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+each AS (SELECT id, len(s) AS n, unnest(s) AS h FROM reps),
+df AS (SELECT h, count(*) AS df FROM each GROUP BY h HAVING count(*) > 1),
+placed AS (SELECT id, n, h, n - row_number() OVER (PARTITION BY id ORDER BY coalesce(df, 1), h) + 1 AS remaining FROM each LEFT JOIN df USING (h)),
+prefix AS (SELECT id, n, h FROM placed WHERE 100 * remaining >= 75 * n),
+pairs AS (SELECT DISTINCT a.id AS x, b.id AS y, a.n AS nx, b.n AS ny FROM prefix a JOIN prefix b ON a.h = b.h AND a.id < b.id AND 75 * greatest(a.n, b.n) <= 100 * least(a.n, b.n)),
+links AS (
+  SELECT x, y FROM (SELECT x, y, nx, ny, count(*) AS k FROM pairs JOIN each a ON a.id = x JOIN each b ON b.id = y AND b.h = a.h GROUP BY x, y, nx, ny) WHERE 100 * k >= 75 * (nx + ny - k)),
+edges AS (SELECT x AS u, y AS v FROM links UNION ALL SELECT y, x FROM links),
+reach(node, seen) AS (SELECT id, id FROM reps UNION SELECT edges.v, seen FROM reach JOIN edges ON node = u WHERE seen < edges.v),
+component AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(c.component_id, sets.doc_id) AS component_id, coalesce(reps.id, sets.doc_id) AS class_id
+FROM sets LEFT JOIN reps ON len(sets.s) > 0 AND list_sort(sets.s) = reps.s LEFT JOIN component c ON c.node = reps.id
+"""

@@ -18,4 +18,4 @@ QUERIES = {
 }
 
 #: Where SQL can say it on whole tables.
-ORACLE_SQL = {"op8_url_filter": op8_url.ORACLE, "op9_topk": op9_topk.ORACLE}
+ORACLE_SQL = {"op1_jaccard_join": op1_jaccard.ORACLE, "op2_mix": op2_mix.ORACLE, "op8_url_filter": op8_url.ORACLE, "op9_topk": op9_topk.ORACLE}
