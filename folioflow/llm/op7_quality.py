@@ -333,7 +333,11 @@ def co_train(a, b, y, held, pool: DataFrame, rounds: int = ROUNDS, share: float
     """a, b: labelled rows' views, y: labels, held: rows kept for calibration; pool: both views of all unlabelled rows."""
     fit = ~held
     if len(set(y[fit].tolist())) < 2:
-        raise ValueError("labels of both classes are needed")
+        # Nothing to tell apart: every document gets the labels' share of good ones, or even odds without labels.
+        share_good = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
+        flat = [Logistic(np.zeros(d), np.ones(d), np.zeros(d), 0.0) for d in (a.shape[1], b.shape[1])]
+        prior = float(np.log(share_good / (1 - share_good)))
+        return CoTrained(*flat, ((0.0, prior), (0.0, prior)), None, prior)
     own = [(x[fit], y[fit].astype(float)) for x in (a, b)]
     models = [Logistic.fit(*x, np.ones(fit.sum())) for x in own]
     size, turns, given = pool.count(), [], None
@@ -386,7 +390,12 @@ def _features(batches):
 def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, seed: int = 1) -> CoTrained:
     """Fits on at most `labelled` labelled documents, which bounds what is collected, and on every row without a label.
 
-    Rows without doc_id have no label; a repeated row weighs as often as it stands there.
+    Rows without doc_id have no label; an unlabelled row that repeats weighs as
+    often as it stands there, a labelled doc_id counts once.  Of a doc_id's
+    labels the largest holds; null labels are none.  Without labels every
+    document's probability is one half, with labels of one class it is their
+    share of good ones (0.999 or 0.001): a table of such labels keeps all or
+    nothing.  Empty tables give such a model too.
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     ids = marks.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(labelled)
@@ -432,8 +441,9 @@ def scored(docs: DataFrame, model: CoTrained, keep: float = KEEP) -> DataFrame:
     """One row per document: doc_id, p_content, p_meta, p_quality, keep.
 
     Null texts are empty, null languages and sources are values of their own, a
-    null length is unknown.  Repeated rows come back once each with equal
-    scores.  Extra columns are not read.
+    null length is unknown.  Long texts are read whole.  Repeated rows come back
+    once each with equal scores.  An empty table gives no rows.  Extra columns
+    are not read.
     """
     side = docs.sparkSession.sparkContext.broadcast(model)
     return _rows(docs).mapInArrow(released(_score(side)), "doc_id long, p_content double, p_meta double, p_quality double").withColumn("keep", F.col("p_quality") >= keep)
