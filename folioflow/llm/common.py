@@ -61,9 +61,15 @@ def bitmap(values: DataFrame, bits: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def spread(column, lo: int = 0, hi: int = 1 << 31):
-    """A deterministic integer in [lo, hi) for a row, equal on every run."""
-    return F.pmod(F.xxhash64(column), F.lit(hi - lo)) + F.lit(lo)
+def running(values: str, op: str) -> str:
+    """SQL: running op ({x}, {y}) of an array: each round reaches twice as far back, so n elements cost n log n steps."""
+    back = "a[i - shiftleft(1, k)]"
+    return f"aggregate(sequence(0, cast(ceil(log2(size({values}) + 1)) as int)), {values}, (a, k) -> transform(a, (x, i) -> case when i >= shiftleft(1, k) then {op.format(x='x', y=back)} else x end))"
+
+
+def let(value: str, name: str, body: str) -> str:
+    """SQL: body with `name` bound to value, which is evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
 def components(edges: DataFrame, name: str = "cc", most: int = 60) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, let, running
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Runs are maximal, so asking for the least length here finds the same strings as filtering later.
@@ -42,26 +42,15 @@ def _lit(s: str) -> str:
 NONE = "cast(array() as array<struct<start:bigint,end:bigint,s:string,keep:boolean>>)"
 
 
-def _running(values: str, op: str) -> str:
-    """Running op (x, y -> op) of an array: each round reaches twice as far back, so n elements cost n log n steps."""
-    back = "a[i - shiftleft(1, k)]"
-    return f"aggregate(sequence(0, cast(ceil(log2(size({values}) + 1)) as int)), {values}, (a, k) -> transform(a, (x, i) -> case when i >= shiftleft(1, k) then {op.format(x='x', y=back)} else x end))"
-
-
-def _let(value: str, name: str, body: str) -> str:
-    """body with `name` bound to value, which is evaluated once."""
-    return f"transform(array({value}), {name} -> {body})[0]"
-
-
 def _spans(pattern: str, least_value: int | None = None) -> Column:
     """array<struct<start, end, s, keep>> of a pattern's matches in _t: a match ends where all that is cut and matched up to it adds up to."""
     p = _lit(pattern)
     keep = f"length(r.v[i]) >= {least_value}" if least_value else "true"
     value = f"regexp_extract_all(_t, {p}, 2)" if least_value else "array()"
     found = f"named_struct('cut', transform(split(_t, {p}, -1), x -> length(x)), 'hit', regexp_extract_all(_t, {p}, 0), 'v', {value})"
-    ends = _let("transform(r.hit, (h, i) -> cast(r.cut[i] + length(h) as bigint))", "n", _running("n", "{x} + {y}"))
+    ends = let("transform(r.hit, (h, i) -> cast(r.cut[i] + length(h) as bigint))", "n", running("n", "{x} + {y}"))
     spans = f"filter(transform(r.hit, (h, i) -> named_struct('start', e[i] - length(h), 'end', e[i], 's', h, 'keep', {keep})), x -> x.keep)"
-    return F.expr(f"case when _t rlike {p} then {_let(found, 'r', _let(ends, 'e', spans))} else {NONE} end")
+    return F.expr(f"case when _t rlike {p} then {let(found, 'r', let(ends, 'e', spans))} else {NONE} end")
 
 
 def _entropy_spans() -> Column:
@@ -79,24 +68,24 @@ def _entropy_spans() -> Column:
     moved = f"""named_struct(
         'k', transform(a.k, (x, w) -> x + case when w = shiftright(m.j, 3) then {one('m.j')} else 0L end - case when m.g >= 0 and w = shiftright(m.g, 3) then {one('m.g')} else 0L end),
         'sum', a.sum + z.f[{count('m.j')} + 1] - z.f[{count('m.j')}] + case when m.g >= 0 then z.f[{count('m.g')} - 1] - z.f[{count('m.g')}] else 0D end)"""
-    step = _let(f"named_struct('j', z.d[i], 'g', {gone})", "m", f"case when m.j = m.g then named_struct('k', a.k, 'sum', a.sum) else {moved} end")
+    step = let(f"named_struct('j', z.d[i], 'g', {gone})", "m", f"case when m.j = m.g then named_struct('k', a.k, 'sum', a.sum) else {moved} end")
     # The window that ends at i is judged right after its step.
     high = f"i >= {WINDOW - 1} and log2({WINDOW}) - b.sum / {WINDOW} >= z.limit"
-    judged = _let(step, "b", f"named_struct('k', b.k, 'sum', b.sum, 'lo', coalesce(a.lo, case when {high} then cast(i - {WINDOW - 1} as bigint) end), 'hi', case when {high} then cast(i + 1 as bigint) else a.hi end)")
+    judged = let(step, "b", f"named_struct('k', b.k, 'sum', b.sum, 'lo', coalesce(a.lo, case when {high} then cast(i - {WINDOW - 1} as bigint) end), 'hi', case when {high} then cast(i + 1 as bigint) else a.hi end)")
     start = f"named_struct('k', array_repeat(0L, {-(-len(ALPHABET) // 8)}), 'sum', 0D, 'lo', cast(null as bigint), 'hi', cast(null as bigint))"
     end = "a -> named_struct('start', c.start + a.lo, 'end', c.start + a.hi, 's', '', 'keep', a.lo is not null)"
     chars = f"transform(split(c.s, '', length(c.s)), x -> cast(instr('{ALPHABET}', x) - 1 as int))"
-    scan = _let(f"named_struct('d', {chars}, 'f', array({xlogx}), 'limit', {limit})", "z", f"aggregate(sequence(0, size(z.d) - 1), {start}, (a, i) -> {judged}, {end})")
+    scan = let(f"named_struct('d', {chars}, 'f', array({xlogx}), 'limit', {limit})", "z", f"aggregate(sequence(0, size(z.d) - 1), {start}, (a, i) -> {judged}, {end})")
     return F.expr(f"filter(transform(filter(_c, c -> not ({allow})), c -> {scan}), x -> x.keep)")
 
 
 def _outside() -> Column:
     """Entropy spans that lie in no base span: by start, base spans first, none before reaches as far."""
     every = "sort_array(concat(transform(concat(assign, access, hex), x -> named_struct('start', x.start, 'own', 0, 'end', x.end)), transform(_e, x -> named_struct('start', x.start, 'own', 1, 'end', x.end))))"
-    reach = _running("t", "greatest({x}, {y})")
+    reach = running("t", "greatest({x}, {y})")
     left = f"filter(transform(v, (x, i) -> named_struct('start', x.start, 'end', x.end, 's', '', 'keep', x.own = 1 and r[i] < x.end)), x -> x.keep)"
     # A span of its own reaches nowhere, so it hides no other.
-    body = _let(every, "v", _let(_let("transform(v, x -> case when x.own = 0 then x.end else -1L end)", "t", reach), "r", left))
+    body = let(every, "v", let(let("transform(v, x -> case when x.own = 0 then x.end else -1L end)", "t", reach), "r", left))
     return F.expr(f"case when size(_e) = 0 then {NONE} else {body} end")
 
 
