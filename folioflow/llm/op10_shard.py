@@ -1,7 +1,7 @@
 """Sharding by a hierarchical weighted hash tree.
 
 A row descends region, rack and shard.  At each level every child draws
--ln(u) / weight, u a hash of the row's key and the child's name in (0, 1), and
+-ln(u) / weight, u the MD5 of the row's key and the child's name in (0, 1), and
 the smallest draw wins: children win in proportion to their weights, and when
 one child's weight grows rows move only into it.  Movement is thus confined to
 the subtrees whose weights change.  A shard added later stands as a region of
@@ -19,8 +19,8 @@ from .common import documents
 
 #: The shape of the first shards; each later one is a region of its own.
 REGION_SHARDS, RACK_SHARDS, FIRST_SHARDS = 10, 5, 40
-#: Rows of a shard numbered by one task, about.
-SLOT_ROWS = 50_000
+#: Leading bits of the order within a shard: so many buckets of it are numbered on their own.
+SLOT_BITS = 10
 EXTRA_BYTES = 16
 
 
@@ -46,7 +46,8 @@ def _pick(key: Column, level: str, node: Column, weights: list[list[float]]) ->
     draws = []
     for j in range(width):
         w = F.element_at(flat, (node * width + j + 1).cast("int"))
-        u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(level), node, F.lit(j)), 11).cast("double") + 0.5) / float(1 << 53)
+        name = F.concat_ws("|", F.coalesce(key.cast("string"), F.lit("null")), F.lit(level), node.cast("string"), F.lit(str(j)))
+        u = (F.conv(F.substring(F.md5(name.cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
         draws.append(F.struct(F.when(w > 0, -F.log(u) / w).otherwise(float("inf")).alias("d"), F.lit(j).alias("j")))
     return F.array_min(F.array(*draws))["j"]
 
@@ -66,27 +67,67 @@ def with_shard(df: DataFrame, key: str, tree: Tree, name: str) -> DataFrame:
     return df.select(*cols, F.element_at(ids, (F.col("_leaf") + 1).cast("int")).cast("int").alias(name))
 
 
-def sharded(docs: DataFrame, shards: int = FIRST_SHARDS, rows: int | None = None) -> DataFrame:
+def sharded(docs: DataFrame, shards: int = FIRST_SHARDS) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, shard, slot, grown_shard.
 
     Only doc_id and the shard count decide; a null doc_id is a key like any
-    other.  size is the text's UTF-8 bytes (null: none) plus EXTRA_BYTES.  Slots
-    run from 0 without gaps by bucket, doc_id, checksum and size; identical rows
-    get neighbouring slots.  Other columns are not read.
+    other, and its rows share a shard.  size is the text's UTF-8 bytes (null:
+    none) plus EXTRA_BYTES.  Slots run from 0 without gaps in the order of the
+    MD5 of doc_id (of the text, where doc_id is null), then doc_id, checksum and
+    size; identical rows get neighbouring slots, and which of them gets which
+    shows in no column.  An empty table gives no rows.  Other columns are not read.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    key = F.col("doc_id")
-    r = docs.select(key.cast("long").alias("doc_id"), (F.length(text) + EXTRA_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    raw = F.col("text").cast("string").cast("binary")
+    text = F.coalesce(raw, F.lit("").cast("binary"))
+    key = F.col("doc_id").cast("long")
+    h = F.md5(F.concat(F.lit("slot|"), F.coalesce(key.cast("string"), F.md5(raw), F.lit(""))).cast("binary"))
+    r = docs.select(key.alias("doc_id"), (F.length(text) + EXTRA_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), h.alias("h"))
     r = with_shard(with_shard(r, "doc_id", Tree.of(shards), "shard"), "doc_id", Tree.of(shards + 1), "grown_shard")
-    buckets = max(16, -(-(docs.count() if rows is None else rows) // (shards * SLOT_ROWS)))
-    r = r.withColumn("bucket", F.pmod(F.xxhash64(key, F.lit("slot")), F.lit(buckets)))
+    r = r.withColumn("bucket", F.shiftright(F.conv(F.substring("h", 1, 8), 16, 10).cast("long"), 32 - SLOT_BITS).cast("int"))
     counts = r.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select(F.col("shard").alias("s"), F.col("bucket").alias("b"), F.coalesce(before, F.lit(0)).alias("base"))
-    own = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size"))
+    own = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("h", "doc_id", "text_crc32", "size"))
     r = r.withColumn("own", own)
-    return r.join(counts, (r.shard == counts.s) & (r.bucket == counts.b)).select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("own") - 1).cast("long").alias("slot"), "grown_shard")
+    # At most shards * 2**SLOT_BITS rows: a proven bound.
+    return r.join(F.broadcast(counts), (r.shard == counts.s) & (r.bucket == counts.b)).select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("own") - 1).cast("long").alias("slot"), "grown_shard")
 
 
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(documents(spark, sf_dir)).withColumn("law", F.lit("key"))
+
+
+def _oracle(shards: int) -> str:
+    """The draws of one tree in SQL, as CTEs that end in at{shards}(rid, shard)."""
+    tree = Tree.of(shards)
+    racks, width = max(map(len, tree.regions)), max(len(x) for r in tree.regions for x in r)
+    nodes = {"region": [], "rack": [], "shard": []}
+    for i, r in enumerate(tree.regions):
+        nodes["region"].append((0, i, sum(w for x in r for _, w in x), -1))
+        for j, x in enumerate(r):
+            nodes["rack"].append((i, j, sum(w for _, w in x), -1))
+            nodes["shard"] += [(i * racks + j, k, w, s) for k, (s, w) in enumerate(x)]
+    out, at = [], f"(SELECT rid, key, 0 AS node FROM d)"
+    for level, rows in nodes.items():
+        name = f"{level}{shards}"
+        values = ", ".join(f"({n}, {j}, {w}::DOUBLE, {s})" for n, j, w, s in rows)
+        draw = f"-ln((CAST('0x' || substr(md5(p.key || '|{level}|' || p.node || '|' || c.j), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE) / c.w"
+        up = {"region": "j", "rack": f"node * {racks} + j", "shard": "s"}[level]
+        out.append(f"{name} AS (SELECT rid, key, {up} AS node FROM (SELECT p.rid, p.key, p.node, arg_min(c.j, {draw}) AS j, arg_min(c.s, {draw}) AS s FROM {at} p JOIN (VALUES {values}) c(node, j, w, s) ON c.node = p.node GROUP BY p.rid, p.key, p.node))")
+        at = name
+    return ",\n".join(out)
+
+
+ORACLE = rf"""
+WITH tbl AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key, octet_length(encode(coalesce(text, ''))) + {EXTRA_BYTES} AS size,
+    md5('slot|' || coalesce(CAST(doc_id AS VARCHAR), md5(text), '')) AS h,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS text_crc32
+  FROM documents, tbl),
+{_oracle(FIRST_SHARDS)},
+{_oracle(FIRST_SHARDS + 1)}
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, CAST(a.node AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY a.node ORDER BY h, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, CAST(b.node AS INTEGER) AS grown_shard, 'key' AS law
+FROM d JOIN shard{FIRST_SHARDS} a USING (rid) JOIN shard{FIRST_SHARDS + 1} b USING (rid)
+"""

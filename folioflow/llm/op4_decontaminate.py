@@ -364,3 +364,20 @@ def brute_force(docs: list[tuple], items: list[tuple], window: int = WINDOW) ->
                     which |= own
         out[d] = (len(w), len(hit), len(which), hashlib.sha256(",".join(sorted(which)).encode()).hexdigest())
     return out
+
+
+ORACLE = rf"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), {WINDOW}) AS m, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS t
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - {WINDOW - 1}, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+own AS (
+  SELECT rid, i, m, array_to_string(w[i:i + m - 1], ' ') AS t
+  FROM (SELECT rid, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m)),
+hits AS (SELECT rid, i, m, item_id FROM own JOIN windows USING (m, t)),
+words_hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT rid, i, m FROM hits)) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN words_hit USING (rid) LEFT JOIN items USING (rid)
+"""

@@ -119,3 +119,45 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         _listed("assign", "access", "hex", "entropy").alias("spans"),
         F.size("entropy").cast("long").alias("n_entropy"),
     )
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+def _oracle_kind(kind: str, order: int, pattern: str, keep: str = "true") -> str:
+    """CTE of a kind's matches with their places: the running sum of what is cut and matched."""
+    p = pattern.replace("'", "''")
+    return f"""{kind}_m AS (SELECT rid, unnest(hit) AS s, unnest(value) AS v, unnest(cut[:len(hit)]) AS cut, generate_subscripts(hit, 1) AS i
+  FROM (SELECT rid, regexp_extract_all(t, '{p}', 0) AS hit, {f"regexp_extract_all(t, '{p}', 2)" if kind == "assign" else f"regexp_extract_all(t, '{p}', 0)"} AS value, list_transform(string_split_regex(t, '{p}'), lambda x: length(x)) AS cut FROM d WHERE regexp_matches(t, '{p}'))),
+{kind}_s AS (SELECT rid, '{kind}' AS kind, {order} AS ord, s, stop - length(s) AS start, stop FROM (SELECT *, CAST(sum(cut + length(s)) OVER (PARTITION BY rid ORDER BY i) AS BIGINT) AS stop FROM {kind}_m) WHERE {keep})"""
+
+
+_NAMES = "|".join(map(_any_case, ("password", "passwd", "secret", "token", "api_?key")))
+_ASSIGN_SQL = rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ORACLE = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+{_oracle_kind("assign", 0, _ASSIGN_SQL, f"length(v) >= {ASSIGN_LEAST}")},
+{_oracle_kind("access", 1, ACCESS)},
+{_oracle_kind("hex", 2, HEX)},
+{_oracle_kind("candidate", 3, CANDIDATE)},
+base AS (SELECT * FROM assign_s UNION ALL SELECT * FROM access_s UNION ALL SELECT * FROM hex_s),
+open_ AS (
+  SELECT *, CASE WHEN regexp_matches(s, '^[0-9a-fA-F]+$') THEN {THRESHOLDS["hex"]} WHEN regexp_matches(s, '^[A-Za-z0-9]+$') THEN {THRESHOLDS["alnum"]} ELSE {THRESHOLDS["base64"]} END::DOUBLE AS least_bits
+  FROM candidate_s
+  WHERE NOT (regexp_matches(s, '^[^0-9]*$') AND NOT regexp_matches(s, '[A-Z][a-z][A-Z]|[a-z][A-Z][A-Z]|[A-Z][A-Z][a-z]'))
+    AND NOT regexp_matches(s, '{ALLOW[1]}') AND NOT regexp_matches(s, '{ALLOW[3]}')
+    AND len(list_filter(range(1, 9), lambda u: (length(s) % u = 0 AND length(s) >= 2 * u AND repeat(substr(s, 1, u), CAST(length(s) // u AS BIGINT)) = s)
+      OR ((length(s) - 1) % u = 0 AND length(s) - 1 >= 2 * u AND repeat(substr(s, 1, u), CAST((length(s) - 1) // u AS BIGINT)) = substr(s, 1, length(s) - 1)))) = 0),
+windows AS (SELECT rid, start, least_bits, i, unnest(string_split(substr(s, i + 1, {WINDOW}), '')) AS ch FROM (SELECT rid, start, least_bits, s, CAST(unnest(range(0, length(s) - {WINDOW} + 1)) AS BIGINT) AS i FROM open_)),
+bits AS (SELECT rid, start, least_bits, i, log2({WINDOW}) - sum(n * log2(n)) / {WINDOW} AS bits FROM (SELECT rid, start, least_bits, i, ch, count(*) AS n FROM windows GROUP BY ALL) GROUP BY rid, start, least_bits, i),
+high AS (SELECT rid, start + min(i) AS start, start + max(i) + {WINDOW} AS stop FROM bits WHERE bits >= least_bits GROUP BY rid, bits.start),
+entropy AS (SELECT rid, 'entropy' AS kind, 3 AS ord, '' AS s, start, stop FROM high h WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = h.rid AND b.start <= h.start AND h.stop <= b.stop)),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM entropy),
+said AS (
+  SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'entropy') AS n_entropy,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (ord < 3) AS base, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans
+  FROM every GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_entropy, 0) AS n_entropy
+FROM d LEFT JOIN said USING (rid)
+"""

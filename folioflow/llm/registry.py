@@ -18,4 +18,13 @@ QUERIES = {
 }
 
 #: Where SQL can say it on whole tables.
-ORACLE_SQL = {"op1_jaccard_join": op1_jaccard.ORACLE, "op2_mix": op2_mix.ORACLE, "op3_chat": op3_chat.ORACLE, "op8_url_filter": op8_url.ORACLE, "op9_topk": op9_topk.ORACLE}
+ORACLE_SQL = {
+    "op1_jaccard_join": op1_jaccard.ORACLE,
+    "op2_mix": op2_mix.ORACLE,
+    "op3_chat": op3_chat.ORACLE,
+    "op4_decontaminate": op4_decontaminate.ORACLE,
+    "op6_secrets": op6_secrets.ORACLE,
+    "op8_url_filter": op8_url.ORACLE,
+    "op9_topk": op9_topk.ORACLE,
+    "op10_shard": op10_shard.ORACLE,
+}
