@@ -7,41 +7,57 @@ uses the complemented slices), which gives the slices of the score of every row
 in the block.  The best rows are then selected from the most significant slice
 downward; rows tied at the boundary are resolved exactly, by vec_id.
 
-Queries are a stated set and meet all rows in blocks of QUERY_BLOCK queries, a
-bound on what is broadcast.  Each task keeps k rows per query, and those meet in
-a second selection.
+Queries are a stated set.  Up to QUERY_VALUES of their components are broadcast
+and rows are searched where they lie; more queries meet the rows in a grid: each
+cell is one block of rows against one block of queries.  Each block keeps k rows
+per query, and those meet in a second selection, which Spark cuts to k per query
+and task before its shuffle.  Components from LARGE on would need a slice per bit
+in every block; rows and queries that hold one are scored with exact integers.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import partitions, stored
 from .kernels import released
 
-#: Queries broadcast at once; rows in one index block; queries whose bitmaps are added together.
-QUERY_BLOCK, ROW_BLOCK, TOGETHER = 4096, 1 << 16, 64
+#: Components of queries in a block (32 MB); rows in one index block; queries whose bitmaps are added together.
+QUERY_VALUES, ROW_BLOCK, TOGETHER = 1 << 22, 1 << 16, 64
 SCALE = 256
+#: Components below LARGE in vectors of up to WIDEST of them have 64-bit products.
+LARGE, WIDEST = 1 << 24, 1 << 14
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, q): floor(scale * x) of every component; vectors null or with null or non-finite components are left out."""
-    x = F.transform("embedding", lambda v: v.cast("double"))
+    """(vec_id, q): floor(scale * x) of every component, as doubles that hold the integer exactly.
+
+    Vectors null or with null or non-finite components are left out, and those
+    with a component that scale takes out of the doubles.
+    """
+    x = F.transform("embedding", lambda v: v.cast("double") * F.lit(float(scale)))
     ok = F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).where(ok).select("vec_id", F.transform("x", lambda v: F.floor(v * scale).cast("long")).alias("q"))
+    # From 2**53 on a double is an integer.
+    whole = F.transform("x", lambda v: F.when(F.abs(v) < float(1 << 53), F.floor(F.when(F.abs(v) < float(1 << 53), v).otherwise(0.0)).cast("double")).otherwise(v))
+    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).where(ok).select("vec_id", whole.alias("q"))
 
 
-def _matrix(column, width: int) -> np.ndarray:
-    """Rows of integers, short ones filled with zeros (they add nothing to a product)."""
-    lists = column.to_pylist() if not isinstance(column, list) else column
-    out = np.zeros((len(lists), width), np.int64)
-    for i, r in enumerate(lists):
-        out[i, : min(len(r), width)] = r[:width]
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Rows of components, short ones filled with zeros (they add nothing to a product)."""
+    size = np.diff(column.offsets.to_numpy())
+    out = np.zeros((len(size), size.max(initial=0)))
+    row = np.repeat(np.arange(len(size)), size)
+    out[row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)] = column.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
+def _wider(m: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(m, ((0, 0), (0, width - m.shape[1])))
+
+
 class SlicedIndex:
     """Bit slices of one block of rows, in vec_id order."""
 
@@ -53,13 +69,12 @@ class SlicedIndex:
         shifted = (self.rows - self.low).astype(np.uint64)
         self.bits = [int(x).bit_length() for x in shifted.max(0)]
         words = -(-self.n // 64)
-        self.slices, self.rest = [], []
+        self.slices = []
         pad = np.zeros((words * 64,), np.uint8)
         self.live = self._pack(np.ones(self.n, np.uint8), pad)
         for d, bits in enumerate(self.bits):
             own = [self._pack(((shifted[:, d] >> np.uint64(b)) & np.uint64(1)).astype(np.uint8), pad) for b in range(bits)]
             self.slices.append(own)
-            self.rest.append([~s & self.live for s in own])
 
     def _pack(self, bits: np.ndarray, pad: np.ndarray) -> np.ndarray:
         pad[: self.n] = bits
@@ -140,68 +155,118 @@ class SlicedIndex:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little")[: self.n])
 
 
+_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+
+
+def _exact(query_ids, queries, ids, rows, k: int) -> list:
+    """The k best rows per query with integers of any size; scores stop at the ends of a long."""
+    whole = lambda m: np.array([[int(x) for x in r] for r in m] or np.empty((0, 0)), object).reshape(len(m), -1)
+    out, right = [], whole(rows)
+    for q, v in zip(query_ids.tolist(), whole(queries), strict=True):
+        score = (right @ v).tolist() if len(v) and len(ids) else [0] * len(ids)
+        held = [max(-(1 << 63), min(s, (1 << 63) - 1)) for s in score]
+        out += [(q, i, -s) for s, i in sorted((-s, i) for s, i in zip(held, ids.tolist(), strict=True) if i != q)[:k]]
+    return out
+
+
+def _best(query_ids, queries, ids, rows, k: int) -> pa.RecordBatch:
+    """The k best of a block of rows for each of a block of queries."""
+    width = max(queries.shape[1], rows.shape[1])
+    queries, rows = _wider(queries, width), _wider(rows, width)
+    plain = lambda m: (np.abs(m).max(1, initial=0) < LARGE) & (width <= WIDEST)
+    pq, pr, out = plain(queries), plain(rows), []
+    if pq.any() and pr.any():
+        index, few, q = SlicedIndex(ids[pr], rows[pr].astype(np.int64)), query_ids[pq], queries[pq].astype(np.int64)
+        for i in range(0, len(few), TOGETHER):
+            out += index.top(few[i : i + TOGETHER], q[i : i + TOGETHER], k)
+    if not pr.all():
+        out += _exact(query_ids[pq], queries[pq], ids[~pr], rows[~pr], k)
+    if not pq.all():
+        out += _exact(query_ids[~pq], queries[~pq], ids, rows, k)
+    return pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(3)], schema=_FOUND)
+
+
+def _stack(parts):
+    width = max(m.shape[1] for _, m in parts)
+    return np.concatenate([i for i, _ in parts]), np.concatenate([_wider(m, width) for _, m in parts])
+
+
+def _blocks(batches):
+    """(ids, rows) of about ROW_BLOCK rows each."""
+    held = []
+    for batch in batches:
+        held.append((batch.column(0).to_numpy(), _matrix(batch.column(1))))
+        if sum(len(i) for i, _ in held) >= ROW_BLOCK:
+            yield _stack(held)
+            held = []
+    if held:
+        yield _stack(held)
+
+
 def _search(side, k: int):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    def run(batches):
+        for ids, rows in _blocks(batches):
+            yield _best(*side.value, ids, rows, k)
+
+    return run
+
+
+def _packed(batches):
+    """A block of rows as one row: its ids and its components."""
+    for ids, rows in _blocks(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([ids.astype("<i8").tobytes()], pa.binary()), pa.array([rows.astype("<f8").tobytes()], pa.binary())], names=["ids", "values"])
 
-    def best(ids, rows):
-        query_ids, queries = side.value
-        width = max(queries.shape[1], rows.shape[1])
-        grow = lambda m: np.pad(m, ((0, 0), (0, width - m.shape[1])))
-        index, queries = SlicedIndex(ids, grow(rows)), grow(queries)
-        out = []
-        for i in range(0, len(query_ids), TOGETHER):
-            out += index.top(query_ids[i : i + TOGETHER], queries[i : i + TOGETHER], k)
-        return pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(3)], schema=schema)
 
+def _cells(k: int):
     def run(batches):
-        ids, rows, held = [], [], 0
+        unpack = lambda i, v: (n := np.frombuffer(i.as_py(), "<i8"), np.frombuffer(v.as_py(), "<f8").reshape(len(n), -1))
         for batch in batches:
-            lists = batch.column(1).to_pylist()
-            ids.append(batch.column(0).to_numpy())
-            rows.append(_matrix(lists, max(map(len, lists), default=0)))
-            held += len(lists)
-            if held >= ROW_BLOCK:
-                yield best(*_stack(ids, rows))
-                ids, rows, held = [], [], 0
-        if held:
-            yield best(*_stack(ids, rows))
+            for row in range(batch.num_rows):
+                (ids, rows), (query_ids, queries) = (unpack(batch.column(c)[row], batch.column(c + 1)[row]) for c in (0, 2))
+                yield _best(query_ids, queries, ids, rows, k)
 
     return run
 
 
-def _stack(ids, rows):
-    width = max(r.shape[1] for r in rows)
-    return np.concatenate(ids), np.concatenate([np.pad(r, ((0, 0), (0, width - r.shape[1]))) for r in rows])
+def _grid(rows: DataFrame, stated: DataFrame, blocks: int, k: int) -> DataFrame:
+    """Every block of rows against every block of queries; a side is copied once per block of the other, nothing is collected."""
+    tasks = max(1, -(-partitions(rows.sparkSession) // blocks))
+    queries = stated.dropDuplicates(["vec_id"]).repartition(blocks, "vec_id").mapInArrow(released(_packed), "ids binary, values binary")
+    queries = stored(queries.select(F.monotonically_increasing_id().alias("block"), F.col("ids").alias("query_ids"), F.col("values").alias("query_values")), "queries")
+    names = F.array(*[F.lit(r.block) for r in queries.select("block").collect()])  # one number per block of queries
+    line = rows.mapInArrow(released(_packed), "ids binary, values binary").withColumn("line", F.pmod(F.xxhash64("ids"), F.lit(tasks)))
+    cells = line.withColumn("block", F.explode(names)).join(queries.withColumn("line", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tasks - 1).cast("long")))), ["block", "line"])
+    return cells.select("ids", "values", "query_ids", "query_values").mapInArrow(released(_cells(k)), "query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = SCALE) -> DataFrame:
     """Each query's k best rows: query_id, rank (from 1), vec_id, score; all, if there are fewer.
 
     Queries are the rows whose vec_id is divisible by `every`; a query's own
-    row, or rows repeated under its vec_id, are no candidates for it.  Vectors
-    of other lengths count as filled with zeros.  Repeated rows under another
-    vec_id are rows of their own; rows repeated under one vec_id count once
-    per copy and tie.  Null vec_ids, null vectors and vectors with null or
-    non-finite components take no part; an empty table gives no rows.
+    row, or rows repeated under its vec_id, are no candidates for it, and of
+    different queries under one vec_id any one is taken.  Vectors of other
+    lengths count as filled with zeros.  Repeated rows under another vec_id are
+    rows of their own; rows repeated under one vec_id count once per copy and
+    tie.  Null vec_ids, null vectors and vectors with null or non-finite
+    components take no part; finite ones of any size do, and a score that leaves
+    the longs stops at their end, where it ties with others.  Extra columns are not read.  An empty table
+    gives no rows.
     """
     spark = vectors.sparkSession
     rows = quantised(vectors, scale)
     stated = rows.where(F.col("vec_id") % every == 0)
-    n = stated.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
-    found = None
-    for b in range(blocks):
-        block = stated.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).dropDuplicates(["vec_id"]).collect()  # about QUERY_BLOCK rows
-        if not block:
-            continue
-        width = max(len(r.q) for r in block)
-        side = spark.sparkContext.broadcast((np.array([r.vec_id for r in block], np.int64), _matrix([r.q for r in block], width)))
-        one = rows.mapInArrow(released(_search(side, k)), "query_id long, vec_id long, score long")
-        found = one if found is None else found.union(one)
-    if found is None:
+    size = stated.agg(F.count("*").alias("n"), F.max(F.size("q")).alias("width")).first()
+    if not size.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("i", "b")).select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))
+    blocks = -(-size.n * max(1, size.width) // QUERY_VALUES)
+    if blocks == 1:
+        block = stated.dropDuplicates(["vec_id"]).toArrow().combine_chunks()  # at most QUERY_VALUES components
+        side = spark.sparkContext.broadcast((block["vec_id"].to_numpy(), _matrix(block["q"].combine_chunks())))
+        found = rows.mapInArrow(released(_search(side, k)), "query_id long, vec_id long, score long")
+    else:
+        found = _grid(rows, stated, blocks, k)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,7 +262,8 @@ def test_topk(spark, monkeypatch):
             for r, (s, b) in enumerate(sorted((-int(q[a] @ q[b]), b) for b in q if b != a)[:5], 1):
                 want.add((a, r, b, -s))
     assert set(map(tuple, op9_topk.top_k(df).collect())) == want
-    monkeypatch.setattr(op9_topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(op9_topk, "QUERY_VALUES", 24)
+    monkeypatch.setattr(op9_topk, "ROW_BLOCK", 50)
     assert set(map(tuple, op9_topk.top_k(df).collect())) == want
     assert op9_topk.top_k(df.limit(0)).count() == 0
     assert len(op9_topk.top_k(df.where("vec_id in (0, 1, 2)")).collect()) == 2
