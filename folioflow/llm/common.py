@@ -25,12 +25,42 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{where}"
 
 
+_KEPT: set[str] = set()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path of this application in the shared folder; what is left there goes when the program ends."""
+    home = f"{shared_dir(spark)}/folioflow/{spark.sparkContext.applicationId}"
+    if home not in _KEPT:
+        _KEPT.add(home)
+
+        def leave():
+            if spark.sparkContext._jsc is not None:
+                _remove(spark, home)
+
+        atexit.register(leave)
+    return f"{home}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/folioflow/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes stored tables whose last reader has been written itself."""
+    for t in tables:
+        _remove(t.sparkSession, t._stored_at)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -87,7 +117,8 @@ def components(edges: DataFrame, name: str = "cc", most: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
-        e = stored(small, name)
+        last, e = e, stored(small, name)
+        discard(last)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bitmap, components, documents, partitions, stored
+from .common import bitmap, components, discard, documents, partitions, stored
 from .kernels import SPACED, U64, chunks, doc_of, grams, mix64, released, texts_of, words
 
 #: Fragments of the shingle order in the pair counts.
@@ -272,6 +272,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     known = each.join(df, "h").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("order"))
     known = known.withColumn("s", F.size("order").cast("long")).where(den * F.col("s") >= num * F.col("n"))
     known = stored(known.select("id", "n", "s", F.expr("order.h").alias("order")), "order")
+    discard(sets)
 
     # n - ceil(threshold * n) + 1 shingles, of which n - s are the class's own.
     length = f"cast(greatest(0, s + 1 - ceil({num} * n / {den})) as int)"
@@ -285,8 +286,10 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     centre = entries.groupBy("h").agg(F.max(F.struct((F.col("left") / F.col("n")).alias("c"), (-F.col("id")).alias("m"), "n", "left")).alias("top"), F.count("*").alias("members")).where("members > 1")
     star = entries.join(centre.select("h", (-F.col("top.m")).alias("x"), F.col("top.n").alias("nx"), F.col("top.left").alias("lx")), "h")
     star = star.where((F.col("x") != F.col("id")) & _close(F.col("nx"), F.col("n"), F.col("lx"), F.col("left"), num, den)).select("x", F.col("id").alias("y"), "nx", F.col("n").alias("ny")).distinct()
-    links = stored(_linked(stored(star, "star"), segments, num, den), "links")
+    star = stored(star, "star")
+    links = stored(_linked(star, segments, num, den), "links")
     found = stored(components(links), "first")
+    discard(star, links)
 
     # The rest, exactly: buckets that still hold several components, members of different ones only.
     placed = entries.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -296,14 +299,18 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     open_ = placed.join(mixed, "h").where((F.col("most") >= F.col("small")) & (F.col("n") <= F.col("reach"))).drop("small", "reach")
     # A pair's overlap is at most the sum of the smaller of both counts in each fragment, which settles most of them here.
     profiles = known.join(open_.select("id").distinct(), "id", "left_semi").select("id", "order").mapInArrow(released(_profiles), "id long, profile array<int>")
-    open_ = stored(open_.join(stored(profiles, "profiles"), "id"), "open")
+    profiles = stored(profiles, "profiles")
+    open_ = stored(open_.join(profiles, "id"), "open")
+    discard(entries, placed, profiles, known)
     l, r = (open_.select(*(F.col(c).alias(f"{c}_{side}") for c in ("h", "id", "n", "left", "component", "profile"))) for side in "lr")
     most = F.expr("aggregate(zip_with(profile_l, profile_r, (x, y) -> least(x, y)), 0, (t, x) -> t + x)")
     near = _close(F.col("n_l"), F.col("n_r"), F.col("left_l"), F.col("left_r"), num, den) & ((num + den) * most >= num * (F.col("n_l") + F.col("n_r")))
     cross = l.join(r, (F.col("h_l") == F.col("h_r")) & (F.col("component_l") < F.col("component_r")) & near)
     cross = cross.select(F.col("id_l").alias("x"), F.col("id_r").alias("y"), F.col("n_l").alias("nx"), F.col("n_r").alias("ny")).distinct()
-    more = _linked(stored(cross, "cross"), segments, num, den)
+    cross = stored(cross, "cross")
+    more = _linked(cross, segments, num, den)
     parts = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
+    discard(open_, cross, segments, found)
 
     # Back to every document; a class's component follows its representative, documents that link with nothing stay as they are.
     named = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))

@@ -12,7 +12,6 @@ commit protocol, and lost executors are no matter.  Blocks follow doc_id.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 
 import numpy as np
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, partitions, shared_dir, stored
+from .common import discard, documents, partitions, scratch, stored
 from .kernels import U64, chunks, released, texts_of
 
 MAX_BITS = 16
@@ -220,7 +219,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end:
     """Writes docs' ids in ascending doc_id order under path: blocks/, codebook/ and parts/ (first id of each part).
 
     Null texts are empty texts; a null doc_id comes first; rows of equal doc_id
-    are ordered by their ids, so reruns agree.  An empty table writes no block.
+    are ordered by a checksum of their ids, then their ids, so reruns agree and
+    repeated rows follow each other.  Long texts are encoded whole.  An empty
+    table writes no block.  Other columns are not read.
     """
     spark = docs.sparkSession
     ids = stored(tokenized(docs, tokenizer, end), "ids")
@@ -236,6 +237,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end:
     line = ids.repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first(), F.crc32("ids"))
     line = line.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.crc32("ids"), "ids")
     line.select("doc_id", "ids", F.spark_partition_id().alias("part")).mapInArrow(released(_write(side)), _BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    discard(ids)
     parts = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n").alias("n"))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     parts.select("part", F.coalesce(before, F.lit(0)).alias("start")).write.parquet(f"{path}/parts")
@@ -287,8 +289,7 @@ def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFra
 
 def token_digests(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
-    path = write_tokens(docs, f"{shared_dir(spark)}/folioflow/tokens-{uuid.uuid4().hex}")
-    return read_tokens(spark, path, digest=True)
+    return read_tokens(spark, write_tokens(docs, scratch(spark, "tokens")), digest=True)
 
 
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

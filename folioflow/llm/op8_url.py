@@ -35,7 +35,7 @@ def host_key(host: str) -> str:
 
 
 class Rules:
-    """Rules sorted by host key; per host its paths, sorted, each with the longest other path it starts with."""
+    """Rules sorted by host key, each with the host around it; per host its paths, sorted, each with the longest other path it starts with."""
 
     def __init__(self, rules):
         hosts: dict = {}
@@ -45,19 +45,22 @@ class Rules:
             if own.get(path, (None,))[0] != "block":
                 own[path] = (verdict, host + path)
         self.keys = sorted(hosts)
-        self.paths, self.up, self.says = [], [], []
-        for k in self.keys:
-            paths = sorted(hosts[k])
-            up: list[int] = []
-            stack: list[int] = []
-            for i, p in enumerate(paths):
-                while stack and not p.startswith(paths[stack[-1]]):
-                    stack.pop()
-                up.append(stack[-1] if stack else -1)
-                stack.append(i)
-            self.paths.append(paths)
-            self.up.append(up)
-            self.says.append([hosts[k][p] for p in paths])
+        self.around = self._nested(self.keys)
+        self.paths = [sorted(hosts[k]) for k in self.keys]
+        self.up = [self._nested(p) for p in self.paths]
+        self.says = [[hosts[k][p] for p in paths] for k, paths in zip(self.keys, self.paths, strict=True)]
+
+    @staticmethod
+    def _nested(names: list[str]) -> list[int]:
+        """For each of sorted names the place of the longest other one it starts with, or -1."""
+        out: list[int] = []
+        stack: list[int] = []
+        for i, name in enumerate(names):
+            while stack and not name.startswith(names[stack[-1]]):
+                stack.pop()
+            out.append(stack[-1] if stack else -1)
+            stack.append(i)
+        return out
 
     def match(self, node: int, path: str):
         """The longest path rule of one host that fits."""
@@ -68,17 +71,20 @@ class Rules:
         return self.says[node][i] if i >= 0 else None
 
     def sweep(self, keys: list[str], paths: list[str]) -> list:
-        """The deciding (verdict, rule) of every URL, or None."""
+        """The deciding (verdict, rule) of every URL, or None.  Stretches of rules without a URL are jumped over."""
         out: list = [None] * len(keys)
         stack: list[int] = []
-        at, n = 0, len(self.keys)
+        at = 0
         for i in sorted(range(len(keys)), key=keys.__getitem__):
             key = keys[i]
-            while at < n and self.keys[at] <= key:
-                while stack and not self.keys[at].startswith(self.keys[stack[-1]]):
-                    stack.pop()
-                stack.append(at)
-                at += 1
+            after = bisect_right(self.keys, key, at)
+            if after > at:
+                # The rules around the last one passed are those that are still open there.
+                stack, node, at = [], after - 1, after
+                while node >= 0:
+                    stack.append(node)
+                    node = self.around[node]
+                stack.reverse()
             while stack and not key.startswith(self.keys[stack[-1]]):
                 stack.pop()
             for node in reversed(stack):
@@ -117,7 +123,9 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
     A rule is (verdict, host, path).  Longest means most host labels, then
     longest path; of equal rules block wins.  Null URLs and URLs without ://
     have empty host and path, fit no rule and get the default.  Repeated pages
-    come back once each; other columns are not read.
+    come back once each, long URLs are read whole, an empty table gives no rows
+    and an empty rule table gives every page the default; other columns are not
+    read.
     """
     spark = pages.sparkSession
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
@@ -146,9 +154,7 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(RULES), "verdict string, host string, path string")
-    out = judged(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
-    # A rule is reported as its host and the "/" its path begins with, then the rest of the path.
-    return out
+    return judged(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
 ORACLE = r"""
