@@ -90,8 +90,8 @@ def _row_key(docs: DataFrame) -> list[Column]:
     return [F.xxhash64(F.lit(seed), none, *values) for seed in (1, 2)]
 
 
-def _classes(docs: DataFrame, seed: str, key: bool, **kw) -> DataFrame:
-    """One row per distinct document: source, size, doc_id, rows, rank of the first, rate, offset, source_size, target; with k1, k2 if key."""
+def _classes(docs: DataFrame, seed: str, key: bool, **kw) -> tuple[DataFrame, bool]:
+    """One row per distinct document: source, size, doc_id, rows, rank of the first, rate, offset, source_size, target; with k1, k2 if key.  And whether any repeats."""
     text, doc = F.col("text").cast("string"), F.col("doc_id").cast("long")
     k1, k2 = _row_key(docs) if key else (F.lit(0).cast("long"), F.lit(0).cast("long"))
     rows = docs.select(
@@ -124,7 +124,8 @@ def _classes(docs: DataFrame, seed: str, key: bool, **kw) -> DataFrame:
     rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
     # A multiple of 2**-20, so that sums with whole ranks are exact.
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce("source", F.lit(""))).cast("binary")), 1, 5), 16, 10).cast("long") / F.lit(float(1 << 20))
-    return r.withColumn("rate", rate).withColumn("offset", offset).drop("own", "base", "bucket")
+    repeated = not rows.where("rows > 1").isEmpty()
+    return r.withColumn("rate", rate).withColumn("offset", offset).drop("own", "base", "bucket"), repeated
 
 
 def _crossed(rank, n) -> Column:
@@ -143,7 +144,7 @@ def copies(docs: DataFrame, seed: str = "mix", **kw) -> DataFrame:
     source, the last.  Rows that repeat are documents of their own, next to each
     other.  An empty table gives no rows.  Other columns are not read.
     """
-    c = _classes(docs, seed, False, **kw)
+    c, _ = _classes(docs, seed, False, **kw)
     c = c.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / RUN))))
     last = F.least(F.lit(RUN - 1).cast("long"), F.col("rows") - 1 - F.col("block") * RUN)
     c = c.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn("rank", F.col("rank") + F.col("block") * RUN + F.col("j"))
@@ -159,12 +160,14 @@ def mixed(docs: DataFrame, seed: str = "mix", **kw) -> DataFrame:
     """
     names = docs.columns
     k1, k2, row, n, m1, m2 = fresh_names(names, "k1", "k2", "row", "n", "m1", "m2")
-    c = _classes(docs, seed, True, **kw)
+    c, repeated = _classes(docs, seed, True, **kw)
     c = c.select(F.col("k1").alias(m1), F.col("k2").alias(m2), _crossed(F.col("rank"), F.col("rows")).alias(n)).where(F.col(n) > 0)
     a, b = _row_key(docs)
     whole = F.struct(*[F.col("`" + x.replace("`", "``") + "`") for x in names])
-    # Equal rows are combined before the shuffle, so none is hot.
-    d = docs.select(a.alias(k1), b.alias(k2), whole.alias(row)).dropDuplicates([k1, k2])
+    d = docs.select(a.alias(k1), b.alias(k2), whole.alias(row))
+    if repeated:
+        # Equal rows are combined before the shuffle, so none is hot.
+        d = d.dropDuplicates([k1, k2])
     d = d.join(c, (F.col(k1) == F.col(m1)) & (F.col(k2) == F.col(m2))).select(row, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))))
     return d.select(F.col(f"{row}.*"))
 

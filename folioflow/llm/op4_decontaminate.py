@@ -16,14 +16,16 @@ those join the benchmark's windows.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
 
 from .common import bitmap, documents, fresh_names, stored
-from .kernels import ALNUM, U64, chunks, doc_of, grams, released, sliding, texts_of, words
+from .kernels import ALNUM, U64, chunks, doc_of, grams, release, released, sliding, texts_of, words
 
 #: Words of a window, of a fingerprint, and fingerprints of which the smallest is kept (K + W - 1 = WINDOW).
 WINDOW, K = 10, 5
@@ -320,16 +322,20 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int =
     """The documents without a benchmark window, all columns; each row is judged by itself, with or without doc_id."""
     items, columns = _items(benchmark), docs.columns
     if _broadcastable(items):
-        search, at = _search(_side(items, window, k)), columns.index("text")
-
-        def run(batches):
-            for batch in batches:
-                text = batch.column(at).cast(pa.string())
-                spans = [r.column(2) for r in search([pa.RecordBatch.from_arrays([pa.nulls(len(text), pa.int64()), text], names=["doc_id", "text"])])]
-                if spans:
-                    yield batch.filter(pa.array(np.concatenate([np.diff(x.offsets.to_numpy()) for x in spans]) == 0))
-
-        return docs.mapInArrow(released(run), docs.schema)
+        search = _search(_side(items, window, k))
+
+        @F.arrow_udf("boolean", ArrowUDFType.SCALAR_ITER)
+        def untouched(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            try:
+                for text in texts:
+                    batch = pa.RecordBatch.from_arrays([pa.nulls(len(text), pa.int64()), text], names=["doc_id", "text"])
+                    spans = [r.column(2).offsets.to_numpy() for r in search([batch])]
+                    yield pa.array(np.concatenate([np.diff(x) for x in spans]) == 0 if spans else np.empty(0, bool))
+            finally:
+                release()
+
+        # Only texts go to Python, and only one bit of each comes back.
+        return docs.where(untouched(F.col("text").cast("string")))
     (row,) = fresh_names(columns, "row")
     keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
     found = contamination(keyed.select(F.col(row).alias("doc_id"), "text"), benchmark, window, k)

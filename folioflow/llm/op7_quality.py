@@ -16,12 +16,14 @@ them, and add up the sums of each refit.  Scoring reads all of every text.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
 
 from .common import documents, stored
 from .kernels import SPACED, U64, chunks, doc_of, release, released, texts_of, words
@@ -451,19 +453,22 @@ def scored(docs: DataFrame, model: CoTrained, keep: float = KEEP) -> DataFrame:
 
 def kept(docs: DataFrame, model: CoTrained, keep: float = KEEP) -> DataFrame:
     """The documents that the model keeps, with all their columns; decided where they lie, without a join."""
-    side, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns
+    side = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        for batch in batches:
-            take = [batch.column(names.index(c)) for c in _COLUMNS]
-            own = pa.RecordBatch.from_arrays([take[0].cast(pa.int64()), *[x.cast(pa.string()) for x in take[1:4]], take[4].cast(pa.int64())], names=list(_COLUMNS))
-            _, offsets = texts_of(own.column(1))
-            good = [side.value.score(*_views(own.slice(a, b - a)))[2] for a, b in chunks(offsets)]
-            if good:
+    @F.arrow_udf("boolean", ArrowUDFType.SCALAR_ITER)
+    def good(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        try:
+            for own in columns:
+                batch = pa.RecordBatch.from_arrays(list(own), names=list(_COLUMNS))
+                _, offsets = texts_of(batch.column(1))
+                p = [side.value.score(*_views(batch.slice(a, b - a)))[2] for a, b in chunks(offsets)]
                 # Rounded as in scored(), so that both decide alike.
-                yield batch.filter(pa.array(np.round(np.concatenate(good), 9) >= keep))
+                yield pa.array(np.round(np.concatenate(p), 9) >= keep if p else np.empty(0, bool))
+        finally:
+            release()
 
-    return docs.mapInArrow(released(run), docs.schema)
+    types = ("long", "string", "string", "string", "long")
+    return docs.where(good(*[F.col(c).cast(t) for c, t in zip(_COLUMNS, types, strict=True)]))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
