@@ -108,10 +108,9 @@ def components(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def is_ornament(box: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Parts over 55 % of the width, over 10 % of the height, or long (12 : 1) and full (0.55)."""
+    """Parts over 55 % of the width, over 10 % of the height, or lying long (12 : 1) and full (0.55); upright strokes are none."""
     w, h, area = box[:, 2] - box[:, 0], box[:, 3] - box[:, 1], box[:, 4]
-    aspect = np.maximum(w, h) / np.maximum(np.minimum(w, h), 1)
-    return (w > 0.55 * width) | (h > 0.10 * height) | ((aspect >= 12) & (area / np.maximum(w * h, 1) >= 0.55))
+    return (w > 0.55 * width) | (h > 0.10 * height) | ((w >= 12 * np.maximum(h, 1)) & (area >= 0.55 * np.maximum(w * h, 1)))
 
 
 def filter_components(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
@@ -192,11 +191,11 @@ def split_page(bgr: np.ndarray, k: int = 51) -> tuple[dict, np.ndarray, np.ndarr
 
 
 def redness(red: np.ndarray, ink: np.ndarray, box: tuple[int, int, int, int]) -> float:
-    """Share of a box's ink that is red; 0 for an empty box or one without ink."""
+    """Red pixels of a box over its ink pixels; 0 for an empty box or one without ink."""
     x1, y1, x2, y2 = box
     part = np.s_[max(y1, 0) : max(y2, 0), max(x1, 0) : max(x2, 0)]
     total = int(ink[part].sum())
-    return float((red[part] & ink[part]).sum() / total) if total else 0.0
+    return float(red[part].sum() / total) if total else 0.0
 
 
 def red_boxes(red: np.ndarray, least: int = 1500) -> np.ndarray:

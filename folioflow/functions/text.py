@@ -48,7 +48,7 @@ def keep_alphabet(text: Column, ranges) -> Column:
 
 def normalize(text: Column, alphabet: str = "verify") -> Column:
     """The verify and build normalisers: NFC, then the alphabet's characters only."""
-    return keep_alphabet(nfc(text), ALPHABETS[alphabet])
+    return keep_alphabet(composed(text), ALPHABETS[alphabet])
 
 
 def normalize_v1(text: Column) -> Column:
@@ -65,36 +65,78 @@ def first_in(text: Column, ranges, n: int = 20) -> Column:
     return F.substring(keep_alphabet(text, ranges), 1, n)
 
 
+#: White space as str.isspace() has it (fixed values): the characters, and a class that Java, RE2 and Python read alike.
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+NOT_SPACE = "[^" + SPACE[1:]
+#: The spellings of the four-dot full stop (fixed values).
+FULL_STOP = "::|፡፡|：："
+
+
+def strip(text: Column) -> Column:
+    """White space of any kind off both ends."""
+    return F.btrim(text, F.lit(SPACES))
+
+
 def clean_text(text: Column) -> Column:
-    """The reading cleaner; the order of the steps matters."""
+    """The reading cleaner; the order of the steps matters.
+
+    Emphasis marks and stray ideographic commas go, typed guillemets become real
+    ones, heading marks (with white space after them) go with the white space
+    before, line wraps become a space, doubled colons a full stop that takes the
+    white space before it, runs of blanks one blank.
+    """
     t = F.regexp_replace(text, r"\*\*|、", "")
     t = F.replace(F.replace(t, F.lit("<<"), F.lit("«")), F.lit(">>"), F.lit("»"))
-    t = F.regexp_replace(t, r"(?m)^[\s]*#+[ \t]*", "")
-    t = F.regexp_replace(t, r"\s*\n\s*", " ")
-    t = F.regexp_replace(t, r"\s?(?:::|፡፡|：：)", "።")
+    t = F.regexp_replace(t, rf"(?md)^{SPACE}*#+{SPACE}+", "")
+    t = F.regexp_replace(t, rf"{SPACE}*\n{SPACE}*", " ")
+    t = F.regexp_replace(t, rf"{SPACE}*(?:{FULL_STOP})", "።")
     t = F.regexp_replace(t, r"[ \t]{2,}", " ")
-    return F.regexp_replace(t, r"^\s+|\s+$", "")
+    return strip(t)
 
 
-def strip(text: Column) -> Column:
-    """Python's strip(): Unicode white space on both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+#: Addresses and names that mark a watermark line (fixed values).
+WATERMARK = r"(?i)(www\.|https?://|zenadebretsion|debretsion|\.org|\.com|gmail|facebook)"
+#: A line of nothing but these is a page number (fixed values).
+PAGE_NUMBER = r"^[0-9 .,:;\-_()\[\]{}|/\\፡።፣፤፥፦፧፨፩-፼]+$"
+
 
+def line_reason(line: Column, script=ALPHABETS["v1"], latin=ALPHABETS["latin"], page_number: str = PAGE_NUMBER) -> Column:
+    """Why a stripped line of recognised text is not body text (archived cleaner), or null for one that stays."""
+    say = lambda text, most: F.concat(F.lit(f"{text}: "), F.substring(line, 1, most))
+    foreign = (count_in(line, script) == 0) & (count_in(line, latin) > 0)
+    return F.when(line.rlike(WATERMARK), say("website/watermark", 120)).when(line.rlike(page_number), say("page number", 80)).when(foreign, say("latin artifact", 120))
 
-#: Why a line of recognised text is not body text (archived cleaner).
-URL_LINE, NUMBER_LINE, LATIN_LINE = r"(?i)(https?://|www\.|\.com\b|\.org\b)", r"^\s*[-–—]?\s*[0-9]{1,4}\s*[-–—]?\s*$", r"^[\x20-\x7E]*[A-Za-z][\x20-\x7E]*$"
 
+def clean_lines(text: Column, script=ALPHABETS["v1"], latin=ALPHABETS["latin"], page_number: str = PAGE_NUMBER) -> Column:
+    """struct(text, removed): the archived cleaner, inside the row.
 
-def line_reason(line: Column) -> Column:
-    """url, page_number, latin_only, or null for a line that stays."""
-    return F.when(line.rlike(URL_LINE), "url").when(line.rlike(NUMBER_LINE), "page_number").when(line.rlike(LATIN_LINE), "latin_only")
+    Lines are stripped and blanks in them squeezed; dropped lines are listed with
+    their reason; stretches of blank lines become one, and none stays at the ends.
+    """
+    lines = F.transform(F.split(F.regexp_replace(text, r"\r\n?", "\n"), "\n"), lambda x: strip(x))
+    marked = F.transform(lines, lambda x: F.struct(x.alias("t"), F.when(x != "", line_reason(x, script, latin, page_number)).alias("why")))
+    removed = F.transform(F.filter(marked, lambda x: x["why"].isNotNull()), lambda x: x["why"])
+    kept = F.filter(marked, lambda x: x["why"].isNull())
+    # A kept line is preceded by a blank one where a blank line came since the last kept one.
+    body = F.array_join(F.transform(kept, lambda x: F.regexp_replace(x["t"], r"[ \t]+", " ")), "\n")
+    return F.struct(F.btrim(F.regexp_replace(body, r"\n{3,}", "\n\n"), F.lit("\n")).alias("text"), removed.alias("removed"))
 
 
-def verse_split(text: Column, numeral: str) -> tuple[Column, Column]:
-    """(numeral, rest) where the text opens with numerals, an optional dot and white space; else (null, text)."""
-    p = rf"^({numeral}+)[.።]?\s+"
-    num = F.regexp_extract(text, p, 1)
-    return F.nullif(num, F.lit("")), F.when(num != "", F.regexp_replace(text, p, "")).otherwise(text)
+def verse_split(text: Column, category: Column, numeral: str) -> Column:
+    """struct(verse, text, cut): numerals that open a text region, with an optional dot and white space after them, and how much is cut off."""
+    p = rf"^({numeral}+)\.?{SPACE}+"
+    own = category.isin("Text", "List-item")
+    head = F.when(own, F.regexp_extract(text, p, 0)).otherwise("")
+    verse = F.when(own, F.regexp_extract(text, p, 1)).otherwise("")
+    cut = F.coalesce(F.length(head), F.lit(0))
+    return F.struct(verse.alias("verse"), F.substr(text, cut + 1).alias("text"), cut.alias("cut"))
+
+
+def shift_runs(runs: Column, cut: Column) -> Column:
+    """Marked stretches (s, e) after `cut` characters went from the front."""
+    left = F.filter(runs, lambda r: r["e"] > cut)
+    return F.transform(left, lambda r: F.struct(F.greatest(F.lit(0), r["s"] - cut).alias("s"), (r["e"] - cut).alias("e")))
 
 
 def page_stem(page: Column) -> Column:
@@ -102,22 +144,41 @@ def page_stem(page: Column) -> Column:
 
 
 def is_ornament_reading(text: Column, letters=ALPHABETS["letter"]) -> Column:
-    """Fewer than two letters, over 200 characters, or three equal tokens of two letters or fewer."""
-    n = count_in(text, letters)
-    tokens = F.filter(F.split(strip(text), r"\s+"), lambda t: t != "")
-    same = (F.size(tokens) >= 3) & (F.size(F.array_distinct(tokens)) == 1) & (F.length(F.element_at(tokens, 1)) <= 2)
-    return (n < 2) | (F.length(text) > 200) | F.coalesce(same, F.lit(False))
+    """A border read as text: fewer than two letters, over 200 characters, or one token of two letters at most, three times or more."""
+    tokens = F.regexp_extract_all(text, F.lit(f"{NOT_SPACE}+"), F.lit(0))
+    same = (F.size(tokens) >= 3) & (F.size(F.array_distinct(tokens)) == 1) & (count_in(F.try_element_at(tokens, F.lit(1)), letters) <= 2)
+    return (count_in(text, letters) < 2) | (F.length(text) > 200) | F.coalesce(same, F.lit(False))
+
+
+def role_of(category: Column, verse: Column) -> Column:
+    """title for headings, instruction for notes and captions, verse for numbered text, prayer for the rest."""
+    return F.when(category.isin("Title", "Section-header"), "title").when(category.isin("Footnote", "Caption"), "instruction").when(F.coalesce(verse, F.lit("")) != "", "verse").otherwise("prayer")
 
 
-def role_of(category: Column, red_share: Column, verse: Column) -> Column:
-    """title for headings, instruction for all-red text, verse for numbered text, prayer for the rest."""
-    return F.when(category.isin("Title", "Section-header"), "title").when(red_share >= 1.0, "instruction").when(verse.isNotNull(), "verse").otherwise("prayer")
+def is_numeral(word: Column, numeral=ALPHABETS["numeral"]) -> Column:
+    """A word of nothing but numerals opens a verse."""
+    return F.coalesce(strip(word).rlike(rf"^{char_class(numeral)}+\z"), F.lit(False))
 
 
 def is_draft(source: Column) -> Column:
-    return F.coalesce(F.lower(source).contains("draft"), F.lit(False))
+    """A page that nobody checked yet says so in its source."""
+    low = F.lower(F.coalesce(source, F.lit("")))
+    return low.contains("draft") | low.contains("tesseract on cleaned layers")
+
+
+def nonempty_lines(text: Column) -> Column:
+    return F.size(F.filter(F.split(text, r"\r\n|[\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}]"), lambda x: strip(x) != ""))
+
 
+def candidate_score(text: Column, confidence: Column, words: Column, script=ALPHABETS["v1"], latin=ALPHABETS["latin"], watermark: str = WATERMARK) -> Column:
+    """What one recognition attempt is worth (archived; weights and caps are fixed values).
 
-def candidate_score(script: Column, latin: Column, confidence: Column, chars: Column) -> Column:
-    """A linear score with caps and penalties for one recognition attempt."""
-    return F.least(script, F.lit(1200)) * 0.04 + confidence * 0.6 - F.least(latin * 0.3, F.lit(40.0)) - F.when(chars < 20, 25.0).otherwise(0.0)
+    Confidence (null: 0), plus up to 25 for script characters, 20 for their
+    share, up to 10 for lines and 5 for words, less 18 for the Latin share, 4 for
+    each watermark line and 10 for a page with hardly any script.
+    """
+    n, m = count_in(text, script), count_in(text, latin)
+    letters = F.greatest(n + m, F.lit(1))
+    marks = F.size(F.filter(F.split(text, r"\r\n|[\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}]"), lambda x: x.rlike(watermark)))
+    bonus = F.least(F.lit(25.0), n / F.lit(35.0)) + n / letters * 20.0 + F.least(F.lit(10.0), nonempty_lines(text) * 0.4) + F.least(F.lit(5.0), words / F.lit(60.0))
+    return F.coalesce(confidence.cast("double"), F.lit(0.0)) + bonus - m / letters * 18.0 - marks * 4.0 - F.when(n < 20, 10.0).otherwise(0.0)

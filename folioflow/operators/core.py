@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sqlparts import let
+
 # ---- ordered computations --------------------------------------------------
 
 
@@ -53,7 +55,7 @@ def first_openings(blocks: DataFrame, keys: list[str], order: list[str], section
 def numbered(df: DataFrame, keys: list[str], order: list[str], prefix: Column, name: str = "block_id") -> DataFrame:
     """prefix_001 and on, per key."""
     n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(name, F.concat(prefix, F.lit("_"), F.lpad(n.cast("string"), 3, "0")))
+    return df.withColumn(name, F.format_string("%s_%03d", prefix, n))
 
 
 def bounds(starts: DataFrame, keys: list[str], start: str, mid_page: str | None = None) -> DataFrame:
@@ -77,24 +79,31 @@ def sample_pages(pages: DataFrame, key: str, keys: list[str]) -> DataFrame:
 def preview(items: Column, n: int) -> Column:
     """The first n items, and how many more."""
     more = F.size(items) - n
-    return F.concat(F.array_join(F.slice(items, 1, n), ", "), F.when(more > 0, F.concat(F.lit(" +"), more.cast("string"), F.lit(" more"))).otherwise(""))
+    return F.concat(F.array_join(F.slice(items, 1, n), ", "), F.when(more > 0, F.concat(F.lit(" (+"), more.cast("string"), F.lit(" more)"))).otherwise(""))
 
 
 # ---- joins -----------------------------------------------------------------
 
 
-def section_ranges(pages: DataFrame, rules: DataFrame, page: str) -> DataFrame:
-    """First rule whose page range holds the page; rules are a small dimension of a book."""
-    hit = pages.join(rules, F.col(page).between(F.col("first_page"), F.col("last_page")), "left")
-    cols = [F.col(c) for c in pages.columns]
-    return hit.groupBy(*cols).agg(F.min_by("section_id", "ord").alias("section_id"))
+def _fitting(rules: DataFrame | Iterable[tuple], page: str) -> Column:
+    """The rules (section_id, ord, first_page, last_page) whose range holds the page, in their order.
+
+    A section table is part of a book's config; as an array beside each page it needs no join.
+    """
+    rows = [tuple(r) for r in rules.select("section_id", "ord", "first_page", "last_page").collect()] if isinstance(rules, DataFrame) else list(rules)
+    one = [F.struct(F.lit(s).cast("string").alias("section_id"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for s, _, a, b in sorted(rows, key=lambda r: r[1])]
+    every = F.array(*one) if one else F.expr("cast(array() as array<struct<section_id:string,a:bigint,b:bigint>>)")
+    return F.filter(every, lambda r: F.col(page).between(r["a"], r["b"]))
+
+
+def section_ranges(pages: DataFrame, rules: DataFrame | Iterable[tuple], page: str) -> DataFrame:
+    """Adds section_id of the first rule whose page range holds the page; rows stay as they are."""
+    return pages.withColumn("section_id", F.try_element_at(_fitting(rules, page), F.lit(1))["section_id"])
 
 
-def all_sections(pages: DataFrame, rules: DataFrame, page: str) -> DataFrame:
-    """All rules whose range holds the page, joined by | in their order (archived form)."""
-    hit = pages.join(rules, F.col(page).between(F.col("first_page"), F.col("last_page")), "left")
-    listed = F.sort_array(F.collect_list(F.when(F.col("section_id").isNotNull(), F.struct("ord", "section_id"))))
-    return hit.groupBy(*[F.col(c) for c in pages.columns]).agg(F.array_join(F.transform(listed, lambda s: s["section_id"]), "|").alias("sections"))
+def all_sections(pages: DataFrame, rules: DataFrame | Iterable[tuple], page: str) -> DataFrame:
+    """Adds all rules whose range holds the page, joined by | in their order (archived form)."""
+    return pages.withColumn("sections", F.array_join(F.transform(_fitting(rules, page), lambda r: r["section_id"]), "|"))
 
 
 def groups_present(text: Column, groups: Column) -> Column:
@@ -102,26 +111,56 @@ def groups_present(text: Column, groups: Column) -> Column:
     return F.forall(groups, lambda g: F.exists(g, lambda a: F.contains(text, a)))
 
 
-def match_keywords(titles: DataFrame, rules: list[tuple[str, int, list[list[str]]]], text: str) -> DataFrame:
-    """First rule (by order) whose keyword groups a title satisfies, as one expression over the rule list."""
-    out = F.lit(None).cast("string")
-    for section, _, groups in sorted(rules, key=lambda r: -r[1]):
-        every = F.lit(True)
-        for g in groups:
-            one = F.lit(False)
-            for a in g:
-                one = one | F.contains(F.col(text), F.lit(a))
-            every = every & one
-        out = F.when(every, section).otherwise(out)
-    return titles.withColumn("section_id", out)
+def fitting_rules(text: Column, rules: Iterable[tuple[str, int, list[list[str]]]]) -> Column:
+    """Section ids, in table order, whose keyword groups the (normalised) text satisfies; a rule without groups, or a text without characters, fits nothing.
+
+    The keywords are taken as they are: normalise them as the text was.
+    """
+    out = []
+    for section, _, groups in sorted(rules, key=lambda r: r[1]):
+        if groups:
+            every = F.lit(True)
+            for g in groups:
+                one = F.lit(False)
+                for a in g:
+                    one = one | F.contains(text, F.lit(a))
+                every = every & one
+            out.append(F.when(every & (text != ""), F.lit(section)))
+    return F.array_compact(F.array(*out)) if out else F.expr("cast(array() as array<string>)")
+
+
+def first_unopened(fits: str) -> str:
+    """SQL: for an array of arrays of section ids, in reading order, which section each opens: its first one that nothing opened before."""
+    step = let("try_element_at(filter(f, s -> not array_contains(a.seen, s)), 1)", "o", "named_struct('seen', case when o is null then a.seen else array_append(a.seen, o) end, 'out', array_append(a.out, o))")
+    start = "named_struct('seen', cast(array() as array<string>), 'out', cast(array() as array<string>))"
+    return f"aggregate({fits}, {start}, (a, f) -> {step}, a -> a.out)"
+
 
+def openings(titles: DataFrame, keys: list[str], order: list[str], fits: str) -> DataFrame:
+    """(keys, order, opens): which section each title row opens. fits: an array column of the sections a title fits.
 
-def inside(words: DataFrame, boxes: DataFrame, on: list[str], pad: float = 0.0) -> DataFrame:
-    """Word centres inside a box, edges included, padded; the first box in order wins. Equal keys first, so the theta part stays in a page."""
+    A section that is open never opens again, so a title falls through to its
+    next fitting rule.  Titles that fit nothing are not carried; a book's fitting
+    titles come together in one row, as many as its headers.
+    """
+    some = titles.where(F.size(fits) > 0).select(*keys, F.struct(*order).alias("_o"), F.col(fits).alias("_f"))
+    line = some.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_o", "_f"))).alias("_t"))
+    line = line.select(*keys, F.posexplode(F.arrays_zip(F.expr("transform(_t, x -> x._o)").alias("o"), F.expr(first_unopened("transform(_t, x -> x._f)")).alias("opens"))).alias("_p", "_x"))
+    return line.where("_x.opens IS NOT NULL").select(*keys, *[F.col("_x.o")[c].alias(c) for c in order], F.col("_x.opens").alias("opens"))
+
+
+def inside(words: DataFrame, boxes: DataFrame, on: list[str], pad: float = 0.0, first: bool = True) -> DataFrame:
+    """Adds region: the first box in order that holds a word's centre, edges included, padded (first=False: all of them).
+
+    A page's boxes come together in one array, which meets its words by equal
+    keys; words stay row for row, those without a box get null (none).
+    """
     x, y = (F.col("x1") + F.col("x2")) / 2, (F.col("y1") + F.col("y2")) / 2
-    b = boxes.select(*on, *[F.col(c).alias(f"b_{c}") for c in ("ord", "x1", "y1", "x2", "y2")])
-    hit = words.join(b, on, "left").withColumn("_in", x.between(F.col("b_x1") - pad, F.col("b_x2") + pad) & y.between(F.col("b_y1") - pad, F.col("b_y2") + pad))
-    return hit.groupBy(*words.columns).agg(F.min(F.when(F.col("_in"), F.col("b_ord"))).alias("region"))
+    b = boxes.groupBy(*on).agg(F.sort_array(F.collect_list(F.struct("ord", "x1", "y1", "x2", "y2"))).alias("_boxes"))
+    held = F.filter("_boxes", lambda r: x.between(r["x1"] - pad, r["x2"] + pad) & y.between(r["y1"] - pad, r["y2"] + pad))
+    found = F.transform(held, lambda r: r["ord"])
+    region = F.try_element_at(found, F.lit(1)) if first else F.coalesce(found, F.expr("array()").cast(f"array<{dict(boxes.dtypes)['ord']}>"))
+    return words.join(b, on, "left").withColumn("region" if first else "regions", region).drop("_boxes")
 
 
 def aligned(tokens: Column, words: Column) -> Column:
@@ -166,63 +205,73 @@ def restamped(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> Da
 
 
 def group_lines(words: DataFrame, page: str, wobble: float = 0.4) -> DataFrame:
-    """Greedy lines: a word joins the first open line whose vertical span, widened by wobble x its height, holds its centre."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["y1", "x1", "word"], kind="stable").reset_index(drop=True)
-        spans: list[list[float]] = []
-        line = []
-        for top, bottom in zip(pdf.y1, pdf.y2, strict=True):
-            centre, slack = (top + bottom) / 2, wobble * (bottom - top)
-            for i, s in enumerate(spans):
-                if s[0] - slack <= centre <= s[1] + slack:
-                    s[0], s[1] = min(s[0], top), max(s[1], bottom)
-                    line.append(i + 1)
-                    break
-            else:
-                spans.append([top, bottom])
-                line.append(len(spans))
-        return pdf.assign(line=line)
-
-    schema = ", ".join(f"{n} {t}" for n, t in words.dtypes) + ", line long"
-    return words.groupBy(page).applyInPandas(one, schema)
+    """Adds line and place: greedy lines, numbered by (top, left), words in them by left edge.
+
+    From the top down (equal tops as `word` goes), a word joins the first line
+    whose vertical span, widened by wobble x the word's height, holds its centre;
+    the span grows.  A page is folded inside one row, as its words are one page.
+    """
+    cols = [c for c in words.columns if c != page]
+    item = F.struct(F.col("y1").cast("double").alias("_y1"), F.col("word").alias("_o"), F.col("x1").cast("double").alias("_x1"), F.col("y2").cast("double").alias("_y2"), *cols)
+    rows = words.groupBy(page).agg(F.sort_array(F.collect_list(item)).alias("_w"))
+    fits = f"array_position(transform(a.g, g -> g.top - {wobble} * (w._y2 - w._y1) <= (w._y1 + w._y2) / 2 and (w._y1 + w._y2) / 2 <= g.bottom + {wobble} * (w._y2 - w._y1)), true)"
+    grown = "transform(a.g, (g, i) -> case when i + 1 = p then named_struct('top', least(g.top, w._y1), 'left', least(g.left, w._x1), 'bottom', greatest(g.bottom, w._y2)) else g end)"
+    new = "array_append(a.g, named_struct('top', w._y1, 'left', w._x1, 'bottom', w._y2))"
+    step = let(f"cast({fits} as int)", "p", f"named_struct('g', case when p > 0 then {grown} else {new} end, 'line', array_append(a.line, case when p > 0 then p else size(a.g) + 1 end))")
+    start = "named_struct('g', cast(array() as array<struct<top:double,left:double,bottom:double>>), 'line', cast(array() as array<int>))"
+    rows = rows.withColumn("_f", F.expr(f"aggregate(_w, {start}, (a, w) -> {step})"))
+    rank = "transform(sort_array(transform(_f.g, (g, i) -> named_struct('top', g.top, 'left', g.left, 'i', i + 1))), x -> x.i)"
+    rows = rows.withColumn("_r", F.expr(rank))
+    each = F.expr("transform(_w, (w, i) -> named_struct('line', array_position(_r, _f.line[i]), 'x', w._x1, 'i', i, 'w', w))")
+    # Within a line by left edge, equal ones as they joined.
+    out = rows.select(page, F.posexplode(F.sort_array(each)).alias("_p", "_x"))
+    place = F.row_number().over(Window.partitionBy(page, "line").orderBy("_p"))
+    return out.select(page, *[F.col("_x.w")[c].alias(c) for c in cols], F.col("_x.line").alias("line"), "_p").withColumn("place", place.cast("long")).select(*words.columns, "line", "place")
 
 
 def merge_phrases(boxes: DataFrame, page: str, row: int = 60, rise: int = 50, gap: int = 140) -> DataFrame:
-    """Boxes by row bucket and x; each joins the last phrase if centres and x-gap are near, and the envelope grows."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[list[float]] = []
-        for x1, y1, x2, y2 in sorted(zip(pdf.x1, pdf.y1, pdf.x2, pdf.y2, strict=True), key=lambda b: (b[1] // row, b[0])):
-            last = out[-1] if out else None
-            if last and abs((last[1] + last[3]) / 2 - (y1 + y2) / 2) < rise and x1 - last[2] < gap:
-                last[:] = [min(last[0], x1), min(last[1], y1), max(last[2], x2), max(last[3], y2)]
-            else:
-                out.append([x1, y1, x2, y2])
-        return pd.DataFrame([[pdf[page].iloc[0], i + 1, *map(int, b)] for i, b in enumerate(out)], columns=[page, "phrase", "x1", "y1", "x2", "y2"])
-
-    return boxes.groupBy(page).applyInPandas(one, f"{page} long, phrase long, x1 long, y1 long, x2 long, y2 long")
+    """Boxes by the row of their centre, then x; each joins the phrase before it if centres and x-gap are near, and the envelope grows. page, phrase, x1, y1, x2, y2."""
+    whole = [F.col(c).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")]
+    key = F.floor((F.col("y1") + F.floor((F.col("y2") - F.col("y1")) / 2)) / row)
+    rows = boxes.groupBy(page).agg(F.sort_array(F.collect_list(F.struct(key.alias("r"), *whole))).alias("_b"))
+    near = f"size(a) > 0 and abs((a[size(a) - 1].y1 + a[size(a) - 1].y2) / 2 - (b.y1 + b.y2) / 2) < {rise} and b.x1 - a[size(a) - 1].x2 < {gap}"
+    last = "named_struct('x1', least(l.x1, b.x1), 'y1', least(l.y1, b.y1), 'x2', greatest(l.x2, b.x2), 'y2', greatest(l.y2, b.y2))"
+    grown = f"transform(a, (l, i) -> case when i = size(a) - 1 then {last} else l end)"
+    fold = f"aggregate(_b, cast(array() as array<struct<x1:bigint,y1:bigint,x2:bigint,y2:bigint>>), (a, b) -> case when {near} then {grown} else array_append(a, named_struct('x1', b.x1, 'y1', b.y1, 'x2', b.x2, 'y2', b.y2)) end)"
+    out = rows.select(page, F.posexplode(F.expr(fold)).alias("_p", "_x"))
+    return out.select(page, (F.col("_p") + 1).cast("long").alias("phrase"), "_x.*")
 
 
 # ---- review log ------------------------------------------------------------
 
+_SAVES = pa.schema([("page", pa.int64()), ("seq", pa.int64()), ("outcome", pa.string()), ("archived", pa.string()), ("keeps_original", pa.bool_()), ("withdraws_approval", pa.bool_())])
 
-def fold_saves(log: DataFrame, page: str = "page") -> DataFrame:
-    """Compare-and-set over an edit log (page, seq, base, body_hash): accepted where base is the current hash; a change keeps the version it replaced."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq", kind="stable")
-        current, rows = None, []
-        for seq, base, body in zip(pdf.seq, pdf.base, pdf.body_hash, strict=True):
-            base = None if pd.isna(base) else base
-            ok = base == current
-            rows.append((pdf[page].iloc[0], seq, "saved" if ok else "conflict", current if ok and current != body else None))
-            if ok:
-                current = body
-        return pd.DataFrame(rows, columns=[page, "seq", "outcome", "archived"])
 
-    return log.groupBy(page).applyInPandas(one, f"{page} long, seq long, outcome string, archived string")
+def _walk(batches):
+    """Rows come sorted by page and place in the log; what is kept is one page's present hash."""
+    page, current, edited = object(), None, False
+    for batch in batches:
+        out = []
+        for p, seq, base, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if p != page:
+                page, current, edited = p, None, False
+            saved = base == current
+            changed = saved and current is not None and current != body
+            out.append((p, seq, "saved" if saved else "conflict", current if changed else None, changed and not edited, saved and current != body))
+            if saved:
+                current, edited = body, edited or changed
+        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), _SAVES, strict=True)] if out else [pa.array([], t.type) for t in _SAVES], schema=_SAVES)
 
 
-def on_each_page(df: DataFrame, page: str, f: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    return df.groupBy(page).applyInPandas(f, schema)
+def fold_saves(log: DataFrame, page: str = "page") -> DataFrame:
+    """Compare-and-set over an edit log (page, seq, base, body_hash): page, seq, outcome, archived, keeps_original, withdraws_approval.
+
+    An edit is saved where its base is the page's present hash (null: no text
+    yet), else it conflicts.  A saved change archives the hash it replaced, keeps
+    the very first text once as the original, and withdraws an approval.  The
+    log is dealt by page and walked in order; memory does not grow with it.
+    """
+    rows = log.select(F.col(page).cast("long").alias("page"), F.col("seq").cast("long").alias("seq"), F.col("base").cast("string").alias("base"), F.col("body_hash").cast("string").alias("body_hash"))
+    line = rows.repartition("page").sortWithinPartitions("page", "seq")
+    out = line.mapInArrow(_walk, "page long, seq long, outcome string, archived string, keeps_original boolean, withdraws_approval boolean")
+    return out.withColumnRenamed("page", page)

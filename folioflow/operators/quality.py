@@ -12,12 +12,17 @@ STATUSES = ("source_incomplete", "not_analyzed", "incomplete", "needs_review", "
 
 
 def status(counts: DataFrame) -> DataFrame:
-    """One row of counts to the first status that applies; ready needs a content page."""
+    """Adds status and production_ready to rows of counts: the first status that applies; ready needs a content page.
+
+    Columns: source_problems, analysed (pages with an analysis), content,
+    missing_pages, missing_analysis, unexpected_analysis, flagged, unverified,
+    unapproved, missing_sections.
+    """
     c = F.col
     s = (
         F.when(c("source_problems") > 0, STATUSES[0])
-        .when((c("unanalysed") > 0) | (c("content") == 0), STATUSES[1])
-        .when(c("missing_pages") > 0, STATUSES[2])
+        .when(c("analysed") == 0, STATUSES[1])
+        .when((c("missing_pages") > 0) | (c("missing_analysis") > 0) | (c("unexpected_analysis") > 0) | (c("content") == 0), STATUSES[2])
         .when((c("flagged") > 0) | (c("unverified") > 0), STATUSES[3])
         .when(c("unapproved") > 0, STATUSES[4])
         .when(c("missing_sections") > 0, STATUSES[5])
@@ -42,27 +47,3 @@ def page_report(pages: DataFrame, key: str, latin=tx.ALPHABETS["latin"], digit=t
     other = F.length(F.regexp_replace("t", r"[\x00-\x7F]", "")).cast("long")
     f = flags((F.col("t") == "", F.lit("empty")), (F.col("latin_chars") == 0, F.lit("no latin letters")), (F.col("ascii_digits") > 0, F.concat(F.col("ascii_digits").cast("string"), F.lit(" digits"))), (F.size("l") == 1, F.lit("one line")))
     return p.select(key, F.size("l").cast("long").alias("lines"), "paragraphs", F.length("t").cast("long").alias("chars"), "latin_chars", "ascii_digits", other.alias("other_chars"), F.array_join(f, "; ").alias("flags"))
-
-
-def transcript_error(page: Column, notes: Column, blocks: Column) -> Column:
-    """First reason a transcript is rejected, or null. blocks: array<struct<type, verse_num_am, spans>>."""
-    kinds = F.array(*[F.lit(x) for x in ("title", "verse", "prayer", "instruction", "ornament")])
-    colours = F.array(F.lit("red"), F.lit("black"))
-    return (
-        F.when(page.isNull() | (page < 1), "page must be a positive integer")
-        .when(notes.isNull(), "notes must be text")
-        .when(blocks.isNull(), "blocks must be a list")
-        .when(F.size(blocks) > 1000, "too many blocks")
-        .when(F.exists(blocks, lambda b: ~F.array_contains(kinds, b["type"])), "unknown block type")
-        .when(F.exists(blocks, lambda b: F.exists(b["spans"], lambda s: s["t"].isNull() | ~F.array_contains(colours, s["c"]))), "bad span")
-    )
-
-
-def mask_difference(model: Column, mask: Column, most: float = 0.18) -> Column:
-    """over, under or null: how the text's red share differs from the ink's."""
-    return F.when(model - mask > most, "over").when(mask - model > most, "under")
-
-
-def reject_gate(agreement: Column, uncertain: Column) -> Column:
-    """A page too poor to use: agreement under 0.35 and four or more uncertain words."""
-    return (agreement < 0.35) & (uncertain >= 4)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
+from ..functions import udfs
 from . import core
 
 #: Break types after which a space follows (fixed values).
@@ -59,7 +61,7 @@ def line_blocks(lines: DataFrame, keys: list[str], order: list[str], title: Colu
 def clipped_edges(lines: DataFrame, keys: list[str], order: str, top: str, bottom: str, height: Column) -> DataFrame:
     """Edges at which a page's first or last line touches the outer 3 % of the page."""
     g = lines.groupBy(*keys).agg(F.min_by(top, order).alias("_t"), F.max_by(bottom, order).alias("_b"), F.max(height).alias("_h"))
-    edge = F.array_compact(F.array(F.when(F.col("_t") <= 0.03 * F.col("_h"), "top"), F.when(F.col("_b") >= 0.97 * F.col("_h"), "bottom")))
+    edge = F.array_compact(F.array(F.when(F.col("_t") <= 0.03 * F.col("_h"), "top"), F.when(F.col("_b") >= F.col("_h") - 0.03 * F.col("_h"), "bottom")))
     return g.select(*keys, edge.alias("edges"))
 
 
@@ -68,50 +70,136 @@ def undecided(corrections: Column) -> Column:
     return F.filter(corrections, lambda c: ~F.coalesce(c["applied"], F.lit(False)) & ~F.coalesce(c["dismissed"], F.lit(False)))
 
 
+def block_text(block: Column) -> Column:
+    """A block's span texts, one after the other."""
+    return F.array_join(F.transform(block["spans"], lambda s: s["t"]), "")
+
+
+def page_text(blocks: Column) -> Column:
+    """A page's block texts, a line each."""
+    return F.array_join(F.transform(blocks, block_text), "\n")
+
+
+def red_text(blocks: Column) -> Column:
+    """A page's red spans, one after the other."""
+    spans = F.flatten(F.transform(blocks, lambda b: b["spans"]))
+    return F.array_join(F.transform(F.filter(spans, lambda s: s["c"] == "red"), lambda s: s["t"]), "")
+
+
+#: How far line counts may differ before a page without text is suspicious (fixed value).
+LINE_TOLERANCE = 0.5
+
+
+def page_checks(pages: DataFrame, key: str = "page", alphabet: str = "verify", latin=tx.ALPHABETS["latin"], digit=tx.ALPHABETS["digit"], ranges=None) -> DataFrame:
+    """Adds what the checks of a page need and find.
+
+    Columns of pages: has_transcript, blocks, source, uncertain, clipped,
+    corrections (null where the file lacks them), mask_red (null without
+    evidence), ocr_text (recognised words without separators, null or empty
+    without layout), ocr_lines.  Added: latin, latin_shown, digits, script_chars,
+    model_red (share of red characters, 0 for an empty page), agreement (ratio of
+    recognised to transcribed text, null without either), model_lines,
+    empty_type, draft.
+    """
+    form = (lambda c: tx.normalize(c, alphabet)) if ranges is None else (lambda c: tx.keep_alphabet(tx.composed(c), ranges))
+    b = F.coalesce("blocks", F.array().cast(dict(pages.dtypes)["blocks"]))
+    p = pages.withColumn("_full", page_text(b)).withColumn("_norm", form(F.col("_full"))).withColumn("_red", form(red_text(b))).withColumn("_ocr", form(F.coalesce("ocr_text", F.lit(""))))
+    empty = F.filter(b, lambda x: (x["type"] != "ornament") & (tx.strip(block_text(x)) == ""))
+    both = (F.col("_ocr") != "") & (F.col("_norm") != "")
+    lines = F.aggregate(b, F.lit(0), lambda n, x: n + F.greatest(F.lit(1), F.size(x["spans"])))
+    p = p.withColumns(
+        {
+            "latin": tx.count_in(F.col("_full"), latin),
+            "latin_shown": tx.first_in(F.col("_full"), latin),
+            "digits": tx.count_in(F.col("_full"), digit),
+            "script_chars": F.length("_norm").cast("long"),
+            "model_red": F.coalesce(F.length("_red") / F.nullif(F.length("_norm"), F.lit(0)), F.lit(0.0)),
+            "agreement": F.when(both, udfs.ratio(F.when(both, F.col("_ocr")), F.when(both, F.col("_norm")))),
+            "model_lines": lines,
+            "empty_type": F.try_element_at(empty, F.lit(1))["type"],
+            "draft": tx.is_draft(F.col("source")),
+        }
+    )
+    return p.drop("_full", "_norm", "_red", "_ocr")
+
+
 def page_flags(p: DataFrame, key: str = "page") -> DataFrame:
-    """Flags (code, detail) of each page in their fixed order.
+    """key, flags: the sentences of a page's report in their fixed order.
 
-    Columns of p: has_transcript, uncertain, clipped, corrections (null where the
-    file lacks them), latin, digits (counts), model_red, mask_red (shares; mask
+    Columns of p: has_transcript, uncertain (text), clipped (edge), corrections
+    (printed, suggested, applied, dismissed; each list null where the file lacks
+    it), latin, digits (counts), latin_shown, model_red, mask_red (shares; mask
     null without evidence), has_layout, colour_from_mask, has_image, agreement
-    (null without text on both sides), script_chars, ocr_lines, empty_type (of the
-    first empty block that is no ornament), unresolved.
+    (null without text on both sides), script_chars, ocr_lines, model_lines,
+    empty_type (of the first empty block that is no ornament), unresolved.
     """
-    c = F.col
-    say = lambda cond, code, detail=F.lit(""): F.when(cond, F.struct(F.lit(code).alias("code"), detail.cast("string").alias("detail")))
-    n = lambda name: F.coalesce(F.size(F.when(c(name).isNotNull(), c(name))), F.lit(0))
-    first = lambda items: core.preview(items, 4)
+    c, text = F.col, F.lit
+    say = lambda cond, *parts: F.when(cond, F.concat(*[x if isinstance(x, Column) else text(x) for x in parts]))
+    count = lambda name: F.coalesce(F.size(F.when(c(name).isNotNull(), c(name))), text(0))
+    shown = lambda items: core.preview(items, 4)
+    two = lambda x: udfs.fixed(x, text(2))
     lacking = F.array_compact(F.array(F.when(c("uncertain").isNull(), "uncertain"), F.when(c("clipped").isNull(), "clipped")))
-    many, gap = n("uncertain"), c("model_red") - c("mask_red")
+    p = p.withColumn("_agreed", two(c("agreement"))).withColumn("_model", two(c("model_red"))).withColumn("_mask", two(c("mask_red"))).withColumn("_agreement", udfs.round_even(c("agreement"), text(3)))
+    p = p.withColumn("_agreement2", two(c("_agreement")))
+    many, gap = count("uncertain"), c("model_red") - c("mask_red")
     open_ = undecided(F.coalesce(c("corrections"), F.expr("array()").cast(p.schema["corrections"].dataType)))
+    off = (c("ocr_lines") > 0) & (F.abs(c("model_lines") - c("ocr_lines")) / c("ocr_lines").cast("double") > LINE_TOLERANCE)
+    n = lambda x: x.cast("string")
     flags = F.array_compact(
         F.array(
-            say((c("agreement") < REJECT_AGREEMENT) & (many >= REJECT_UNCERTAIN), "reject", many),
-            say(F.size(lacking) > 0, "missing_fields", F.array_join(lacking, ", ")),
-            say(c("latin") > 0, "latin", c("latin")),
-            say(c("digits") > 0, "digits", c("digits")),
-            say(c("mask_red").isNull(), "no_mask"),
-            say(~c("colour_from_mask") & ~c("has_layout"), "no_layout"),
-            say(~c("has_image"), "no_image"),
-            say(F.abs(gap) > RED_TOLERANCE, "red_share", F.when(gap > 0, "over").otherwise("under")),
-            say((c("ocr_lines") > 0) & (c("script_chars") == 0), "text_missing"),
-            say(c("agreement") < LEAST_AGREEMENT, "agreement", c("agreement")),
-            say(c("agreement").isNull() & (c("script_chars") == 0), "no_text"),
-            say(c("empty_type").isNotNull(), "empty_block", c("empty_type")),
-            say(many > 0, "uncertain", first(F.transform("uncertain", lambda u: F.coalesce(u["text"], F.lit("?"))))),
-            say(n("clipped") > 0, "clipped", F.array_join(F.transform("clipped", lambda u: F.coalesce(u["edge"], F.lit("?"))), ", ")),
-            say(F.size(open_) > 0, "suggestions", first(F.transform(open_, lambda u: F.concat_ws("→", u["printed"], u["suggested"])))),
-            say(c("unresolved"), "colour_unresolved"),
+            say((c("_agreement") < REJECT_AGREEMENT) & (many >= REJECT_UNCERTAIN), "REJECT — likely not a real transcription (agreement ", c("_agreement2"), ", ", n(many), " uncertain). Check this page against its scan before reviewing it."),
+            say(F.size(lacking) > 0, "legacy transcript missing review field(s): ", F.array_join(lacking, ", ")),
+            say(c("latin") > 0, n(c("latin")), " Latin characters in Ethiopic text: '", c("latin_shown"), "'"),
+            say(c("digits") > 0, n(c("digits")), " ASCII digits (Ethiopic numerals expected)"),
+            say(c("mask_red").isNull(), "missing colour-mask evidence; run split before verification"),
+            say(~c("colour_from_mask") & ~c("has_layout"), "missing word-layout evidence; run layout before verification"),
+            say(~c("has_image"), "missing original page image"),
+            say(F.abs(gap) > RED_TOLERANCE, "red coverage ", F.when(gap > 0, "over").otherwise("under"), "-marked: model ", c("_model"), " vs mask ", c("_mask")),
+            say(off & (c("script_chars") == 0), "model produced no text but Tesseract found lines"),
+            say(c("agreement") < LEAST_AGREEMENT, "text agreement with Tesseract only ", c("_agreed")),
+            say(c("agreement").isNull() & (c("script_chars") == 0), "transcript contains no Ethiopic text"),
+            say(c("empty_type").isNotNull(), "empty ", c("empty_type"), " block"),
+            say(many > 0, n(many), " uncertain word(s) to check: ", shown(F.transform("uncertain", lambda u: F.coalesce(u["text"], text("?"))))),
+            say(count("clipped") > 0, "TEXT CUT OFF at ", F.array_join(F.transform("clipped", lambda u: F.coalesce(u["edge"], text("?"))), ", "), " of page — ", n(count("clipped")), " line(s) missing"),
+            say(F.size(open_) > 0, n(F.size(open_)), " spelling suggestion(s) to review: ", shown(F.transform(open_, lambda u: F.concat_ws("→", u["printed"], u["suggested"])))),
+            say(c("unresolved"), "OCR candidate has unresolved colour alignment"),
         )
     )
-    absent = F.array(F.struct(F.lit("no_transcript").alias("code"), F.lit("").alias("detail")))
-    return p.select(key, F.when(F.coalesce(c("has_transcript"), F.lit(False)), flags).otherwise(absent).alias("flags"))
+    return p.select(key, F.when(F.coalesce(c("has_transcript"), text(False)), flags).otherwise(F.array(text("no transcript"))).alias("flags"))
+
+
+def report_totals(reports: DataFrame, page: str = "page", flags: str = "flags") -> DataFrame:
+    """One row: pages_checked, pages_flagged, flagged_pages (ascending)."""
+    hit = F.size(flags) > 0
+    return reports.agg(F.count("*").alias("pages_checked"), F.count_if(hit).alias("pages_flagged"), F.sort_array(F.collect_list(F.when(hit, F.col(page)))).alias("flagged_pages"))
+
+
+def layout_hint(lines: DataFrame, words: DataFrame, page: str = "page") -> DataFrame:
+    """page, hint: counts, then each layout line with the colour of its words. lines: page, line, looks_like_title; words: page, line, word, text, is_red."""
+    tagged = F.concat("text", F.lit("["), F.when(F.col("is_red"), "RED").otherwise("BLACK"), F.lit("]"))
+    per = words.groupBy(page, "line").agg(F.transform(F.sort_array(F.collect_list(F.struct("word", tagged.alias("t")))), lambda x: x["t"]).alias("_w"), F.count("*").alias("_n"), F.count_if("is_red").alias("_red"))
+    j = lines.join(per, [page, "line"], "left")
+    title = F.when(F.col("looks_like_title"), " (looks like a centred title)").otherwise("")
+    line = F.concat(F.lit("  line "), F.col("line").cast("string"), title, F.lit(": "), F.coalesce(F.array_join("_w", " "), F.lit("")))
+    g = j.groupBy(page).agg(F.transform(F.sort_array(F.collect_list(F.struct("line", line.alias("t")))), lambda x: x["t"]).alias("_l"), F.count("*").alias("_lines"), F.coalesce(F.sum("_n"), F.lit(0)).alias("_words"), F.coalesce(F.sum("_red"), F.lit(0)).alias("_red"))
+    head = F.concat(F.lit("Tesseract found "), F.col("_lines").cast("string"), F.lit(" lines, "), F.col("_words").cast("string"), F.lit(" words, "), F.col("_red").cast("string"), F.lit(" of them red."))
+    note = F.lit("Per line (Tesseract's text is unreliable; the [RED]/[BLACK] flags are not):")
+    return g.select(page, F.array_join(F.concat(F.array(head, note), F.col("_l")), "\n").alias("hint"))
+
+
+def layout_text(words: DataFrame, page: str = "page") -> DataFrame:
+    """page, ocr_text, ocr_lines: a layout's word texts in order without separators, and its number of lines."""
+    return words.groupBy(page).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line", "word", "text"))), lambda x: x["text"]), "").alias("ocr_text"), F.countDistinct("line").alias("ocr_lines"))
+
+
+#: What an import says of an approval it withdraws (fixed value).
+WITHDRAWN = " [approval withdrawn on import: it referred to an older baseline text]"
 
 
 def imported_reviews(entries: DataFrame, imported: DataFrame, key: str = "page") -> DataFrame:
-    """Approvals survive only where the same export brought the page's text; others are withdrawn and say so."""
+    """key, status, note, withdrawn: approvals survive only where the same export brought the page's text; others are withdrawn and say so."""
     have = imported.select(F.col(key).alias("_k"), F.lit(True).alias("_have")).distinct()
     gone = (F.col("status") == "approved") & F.col("_have").isNull()
-    note = F.coalesce(F.trim("note"), F.lit(""))
+    note = tx.strip(F.coalesce("note", F.lit("")))
     out = entries.join(have, F.col(key) == F.col("_k"), "left").withColumn("withdrawn", F.coalesce(gone, F.lit(False)))
-    return out.select(key, F.when(~F.col("withdrawn"), F.col("status")).alias("status"), F.when(F.col("withdrawn"), F.trim(F.concat(note, F.lit(" (approval withdrawn)")))).otherwise(note).alias("note"), "withdrawn")
+    return out.select(key, F.when(~F.col("withdrawn"), F.col("status")).alias("status"), F.when(F.col("withdrawn"), tx.strip(F.concat(note, F.lit(WITHDRAWN)))).otherwise(note).alias("note"), "withdrawn")

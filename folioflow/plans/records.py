@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import book, core, transcripts
-from ..sources import exports
+from ..functions import text as tx
+from ..operators import archive, book, core, layout, reports, transcripts, validate
+from ..sources import books, exports
 from .catalogue import L, query, t
 
 # ---- regions and words -----------------------------------------------------
@@ -114,57 +115,72 @@ def book_payload(spark, d):
 # ---- reviews, checks, exports -------------------------------------------------
 
 
-@query("""SELECT l.doc_id, CASE WHEN l.quality = 1 AND b.doc_id IS NULL THEN NULL WHEN l.quality = 1 THEN 'approved' ELSE 'needs_fix' END AS status, CASE WHEN l.quality = 1 AND b.doc_id IS NULL THEN 'n' || l.doc_id || ' (approval withdrawn)' ELSE 'n' || l.doc_id END AS note, l.quality = 1 AND b.doc_id IS NULL AS withdrawn
-FROM labels l LEFT JOIN (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 2 = 0) b ON l.doc_id = b.doc_id""")
+@query("""SELECT l.doc_id, CASE WHEN l.quality = 1 AND b.doc_id IS NULL THEN NULL WHEN l.quality = 1 THEN 'approved' ELSE 'needs_fix' END AS status, CASE WHEN l.quality = 1 AND b.doc_id IS NULL THEN 'n' || l.doc_id || ' [approval withdrawn on import: it referred to an older baseline text]' ELSE 'n' || l.doc_id END AS note, l.quality = 1 AND b.doc_id IS NULL AS withdrawn
+FROM labels l LEFT JOIN (SELECT DISTINCT doc_id FROM documents WHERE n_chars > 300) b ON l.doc_id = b.doc_id""")
 def import_approvals(spark, d):
     e = t(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "approved").otherwise("needs_fix").alias("status"), F.concat(F.lit(" n"), "doc_id").alias("note"))
-    return transcripts.imported_reviews(e, t(spark, d, "documents").where("doc_id % 2 = 0"), "doc_id")
+    return transcripts.imported_reviews(e, t(spark, d, "documents").where("n_chars > 300"), "doc_id")
 
 
 
-@query("""WITH p AS (SELECT d.doc_id, l.doc_id IS NOT NULL AS has, len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]')) AS latin, len(regexp_extract_all(coalesce(text, ''), '[0-9]')) AS digits, d.doc_id % 7 AS k FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
-SELECT doc_id, CASE WHEN NOT has THEN 'no_transcript' ELSE concat_ws(';', CASE WHEN k = 5 THEN 'reject' END, CASE WHEN k = 0 THEN 'missing_fields' END, CASE WHEN latin > 0 THEN 'latin' END, CASE WHEN digits > 0 THEN 'digits' END, CASE WHEN k = 1 THEN 'no_mask' END, CASE WHEN k = 2 THEN 'no_layout' END, CASE WHEN k = 3 THEN 'no_image' END, CASE WHEN k >= 4 THEN 'red_share' END,
-CASE WHEN k = 6 THEN 'text_missing' END, CASE WHEN k = 5 THEN 'agreement' END, CASE WHEN k = 6 THEN 'no_text' END, CASE WHEN k = 4 THEN 'empty_block' END, CASE WHEN k = 5 THEN 'uncertain' END, CASE WHEN k = 3 THEN 'clipped' END, CASE WHEN k = 2 THEN 'suggestions' END, CASE WHEN k = 1 THEN 'colour_unresolved' END) END AS flags FROM p""")
+_WORDS = "array_to_string(list_slice(u, 1, 4), ', ') || CASE WHEN len(u) > 4 THEN ' (+' || (len(u) - 4) || ' more)' ELSE '' END"
+
+
+@query(f"""WITH p AS (SELECT d.doc_id, l.doc_id IS NOT NULL AS has, len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]')) AS latin, substr(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g'), 1, 20) AS shown, len(regexp_extract_all(coalesce(text, ''), '[0-9]')) AS digits, d.doc_id % 7 AS k,
+  CASE WHEN d.doc_id % 7 = 5 THEN string_split(coalesce(text, ''), ' ') WHEN d.doc_id % 7 <> 0 THEN CAST([] AS VARCHAR[]) END AS u, (d.n_chars % 97)::DOUBLE / 97 AS model, CASE WHEN d.doc_id % 7 <> 1 THEN (d.doc_id % 89)::DOUBLE / 89 END AS mask, CASE WHEN d.doc_id % 7 <> 6 THEN (d.n_chars % 83)::DOUBLE / 83 END AS agreement FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT doc_id, CASE WHEN NOT has THEN 'no transcript' ELSE concat_ws(';',
+  CASE WHEN round(agreement, 3) < 0.35 AND len(u) >= 4 THEN 'REJECT — likely not a real transcription (agreement ' || printf('%.2f', round(agreement, 3)) || ', ' || len(u) || ' uncertain). Check this page against its scan before reviewing it.' END,
+  CASE WHEN k = 0 THEN 'legacy transcript missing review field(s): uncertain' END,
+  CASE WHEN latin > 0 THEN latin || ' Latin characters in Ethiopic text: ' || chr(39) || shown || chr(39) END, CASE WHEN digits > 0 THEN digits || ' ASCII digits (Ethiopic numerals expected)' END,
+  CASE WHEN k = 1 THEN 'missing colour-mask evidence; run split before verification' END, CASE WHEN k = 2 THEN 'missing word-layout evidence; run layout before verification' END, CASE WHEN k = 3 THEN 'missing original page image' END,
+  CASE WHEN abs(model - mask) > 0.18 THEN 'red coverage ' || CASE WHEN model > mask THEN 'over' ELSE 'under' END || '-marked: model ' || printf('%.2f', model) || ' vs mask ' || printf('%.2f', mask) END,
+  CASE WHEN k = 6 THEN 'model produced no text but Tesseract found lines' END, CASE WHEN agreement < 0.25 THEN 'text agreement with Tesseract only ' || printf('%.2f', agreement) END, CASE WHEN k = 6 THEN 'transcript contains no Ethiopic text' END,
+  CASE WHEN k = 4 THEN 'empty verse block' END, CASE WHEN len(u) > 0 THEN len(u) || ' uncertain word(s) to check: ' || {_WORDS} END, CASE WHEN k = 3 THEN 'TEXT CUT OFF at top of page — 1 line(s) missing' END,
+  CASE WHEN k = 2 THEN '1 spelling suggestion(s) to review: a→b' END, CASE WHEN k = 1 THEN 'OCR candidate has unresolved colour alignment' END) END AS flags FROM p""")
 def page_flags(spark, d):
     l = t(spark, d, "labels").select(F.col("doc_id").alias("_k"))
     k, text = F.col("doc_id") % 7, F.coalesce("text", F.lit(""))
     kind = lambda s: F.expr(f"cast(array() as array<struct<{s}>>)")
+    word = F.transform(F.split(text, " "), lambda w: F.struct(w.alias("text")))
     p = t(spark, d, "documents").join(l, F.col("doc_id") == F.col("_k"), "left").select(
         "doc_id",
         F.col("_k").isNotNull().alias("has_transcript"),
-        F.when(k == 5, F.array_repeat(F.struct(F.lit("w").alias("text")), 5)).when(k != 0, kind("text:string")).alias("uncertain"),
+        F.when(k == 5, word).when(k != 0, kind("text:string")).alias("uncertain"),
         F.when(k == 3, F.array(F.struct(F.lit("top").alias("edge")))).otherwise(kind("edge:string")).alias("clipped"),
         F.when(k == 2, F.array(F.struct(F.lit("a").alias("printed"), F.lit("b").alias("suggested"), F.lit(False).alias("applied"), F.lit(None).cast("boolean").alias("dismissed")))).alias("corrections"),
-        F.regexp_count(text, F.lit("[A-Za-z]")).alias("latin"),
-        F.regexp_count(text, F.lit("[0-9]")).alias("digits"),
-        F.lit(0.5).alias("model_red"),
-        F.when(k != 1, F.when(k >= 4, 0.2).otherwise(0.4)).alias("mask_red"),
+        tx.count_in(text, tx.ALPHABETS["latin"]).alias("latin"),
+        tx.first_in(text, tx.ALPHABETS["latin"]).alias("latin_shown"),
+        tx.count_in(text, tx.ALPHABETS["digit"]).alias("digits"),
+        (F.col("n_chars") % 97 / F.lit(97.0)).alias("model_red"),
+        F.when(k != 1, F.col("doc_id") % 89 / F.lit(89.0)).alias("mask_red"),
         (k != 2).alias("has_layout"),
         F.lit(False).alias("colour_from_mask"),
         (k != 3).alias("has_image"),
-        F.when(k == 5, 0.2).when(k != 6, 0.8).alias("agreement"),
+        F.when(k != 6, F.col("n_chars") % 83 / F.lit(83.0)).alias("agreement"),
         F.when(k == 6, 0).otherwise(10).alias("script_chars"),
         F.lit(4).alias("ocr_lines"),
+        F.lit(9).alias("model_lines"),
         F.when(k == 4, "verse").alias("empty_type"),
         (k == 1).alias("unresolved"),
     )
-    return transcripts.page_flags(p, "doc_id").select("doc_id", F.array_join(F.transform("flags", lambda f: f["code"]), ";").alias("flags"))
+    return transcripts.page_flags(p, "doc_id").select("doc_id", F.array_join("flags", ";").alias("flags"))
 
 
-@query("""SELECT l_orderkey AS page, l_linenumber AS word, l_partkey, round(l_partkey * 2550.0 / 1568.0, 6) AS x1, round(l_suppkey * 3300.0 / 2016.0, 6) AS y1 FROM lineitem""")
+@query("""SELECT l_orderkey AS page, l_linenumber AS word, l_partkey, round(l_partkey * 2550.0::DOUBLE / 1568.0::DOUBLE, 6) AS x1, round(l_suppkey * 3300.0::DOUBLE / 2016.0::DOUBLE, 6) AS y1 FROM lineitem""")
 def bbox_rescale(spark, d):
-    return t(spark, d, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("word"), "l_partkey", F.round(F.col("l_partkey") * F.lit(2550.0) / F.lit(1568.0), 6).alias("x1"), F.round(F.col("l_suppkey") * F.lit(3300.0) / F.lit(2016.0), 6).alias("y1"))
+    at = lambda c, a, b: F.round(layout.rescaled(F.col(c), F.lit(a), F.lit(b)), 6)
+    return t(spark, d, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("word"), "l_partkey", at("l_partkey", 2550.0, 1568.0).alias("x1"), at("l_suppkey", 3300.0, 2016.0).alias("y1"))
 
 
 @query("SELECT event_id, replace(strftime(ts, '%Y-%m-%dT%H:%M:%S'), ':', '') AS stamp FROM events")
 def export_stamp(spark, d):
-    return t(spark, d, "events").select("event_id", F.replace(F.substring(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), 1, 19), F.lit(":"), F.lit("")).alias("stamp"))
+    return t(spark, d, "events").select("event_id", reports.export_stamp(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")).alias("stamp"))
 
 
-@query("SELECT doc_id, CASE WHEN regexp_matches(x, '^[0-9]{1,4}$') THEN CAST(x AS BIGINT) BETWEEN 1 AND 166 ELSE false END AS valid FROM (SELECT doc_id, CAST(doc_id * 3 AS VARCHAR) AS x FROM documents)")
+@query("""SELECT doc_id, CASE WHEN NOT regexp_matches(x, '^[0-9]{1,4}$') THEN 'page must be a number' WHEN CAST(x AS BIGINT) NOT BETWEEN 1 AND 166 THEN 'page must be between 1 and 166' END AS reason FROM (SELECT doc_id, CASE WHEN lang = 'de' THEN 'p' || doc_id ELSE CAST(doc_id * 3 AS VARCHAR) END AS x FROM documents)""")
 def page_number_check(spark, d):
-    x = (F.col("doc_id") * 3).cast("string")
-    return t(spark, d, "documents").select("doc_id", F.when(x.rlike("^[0-9]{1,4}$"), x.cast("long").between(1, 166)).otherwise(False).alias("valid"))
+    x = F.when(F.col("lang") == "de", F.concat(F.lit("p"), "doc_id")).otherwise((F.col("doc_id") * 3).cast("string"))
+    return t(spark, d, "documents").select("doc_id", validate.page_error(x, F.lit(166)).alias("reason"))
 
 
 @query("SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes FROM documents WHERE strlen(text) > 2000")
@@ -172,25 +188,32 @@ def body_limit(spark, d):
     return t(spark, d, "documents").select("doc_id", L(F.octet_length("text")).alias("bytes")).where("bytes > 2000")
 
 
-@query("SELECT event_type, round(coalesce(CAST(sum(CASE WHEN c > 0 THEN c END) AS DOUBLE) / count(*) FILTER (c > 0), 0), 6) AS mean_conf, CAST(count(*) FILTER (c >= 0) AS BIGINT) AS tokens FROM (SELECT event_type, CAST(floor(value) AS BIGINT) % 100 - 20 AS c FROM events) GROUP BY 1")
+@query("""WITH e AS (SELECT event_type, CAST(floor(value) AS BIGINT) % 100 - 20 AS c, CASE WHEN event_id % 4 = 0 THEN ' ' ELSE 'x' END AS x FROM events)
+SELECT event_type, round(coalesce(avg(c) FILTER (c > 0), 0), 6) AS mean_conf, round(avg(c) FILTER (c >= 0 AND trim(x) <> ''), 6) AS confidence, CAST(count(*) FILTER (c >= 0 AND trim(x) <> '') AS BIGINT) AS word_count FROM e GROUP BY 1""")
 def mean_confidence(spark, d):
-    c = F.col("c")
-    e = t(spark, d, "events").select("event_type", (F.floor("value") % 100 - 20).alias("c"))
-    return e.groupBy("event_type").agg(F.round(F.coalesce(F.sum(F.when(c > 0, c)).cast("double") / F.count_if(c > 0), F.lit(0.0)), 6).alias("mean_conf"), F.count_if(c >= 0).alias("tokens"))
+    e = t(spark, d, "events").select("event_type", (F.floor("value") % 100 - 20).alias("c"), F.when(F.col("event_id") % 4 == 0, " ").otherwise("x").alias("x"))
+    mean = reports.mean_confidence(e, ["event_type"], F.col("c")).withColumn("mean_conf", F.round("mean_conf", 6))
+    return mean.join(reports.token_confidence(e, ["event_type"], F.col("x"), F.col("c")).withColumn("confidence", F.round("confidence", 6)), "event_type")
 
 
-@query("SELECT v.lang || '+' || w.lang AS languages, m AS mode FROM (SELECT DISTINCT lang FROM documents) v, (SELECT DISTINCT lang FROM documents) w, (VALUES (3), (4), (6)) AS x(m) WHERE v.lang < w.lang")
+@query("""WITH l AS (SELECT source, list_contains(list(DISTINCT lang), 'en') AS a, list_contains(list(DISTINCT lang), 'de') AS b FROM documents GROUP BY source),
+n AS (SELECT source, list_filter([CASE WHEN a THEN 'en' END, CASE WHEN a AND b THEN 'en+de' WHEN b THEN 'de' END], lambda x: x IS NOT NULL) AS langs FROM l),
+p AS (SELECT source, 1 AS g, i, j, langs[i] AS language, 'processed' AS image, [6, 4, 3][j] AS mode FROM n, range(1, 3) AS x(i), range(1, 4) AS y(j) WHERE i <= len(langs) UNION ALL SELECT source, 2, 1, j, langs[-1], 'original', [4, 6][j] FROM n, range(1, 3) AS y(j) WHERE len(langs) > 0)
+SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY g, i, j) AS INTEGER) AS seq, image, language, mode FROM p""")
 def candidate_plan(spark, d):
-    """Every pair of languages (a few values) with every mode."""
-    one = t(spark, d, "documents").select("lang").distinct()
-    pairs = one.join(one.withColumnRenamed("lang", "other"), F.col("lang") < F.col("other"))
-    return pairs.select(F.concat_ws("+", "lang", "other").alias("languages"), F.explode(F.array(*map(F.lit, (3, 4, 6)))).alias("mode"))
+    """Sources stand for pages, and the languages of their documents for the language data there is."""
+    l = t(spark, d, "documents").groupBy("source").agg(F.collect_set("lang").alias("l"))
+    p = l.select("source", F.posexplode(archive.candidate_plan(F.col("l"), "en", "de")).alias("i", "p"))
+    return p.select("source", (F.col("i") + 1).alias("seq"), F.col("p.source").alias("image"), "p.language", "p.mode")
 
 
-@query("SELECT s_nationkey AS book, count(*) AS pages, max(s_suppkey) AS max_page FROM supplier WHERE s_acctbal > 0 AND regexp_matches(s_name, '^[A-Za-z0-9#-]+$') GROUP BY 1")
+@query("""WITH b AS (SELECT n_nationkey, lower(n_name) AS book_id, n_regionkey <> 1 AS publish, n_name FROM nation)
+SELECT book_id, n_name AS title_am, '' AS title_en, count(*) AS total_pages, CAST(count(*) FILTER (s_acctbal > 0 AND NOT s_suppkey % 5 = 0) AS BIGINT) AS text_pages, max(s_suppkey) AS max_page FROM b JOIN supplier ON s_nationkey = n_nationkey WHERE publish AND regexp_matches(book_id, '^[a-z0-9_]+$') GROUP BY 1, 2""")
 def publish_registry(spark, d):
-    s = t(spark, d, "supplier").where((F.col("s_acctbal") > 0) & F.col("s_name").rlike("^[A-Za-z0-9#-]+$"))
-    return s.groupBy(F.col("s_nationkey").alias("book")).agg(F.count("*").alias("pages"), F.max("s_suppkey").alias("max_page"))
+    """Nations stand for books, suppliers for their pages."""
+    b = t(spark, d, "nation").select("n_nationkey", F.lower("n_name").alias("book_id"), (F.col("n_regionkey") != 1).alias("publish"), F.col("n_name").alias("title_am"), F.lit(None).cast("string").alias("title_en"))
+    s = t(spark, d, "supplier").join(b.select("n_nationkey", "book_id"), F.col("s_nationkey") == F.col("n_nationkey")).select("book_id", F.col("s_suppkey").alias("page"), (F.col("s_acctbal") <= 0).alias("is_blank"), (F.col("s_suppkey") % 5 == 0).alias("is_illustration"))
+    return reports.published(b, s)
 
 
 @query("SELECT user_id, event_id, CASE WHEN p IS NOT NULL THEN 'changed' ELSE 'first' END AS kind, CAST(p AS VARCHAR) AS replaced FROM (SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)")
@@ -199,20 +222,22 @@ def version_history(spark, d):
     return t(spark, d, "events").select("user_id", "event_id", p.alias("replaced")).select("user_id", "event_id", F.when(F.col("replaced").isNotNull(), "changed").otherwise("first").alias("kind"), F.col("replaced").cast("string").alias("replaced"))
 
 
-@query("SELECT p_partkey, CAST(ceil(p_size * 50 * least(1.0, 1500.0 / greatest(p_size * 50, p_partkey % 4000 + 1)) - 0.5) AS BIGINT) AS w FROM part")
+@query("""WITH x AS (SELECT p_partkey, p_size * 50 AS w, p_partkey % 4000 + 1 AS h FROM part), f AS (SELECT *, 1500.0::DOUBLE / greatest(w, h) AS f FROM x)
+SELECT p_partkey, CAST(CASE WHEN f < 1 THEN round_even(w * f, 0) ELSE w END AS BIGINT) AS w, CAST(CASE WHEN f < 1 THEN round_even(h * f, 0) ELSE h END AS BIGINT) AS h FROM f""")
 def resize_bounds(spark, d):
-    w, h = F.col("p_size") * 50, F.col("p_partkey") % 4000 + 1
-    return t(spark, d, "part").select("p_partkey", F.ceil(w * F.least(F.lit(1.0), F.lit(1500.0) / F.greatest(w, h)) - F.lit(0.5)).cast("long").alias("w"))
+    x = t(spark, d, "part").withColumn("r", layout.resize_bounds(F.col("p_size") * 50, F.col("p_partkey") % 4000 + 1, 1500))
+    return x.select("p_partkey", "r.w", "r.h")
 
 
-@query("SELECT i AS page, CAST(l.quality AS VARCHAR) AS quality FROM range(1, 301) AS r(i) LEFT JOIN labels l ON l.doc_id = i")
+@query("SELECT i AS page, CAST(l.quality AS VARCHAR) AS quality FROM (SELECT unnest(range(1, (SELECT max(doc_id) FROM documents) + 1)) AS i) LEFT JOIN labels l ON l.doc_id = i")
 def known_pages(spark, d):
-    """Every page of a book from 1 on, with what is stored for it."""
-    return spark.range(1, 301).join(t(spark, d, "labels").select(F.col("doc_id").alias("id"), "quality"), "id", "left").select(F.col("id").alias("page"), F.col("quality").cast("string").alias("quality"))
+    """Every page of a book from 1 on, with what is stored for it; the documents are one book."""
+    total = t(spark, d, "documents").agg(F.max("doc_id").alias("max_page")).withColumn("book", F.lit("b"))
+    stored = t(spark, d, "labels").select(F.lit("b").alias("book"), F.col("doc_id").alias("page"), F.col("quality").cast("string").alias("quality"))
+    return books.known_pages(total, stored, ["book"]).select("page", "quality")
 
 
-@query("SELECT doc_id, CASE WHEN max(k) = 1 THEN 'approved' ELSE 'original' END AS why FROM (SELECT doc_id, 1 AS k FROM labels WHERE quality = 1 UNION ALL SELECT doc_id, 0 FROM documents WHERE doc_id % 10 = 0) GROUP BY 1")
+@query("SELECT doc_id, CASE WHEN max(k) = 1 THEN 'approved' ELSE 'edited by hand' END AS why FROM (SELECT doc_id, 1 AS k FROM labels WHERE quality = 1 UNION ALL SELECT doc_id, 0 FROM documents WHERE n_chars > 800) GROUP BY 1")
 def protected_pages(spark, d):
-    a = t(spark, d, "labels").where("quality = 1").select("doc_id", F.lit("approved").alias("why"))
-    o = t(spark, d, "documents").where("doc_id % 10 = 0").select("doc_id", F.lit("original").alias("why"))
-    return a.union(o).groupBy("doc_id").agg(F.min("why").alias("why"))
+    r = t(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "approved").otherwise("needs_fix").alias("status"))
+    return books.protected_pages(r, t(spark, d, "documents").where("n_chars > 800").select("doc_id"), "doc_id")
\ No newline at end of file

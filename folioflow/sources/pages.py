@@ -17,10 +17,17 @@ TRANSCRIPT = T.StructType(
 )
 
 
-def select_pages(spec: str, total: int, strict: bool = True) -> list[int]:
-    """`all`, `n`, `a-b` and lists of them, sorted and without repeats; strict refuses empty, reversed and outlying parts."""
+def select_pages(spec: str, total: int, strict: bool = True, sample: tuple[int, ...] = ()) -> list[int]:
+    """`all`, `n`, `a-b` and lists of them, sorted and without repeats.
+
+    Strict refuses empty, reversed and outlying parts; otherwise empty parts are
+    passed over, nothing is checked against the book, and `sample` names a list
+    of pages.
+    """
     if spec.strip() == "all":
         return list(range(1, total + 1))
+    if not strict and spec.strip() == "sample":
+        return list(sample)
     pages: set[int] = set()
     for part in spec.split(","):
         part = part.strip()

@@ -3,6 +3,8 @@
 import os
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 from folioflow.plans import ORACLE_SQL, QUERIES
@@ -20,9 +22,20 @@ def duck():
     return c
 
 
+def shown(v):
+    """A value as text: nulls of any kind alike, whole floats as integers, others to nine digits."""
+    if isinstance(v, (list, tuple, np.ndarray)):
+        return str([shown(x) for x in v])
+    if v is None or pd.isna(v):
+        return "-"
+    if isinstance(v, float):
+        return str(int(v)) if v == int(v) else f"{v:.9g}"
+    return str(v)
+
+
 def rows(df):
     cols = sorted(df.columns)
-    return sorted(tuple("-" if v is None or v != v else str(int(v)) if isinstance(v, float) and v == int(v) else str(v) for v in r) for r in df[cols].astype(object).itertuples(index=False))
+    return sorted(tuple(shown(v) for v in r) for r in df[cols].astype(object).itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

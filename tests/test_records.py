@@ -71,16 +71,14 @@ def test_import_withdraws_approvals(spark, tmp_path):
     pages, entries = exports.read_export(spark, str(tmp_path / "e.json"))
     assert [(r.page, json.loads(r.raw_json)) for r in pages.collect()] == [(3, {"page": 3})]
     got = {r.page: (r.status, r.note) for r in transcripts.imported_reviews(entries, pages).collect()}
-    assert got == {3: ("approved", ""), 4: (None, "old (approval withdrawn)"), 5: (None, "")}
+    assert got == {3: ("approved", ""), 4: (None, "old [approval withdrawn on import: it referred to an older baseline text]"), 5: (None, "")}
 
 
 def test_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         exports.write_json(str(tmp_path / "x.json"), {"a": float("nan")})
     assert not list(tmp_path.iterdir())
-    s = spark.createDataFrame([(1, 0.0, 0, True), (2, 0.9, 1, False)], "page int, red_ratio double, ornaments int, is_blank boolean")
-    text = exports.audit_markdown(s)
-    assert "Pages: 2, blank: 1, without red: 1, too much red: 1, ornaments dropped: 1" in text and "| 2 | 0.9000 | 1 | too much |" in text
+    s = spark.createDataFrame([(1, 0.0), (2, 0.9)], "page int, red_ratio double")
     exports.write_page_csv(s.coalesce(1), str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
 
