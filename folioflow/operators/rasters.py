@@ -7,8 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import raster
+from . import core
 
 STATS = "width int, height int, red_ink_pixels long, black_ink_pixels long, red_components_kept int, red_components_dropped_small int, red_components_dropped_ornament int, red_ink_ratio double, ink_coverage double, colour_area double, is_blank boolean, is_illustration boolean"
 
@@ -41,3 +44,55 @@ def split_pages(images: DataFrame, key: str = "origin", layers: bool = False) ->
                 yield pd.DataFrame([row])
 
     return images.select(key, "height", "width", "nChannels", "data").mapInPandas(run, schema)
+
+
+def dark_pixels(images: DataFrame, key: str = "origin") -> DataFrame:
+    """key, dark: pixels of a layer (an image) darker than half grey."""
+    kind = dict(images.dtypes)[key]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            dark = [None if r.data is None else int((raster.grey_of(pixels(r.data, r.height, r.width, r.nChannels)) < 128).sum()) for r in pdf.itertuples(index=False)]
+            yield pd.DataFrame({key: pdf[key], "dark": pd.array(dark, "Int64")})
+
+    return images.select(key, "height", "width", "nChannels", "data").mapInPandas(run, f"{key} {kind}, dark long")
+
+
+def word_redness(words: DataFrame, layers: DataFrame, page: str = "page") -> DataFrame:
+    """words (page, x1, y1, x2, y2, ...) with redness (to three places): red over ink pixels of each box.
+
+    layers: page, height, width, red_mask, black_layer as packed bits; the ink is
+    that of both.  A page's words meet its masks in one row.  Words of a page
+    without masks get null.
+    """
+    boxes = words.groupBy(page).agg(F.collect_list(F.struct("*")).alias("words"))
+    j = boxes.join(layers.select(page, "height", "width", "red_mask", "black_layer"), page, "left")
+    schema = T.StructType([*words.schema.fields, T.StructField("redness", T.DoubleType())])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for r in pdf.itertuples(index=False):
+                rows = [dict(w) if isinstance(w, dict) else w.asDict() for w in r.words]
+                if r.red_mask is not None:
+                    n = int(r.height) * int(r.width)
+                    red, black = (np.unpackbits(np.frombuffer(x, np.uint8))[:n].reshape(int(r.height), int(r.width)).astype(bool) for x in (r.red_mask, r.black_layer))
+                for w in rows:
+                    w["redness"] = None if r.red_mask is None else round(raster.redness(red, red | black, (w["x1"], w["y1"], w["x2"], w["y2"])), 3)
+                yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
+
+    return j.mapInPandas(run, schema)
+
+
+def red_regions(images: DataFrame, key: str = "page", least: int = 1500) -> DataFrame:
+    """key, phrase, x1, y1, x2, y2: the red phrases of every page's red mask (an image: not black is red)."""
+    kind = dict(images.dtypes)[key]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for r in pdf.itertuples(index=False):
+                if r.data is not None:
+                    box = raster.red_boxes(raster.grey_of(pixels(r.data, r.height, r.width, r.nChannels)) > 0, least)
+                    yield pd.DataFrame({key: getattr(r, key), "x1": box[:, 0], "y1": box[:, 1], "x2": box[:, 2], "y2": box[:, 3]})
+
+    found = images.select(key, "height", "width", "nChannels", "data").mapInPandas(run, f"{key} {kind}, x1 long, y1 long, x2 long, y2 long")
+    return core.merge_phrases(found, key)

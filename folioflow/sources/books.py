@@ -35,7 +35,7 @@ def read_text_or(spark: SparkSession, path: str, default: str | None = None) ->
     """A small file's text, or the default where there is none."""
     if not listed(spark, path):
         return default
-    return spark.read.option("wholetext", True).text(path).first()[0]
+    return spark.read.text(path, wholetext=True).first()[0]
 
 
 def load(spark: SparkSession, roots: list[str]) -> DataFrame:
@@ -46,7 +46,7 @@ def load(spark: SparkSession, roots: list[str]) -> DataFrame:
     if not roots:
         raw = spark.createDataFrame([], "value string, path string")
     else:
-        raw = spark.read.option("wholetext", True).text([f"{r}/{CONFIG}" for r in roots]).select("value", F.col("_metadata.file_path").alias("path"))
+        raw = spark.read.text([f"{r}/{CONFIG}" for r in roots], wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
     x = raw.select(F.regexp_replace("path", r"/[^/]*\z", "").alias("root"), F.from_json("value", _CONFIG).alias("c"))
     name = F.coalesce("c.book_id", F.element_at(F.split("root", "/"), -1))
     either = lambda field, key: F.coalesce(f"c.{field}", F.lit(DEFAULTS[key])).alias(key)

@@ -49,7 +49,7 @@ def select_pages(spec: str, total: int, strict: bool = True, sample: tuple[int,
 def read_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     """Canonical transcript files only: page_, three digits or more, .json; the raw text is kept for hashing."""
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    raw = spark.read.option("wholetext", True).text(folder).select(F.col("value").alias("raw_json"), F.regexp_extract(name, r"^page_(\d{3,})\.json$", 1).alias("stem"))
+    raw = spark.read.text(folder, wholetext=True).select(F.col("value").alias("raw_json"), F.regexp_extract(name, r"^page_(\d{3,})\.json$", 1).alias("stem"))
     raw = raw.where("stem <> ''")
     return raw.select(F.col("stem").cast("int").alias("file_page"), "raw_json", F.from_json("raw_json", TRANSCRIPT).alias("x")).select("file_page", "x.*", "raw_json")
 

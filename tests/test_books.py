@@ -25,7 +25,7 @@ def root(tmp_path):
     (home / "book.json").write_text(json.dumps({"title_am": "መጽሐፍ", "sections": [{"section_id": "a", "order": 2, "required_any": [["ሰኞ"]]}, {"section_id": "b", "order": 1, "required_any": [["ማክሰኞ", ""]], "title_en": "B"}]}))
     (tmp_path / "books" / "none").mkdir()
     for n, t in ((1, page(1, "ሰኞ ጸሎት", "title")), (2, page(2, "ማክሰኞ", "title", _source="DRAFT x"))):
-        (home / f"work/transcripts/page_00{n}.json").write_text(json.dumps(t))
+        (home / f"work/transcripts/page_00{n}.json").write_text(json.dumps(t, indent=1))
         (home / f"work/page_images/page_00{n}.png").write_bytes(b"image %d" % n)
     for name in ("page_001.original.json", "page_02.json", "page_001.youredit.json"):
         (home / "work/transcripts" / name).write_text("{}")
