@@ -8,8 +8,10 @@ rules with a stack of the rules active at the present key; of those, the longest
 whose path the URL's path starts with decides.  Paths of one host nest the same
 way and are walked from the longest.
 
-Pages are never shuffled: they meet the rules where they lie.  Rules travel in
-blocks of RULE_BLOCK rules; with more blocks the best of each block is compared.
+Up to RULE_BLOCK rules are broadcast (a checked bound), and pages meet them where
+they lie.  A larger rule table is sorted together with the pages over all tasks by
+range, and each task sweeps its stretch once; the rules that are open where a
+stretch begins are carried into it.
 """
 
 from __future__ import annotations
@@ -21,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import partitions, stored
 from .kernels import released
 
-#: Rules broadcast at once.
+#: Rules that are broadcast.
 RULE_BLOCK = 500_000
 
 #: The rule set of the query: (verdict, host, path).
@@ -107,14 +110,68 @@ def _judge(side):
     return run
 
 
-def _blocks(rules: DataFrame):
-    held: list = []
-    for r in rules.select("verdict", F.lower("host").alias("host"), F.coalesce("path", F.lit("")).alias("path")).where("host IS NOT NULL").toLocalIterator():
-        held.append((r.verdict, r.host, r.path))
-        if len(held) == RULE_BLOCK:
-            yield held
-            held = []
-    yield held
+_SAID = "page_id long, host string, path string, rule string, rule_verdict string"
+
+
+class _Host:
+    """A host on the stack of a sweep, with its path rules."""
+
+    def __init__(self, key: str):
+        self.key, self.says, self.paths, self.up = key, {}, None, None
+
+    def add(self, path: str, verdict: str, rule: str) -> None:
+        if self.says.get(path, (None,))[0] != "block":
+            self.says[path] = (verdict, rule)
+        self.paths = None
+
+    def match(self, path: str):
+        if self.paths is None:
+            self.paths = sorted(self.says)
+            self.up = Rules._nested(self.paths)
+        i = bisect_right(self.paths, path) - 1
+        while i >= 0 and not path.startswith(self.paths[i]):
+            i = self.up[i]
+        return self.says[self.paths[i]] if i >= 0 else None
+
+
+def _sweep(batches):
+    """Rows of one stretch: the rules carried into it, then rules and pages by key; only the open hosts are held."""
+    schema = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("rule", pa.string()), ("rule_verdict", pa.string())])
+    stretch, stack = None, []
+    for batch in batches:
+        out = []
+        for part, kind, key, host, path, page, verdict in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if part != stretch:
+                stretch, stack = part, []
+            while stack and not key.startswith(stack[-1].key):
+                stack.pop()
+            if kind < 2:
+                if not stack or stack[-1].key != key:
+                    stack.append(_Host(key))
+                stack[-1].add(path, verdict, host + path)
+            else:
+                said = next((f for h in reversed(stack) if (f := h.match(path)) is not None), (None, None))
+                out.append((page, host, path, said[1], said[0]))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t.type) for i, t in enumerate(schema)], schema=schema)
+
+
+def _ranged(cut: DataFrame, rules: DataFrame) -> DataFrame:
+    """cut (page_id, host, path) with the deciding rule, by one sorted sweep over pages and rules."""
+    spark = cut.sparkSession
+    key = F.when(F.col("host") == "", "").otherwise(F.concat(F.array_join(F.reverse(F.split("host", r"\.")), "."), F.lit(".")))
+    none = F.lit(None)
+    r = rules.select(F.lit(1).alias("kind"), key.alias("key"), "host", "path", none.cast("long").alias("page_id"), "verdict")
+    u = cut.select(F.lit(2).alias("kind"), key.alias("key"), "host", "path", "page_id", none.cast("string").alias("verdict"))
+    # The hash splits pages of one URL; rules of a key come before its pages in any case.
+    line = r.union(u).repartitionByRange(partitions(spark), "key", "path", F.xxhash64("page_id"))
+    line = stored(line.withColumn("part", F.spark_partition_id()), "sweep")
+    first = line.groupBy("part").agg(F.min("key").alias("key"))
+    # Of a key's labels, all beginnings: at most 128 for each stretch.
+    n = F.size(F.split("key", r"\.")) - 1
+    open_ = first.select("part", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.array_join(F.slice(F.split("key", r"\."), F.lit(1), i), "."), F.lit(".")))).alias("key"))
+    carried = r.join(open_, "key").withColumn("kind", F.lit(0)).select("kind", "key", "host", "path", "page_id", "verdict", "part")
+    every = line.unionByName(carried).repartition(partitions(spark), "part").sortWithinPartitions("part", F.col("kind") > 0, "key", "kind")
+    return every.select("part", "kind", "key", "host", "path", "page_id", "verdict").mapInArrow(released(_sweep), _SAID)
 
 
 def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
@@ -134,21 +191,13 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
     host = F.translate(F.regexp_extract(rest, r"^[^/?#]*", 0), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
     cut = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    schema = "page_id long, host string, path string, rule string, rule_verdict string"
-    sides = [spark.sparkContext.broadcast(Rules(b)) for b in _blocks(rules)]
-    if len(sides) == 1:
-        out = cut.mapInArrow(released(_judge(sides[0])), schema)
+    known = rules.select("verdict", F.lower("host").alias("host"), F.coalesce("path", F.lit("")).alias("path")).where("host IS NOT NULL")
+    held = known.limit(RULE_BLOCK + 1).collect()
+    if len(held) <= RULE_BLOCK:
+        side = spark.sparkContext.broadcast(Rules([(r.verdict, r.host, r.path) for r in held]))
+        out = cut.mapInArrow(released(_judge(side)), _SAID)
     else:
-        from .common import stored
-
-        keyed = stored(cut.withColumn("row", F.monotonically_increasing_id()), "urls")
-        every = None
-        for side in sides:
-            one = keyed.select(F.col("row").alias("page_id"), "host", "path").mapInArrow(released(_judge(side)), schema)
-            every = one if every is None else every.union(one)
-        length = F.struct(F.size(F.split(F.regexp_extract("rule", "^[^/]*", 0), r"\.")), F.length("rule"), (F.col("rule_verdict") == "block"))
-        best = every.groupBy("page_id").agg(F.max_by(F.struct("rule", "rule_verdict"), F.when(F.col("rule").isNotNull(), length)).alias("best"))
-        out = keyed.join(best.withColumnRenamed("page_id", "row"), "row").select("page_id", "host", "path", "best.rule", "best.rule_verdict")
+        out = _ranged(cut, known)
     return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", F.lit(default)).alias("verdict"))
 
 
