@@ -32,28 +32,58 @@ def fold_edits(edits: DataFrame) -> DataFrame:
     return edits.groupBy("page").applyInPandasWithState(one, "page long, seq long, outcome string, archived string", "current string", "append", GroupStateTimeout.NoTimeout)
 
 
-def upsert_stream(stream: DataFrame, folder: str, key: str, order: str, checkpoint: str):
-    """Keeps the newest row per key under folder/v=<batch>; a repeated batch rewrites its own version.
+#: Parts of an upserted table, by hash of the key; a batch rewrites those it has rows of.
+BUCKETS, BUCKET = 64, "bucket__"
 
-    Returns the writer, to be started with a trigger.  A review table holds one
-    row per page, so each version is written whole; current() reads the last.
+
+def _versions(spark: SparkSession, folder: str) -> dict[int, list[int]]:
+    """The whole versions of each bucket, oldest first, from the folders v=<batch>/bucket__=<bucket>."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    root = path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out: dict[int, list[int]] = {}
+    if fs.exists(root):
+        for v in fs.listStatus(root):
+            if fs.exists(path(v.getPath(), "_SUCCESS")):
+                for b in fs.listStatus(v.getPath()):
+                    if b.getPath().getName().startswith(f"{BUCKET}="):
+                        out.setdefault(int(b.getPath().getName().partition("=")[2]), []).append(int(v.getPath().getName()[2:]))
+    return {b: sorted(v) for b, v in out.items()}
+
+
+def upsert_stream(stream: DataFrame, folder: str, key: str, order: str, checkpoint: str, buckets: int = BUCKETS):
+    """Keeps the newest row per key in buckets under folder/v=<batch>/bucket__=<bucket>; a repeated batch rewrites its own version.
+
+    Returns the writer, to be started with a trigger.  A batch reads and writes
+    the buckets it has rows of, in one job; of each bucket the version before is
+    kept for a repeat of the batch, older ones go.  current() reads the last.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch
-        if number:
-            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(f"{folder}/v={number - 1}"))
-        newest = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), order).alias("r")).select("r.*")
-        newest.write.mode("overwrite").parquet(f"{folder}/v={number}")
+        at = F.pmod(F.xxhash64(key), F.lit(buckets))
+        batch = batch.persist()
+        try:
+            touched = [r.b for r in batch.select(at.alias("b")).distinct().collect()]  # at most `buckets`
+            if not touched:
+                return
+            have = {b: [n for n in v if n < number] for b, v in _versions(spark, folder).items() if b in touched}
+            old = [f"{folder}/v={v[-1]}/{BUCKET}={b}" for b, v in have.items() if v]
+            rows = batch.unionByName(spark.read.schema(batch.schema).parquet(*old)) if old else batch
+            newest = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), order).alias("r")).select("r.*")
+            newest.withColumn(BUCKET, at).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{folder}/v={number}")
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+            fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            for b, v in have.items():
+                for n in v[:-1]:
+                    fs.delete(path(f"{folder}/v={n}/{BUCKET}={b}"), True)
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
 def current(spark: SparkSession, folder: str) -> DataFrame:
-    """The last whole version."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [int(s.getPath().getName()[2:]) for s in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return spark.read.parquet(f"{folder}/v={max(done)}")
+    """The last whole version of every bucket."""
+    return spark.read.parquet(*[f"{folder}/v={v[-1]}/{BUCKET}={b}" for b, v in _versions(spark, folder).items()])

@@ -100,8 +100,11 @@ def test_fold_stream(spark, tmp_path):
 
 def test_upsert_stream(spark, tmp_path):
     schema = "page long, seq long, status string"
-    for rows in ([(1, 1, "needs_fix"), (2, 1, "approved")], [(1, 2, "approved"), (1, 3, "needs_fix"), (3, 1, None)]):
+    for rows in ([(1, 1, "needs_fix"), (2, 1, "approved")], [(1, 2, "approved"), (1, 3, "needs_fix"), (3, 1, None)], [(1, 0, "approved"), (4, 1, "x")], [(4, 2, "y")]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         reviews.upsert_stream(stream, str(tmp_path / "t"), "page", "seq", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
-    assert {tuple(r) for r in reviews.current(spark, str(tmp_path / "t")).select(*["page", "seq", "status"]).collect()} == {(1, 3, "needs_fix"), (2, 1, "approved"), (3, 1, None)}
+    assert {tuple(r) for r in reviews.current(spark, str(tmp_path / "t")).select(*["page", "seq", "status"]).collect()} == {(1, 3, "needs_fix"), (2, 1, "approved"), (3, 1, None), (4, 2, "y")}
+    # A bucket without new rows is left alone; of the others the two last versions stay.
+    kept = reviews._versions(spark, str(tmp_path / "t"))
+    assert all(1 <= len(v) <= 2 for v in kept.values()) and sorted(v[0] for v in kept.values())[0] == 0
