@@ -21,6 +21,12 @@ def looks_like_title(x1: Column, x2: Column, width: Column, red: Column, words:
     return (off <= CENTRED) & ((x2 - x1) / width.cast("double") <= NARROW) & (red == words) & (words <= SHORT)
 
 
+def ornament(w: Column, h: Column, area: Column, page_w: Column, page_h: Column) -> Column:
+    """A part of red ink that is a rule or border, not a glyph: over 55 % of the page's width, over 10 % of its height, or lying long (12 : 1) and full (0.55)."""
+    long_ = (w >= 12 * F.greatest(F.lit(1), h)) & (area >= 0.55 * F.greatest(F.lit(1), w * h))
+    return (w > 0.55 * page_w) | (h > 0.10 * page_h) | long_
+
+
 def line_table(words: DataFrame, pages: DataFrame, page: str = "page") -> DataFrame:
     """page, line, x1, y1, x2, y2, words, red_words, all_red, looks_like_title of words (page, line, box, is_red); pages: page, width."""
     g = words.groupBy(page, "line").agg(F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"), F.count("*").alias("words"), F.count_if("is_red").alias("red_words"))

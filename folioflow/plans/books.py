@@ -302,3 +302,41 @@ SELECT doc_id, CAST(count(*) FILTER (NOT b) AS BIGINT) AS lines FROM l GROUP BY
 def text_lines(spark, d):
     """Lines with text of every page."""
     return t(spark, d, "documents").select("doc_id", tx.nonempty_lines(F.col("text")).cast("long").alias("lines"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, w > 0.55 * 2000 OR h > 0.10 * 3000 OR (w >= 12 * greatest(h, 1) AND a >= 0.55 * greatest(w * h, 1)) AS ornament FROM (SELECT *, l_partkey * 7 AS w, l_suppkey * 3 % 400 AS h, CAST(l_partkey * 7 * (l_suppkey * 3 % 400) * l_quantity / 50 AS BIGINT) AS a FROM lineitem)")
+def ornament_components(spark, d):
+    """Parts of ink on a page of 2000 x 3000."""
+    x = t(spark, d, "lineitem").withColumn("w", F.col("l_partkey") * 7).withColumn("h", F.col("l_suppkey") * 3 % 400)
+    x = x.withColumn("a", F.round(F.col("w") * F.col("h") * F.col("l_quantity") / 50).cast("long"))
+    return x.select("l_orderkey", "l_linenumber", "l_partkey", layout.ornament(F.col("w"), F.col("h"), F.col("a"), F.lit(2000), F.lit(3000)).alias("ornament"))
+
+
+@query("SELECT s_suppkey, round(r::DOUBLE / nullif(r + b, 0), 9) AS mask_red FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 5 > 0 THEN s_suppkey % 7 END AS r, CASE WHEN s_suppkey % 3 > 0 THEN s_suppkey % 2 * 9 END AS b FROM supplier)")
+def red_ink_share(spark, d):
+    """Red and black dark pixels of pages; a layer may be missing, and both may be white."""
+    k = F.col("s_suppkey")
+    x = t(spark, d, "supplier").select("s_suppkey", F.when(k % 5 > 0, k % 7).alias("red_px"), F.when(k % 3 > 0, k % 2 * 9).alias("black_px"))
+    return reports.red_ink_share(x, ["s_suppkey"]).withColumn("mask_red", F.round("mask_red", 9))
+
+
+_CUT = r"""WITH p AS (SELECT lang AS book, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS page, text FROM documents),
+s(ord, a, al, z, zl) AS (VALUES (1, 2, 1, 4, 2), (2, 4, 2, 9, NULL), (3, 12, 0, 11, NULL)),
+v AS (SELECT book, ord, page, CASE WHEN page = a THEN al ELSE 0 END AS f, CASE WHEN page = z AND zl IS NOT NULL THEN zl ELSE 1000000 END AS g, CASE WHEN text = '' THEN [] ELSE """ + _LINES + r""" END AS v FROM p JOIN s ON page BETWEEN a AND z),
+l AS (SELECT book, ord, page, i, rtrim(x, {ws}) AS x, trim(x, {ws}) = '' AS b FROM (SELECT book, ord, page, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS i, f, g FROM v) WHERE i >= f AND i < g),
+n AS (SELECT *, sum(CASE WHEN NOT b AND coalesce(pb, true) THEN 1 ELSE 0 END) OVER (PARTITION BY book, ord, page ORDER BY i) AS k FROM (SELECT *, lag(b) OVER (PARTITION BY book, ord, page ORDER BY i) AS pb FROM l)),
+q AS (SELECT book, ord, page, k, string_agg(x, chr(10) ORDER BY i) AS text, count(*) AS n, arg_min(trim(x, {ws}), i) AS first FROM n WHERE NOT b GROUP BY 1, 2, 3, 4)
+"""
+
+
+@query(_CUT.replace("{ws}", _strip("").split(", ", 1)[1][:-1]) + """SELECT book, ord, page, 's' || ord || '_' || CASE WHEN r < 1000 THEN lpad(CAST(r AS VARCHAR), 3, '0') ELSE CAST(r AS VARCHAR) END AS block_id, sha256(text) AS body,
+  CASE WHEN n <= 2 AND contains(first, 'The') THEN 'heading' WHEN contains(text, 'und') THEN 'scripture_reference' WHEN contains(text, 'les') THEN 'instruction' WHEN n <= 4 THEN 'stanza' ELSE 'hymn' END AS kind FROM (SELECT *, row_number() OVER (PARTITION BY book, ord ORDER BY page, k) AS r FROM q)""")
+def archived_blocks(spark, d):
+    """Languages as books: the paragraphs of three sections, two of which share a page; titles that normalise to nothing score nothing."""
+    w = Window.partitionBy("lang").orderBy("doc_id")
+    p = t(spark, d, "documents").select(F.col("lang").alias("book"), F.row_number().over(w).alias("page"), "text", F.lit(1.0).alias("confidence"), F.array(F.lit("n")).alias("notes"))
+    ids = p.select("book").distinct()
+    s = spark.createDataFrame([(1, "s1", 2, 1, 4, 2), (2, "s2", 4, 2, 9, None), (3, "s3", 12, 0, 11, None)], "ord int, section_id string, start_page int, start_line int, end_page int, end_line int")
+    rules = ids.join(spark.createDataFrame([(f"s{i}", "week", "1", "", []) for i in (1, 2, 3)], "section_id string, category string, title_am string, title_en string, keywords array<string>"), F.lit(True)).withColumn("required_any", F.lit(None).cast("array<array<string>>"))
+    b = archive.section_blocks(ids.join(s, F.lit(True)), p, rules, ["book"], _SCRIPT)
+    return b.select("book", "ord", L("page").alias("page"), "block_id", F.sha2("text", 256).alias("body"), F.col("block_type").alias("kind"))

@@ -10,9 +10,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import drafts, revisions, validate
-from ..sources import exports
-from ..sources.pages import page_map
+from ..operators import drafts, revisions, transcripts, validate
+from ..sources import books, exports
+from ..sources.pages import canonical_page, page_map
 from .catalogue import L, query, t
 
 # ---- revisions ----------------------------------------------------------------
@@ -295,3 +295,97 @@ def combined_text(spark, d):
     """All conversations as one text with banners."""
     texts = exports.page_texts(t(spark, d, "conversations"), "conv_id", "turn").withColumnRenamed("conv_id", "page")
     return exports.combined_text(texts).select(F.sha2("body", 256).alias("body"))
+
+
+# ---- what is stored -------------------------------------------------------------------
+
+
+@query("""WITH n AS (SELECT doc_id, CASE lang WHEN 'en' THEN 'page_' || CASE WHEN doc_id < 1000 THEN lpad(CAST(doc_id AS VARCHAR), 3, '0') ELSE CAST(doc_id AS VARCHAR) END || '.json' WHEN 'de' THEN 'page_' || doc_id || '.json' WHEN 'fr' THEN 'page_' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') || '.original.json' ELSE 'xpage_' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') || '.json' END AS name FROM documents)
+SELECT doc_id, CAST(nullif(regexp_extract(name, '^page_([0-9]{3,})[.]json$', 1), '') AS INTEGER) AS page FROM n WHERE regexp_matches(name, '^page_[0-9]{3,}[.]json$')""")
+def canonical_transcripts(spark, d):
+    """Documents as files: only canonical names are transcripts."""
+    i, bare = F.format_string("%03d", F.col("doc_id")), F.col("doc_id").cast("string")
+    short = F.format_string("%03d", F.col("doc_id") % 1000)
+    name = F.when(F.col("lang") == "en", F.concat(F.lit("page_"), i, F.lit(".json"))).when(F.col("lang") == "de", F.concat(F.lit("page_"), bare, F.lit(".json"))).when(F.col("lang") == "fr", F.concat(F.lit("page_"), short, F.lit(".original.json"))).otherwise(F.concat(F.lit("xpage_"), short, F.lit(".json")))
+    return t(spark, d, "documents").select("doc_id", canonical_page(name).alias("page")).where("page IS NOT NULL")
+
+
+def _by_source(spark, d, entry, key):
+    """JSON objects of the documents of each source, keyed by `key`."""
+    e = F.concat(F.lit('"'), key, F.lit('":'), entry)
+    return t(spark, d, "documents").groupBy("source").agg(F.concat(F.lit("{"), F.array_join(F.collect_list(e), ","), F.lit("}")).alias("j"))
+
+
+@query("SELECT CAST(doc_id AS INTEGER) AS page, n_chars < 50 AS is_blank, CASE WHEN lang = 'de' THEN NULL ELSE false END AS is_illustration, n_chars::DOUBLE / 4 AS red_ink_ratio FROM documents")
+def stored_stats(spark, d):
+    """Page statistics in JSON, a file per source; a field that a page lacks is null."""
+    entry = F.concat(F.lit('{"is_blank":'), F.when(F.col("n_chars") < 50, "true").otherwise("false"), F.when(F.col("lang") == "de", "").otherwise(',"is_illustration":false'), F.lit(',"red_ink_ratio":'), (F.col("n_chars") / 4.0).cast("string"), F.lit("}"))
+    return books.stats_of(_by_source(spark, d, entry, F.col("doc_id").cast("string")), "j").select("page", "is_blank", "is_illustration", "red_ink_ratio")
+
+
+@query("SELECT CAST(doc_id AS INTEGER) AS page, CASE WHEN quality = 0 THEN 'a|b' ELSE '' END AS flags, CASE WHEN toxic = 0 THEN 't' || doc_id END AS transcript_sha256 FROM labels")
+def stored_flags(spark, d):
+    one = F.concat(F.lit('{"page":'), F.col("doc_id").cast("string"), F.lit(',"review_flags":'), F.when(F.col("quality") == 0, '["a","b"]').otherwise("[]"), F.when(F.col("toxic") == 0, F.concat(F.lit(',"transcript_sha256":"t'), F.col("doc_id").cast("string"), F.lit('"'))).otherwise(""), F.lit("}"))
+    j = t(spark, d, "labels").groupBy((F.col("doc_id") % 7).alias("b")).agg(F.concat(F.lit('{"pages_checked":1,"reports":['), F.array_join(F.collect_list(one), ","), F.lit("]}")).alias("j"))
+    return books.flags_of(j, "j").select("page", F.array_join("review_flags", "|").alias("flags"), "transcript_sha256")
+
+
+@query("SELECT CAST(doc_id AS INTEGER) AS page, CASE WHEN lang = 'en' THEN 'approved' WHEN lang = 'de' THEN 'needs_fix' END AS status, source AS note FROM documents")
+def stored_reviews(spark, d):
+    status = F.when(F.col("lang") == "en", '"approved"').when(F.col("lang") == "de", '"needs_fix"').otherwise("null")
+    entry = F.concat(F.lit('{"status":'), status, F.lit(',"note":"'), "source", F.lit('","other":[1]}'))
+    j = _by_source(spark, d, entry, F.col("doc_id").cast("string")).withColumn("j", F.concat(F.lit('{"entries":'), "j", F.lit("}")))
+    return books.reviews_of(j, "j").select("page", "status", "note")
+
+
+@query("SELECT 'text' AS part, CAST(doc_id AS INTEGER) AS page, lang AS said FROM documents UNION ALL SELECT 'entry', CAST(doc_id AS INTEGER), source FROM documents")
+def hosted_export(spark, d):
+    """Exports in JSON: texts by page name, decisions by page number."""
+    name = tx.page_stem(F.col("doc_id"))
+    texts = _by_source(spark, d, F.concat(F.lit('{"lang":"'), "lang", F.lit('"}')), name).withColumnRenamed("j", "a")
+    entries = _by_source(spark, d, F.concat(F.lit('{"status":null,"note":"'), "source", F.lit('"}')), F.col("doc_id").cast("string")).withColumnRenamed("j", "b")
+    j = texts.join(entries, "source").select(F.concat(F.lit('{"transcripts":'), "a", F.lit(',"review":{"entries":'), "b", F.lit("}}")).alias("j"))
+    pages, e = exports.export_of(j, "j")
+    return pages.select(F.lit("text").alias("part"), "page", F.get_json_object("raw_json", "$.lang").alias("said")).unionByName(e.select(F.lit("entry").alias("part"), "page", F.col("note").alias("said")))
+
+
+@query("""WITH o AS (SELECT doc_id AS page, n_chars AS v FROM documents WHERE lang <> 'de'), n AS (SELECT doc_id AS page, quality AS v FROM labels), m AS (SELECT coalesce(n.page, o.page) AS page, CASE WHEN n.page IS NOT NULL THEN n.v ELSE o.v END AS v FROM o FULL JOIN n ON n.page = o.page) SELECT sha256(string_agg(page || '=' || v, ',' ORDER BY page)) AS stats, count(*) AS pages FROM m""")
+def stats_merge(spark, d):
+    """The statistics after a run over the labelled pages, as one map in page order."""
+    old = t(spark, d, "documents").where("lang <> 'de'").select(F.col("doc_id").alias("page"), F.col("n_chars").cast("long").alias("v"))
+    new = t(spark, d, "labels").select(F.col("doc_id").alias("page"), F.col("quality").cast("long").alias("v"))
+    s = exports.stats_document(old, new)
+    each = F.array_join(F.transform(F.map_entries("stats"), lambda e: F.concat(e["key"], F.lit("="), e["value"]["v"].cast("string"))), ",")
+    return s.select(F.sha2(each, 256).alias("stats"), F.size("stats").cast("long").alias("pages"))
+
+
+@query("""SELECT 'page_' || CASE WHEN conv_id < 1000 THEN lpad(CAST(conv_id AS VARCHAR), 3, '0') ELSE CAST(conv_id AS VARCHAR) END || '.json' AS name, sha256('{"page":' || conv_id || ',"lines":[' || string_agg('{"order":' || turn || ',"role":"' || role || '","note":null}', ',' ORDER BY turn) || ']}' || chr(10)) AS body FROM conversations GROUP BY conv_id""")
+def layout_documents(spark, d):
+    """A JSON document per page, nulls kept."""
+    line = F.struct(F.col("turn").alias("order"), "role", F.lit(None).cast("string").alias("note"))
+    p = t(spark, d, "conversations").groupBy(F.col("conv_id").alias("page")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    return exports.page_documents(p).select("name", F.sha2("body", 256).alias("body"))
+
+
+@query("""SELECT doc_id, 'page_' || CASE WHEN doc_id < 1000 THEN lpad(CAST(doc_id AS VARCHAR), 3, '0') ELSE CAST(doc_id AS VARCHAR) END || '.' || substr(sha256(text), 1, 16) || CASE WHEN lang = 'de' THEN '.error.json' ELSE '.json' END AS name, CASE WHEN lang = 'de' THEN 'failed' ELSE 'draft' END AS status FROM documents""")
+def candidate_records(spark, d):
+    """What a run leaves of each page: a candidate, or an error beside it."""
+    r = t(spark, d, "documents").select(F.col("doc_id").alias("page"), F.sha2("text", 256).alias("cache_key"), F.lit("{}").alias("raw_response"), F.concat(F.lit("["), F.col("doc_id").cast("string"), F.lit("]")).alias("layout"), F.lit("{}").alias("transcript"), F.when(F.col("lang") == "de", F.concat(F.lit("e"), F.col("doc_id").cast("string"))).alias("error"))
+    c = exports.candidate_documents(r, "{}")
+    own = F.coalesce(F.get_json_object("body", "$.page"), F.regexp_extract(F.get_json_object("body", "$.layout"), r"(\d+)", 1)).cast("long")
+    return c.select(own.alias("doc_id"), "name", F.get_json_object("body", "$.status").alias("status"))
+
+
+@query(f"""WITH r AS ({_REV}) SELECT r.page, sha256(d.text) AS body, transcript_sha256 AS revision, evidence_sha256 AS evidence_revision FROM r JOIN documents d ON d.doc_id = r.page WHERE d.lang <> 'de'""")
+def loaded_transcripts(spark, d):
+    """Saved texts with the revision that a save of them has to name."""
+    saved = t(spark, d, "documents").where("lang <> 'de'").select(F.col("doc_id").alias("page"), F.sha2("text", 256).alias("body"))
+    return revisions.loaded(saved, _present(spark, d))
+
+
+@query("""WITH c AS (SELECT user_id, event_id, event_type, CASE event_id % 3 WHEN 0 THEN true WHEN 1 THEN false END AS applied, CASE event_id % 4 WHEN 0 THEN true WHEN 1 THEN false END AS dismissed FROM events) SELECT user_id, count(*) AS corrections, CAST(count(*) FILTER (NOT coalesce(applied, false) AND NOT coalesce(dismissed, false)) AS BIGINT) AS undecided FROM c GROUP BY 1""")
+def undecided_corrections(spark, d):
+    mark = lambda n: F.when(F.col("event_id") % n == 0, True).when(F.col("event_id") % n == 1, False)
+    c = F.struct(F.col("event_type").alias("printed"), mark(3).alias("applied"), mark(4).alias("dismissed"))
+    g = t(spark, d, "events").groupBy("user_id").agg(F.collect_list(c).alias("c"))
+    return g.select("user_id", L(F.size("c")).alias("corrections"), L(F.size(transcripts.undecided(F.col("c")))).alias("undecided"))

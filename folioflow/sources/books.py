@@ -94,31 +94,56 @@ def strict(df: DataFrame) -> DataFrame:
     return df.where(checked).drop("reason")
 
 
-def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    raw = spark.createDataFrame([(read_text_or(spark, path, "{}"),)], "value string")
-    return raw.select(F.from_json("value", schema).alias("x"))
+_MEASURES = "width int, height int, red_ink_pixels long, black_ink_pixels long, red_components_kept int, red_components_dropped_small int, red_components_dropped_ornament int, red_ink_ratio double, ink_coverage double, colour_area double, is_blank boolean, is_illustration boolean"
 
 
-def page_stats(spark: SparkSession, path: str) -> DataFrame:
-    """page and its measures; no file, no rows."""
-    measures = "width int, height int, red_ink_pixels long, black_ink_pixels long, red_components_kept int, red_components_dropped_small int, red_components_dropped_ornament int, red_ink_ratio double, ink_coverage double, colour_area double, is_blank boolean, is_illustration boolean"
-    raw = spark.createDataFrame([(read_text_or(spark, path, "{}"),)], "value string")
-    s = raw.select(F.explode(F.from_json("value", f"map<string, struct<{', '.join(f'{m.split()[0]}:{m.split()[1]}' for m in measures.split(', '))}>>")).alias("k", "s"))
+def stats_of(raw: DataFrame, column: str = "value") -> DataFrame:
+    """page and its measures of page-keyed JSON maps."""
+    fields = ", ".join(":".join(m.split()) for m in _MEASURES.split(", "))
+    s = raw.select(F.explode(F.from_json(column, f"map<string, struct<{fields}>>")).alias("k", "s"))
     return s.select(F.col("k").cast("int").alias("page"), "s.*")
 
 
-def flags(spark: SparkSession, path: str) -> DataFrame:
-    """page, review_flags, transcript_sha256, evidence_sha256 of the stored report; no file, no rows."""
-    x = _json(spark, path, "reports array<struct<page:int,review_flags:array<string>,transcript_sha256:string,evidence_sha256:string>>")
+def flags_of(raw: DataFrame, column: str = "value") -> DataFrame:
+    """page, review_flags, transcript_sha256, evidence_sha256 of reports in JSON."""
+    x = raw.select(F.from_json(column, "reports array<struct<page:int,review_flags:array<string>,transcript_sha256:string,evidence_sha256:string>>").alias("x"))
     return x.select(F.explode("x.reports").alias("r")).select("r.*")
 
 
-def reviews(spark: SparkSession, path: str) -> DataFrame:
-    """page, status, note, hashes and stamps of the stored review; no file, no rows."""
-    x = _json(spark, path, "entries map<string,struct<status:string,note:string,transcript_sha256:string,evidence_sha256:string,reviewed_at:string,invalidated_at:string>>")
+def reviews_of(raw: DataFrame, column: str = "value") -> DataFrame:
+    """page, status, note, hashes and stamps of reviews in JSON, whose entries are keyed by page."""
+    x = raw.select(F.from_json(column, "entries map<string,struct<status:string,note:string,transcript_sha256:string,evidence_sha256:string,reviewed_at:string,invalidated_at:string>>").alias("x"))
     return x.select(F.explode("x.entries").alias("k", "e")).select(F.col("k").cast("int").alias("page"), "e.*")
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.createDataFrame([(read_text_or(spark, path, "{}"),)], "value string")
+
+
+def page_stats(spark: SparkSession, path: str) -> DataFrame:
+    """stats_of a file; no file, no rows."""
+    return stats_of(_stored(spark, path))
+
+
+def flags(spark: SparkSession, path: str) -> DataFrame:
+    """flags_of a file; no file, no rows."""
+    return flags_of(_stored(spark, path))
+
+
+def reviews(spark: SparkSession, path: str) -> DataFrame:
+    """reviews_of a file; no file, no rows."""
+    return reviews_of(_stored(spark, path))
+
+
+def read_page_map(spark: SparkSession, path: str) -> DataFrame:
+    """An earlier page map (CSV with a header): page as a number, all else as text; no file, no rows."""
+    names = ("section_id", "ocr_source", "ocr_language", "psm", "confidence", "variants_tried", "notes")
+    if not listed(spark, path):
+        return spark.createDataFrame([], "page int, " + ", ".join(f"{n} string" for n in names))
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return raw.select(F.col("page").cast("int").alias("page"), *[F.col(n) if n in raw.columns else F.lit(None).cast("string").alias(n) for n in names])
+
+
 def file_table(spark: SparkSession, pattern: str) -> DataFrame:
     """path, name, page (null without a page name), modified, size of the files that match; contents are not read."""
     found = listed(spark, pattern)

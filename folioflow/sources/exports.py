@@ -160,10 +160,14 @@ def stats_document(old: DataFrame, new: DataFrame, page: str = "page") -> DataFr
     return merged.agg(F.map_from_entries(F.transform(rows, lambda x: F.struct(x["k"].cast("string"), x["v"]))).alias("stats"))
 
 
-def read_export(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(transcripts: page, raw_json; review entries: page, status, note) of a hosted export."""
-    raw = spark.read.text(path, wholetext=True)
-    x = raw.select(F.from_json("value", "transcripts map<string,string>, review struct<entries:map<string,struct<status:string,note:string>>>").alias("x"))
+def export_of(raw: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(transcripts: page, raw_json; review entries: page, status, note) of hosted exports in JSON."""
+    x = raw.select(F.from_json(column, "transcripts map<string,string>, review struct<entries:map<string,struct<status:string,note:string>>>").alias("x"))
     pages = x.select(F.explode("x.transcripts").alias("k", "raw_json")).select(F.regexp_extract("k", r"(\d+)$", 1).cast("int").alias("page"), "raw_json")
     entries = x.select(F.explode("x.review.entries").alias("k", "v")).select(F.col("k").cast("int").alias("page"), "v.*")
     return pages, entries
+
+
+def read_export(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """export_of a file."""
+    return export_of(spark.read.text(path, wholetext=True))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,12 +46,17 @@ def select_pages(spec: str, total: int, strict: bool = True, sample: tuple[int,
     return sorted(pages)
 
 
+def canonical_page(name: Column) -> Column:
+    """The page of a canonical transcript file: page_, three digits or more, .json; null for sidecars and anything else."""
+    return F.nullif(F.regexp_extract(name, r"^page_(\d{3,})\.json\z", 1), F.lit("")).cast("int")
+
+
 def read_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     """Canonical transcript files only: page_, three digits or more, .json; the raw text is kept for hashing."""
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    raw = spark.read.text(folder, wholetext=True).select(F.col("value").alias("raw_json"), F.regexp_extract(name, r"^page_(\d{3,})\.json$", 1).alias("stem"))
-    raw = raw.where("stem <> ''")
-    return raw.select(F.col("stem").cast("int").alias("file_page"), "raw_json", F.from_json("raw_json", TRANSCRIPT).alias("x")).select("file_page", "x.*", "raw_json")
+    raw = spark.read.text(folder, wholetext=True).select(F.col("value").alias("raw_json"), canonical_page(name).alias("file_page"))
+    raw = raw.where("file_page IS NOT NULL")
+    return raw.select("file_page", "raw_json", F.from_json("raw_json", TRANSCRIPT).alias("x")).select("file_page", "x.*", "raw_json")
 
 
 def page_map(df: DataFrame, column: str) -> DataFrame:

@@ -120,7 +120,12 @@ def test_cleaner_and_score(spark):
     assert r[1].c.text == "" and r[1].s == -10.0
 
 
-def test_stored_texts(spark):
+def test_stored_texts(spark, tmp_path):
+    from folioflow.sources.books import read_page_map
+
+    (tmp_path / "m.csv").write_text('page,section_id,confidence,notes\n3,a|b,,"x, ""y"""\n')
+    assert [tuple(r) for r in read_page_map(spark, str(tmp_path / "m.csv")).select("page", "section_id", "psm", "confidence", "notes").collect()] == [(3, "a|b", None, None, 'x, "y"')]
+    assert read_page_map(spark, str(tmp_path / "none.csv")).count() == 0
     t = spark.createDataFrame([("b", 1, "ሰላም " * 10), ("b", 2, "x")], "book string, page int, raw_text string")
     p = spark.createDataFrame([("b", 1, "processed", "amh", "6", "59.5", "bad", " one | | two ")], "book string, page int, ocr_source string, ocr_language string, psm string, confidence string, variants_tried string, notes string")
     got = {r.page: r for r in archive.stored_results(t, p, ["book", "page"]).collect()}
