@@ -10,10 +10,14 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+#: Bytes of a batch that goes to Python, unless the session sets them: with rows alone as a bound, long texts make batches of any size.
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Sends this package to the executors once per application, so that their Python finds it."""
+    """Sends this package to the executors once per application, so that their Python finds it, and bounds what a batch for Python weighs."""
+    if not spark._jsparkSession.sessionState().conf().contains(BATCH_KEY):
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         root = Path(__file__).resolve().parent
