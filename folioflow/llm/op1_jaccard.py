@@ -31,8 +31,8 @@ from .kernels import SPACED, U64, chunks, doc_of, grams, mix64, released, texts_
 FRAGMENTS = 4
 #: Finer fragments whose counts bound a pair's overlap before it is counted.
 PROFILE = 128
-#: Text bytes whose shingles travel as one block.
-BLOCK_BYTES = 16 << 20
+#: Text bytes whose shingles travel as one block; a task holds about ten times as much.
+BLOCK_BYTES = 8 << 20
 #: Bits of the broadcast bitmap that goes before the join of sets (2 MB); when it fills up, more sets reach the join.
 SIEVE_BITS = 1 << 24
 
@@ -94,12 +94,14 @@ def _blocks(k: int, parts: int):
     def emit(ids, sizes, values):
         a, b = _prints(values, sizes)
         block = int(mix64(np.array([ids[0], len(ids), a[0], a.sum(), ids[-1]], np.int64).view(U64)).sum() >> U64(1))
-        owner = np.repeat(np.arange(len(ids)), sizes)
+        owner = np.repeat(np.arange(len(ids), dtype=np.uint32), sizes)
         scaled = (values >> U64(32)) * U64(parts)
         part = (scaled >> U64(32)).astype(np.int32)
         low = ((scaled & U64(0xFFFFFFFF)) ^ (values & U64(0xFFFFFFFF))).astype(np.uint32)
+        del scaled
         order = np.argsort(part, kind="stable")
         cut = np.searchsorted(part[order], np.arange(parts + 1))
+        del part
         rows = [(block % parts, block, ids.tobytes(), sizes.astype(np.int64).tobytes(), a.tobytes(), b.tobytes(), None, None)]
         for p in range(parts):
             if cut[p] < cut[p + 1]:
@@ -126,37 +128,110 @@ def _blocks(k: int, parts: int):
     return run
 
 
+#: A hash range is counted in finer ranges, one after the other, so a task holds one of them; postings that are dealt at a time.
+FINER, DEALT = 64, 1 << 22
+_FINE = "fine int, " + _BLOCK
+_FINE_ARROW = pa.schema([("fine", pa.int32()), *_BLOCK_ARROW])
+
+
+#: Marks a posting whose document has been counted; it stands for its shingle among later ones.
+COUNTED = U64(1 << 63)
+
+
+def _repeats(low: np.ndarray) -> np.ndarray:
+    """Which of sorted values occur more than once."""
+    more = np.zeros(len(low), bool)
+    same = low[1:] == low[:-1]
+    more[1:] |= same
+    more[:-1] |= same
+    return more
+
+
+def _counts(names: np.ndarray, who: np.ndarray) -> list[dict]:
+    """Postings per document, a row for each block; who: place in names, document."""
+    who, how = np.unique(who, return_counts=True)
+    cut = np.searchsorted((who >> U64(32)).astype(np.int64), np.arange(len(names) + 1))
+    rows = [(int(b), slice(x, y)) for b, x, y in zip(names, cut[:-1], cut[1:], strict=True) if x < y]
+    return [{"part": 0, "block": b, "ids": (who[m] & U64(0xFFFFFFFF)).astype(np.uint32).tobytes(), "counts": how[m].astype(np.uint32).tobytes(), "postings": b""} for b, m in rows]
+
+
+def _finer(dealt: int):
+    """Deals the postings of a range to finer ranges: rows with the blocks met (ids), the postings and whose they are (counts).
+
+    Documents pass as they are.  Postings that repeat among those dealt together
+    are counted here, and one of them goes on for all: a shingle that very many
+    documents have is one posting in `dealt`.
+    """
+
+    def run(batches):
+        block, who, low, held = [], [], [], 0
+
+        def deal():
+            w, h = np.concatenate(who), np.concatenate(low)
+            order = np.argsort(h, kind="stable")
+            w, h = w[order], h[order]
+            more = _repeats(h)
+            found = _counts(np.array(block, np.int64), w[more])
+            first = np.ones(len(h), bool)
+            first[1:] = h[1:] != h[:-1]
+            w = np.where(more, w | COUNTED, w)[first]
+            h = h[first]
+            # Sorted postings lie by finer range already.
+            cut = np.searchsorted((h >> np.uint32(32 - FINER.bit_length() + 1)).astype(np.int64), np.arange(FINER + 1))
+            ids = np.array(block, np.int64).tobytes()
+            rows = [{"fine": f, "part": 0, "block": 0, "ids": ids, "postings": h[x:y].tobytes(), "counts": w[x:y].tobytes()} for f, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if x < y]
+            return pa.RecordBatch.from_pylist([{"fine": -1} | r for r in found] + rows, schema=_FINE_ARROW)
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["postings"] is None:
+                    yield pa.RecordBatch.from_pylist([r | {"fine": -1}], schema=_FINE_ARROW)
+                    continue
+                owner = np.repeat(np.frombuffer(r["ids"], np.uint32), np.frombuffer(r["counts"], np.uint32))
+                who.append(owner.astype(U64) | U64(len(block) << 32))
+                low.append(np.frombuffer(r["postings"], np.uint32))
+                block.append(r["block"])
+                held += len(owner)
+                if held >= dealt:
+                    yield deal()
+                    block, who, low, held = [], [], [], 0
+        if held:
+            yield deal()
+
+    return run
+
+
+def _counted(block: list, who: list, low: list):
+    """Of one finer range: which postings other documents have too, counted per document."""
+    names, at = np.unique(np.concatenate(block), return_inverse=True)
+    begin = np.cumsum([0, *map(len, block)])
+    # Blocks are known by their place among all of this range.
+    place = lambda k, w: at[begin[k] + ((w & ~COUNTED) >> U64(32)).astype(np.int64)].astype(U64)
+    who = np.concatenate([(place(k, w) << U64(32)) | (w & U64(0xFFFFFFFF)) | (w & COUNTED) for k, w in enumerate(who)])
+    low = np.concatenate(low)
+    order = np.argsort(low, kind="stable")
+    who = who[order[_repeats(low[order])]]
+    return pa.RecordBatch.from_pylist(_counts(names, who[who < COUNTED]), schema=_BLOCK_ARROW)
+
+
 def _shared(batches):
-    """In one hash range: which postings other documents have too, counted per document."""
-    docs, block, who, low = [], [], [], []
+    """Rows come sorted by finer range; one of them is held at a time."""
+    now, block, who, low = -1, [], [], []
     for batch in batches:
         for r in batch.to_pylist():
-            if r["postings"] is None:
-                docs.append(r)
+            fine = r.pop("fine")
+            if fine < 0:
+                yield pa.RecordBatch.from_pylist([r], schema=_BLOCK_ARROW)
                 continue
-            i = len(block)
-            block.append(r["block"])
-            owner = np.repeat(np.frombuffer(r["ids"], np.uint32), np.frombuffer(r["counts"], np.uint32))
-            who.append((owner.astype(U64)) | U64(i << 32))
+            if fine != now and low:
+                yield _counted(block, who, low)
+                block, who, low = [], [], []
+            now = fine
+            block.append(np.frombuffer(r["ids"], np.int64))
+            who.append(np.frombuffer(r["counts"], U64))
             low.append(np.frombuffer(r["postings"], np.uint32))
-    for r in docs:
-        yield pa.RecordBatch.from_pylist([r], schema=_BLOCK_ARROW)
-    if not low:
-        return
-    who, low = np.concatenate(who), np.concatenate(low)
-    order = np.argsort(low, kind="stable")
-    s = low[order]
-    same = s[1:] == s[:-1]
-    more = np.zeros(len(s), bool)
-    more[1:] |= same
-    more[:-1] |= same
-    who, how = np.unique(who[order[more]], return_counts=True)
-    at = (who >> U64(32)).astype(np.int64)
-    cut = np.searchsorted(at, np.arange(len(block) + 1))
-    for i, b in enumerate(block):
-        if cut[i] < cut[i + 1]:
-            mine = slice(cut[i], cut[i + 1])
-            yield pa.RecordBatch.from_pylist([{"part": 0, "block": b, "ids": (who[mine] & U64(0xFFFFFFFF)).astype(np.uint32).tobytes(), "counts": how[mine].astype(np.uint32).tobytes(), "postings": b""}], schema=_BLOCK_ARROW)
+    if low:
+        yield _counted(block, who, low)
 
 
 _DOC = "doc_id long, n long, a long, b long, shared long"
@@ -191,7 +266,8 @@ def document_sets(docs: DataFrame, k: int = 5) -> DataFrame:
     p = partitions(docs.sparkSession)
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     cut = rows.mapInArrow(released(_blocks(k, p)), _BLOCK).repartitionById(p, F.col("part"))
-    counted = cut.mapInArrow(released(_shared), _BLOCK)
+    # Sorted by Spark, which spills: a range may be larger than a task's memory.
+    counted = cut.mapInArrow(released(_finer(DEALT)), _FINE).sortWithinPartitions("fine").mapInArrow(released(_shared), _BLOCK)
     return counted.repartition(p, "block").sortWithinPartitions("block", F.col("postings").isNotNull()).mapInArrow(released(_summed), _DOC)
 
 

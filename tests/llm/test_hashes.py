@@ -98,3 +98,23 @@ def test_repeated_words_and_rows(spark, monkeypatch, limit):
     assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted(d for d, v in want.items() if v[1] == 0)
     assert [r.text for r in left.collect() if r.doc_id is None] == [None]
     assert op4_decontaminate.clean(df.limit(0), bench).count() == 0
+
+
+def test_ranges_dealt_in_small_parts(spark, monkeypatch):
+    """Shared shingles are counted alike however few postings are dealt at a time."""
+    rng = random.Random(11)
+    words_ = [f"v{i}" for i in range(60)]
+    common = " ".join(words_[:7])
+    rows = [(i, " ".join([common, *(rng.choice(words_) for _ in range(rng.randrange(3, 25)))])) for i in range(120)]
+    rows += [(200 + i, rows[i][1]) for i in range(0, 120, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    sets = {d: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for d, t in rows}
+    every = {}
+    for d, s in sets.items():
+        for g in s:
+            every.setdefault(g, set()).add(d)
+    want = {d: (len(s), sum(len(every[g]) > 1 for g in s)) for d, s in sets.items()}
+    for dealt, block in ((1 << 22, 8 << 20), (40, 300)):
+        monkeypatch.setattr(op1_jaccard, "DEALT", dealt)
+        monkeypatch.setattr(op1_jaccard, "BLOCK_BYTES", block)
+        assert {r.doc_id: (r.n, r.shared) for r in op1_jaccard.document_sets(df).collect()} == want
