@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, stored
 
 #: The shape of the first shards; each later one is a region of its own.
 REGION_SHARDS, RACK_SHARDS, FIRST_SHARDS = 10, 5, 40
@@ -84,6 +84,8 @@ def sharded(docs: DataFrame, shards: int = FIRST_SHARDS) -> DataFrame:
     r = docs.select(key.alias("doc_id"), (F.length(text) + EXTRA_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), h.alias("h"))
     r = with_shard(with_shard(r, "doc_id", Tree.of(shards), "shard"), "doc_id", Tree.of(shards + 1), "grown_shard")
     r = r.withColumn("bucket", F.shiftright(F.conv(F.substring("h", 1, 8), 16, 10).cast("long"), 32 - SLOT_BITS).cast("int"))
+    # Read twice below; without it every draw would be made twice.
+    r = stored(r, "drawn")
     counts = r.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select(F.col("shard").alias("s"), F.col("bucket").alias("b"), F.coalesce(before, F.lit(0)).alias("base"))
@@ -107,7 +109,7 @@ def _oracle(shards: int) -> str:
         for j, x in enumerate(r):
             nodes["rack"].append((i, j, sum(w for _, w in x), -1))
             nodes["shard"] += [(i * racks + j, k, w, s) for k, (s, w) in enumerate(x)]
-    out, at = [], f"(SELECT rid, key, 0 AS node FROM d)"
+    out, at = [], "(SELECT rid, key, 0 AS node FROM d)"
     for level, rows in nodes.items():
         name = f"{level}{shards}"
         values = ", ".join(f"({n}, {j}, {w}::DOUBLE, {s})" for n, j, w, s in rows)
