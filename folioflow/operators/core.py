@@ -106,11 +106,6 @@ def all_sections(pages: DataFrame, rules: DataFrame | Iterable[tuple], page: str
     return pages.withColumn("sections", F.array_join(F.transform(_fitting(rules, page), lambda r: r["section_id"]), "|"))
 
 
-def groups_present(text: Column, groups: Column) -> Column:
-    """Every group has an alternative that the text contains."""
-    return F.forall(groups, lambda g: F.exists(g, lambda a: F.contains(text, a)))
-
-
 def fitting_rules(text: Column, rules: Iterable[tuple[str, int, list[list[str]]]]) -> Column:
     """Section ids, in table order, whose keyword groups the (normalised) text satisfies; a rule without groups, or a text without characters, fits nothing.
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import udfs
 from ..operators import archive, core, layout, quality, reports
+from ..sources import exports
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -235,10 +236,12 @@ def first_n_preview(spark, d):
     return g.select("user_id", core.preview(F.col("ids").cast("array<string>"), 4).alias("shown"))
 
 
-@query("""SELECT conv_id, sha256(string_agg(trim(text), chr(10) || chr(10) ORDER BY turn) FILTER (trim(text) <> '')) AS body, count(*) AS regions FROM conversations GROUP BY 1""")
+@query("""SELECT conv_id, role, sha256(string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (text <> '')) AS body FROM (SELECT conv_id, turn, role, CASE WHEN length(text) % 5 > 0 THEN text ELSE '' END AS text FROM conversations) GROUP BY 1, 2 HAVING count(*) FILTER (text <> '') > 0""")
 def text_export(spark, d):
-    parts = F.sort_array(F.collect_list(F.when(F.trim("text") != "", F.struct("turn", F.trim("text").alias("x")))))
-    return t(spark, d, "conversations").groupBy("conv_id").agg(F.sha2(F.array_join(F.transform(parts, lambda p: p["x"]), "\n\n"), 256).alias("body"), F.count("*").alias("regions"))
+    """The texts of each page and role; regions without text leave no gap."""
+    c = t(spark, d, "conversations").withColumn("text", F.when(F.length("text") % 5 > 0, F.col("text")).otherwise("")).withColumn("key", F.struct("conv_id", "role"))
+    e = exports.page_texts(c, "key", "turn").where("body <> ''")
+    return e.select("key.conv_id", "key.role", F.sha2("body", 256).alias("body"))
 
 
 # ---- joins and sets --------------------------------------------------------

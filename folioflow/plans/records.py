@@ -69,9 +69,9 @@ def colour_alignment(spark, d):
     return r.select("conv_id", "turn", "unaligned", L(F.size(F.filter("colours", lambda c: c == "red"))).alias("red"))
 
 
-@query("SELECT conv_id, sha256(string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (role <> 'system' AND trim(text) <> '')) AS body FROM conversations GROUP BY 1 HAVING count(*) FILTER (role <> 'system' AND trim(text) <> '') > 0")
+@query("SELECT conv_id, sha256(coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (text <> ''), '')) AS body FROM conversations GROUP BY 1")
 def region_text_export(spark, d):
-    return exports.page_texts(t(spark, d, "conversations").where("role <> 'system' AND trim(text) <> ''"), "conv_id", "turn").select("conv_id", F.sha2("body", 256).alias("body"))
+    return exports.page_texts(t(spark, d, "conversations"), "conv_id", "turn").select("conv_id", F.sha2("body", 256).alias("body"))
 
 
 # ---- assembly ---------------------------------------------------------------

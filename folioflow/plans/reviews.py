@@ -290,7 +290,7 @@ def report_merge(spark, d):
     return r.select("pages_checked", "pages_flagged", F.sha2(F.array_join(F.col("flagged_pages").cast("array<string>"), ","), 256).alias("flagged"), F.sha2(each, 256).alias("reports"))
 
 
-@query("""SELECT sha256(string_agg('===== Page ' || page || ' =====' || chr(10) || chr(10) || body || chr(10), chr(10) ORDER BY page)) AS body FROM (SELECT conv_id AS page, string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (trim(text) <> '') AS body FROM conversations GROUP BY 1)""")
+@query("""SELECT sha256(string_agg('===== Page ' || page || ' =====' || chr(10) || chr(10) || body || chr(10), chr(10) ORDER BY page)) AS body FROM (SELECT conv_id AS page, string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (text <> '') AS body FROM conversations GROUP BY 1)""")
 def combined_text(spark, d):
     """All conversations as one text with banners."""
     texts = exports.page_texts(t(spark, d, "conversations"), "conv_id", "turn").withColumnRenamed("conv_id", "page")

@@ -41,7 +41,7 @@ def write_book(book: DataFrame, folder: str, name: str) -> list[str]:
 
 def page_texts(regions: DataFrame, page: str, order: str, text: str = "text") -> DataFrame:
     """Each page's non-empty region texts in order, a blank line between them."""
-    some = F.when(F.trim(F.coalesce(text, F.lit(""))) != "", F.struct(F.col(order).alias("o"), F.col(text).alias("t")))
+    some = F.when(F.coalesce(text, F.lit("")) != "", F.struct(F.col(order).alias("o"), F.col(text).alias("t")))
     parts = F.sort_array(F.collect_list(some))
     return regions.groupBy(page).agg(F.array_join(F.transform(parts, lambda p: p["t"]), "\n\n").alias("body"))
 
