@@ -6,7 +6,7 @@ ratio of two strings goes to Python.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,8 +41,8 @@ class Script:
     heading: tuple[str, ...] = ("ጸሎት", "ውዳሴ", "ማርያም", "ብርሃን")
     scripture: tuple[str, ...] = ("ወንጌል", "መዝሙር", "ምዕራፍ")
     instruction: tuple[str, ...] = ("በል", "ይበል", "ትበል")
-    #: Kind by category: short and long paragraphs.
-    kinds: dict = field(default_factory=lambda: {"wudase_mariam_weekday": ("stanza", "hymn"), "marian_hymn": ("stanza", "hymn"), "repentance_or_conscience_prayer": ("prayer", "prayer"), "daily_prayer": ("prayer", "prayer")})
+    #: Kinds of short and long paragraphs by how a category ends.
+    kinds: tuple[tuple[str, str, str], ...] = (("_weekday", "stanza", "hymn"), ("_hymn", "stanza", "hymn"), ("_prayer", "prayer", "prayer"))
 
     def norm(self, text: str) -> str:
         """SQL: a text's script characters without numerals."""
@@ -125,8 +125,8 @@ def paragraph_kind(lines: Column, text: Column, category: Column, score: Column,
     first = tx.strip(F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit("")))
     any_ = lambda c, words: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(c, w))
     kind = F.when(score >= SURE, "heading").when((F.size(lines) <= 2) & any_(first, script.heading), "heading").when(any_(text, script.scripture), "scripture_reference").when(any_(text, script.instruction), "instruction")
-    for name, (short, long_) in script.kinds.items():
-        kind = kind.when(category == name, F.when(F.size(lines) <= 4, short).otherwise(long_))
+    for end, short, long_ in script.kinds:
+        kind = kind.when(category.endswith(end), F.when(F.size(lines) <= 4, short).otherwise(long_))
     return kind.otherwise("unknown")
 
 
@@ -263,11 +263,11 @@ def quality_report(pages: DataFrame, rows: DataFrame, found: DataFrame, keys: li
     return g.join(w, keys, "left").withColumn("missing_or_uncertain_sections", F.coalesce("missing_or_uncertain_sections", F.expr("cast(array() as array<string>)")))
 
 
-def validation_summary(sections: DataFrame, rows: DataFrame, totals: DataFrame, keys: list[str], expected: int = 12, weekday: str = "wudase_mariam_weekday", weekdays: int = 7) -> DataFrame:
-    """keys, sections_count(_ok), weekday_wudase_sections(_ok), page_map_rows(_ok), no_page_numbers_missing_from_map. sections: keys, category; totals: keys, total_pages."""
-    s = sections.groupBy(*keys).agg(F.count("*").alias("sections_count"), F.count_if(F.col("category") == weekday).alias("weekday_wudase_sections"))
+def validation_summary(sections: DataFrame, rows: DataFrame, totals: DataFrame, keys: list[str], expected: int = 12, weekday: str = "_weekday", weekdays: int = 7) -> DataFrame:
+    """keys, sections_count(_ok), weekday_sections(_ok), page_map_rows(_ok), no_page_numbers_missing_from_map. weekday: how the category of a weekday's section ends. sections: keys, category; totals: keys, total_pages."""
+    s = sections.groupBy(*keys).agg(F.count("*").alias("sections_count"), F.count_if(F.col("category").endswith(weekday)).alias("weekday_sections"))
     r = rows.groupBy(*keys).agg(F.count("*").alias("page_map_rows"), F.countDistinct("page").alias("_d"), F.min("page").alias("_a"), F.max("page").alias("_b"))
-    j = totals.join(s, keys, "left").join(r, keys, "left").fillna(0, ["sections_count", "weekday_wudase_sections", "page_map_rows", "_d"])
+    j = totals.join(s, keys, "left").join(r, keys, "left").fillna(0, ["sections_count", "weekday_sections", "page_map_rows", "_d"])
     n = F.col("total_pages")
     whole = (F.col("page_map_rows") == n) & (F.col("_d") == n) & ((n == 0) | ((F.col("_a") == 1) & (F.col("_b") == n)))
-    return j.select(*keys, "sections_count", (F.col("sections_count") == expected).alias("sections_count_ok"), "weekday_wudase_sections", (F.col("weekday_wudase_sections") == weekdays).alias("weekday_wudase_sections_ok"), "page_map_rows", (F.col("page_map_rows") == n).alias("page_map_rows_ok"), F.coalesce(whole, F.lit(False)).alias("no_page_numbers_missing_from_map"))
+    return j.select(*keys, "sections_count", (F.col("sections_count") == expected).alias("sections_count_ok"), "weekday_sections", (F.col("weekday_sections") == weekdays).alias("weekday_sections_ok"), "page_map_rows", (F.col("page_map_rows") == n).alias("page_map_rows_ok"), F.coalesce(whole, F.lit(False)).alias("no_page_numbers_missing_from_map"))

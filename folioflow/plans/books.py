@@ -177,7 +177,7 @@ def candidate_files(spark, d):
 
 # ---- the archived form -----------------------------------------------------------
 
-_SCRIPT = archive.Script(letters=((0x41, 0x5A), (0x61, 0x7A)), numerals=((0x30, 0x39),), heading=("The",), scripture=("und",), instruction=("les",), kinds={"week": ("stanza", "hymn"), "day": ("prayer", "prayer")})
+_SCRIPT = archive.Script(letters=((0x41, 0x5A), (0x61, 0x7A)), numerals=((0x30, 0x39),), heading=("The",), scripture=("und",), instruction=("les",), kinds=(("week", "stanza", "hymn"), ("day", "prayer", "prayer")))
 _LINES = rf"string_split_regex(regexp_replace(text, '(\r\n|[\n\r\x0B\f\x1C-\x1E\x{{85}}\x{{2028}}\x{{2029}}])$', ''), '\r\n|[\n\r\x0B\f\x1C-\x1E\x{{85}}\x{{2028}}\x{{2029}}]')"
 
 
@@ -251,7 +251,7 @@ def archived_quality(spark, d):
     return q.select("book", listed("pages_with_low_confidence", "low"), listed("pages_requiring_manual_review", "review"), F.nullif(F.array_join("missing_or_uncertain_sections", "|"), F.lit("")).alias("warned"), F.sha2(F.array_join("removed_artifacts", "|"), 256).alias("removed"), "has_unassigned")
 
 
-@query(_FOUND + ", " + _PAGES + """SELECT tot.book, (SELECT count(*) FROM ends WHERE ends.book = tot.book) AS sections_count, (SELECT count(*) FROM ends WHERE ends.book = tot.book) = 3 AS sections_count_ok, (SELECT CAST(count(*) FILTER (ord < 3) AS BIGINT) FROM ends WHERE ends.book = tot.book) AS weekday_wudase_sections, (SELECT count(*) FILTER (ord < 3) = 2 FROM ends WHERE ends.book = tot.book) AS weekday_wudase_sections_ok,
+@query(_FOUND + ", " + _PAGES + """SELECT tot.book, (SELECT count(*) FROM ends WHERE ends.book = tot.book) AS sections_count, (SELECT count(*) FROM ends WHERE ends.book = tot.book) = 3 AS sections_count_ok, (SELECT CAST(count(*) FILTER (ord < 3) AS BIGINT) FROM ends WHERE ends.book = tot.book) AS weekday_sections, (SELECT count(*) FILTER (ord < 3) = 2 FROM ends WHERE ends.book = tot.book) AS weekday_sections_ok,
   (SELECT count(*) FROM m WHERE m.book = tot.book) AS page_map_rows, (SELECT count(*) FROM m WHERE m.book = tot.book) = n + CAST(tot.book % 2 AS BIGINT) AS page_map_rows_ok, tot.book % 2 = 0 AS no_page_numbers_missing_from_map FROM tot""")
 def archived_validation(spark, d):
     """Books of odd number should have a page more than they have."""

@@ -10,7 +10,7 @@ from folioflow.functions import udfs
 from folioflow.operators import archive, reports
 from folioflow.sources import exports
 
-LATIN = archive.Script(letters=((0x61, 0x7A),), numerals=((0x30, 0x39),), heading=("hymn",), scripture=("psalm",), instruction=("say",), kinds={"week": ("stanza", "hymn")})
+LATIN = archive.Script(letters=((0x61, 0x7A),), numerals=((0x30, 0x39),), heading=("hymn",), scripture=("psalm",), instruction=("say",), kinds=(("week", "stanza", "hymn"),))
 RULES = [("b", 1, "one", "morning hymn", ["morning"], [["hymn", "song"]], "week"), ("b", 2, "two", "evening psalm", ["dusk"], [], "week"), ("b", 3, "three", "zzz qqq", [], [[""]], "other")]
 
 
@@ -92,7 +92,7 @@ def test_scan_bounds_and_blocks(spark):
     assert (q.pages_with_low_confidence, q.pages_requiring_manual_review, q.has_unassigned) == ([2, 5], [1, 2, 5], True)
     assert q.removed_artifacts == ["page 2: www", *[f"page 5: {x}" for x in "abcde"]] and q.missing_or_uncertain_sections == ["three was not detected confidently."]
     v = archive.validation_summary(rules(spark), rows, spark.createDataFrame([("b", 5)], "book string, total_pages int"), ["book"], expected=3, weekday="week", weekdays=2).first()
-    assert (v.sections_count_ok, v.weekday_wudase_sections_ok, v.page_map_rows_ok, v.no_page_numbers_missing_from_map) == (True, True, True, True)
+    assert (v.sections_count_ok, v.weekday_sections_ok, v.page_map_rows_ok, v.no_page_numbers_missing_from_map) == (True, True, True, True)
     conf = reports.confidence_summary(pages, ["book"], F.col("confidence")).first()
     assert (conf.min, conf.median, conf.mean, conf.max) == (50.0, 75.0, 72.5, 90.0)
     md = exports.extraction_markdown("Report", {"Pages": 5}, ends, conf, q, rows)
