@@ -38,6 +38,8 @@ BINS = 64
 FAN = 32
 #: One labelled row in HELD is kept back for calibration.
 HELD = 4
+#: Points at which a fit takes sums, at most.
+STEPS = 30
 WORD_BINS, META_BINS = 64, 32
 CONTENT_DIM = 128 + 8 + WORD_BINS + 10
 META_DIM = 2 * META_BINS + 8
@@ -121,18 +123,51 @@ def _penalty(d: int, ridge: float) -> np.ndarray:
     return penalty
 
 
-def newton_sums(x, y, weight, mean, scale, w) -> tuple[np.ndarray, np.ndarray]:
-    """The rows' share of the likelihood's gradient and Hessian, a block of rows at a time."""
+def newton_sums(x, y, weight, mean, scale, w, bounded: bool = False) -> np.ndarray:
+    """The rows' share of the loss, its gradient and its Hessian, packed in one vector; bounded: a Hessian that bounds the loss's everywhere.
+
+    The bound's weights, tanh(z/2) / 2z, make every step with it go down.  A
+    block of rows at a time.
+    """
     d = x.shape[1] + 1
-    g, h = np.zeros(d), np.zeros((d, d))
+    loss, g, h = 0.0, np.zeros(d), np.zeros((d, d))
     for i in range(0, len(x), BLOCK):
         part = slice(i, i + BLOCK)
         z = np.ones((len(x[part]), d))
         np.divide(x[part] - mean, scale, out=z[:, :-1])
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        g += z.T @ (weight[part] * (p - y[part]))
-        h += (z * (weight[part] * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ z
-    return g, h
+        at, k = z @ w, weight[part]
+        p = 1 / (1 + np.exp(-np.clip(at, -30, 30)))
+        size = np.maximum(np.abs(at), 1e-6)
+        loss += float((k * (np.logaddexp(0, at) - y[part] * at)).sum())
+        g += z.T @ (k * (p - y[part]))
+        curve = k * (np.tanh(size / 2) / (2 * size) if bounded else p * (1 - p))
+        h += (z * curve[:, None]).T @ z
+    return np.concatenate([[loss], g, h[np.triu_indices(d)]])
+
+
+class Descent:
+    """The least penalised loss from sums at one point after another: Newton steps, and where one goes up, a step of the bound from the best point."""
+
+    def __init__(self, w: np.ndarray, ridge: float):
+        self.w, self.penalty, self.best = w, _penalty(len(w), ridge), None
+        #: Whether the sums wanted next are those of the bound, and whether the last step was one of the bound.
+        self.bounded, self.sure, self.done = False, False, False
+
+    def take(self, sums: np.ndarray) -> None:
+        """Sums at self.w; sets the next point, or done."""
+        d = len(self.w)
+        loss = sums[0] + 0.5 * float((self.penalty * self.w**2).sum())
+        if not self.bounded and self.best is not None and loss >= self.best[0]:
+            # A step of the bound that does not go down is at the end of what numbers can tell.
+            self.done, self.bounded, self.w = self.sure, True, self.best[1]
+            return
+        small = not self.bounded and self.best is not None and self.best[0] - loss < 1e-7 * (1 + abs(loss))
+        self.best, self.sure, self.bounded = (loss, self.w), self.bounded, False
+        h = np.zeros((d, d))
+        h[np.triu_indices(d)] = sums[1 + d :]
+        step = np.linalg.solve(h + np.triu(h, 1).T + np.diag(self.penalty), sums[1 : 1 + d] + self.penalty * self.w)
+        self.done = small or np.abs(step).max() < 1e-5
+        self.w = self.w - step
 
 
 @dataclass
@@ -143,17 +178,16 @@ class Logistic:
     b: float
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 12) -> Logistic:
-        """Newton steps on the ridge-penalised likelihood of standardised columns, a block of rows at a time."""
+    def fit(cls, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = STEPS) -> Logistic:
+        """The least ridge-penalised loss on standardised columns, a block of rows at a time."""
         mean = x.mean(0, dtype=np.float64)
         scale = np.sqrt(sum(((x[i : i + BLOCK] - mean) ** 2).sum(0) for i in range(0, len(x), BLOCK)) / len(x)) + 1e-6
-        w, penalty = np.zeros(x.shape[1] + 1), _penalty(x.shape[1] + 1, ridge)
+        at = Descent(np.zeros(x.shape[1] + 1), ridge)
         for _ in range(steps):
-            g, h = newton_sums(x, y, weight, mean, scale, w)
-            step = np.linalg.solve(h + np.diag(penalty), g + penalty * w)
-            w -= step
-            if np.abs(step).max() < 1e-5:
+            at.take(newton_sums(x, y, weight, mean, scale, at.w, at.bounded))
+            if at.done:
                 break
+        w = at.best[1]
         return cls(mean, scale, w[:-1], float(w[-1]))
 
     def logit(self, x: np.ndarray) -> np.ndarray:
@@ -283,7 +317,7 @@ def _summed(given: DataFrame, n: int, part) -> dict:
     return out
 
 
-def refit(own, models, given: DataFrame, weight: float = 0.5, ridge: float = 1.0, steps: int = 12) -> list[Logistic]:
+def refit(own, models, given: DataFrame, weight: float = 0.5, ridge: float = 1.0, steps: int = STEPS) -> list[Logistic]:
     """Logistic.fit of both views on the labelled rows own[v] = (x, y) and all given rows, whose sums come from the executors; starts from `models`."""
     n = given.rdd.getNumPartitions()
     centre = [x.mean(0, dtype=np.float64) for x, _ in own]
@@ -298,37 +332,17 @@ def refit(own, models, given: DataFrame, weight: float = 0.5, ridge: float = 1.0
         first, second = total[1:].reshape(2, -1) / total[0]
         mean, scale = centre[v] + first, np.sqrt(np.maximum(second - first**2, 0)) + 1e-6
         slope = models[v].w / models[v].scale
-        at[v] = (mean, scale, np.append(slope * scale, models[v].b + slope @ (mean - models[v].mean)))
-    out = {}
+        at[v] = (mean, scale, Descent(np.append(slope * scale, models[v].b + slope @ (mean - models[v].mean)), ridge))
     for _ in range(steps):
-        upper = {v: np.triu_indices(len(at[v][2])) for v in at}
-
-        def packed(v, x, y, at=at, upper=upper):
-            if v not in at:
-                return None
-            g, h = newton_sums(x, y, np.full(len(y), weight), *at[v])
-            return np.concatenate([g, h[upper[v]]])
-
-        far = _summed(given, n, packed)
-        for v in list(at):
-            mean, scale, w = at[v]
-            x, y = own[v]
-            g, h = newton_sums(x, y, np.ones(len(y)), mean, scale, w)
-            if v in far:
-                g += far[v][: len(g)]
-                half = np.zeros_like(h)
-                half[upper[v]] = far[v][len(g) :]
-                h += half + np.triu(half, 1).T
-            penalty = _penalty(len(w), ridge)
-            step = np.linalg.solve(h + np.diag(penalty), g + penalty * w)
-            w = w - step
-            out[v] = Logistic(mean, scale, w[:-1], float(w[-1]))
-            at[v] = (mean, scale, w)
-            if np.abs(step).max() < 1e-5:
-                del at[v]
-        if not at:
+        point = {v: (mean, scale, a.w, a.bounded) for v, (mean, scale, a) in at.items() if not a.done}
+        if not point:
             break
-    return [out[0], out[1]]
+        far = _summed(given, n, lambda v, x, y, point=point: newton_sums(x, y, np.full(len(y), weight), *point[v]) if v in point else None)
+        for v in point:
+            x, y = own[v]
+            at[v][2].take(newton_sums(x, y, np.ones(len(y)), *point[v]) + far.get(v, 0))
+    best = {v: (mean, scale, a.best[1]) for v, (mean, scale, a) in at.items()}
+    return [Logistic(m, s, w[:-1], float(w[-1])) for m, s, w in (best[0], best[1])]
 
 
 def co_train(a, b, y, held, pool: DataFrame, rounds: int = ROUNDS, share: float = SHARE, sure: float = SURE) -> CoTrained:
