@@ -82,6 +82,27 @@ def fresh_names(columns: list[str], *names: str) -> list[str]:
     return out
 
 
+#: A key with over one in so many rows is hot; there are fewer hot keys than that, so they may be broadcast.
+HOT_SHARE = 1024
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join by one column in which right names each key once; left's hot keys are not shuffled.
+
+    Rows of left with a hot key meet right's rows for the at most HOT_SHARE hot
+    keys by broadcast, the others by shuffle.  Both sides are read twice, so
+    they should be stored.  Null keys join nothing.
+    """
+    n = left.groupBy(key).agg(F.count("*").alias("n")).where(F.col(key).isNotNull())
+    total = left.count()
+    hot = [r[0] for r in n.where(F.col("n") * HOT_SHARE > total).select(key).collect()] if total else []  # fewer than HOT_SHARE
+    if not hot:
+        return left.join(right, key)
+    hit = F.col(key).isin(hot)
+    cold = left.where(~hit).join(right.where(~hit), key)
+    return cold.unionByName(left.where(hit).join(F.broadcast(right.where(hit)), key))
+
+
 def bitmap(values: DataFrame, bits: int) -> np.ndarray:
     """A bitmap of fixed size, as 64-bit words, with the bit of every value (one long column) modulo bits, a power of two."""
     bit = F.col(values.columns[0]).bitwiseAND(F.lit(bits - 1))

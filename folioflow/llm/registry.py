@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_jaccard, op2_mix, op3_chat, op4_decontaminate, op5_tokens, op6_secrets, op7_quality, op8_url, op9_topk, op10_shard
+from . import op1_jaccard, op2_mix, op3_chat, op4_decontaminate, op5_tokens, op6_secrets, op7_quality, op8_url, op9_topk, op10_shard, op11_simhash
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard.op1_jaccard_join,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filter": op8_url.op8_url_filter,
     "op9_topk": op9_topk.op9_topk,
     "op10_shard": op10_shard.op10_shard,
+    "op11_simhash": op11_simhash.op11_simhash,
 }
 
 #: Where SQL can say it on whole tables.
