@@ -82,6 +82,21 @@ def fresh_names(columns: list[str], *names: str) -> list[str]:
     return out
 
 
+def numbered(df: DataFrame, *order) -> DataFrame:
+    """df with its place i, from 0, in a total order: by range, so no task holds all; df should be stored."""
+    spark = df.sparkSession
+    line = df.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    # An id's low 33 bits number the rows of a partition.
+    at = F.monotonically_increasing_id()
+    line = stored(line.withColumn("_part", F.shiftright(at, 33)).withColumn("_own", at.bitwiseAND(F.lit((1 << 33) - 1))), "numbered")
+    before, n = [], 0
+    for r in line.groupBy("_part").agg(F.max("_own").alias("m")).orderBy("_part").collect():  # one row per partition
+        before.append((r._part, n))
+        n += r.m + 1
+    base = spark.createDataFrame(before, "_part long, _base long")
+    return line.join(F.broadcast(base), "_part").withColumn("i", F.col("_base") + F.col("_own")).drop("_part", "_own", "_base")
+
+
 #: A key with over one in so many rows is hot; there are fewer hot keys than that, so they may be broadcast.
 HOT_SHARE = 1024
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -91,9 +92,10 @@ _BLOCK_ARROW = pa.schema([("part", pa.int32()), ("block", pa.int64())] + [(x, pa
 def _blocks(k: int, parts: int):
     """Cuts each block's sets by hash range; a posting travels as the low 32 bits below its range."""
 
-    def emit(ids, sizes, values):
+    def emit(at, ids, sizes, values):
         a, b = _prints(values, sizes)
-        block = int(mix64(np.array([ids[0], len(ids), a[0], a.sum(), ids[-1]], np.int64).view(U64)).sum() >> U64(1))
+        # Named by where it was cut, so blocks with equal rows stay apart, and by what it holds, so two versions of one block do.
+        block = int(mix64(np.array([at, ids[0], len(ids), a[0], a.sum(), ids[-1]], np.int64).view(U64)).sum() >> U64(1))
         owner = np.repeat(np.arange(len(ids), dtype=np.uint32), sizes)
         scaled = (values >> U64(32)) * U64(parts)
         part = (scaled >> U64(32)).astype(np.int32)
@@ -111,7 +113,7 @@ def _blocks(k: int, parts: int):
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t.type) for i, t in enumerate(_BLOCK_ARROW)], schema=_BLOCK_ARROW)
 
     def run(batches):
-        held, size = [], 0
+        held, size, at = [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = texts_of(batch.column(1))
@@ -120,10 +122,10 @@ def _blocks(k: int, parts: int):
                 held.append((ids[first:last], n, values))
                 size += int(offsets[last] - offsets[first])
                 if size >= BLOCK_BYTES:
-                    yield emit(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                    held, size = [], 0
+                    yield emit(at, *(np.concatenate(x) for x in zip(*held, strict=True)))
+                    held, size, at = [], 0, at + 1
         if held:
-            yield emit(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield emit(at, *(np.concatenate(x) for x in zip(*held, strict=True)))
 
     return run
 

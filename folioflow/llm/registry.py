@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_jaccard, op2_mix, op3_chat, op4_decontaminate, op5_tokens, op6_secrets, op7_quality, op8_url, op9_topk, op10_shard, op11_simhash
+from . import op1_jaccard, op2_mix, op3_chat, op4_decontaminate, op5_tokens, op6_secrets, op7_quality, op8_url, op9_topk, op10_shard, op11_simhash, op12_resample, op13_search
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard.op1_jaccard_join,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_topk": op9_topk.op9_topk,
     "op10_shard": op10_shard.op10_shard,
     "op11_simhash": op11_simhash.op11_simhash,
+    "op12_resample": op12_resample.op12_resample,
+    "op13_search": op13_search.op13_search,
 }
 
 #: Where SQL can say it on whole tables.
@@ -28,4 +30,6 @@ ORACLE_SQL = {
     "op8_url_filter": op8_url.ORACLE,
     "op9_topk": op9_topk.ORACLE,
     "op10_shard": op10_shard.ORACLE,
+    "op12_resample": op12_resample.ORACLE,
+    "op13_search": op13_search.ORACLE,
 }
