@@ -281,14 +281,15 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50) -> DataFrame:
     """Each item's k best documents: item_id, rank (from 1), doc_id, score; items have item_id and text, docs doc_id and text.
 
     Scores are those of the contract, in whole numbers; a score of 0 is no
-    result.  Null, empty and termless texts answer nothing and count nowhere.
+    result; item_id keeps its type.  Null, empty and termless texts answer nothing and count nowhere.
     Rows without doc_id or item_id are left out.  Rows of one item_id are one
     item with the terms of all.  Repeated rows of documents are documents of
     their own and tie.  Extra columns are not read.  An empty table on either
     side gives no rows.
     """
     spark = docs.sparkSession
-    none = spark.createDataFrame([], "item_id string, rank int, doc_id long, score long")
+    kind = dict(items.dtypes)["item_id"]
+    none = spark.createDataFrame([], f"item_id {kind}, rank int, doc_id long, score long")
     asked = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     asked = stored(asked.mapInArrow(released(_term_rows), "item_id string, term binary, h long").distinct(), "terms")
     index = stored(index_shards(docs, bitmap(asked.select("h"), SIEVE_BITS)), "index")
@@ -312,7 +313,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50) -> DataFrame:
         found = one if found is None else found.union(one)
     if found is None:
         return none
-    return _top(_top(found, k, "part"), k).select("item_id", "rank", "doc_id", "score")
+    return _top(_top(found, k, "part"), k).select(F.col("item_id").cast(kind).alias("item_id"), "rank", "doc_id", "score")
 
 
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
