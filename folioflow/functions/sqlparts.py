@@ -23,3 +23,14 @@ def stretches(starts: str, value: str, total: str) -> str:
     """Rows (from, after, value) of the stretches that begin at the places `starts`; value is SQL over `p`, the place."""
     body = f"transform(s_, (p, k) -> named_struct('from', p, 'after', coalesce(try_element_at(s_, k + 2), {total}), 'value', {value}))"
     return let(starts, "s_", body)
+
+
+def rounded(value: str, digits: int) -> str:
+    """SQL: a double from 0 to 4 rounded to at most 5 digits on its binary value, half to even."""
+    # Exact: powers of two only move the point; a whole number of 2**-100, and what lies below decides no tie.
+    one, half = f"cast('{1 << 100}' as decimal(31,0))", f"cast('{1 << 99}' as decimal(31,0))"
+    high, low = f"cast(x_ * {1 << 45}D as bigint)", f"cast((x_ * {1 << 45}D - h_) * {1 << 55}D as bigint)"
+    whole = f"(cast(h_ as decimal(15,0)) * cast({1 << 55} as decimal(17,0)) + cast({low} as decimal(17,0))) * cast({10**digits} as decimal(6,0))"
+    rest = f"(n_ - cast(q_ as decimal(7,0)) * {one})"
+    near = let(whole, "n_", let(f"n_ div {one}", "q_", let(rest, "r_", f"(q_ + if(r_ > {half} or (r_ = {half} and q_ % 2 = 1), 1, 0)) / {10**digits}D")))
+    return let(value, "x_", f"case when x_ is not null then {let(high, 'h_', near)} end")

@@ -69,6 +69,8 @@ def first_in(text: Column, ranges, n: int = 20) -> Column:
 SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
 SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 NOT_SPACE = "[^" + SPACE[1:]
+#: White space but for the line feed.
+INLINE = SPACE.replace(r"\x09-\x0D", r"\x09\x0B-\x0D")
 #: The spellings of the four-dot full stop (fixed values).
 FULL_STOP = "::|፡፡|：："
 
@@ -88,9 +90,10 @@ def clean_text(text: Column) -> Column:
     """
     t = F.regexp_replace(text, r"\*\*|、", "")
     t = F.replace(F.replace(t, F.lit("<<"), F.lit("«")), F.lit(">>"), F.lit("»"))
-    t = F.regexp_replace(t, rf"(?md)^{SPACE}*#+{SPACE}+", "")
-    t = F.regexp_replace(t, rf"{SPACE}*\n{SPACE}*", " ")
-    t = F.regexp_replace(t, rf"{SPACE}*(?:{FULL_STOP})", "።")
+    # Each run of white space is entered once, at its first character, and never given back, so time grows with the text.
+    t = F.regexp_replace(t, rf"(?:\A|\G(?<=\n)|(?<!{SPACE})({INLINE}*+\n)){SPACE}*+#++{SPACE}++", "$1")
+    t = F.regexp_replace(t, rf"(?<!{SPACE}){INLINE}*+\n{SPACE}*+", " ")
+    t = F.regexp_replace(t, rf"(?<!{SPACE}){SPACE}*+(?:{FULL_STOP})", "።")
     t = F.regexp_replace(t, r"[ \t]{2,}", " ")
     return strip(t)
 

@@ -1,7 +1,6 @@
 """The archived form: recognition attempts, sections found by fuzzy titles, books of paragraphs.
 
-Pages, rules and lines meet in one row where they belong together; only the
-ratio of two strings goes to Python.
+Pages, rules and lines meet in one row where they belong together.
 """
 
 from __future__ import annotations
@@ -11,8 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import matching
 from ..functions import text as tx
-from ..functions import udfs
 from ..functions.sqlparts import let, lit
 
 #: A score that ends the search, and the least that counts (fixed values).
@@ -84,7 +83,7 @@ def section_scores(pages: DataFrame, rules: DataFrame, keys: list[str], script:
     p = p.select(*keys, "page", "t", F.expr(script.norm(head)).alias("head"))
     r = rules.select(*keys, "ord", "section_id", F.expr(script.norm("title_am")).alias("title"), F.expr(f"transform(keywords, k -> {script.norm('k')})").alias("words"), F.expr(f"transform(coalesce(required_any, cast(array() as array<array<string>>)), g -> transform(g, a -> {script.norm('a')}))").alias("groups"))
     j = p.join(r, keys)
-    score = udfs.section_score("title", "head", "words", "groups")
+    score = F.expr(matching.section_score("title", "head", "words", "groups"))
     start = F.expr(f"coalesce({start_line('t', 'groups', script)}, 0)")
     return j.select(*keys, "page", "ord", "section_id", score.alias("score"), start.alias("start_line"))
 

@@ -36,32 +36,45 @@ SOURCES = {
 # ---- inside a block ---------------------------------------------------------
 
 
-def located(text: str, needle: str, expected: str, taken: str, letters: str) -> str:
-    """SQL: struct(s, e) of the stretch of text nearest to needle, or null.
+def _nearest(needle: str, expected: str, taken: str) -> str:
+    """SQL: struct(s, e) of the stretch of t_ nearest to needle, or null; st_: where stretches of t_ begin.
 
-    Stretches begin at a character that is no white space and follows no letter;
-    their lengths differ from the needle's by a third of it at most (at least
+    Their lengths differ from the needle's by a third of it at most (at least
     one), and so do their edits; none meets a taken stretch (s, e).  Fewest edits
     win, then the place nearest to the expected share of the text, then the
     earliest, then the shortest.
+
+    Each place is compared once, at the needle's own length.  A stretch longer or
+    shorter by k differs by k edits at most from that, and by k at least from
+    the needle, so the fewest edits found so settle most places and lengths.
     """
-    starts = f"filter(transform(split(t_, ''), (c, i) -> case when not c rlike {lit(tx.SPACE)} and (i = 0 or not substring(t_, i, 1) rlike {lit(letters)}) then i end), i -> i is not null)"
-    free = "s_ + l_ <= length(t_) and not exists(k_, k -> k.s < s_ + l_ and s_ < k.e)"
-    one = "named_struct('d', levenshtein(substring(t_, s_ + 1, l_), n_, m_), 'far', abs(s_ / greatest(1, length(t_)) - e_), 's', s_, 'l', l_)"
-    lengths = f"transform(filter(sequence(greatest(1, length(n_) - m_), length(n_) + m_), l_ -> {free}), l_ -> {one})"
-    best = f"array_min(filter(flatten(transform({starts}, s_ -> {lengths})), x -> x.d >= 0))"
-    hit = let(best, "b_", "case when b_ is not null then named_struct('s', b_.s, 'e', b_.s + b_.l) end")
-    body = let("cast(greatest(1, ceil(length(n_) / 3)) as int)", "m_", f"case when n_ <> '' and t_ <> '' then {hit} end")
-    for name, value in (("k_", taken), ("e_", f"cast({expected} as double)"), ("n_", f"trim(both {lit(LOOSE)} from {needle})"), ("t_", text)):
+    own = "transform(st_, s_ -> named_struct('s', s_, 'l', least(nl_, tl_ - s_), 'd', levenshtein(substring(t_, s_ + 1, nl_), n_, 2 * m_)))"
+    free = lambda length: f"not exists(k_, k -> k.s < p_.s + {length} and p_.s < k.e)"
+    fewest = f"coalesce(array_min(transform(filter(o_, p_ -> p_.d <= m_ and nl_ - p_.l <= m_ and {free('p_.l')}), p_ -> p_.d)), m_)"
+    lengths = f"filter(sequence(greatest(1, nl_ - f_), least(nl_ + f_, tl_ - p_.s)), l_ -> abs(l_ - p_.l) >= p_.d - f_ and {free('l_')})"
+    one = "named_struct('d', levenshtein(substring(t_, p_.s + 1, l_), n_, f_), 'far', abs(p_.s / greatest(1, tl_) - e_), 's', p_.s, 'l', l_)"
+    near = f"flatten(transform(filter(o_, p_ -> p_.d <= 2 * f_ + nl_ - p_.l and tl_ - p_.s >= greatest(1, nl_ - f_)), p_ -> transform({lengths}, l_ -> {one})))"
+    best = let(f"array_min(filter({near}, x -> x.d >= 0))", "b_", "case when b_ is not null then named_struct('s', b_.s, 'e', b_.s + b_.l) end")
+    body = let(f"filter({own}, p_ -> p_.d >= 0)", "o_", let(fewest, "f_", best))
+    body = let("length(n_)", "nl_", let("length(t_)", "tl_", let("cast(greatest(1, ceil(length(n_) / 3)) as int)", "m_", f"case when n_ <> '' and t_ <> '' then {body} end")))
+    for name, value in (("k_", taken), ("e_", f"cast({expected} as double)"), ("n_", f"trim(both {lit(LOOSE)} from {needle})")):
         body = let(value, name, body)
     return body
 
 
+def _prepared(text: str, letters: str, body: str) -> str:
+    """SQL: body with t_ and st_; a stretch begins at a character that is no white space and follows no letter."""
+    starts = f"filter(transform(tc_, (c, i) -> case when not c rlike {lit(tx.SPACE)} and (i = 0 or not tc_[i - 1] rlike {lit(letters)}) then i end), i -> i is not null)"
+    return let(text, "t_", let("regexp_extract_all(t_, '(?s).', 0)", "tc_", let(starts, "st_", body)))
+
+
 def all_located(text: str, readings: str, letters: str) -> str:
     """SQL: for an array of struct(reading, expected, ...) in order, each one's stretch or null; a stretch is taken for those after it."""
-    step = let(located(text, "r.reading", "r.expected", "a.taken", letters), "h", "named_struct('taken', case when h is null then a.taken else array_append(a.taken, h) end, 'out', array_append(a.out, h))")
+    step = let(_nearest("r.reading", "r.expected", "a.taken"), "h", "named_struct('taken', case when h is null then a.taken else array_append(a.taken, h) end, 'out', array_append(a.out, h))")
     start = "named_struct('taken', cast(array() as array<struct<s:int,e:int>>), 'out', cast(array() as array<struct<s:int,e:int>>))"
-    return f"aggregate({readings}, {start}, (a, r) -> {step}, a -> a.out)"
+    folded = f"aggregate({readings}, {start}, (a, r) -> {step}, a -> a.out)"
+    none = f"transform({readings}, r -> cast(null as struct<s:int,e:int>))"
+    return f"case when {text} is not null and size({readings}) > 0 then {_prepared(text, letters, folded)} else {none} end"
 
 
 def coloured_spans(text: str, runs: str, letters: str, attached: str = ATTACHED) -> str:

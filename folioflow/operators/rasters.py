@@ -1,4 +1,10 @@
-"""Page images as rows: statistics and layers of every page, one task's pages at a time."""
+"""Page images as bands of rows, masks as tables of runs.
+
+An image comes as one row (the fields of Spark's image source).  It is cut into
+bands that carry the rows around them which a filter needs, so a page is the work
+of several tasks; what holds for a page (the threshold of its ink, its parts) is
+a grouping of what its bands give.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +12,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import raster
-from . import core
+from ..functions.sqlparts import rounded
+from ..storage import stored
+from . import runs as rn
 
-STATS = "width int, height int, red_ink_pixels long, black_ink_pixels long, red_components_kept int, red_components_dropped_small int, red_components_dropped_ornament int, red_ink_ratio double, ink_coverage double, colour_area double, is_blank boolean, is_illustration boolean"
+#: Rows of a band, a multiple of the cells of coloured_cells; rows beside it that closing and opening a mask need.
+BAND, EDGE = 252, 4
+_RUNS = "array<struct<y:bigint,x1:bigint,x2:bigint>>"
 
 
 def pixels(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
@@ -22,77 +31,139 @@ def pixels(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     return np.repeat(x, 3, 2) if channels == 1 else x[..., :3]
 
 
-def split_pages(images: DataFrame, key: str = "origin", layers: bool = False) -> DataFrame:
-    """images: key, height, width, nChannels, data (the fields of Spark's image source).
+def _known(images: DataFrame, key: str) -> DataFrame:
+    return images.where("data IS NOT NULL AND height > 0 AND width > 0").select(key, "height", "width", "nChannels", "data")
 
-    One row per page: key and the page statistics; with layers also both masks as
-    packed bits (red_mask, black_layer).  A row without data gives null statistics.
-    """
-    names = [c.split()[0] for c in STATS.split(", ")]
+
+def bands(images: DataFrame, key: str = "origin", halo: int = 25) -> DataFrame:
+    """key, band, height, width, nChannels, y (the band's first row), above (rows before it that data holds as well), count, data."""
     kind = dict(images.dtypes)[key]
-    schema = f"{key} {kind}, {STATS}" + (", red_mask binary, black_layer binary" if layers else "")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for r in pdf.itertuples(index=False):
-                row = {key: getattr(r, key)} | dict.fromkeys(names)
-                if r.data is not None and r.height > 0 and r.width > 0:
-                    stats, red, black = raster.split_page(pixels(r.data, r.height, r.width, r.nChannels))
-                    row |= stats | ({"red_mask": np.packbits(red).tobytes(), "black_layer": np.packbits(black).tobytes()} if layers else {})
-                elif layers:
-                    row |= {"red_mask": None, "black_layer": None}
-                yield pd.DataFrame([row])
+                line, h = r.width * r.nChannels, int(r.height)
+                for n, y in enumerate(range(0, h, BAND)):
+                    low, end = max(0, y - halo), min(h, y + BAND + halo)
+                    yield pd.DataFrame([{key: getattr(r, key), "band": n, "height": h, "width": r.width, "nChannels": r.nChannels, "y": y, "above": y - low, "count": min(BAND, h - y), "data": bytes(r.data[low * line : end * line])}])
 
-    return images.select(key, "height", "width", "nChannels", "data").mapInPandas(run, schema)
+    cut = _known(images, key).mapInPandas(run, f"{key} {kind}, band int, height int, width int, nChannels int, y int, above int, count int, data binary")
+    return cut.repartition(key, "band")
 
 
-def dark_pixels(images: DataFrame, key: str = "origin") -> DataFrame:
-    """key, dark: pixels of a layer (an image) darker than half grey."""
-    kind = dict(images.dtypes)[key]
+def band_masks(cut: DataFrame, key: str = "origin", k: int = 51) -> DataFrame:
+    """key, band, height, width, y, count, red (runs of red candidates), flat (grey levels without background), levels (their histogram), coloured, cells."""
+    kind = dict(cut.dtypes)[key]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            dark = [None if r.data is None else int((raster.grey_of(pixels(r.data, r.height, r.width, r.nChannels)) < 128).sum()) for r in pdf.itertuples(index=False)]
-            yield pd.DataFrame({key: pdf[key], "dark": pd.array(dark, "Int64")})
+            for r in pdf.itertuples(index=False):
+                x = pixels(r.data, len(r.data) // (r.width * r.nChannels), r.width, r.nChannels)
+                own = np.s_[r.above : r.above + r.count]
+                red = raster.runs(raster.red_candidates(x)[own])
+                flat = raster.evened(x, k)[own]
+                # Cells that end below the page's last whole cell are cut off with it.
+                coloured, cells = raster.coloured_cells(x[own]) if r.y == 0 or r.count >= 6 else (0, 0)
+                yield pd.DataFrame([{key: getattr(r, key), "band": r.band, "height": r.height, "width": r.width, "y": r.y, "count": r.count, "red": [{"y": int(a) + r.y, "x1": int(b), "x2": int(c)} for a, b, c in zip(*red, strict=True)], "flat": flat.tobytes(), "levels": np.bincount(flat.ravel(), minlength=256).tolist(), "coloured": coloured, "cells": cells}])
+
+    return cut.mapInPandas(run, f"{key} {kind}, band int, height int, width int, y int, count int, red {_RUNS}, flat binary, levels array<bigint>, coloured long, cells long")
+
+
+def ink_thresholds(masks: DataFrame, key: str = "origin") -> DataFrame:
+    """key, threshold: the level that parts a page's histogram with the largest variance between both sides (the lowest of equals); null for an even page."""
+    each = masks.select(key, F.posexplode("levels").alias("v", "n")).groupBy(key, "v").agg(F.sum("n").alias("n"))
+    total = each.groupBy(key).agg(F.sum("n").alias("size"), F.count_if(F.col("n") > 0).alias("seen"))
+    w = Window.partitionBy(key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    p = each.join(total, key).withColumn("p", F.col("n") / F.col("size"))
+    p = p.withColumn("below", F.sum("p").over(w)).withColumn("mean", F.sum(F.col("p") * F.col("v")).over(w))
+    p = p.withColumn("whole", F.last("mean").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    gap = F.col("whole") * F.col("below") - F.col("mean")
+    spread = F.when((F.col("below") > 0) & (F.col("below") < 1), gap * gap / (F.col("below") * (1 - F.col("below"))))
+    best = F.max_by(-F.col("v"), F.struct(F.coalesce(spread, F.lit(-1.0)).alias("s"), -F.col("v")))
+    return p.groupBy(key).agg(F.when(F.max("seen") > 1, -best).alias("threshold"))
+
+
+def ink_runs(masks: DataFrame, thresholds: DataFrame, key: str = "origin") -> DataFrame:
+    """The runs of all ink: levels up to their page's threshold."""
+    kind = dict(masks.dtypes)[key]
 
-    return images.select(key, "height", "width", "nChannels", "data").mapInPandas(run, f"{key} {kind}, dark long")
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for r in pdf.itertuples(index=False):
+                y, x1, x2 = raster.runs(np.frombuffer(r.flat, np.uint8).reshape(r.count, r.width) <= r.threshold)
+                yield pd.DataFrame({key: getattr(r, key), "y": y + r.y, "x1": x1, "x2": x2})
+
+    j = masks.select(key, "y", "count", "width", "flat").join(thresholds.where("threshold IS NOT NULL"), key)
+    return j.mapInPandas(run, f"{key} {kind}, y long, x1 long, x2 long")
 
 
-def word_redness(words: DataFrame, layers: DataFrame, page: str = "page") -> DataFrame:
-    """words (page, x1, y1, x2, y2, ...) with redness (to three places): red over ink pixels of each box.
+def _footprint(width: int, height: int) -> list[tuple[int, int, int]]:
+    """The rows of an ellipse as runs.grown takes them."""
+    shape = raster.ellipse(width, height)
+    return [(i - height // 2, int(width // 2 - np.flatnonzero(row)[0]), int(np.flatnonzero(row)[-1] - width // 2)) for i, row in enumerate(shape) if row.any()]
 
-    layers: page, height, width, red_mask, black_layer as packed bits; the ink is
-    that of both.  A page's words meet its masks in one row.  Words of a page
-    without masks get null.
+
+def split_pages(images: DataFrame, key: str = "origin", k: int = 51) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(statistics, red, black) of images (key, height, width, nChannels, data).
+
+    statistics: one row per page; a row without data gives nulls.  red: the runs
+    of red text.  black: the runs of ink that no red text or ornament, widened by
+    an ellipse of 5 x 5, claims.
     """
-    boxes = words.groupBy(page).agg(F.collect_list(F.struct("*")).alias("words"))
-    j = boxes.join(layers.select(page, "height", "width", "red_mask", "black_layer"), page, "left")
-    schema = T.StructType([*words.schema.fields, T.StructField("redness", T.DoubleType())])
+    masks = stored(band_masks(bands(images, key, max(EDGE, k // 2)), key, k), "masks")
+    sizes = masks.groupBy(key).agg(F.max("width").alias("width"), F.max("height").alias("height"), F.sum("coloured").alias("_c"), F.sum("cells").alias("_n"))
+    candidates = masks.select(key, F.explode("red").alias("r")).select(key, "r.*")
+    marked, counts = rn.filtered(rn.united(candidates, key), sizes, key)
+    marked = stored(marked.where("kind <> 'small'"), "ink")
+    red = marked.where("kind = 'kept'").drop("kind")
+    claimed = rn.grown(marked.drop("kind"), sizes, _footprint(5, 5), key)
+    black = stored(rn.without(ink_runs(masks, ink_thresholds(masks, key), key), claimed, key), "black")
+    area = lambda runs, name: runs.groupBy(key).agg(F.sum(F.col("x2") - F.col("x1")).alias(name))
+    s = sizes.join(area(red, "r"), key, "left").join(area(black, "b"), key, "left").fillna(0, ["r", "b"]).join(counts, key)
+    s = s.withColumn("_cover", (F.col("r") + F.col("b")) / (F.col("width").cast("long") * F.col("height"))).withColumn("_colour", F.col("_c") / F.col("_n"))
+    out = s.select(
+        key,
+        "width",
+        "height",
+        F.col("r").alias("red_ink_pixels"),
+        F.col("b").alias("black_ink_pixels"),
+        F.col("kept").alias("red_components_kept"),
+        F.col("small").alias("red_components_dropped_small"),
+        F.col("ornament").alias("red_components_dropped_ornament"),
+        F.coalesce(F.expr(rounded("r / nullif(r + b, 0)", 4)), F.lit(0.0)).alias("red_ink_ratio"),
+        F.expr(rounded("_cover", 5)).alias("ink_coverage"),
+        F.expr(rounded("_colour", 4)).alias("colour_area"),
+        (F.col("_cover") < raster.BLANK_INK).alias("is_blank"),
+        (F.col("_colour") > raster.ILLUSTRATION).alias("is_illustration"),
+    )
+    return images.select(key).join(out, key, "left"), red, black
+
+
+def dark_pixels(images: DataFrame, key: str = "origin") -> DataFrame:
+    """key, dark: pixels of a layer (an image) darker than half grey."""
+    kind = dict(images.dtypes)[key]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            for r in pdf.itertuples(index=False):
-                rows = [dict(w) if isinstance(w, dict) else w.asDict() for w in r.words]
-                if r.red_mask is not None:
-                    n = int(r.height) * int(r.width)
-                    red, black = (np.unpackbits(np.frombuffer(x, np.uint8))[:n].reshape(int(r.height), int(r.width)).astype(bool) for x in (r.red_mask, r.black_layer))
-                for w in rows:
-                    w["redness"] = None if r.red_mask is None else round(raster.redness(red, red | black, (w["x1"], w["y1"], w["x2"], w["y2"])), 3)
-                yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
+            dark = [None if r.data is None else int((raster.grey_of(pixels(r.data, r.height, r.width, r.nChannels)) < 128).sum()) for r in pdf.itertuples(index=False)]
+            yield pd.DataFrame({key: pdf[key], "dark": pd.array(dark, "Int64")})
 
-    return j.mapInPandas(run, schema)
+    return images.select(key, "height", "width", "nChannels", "data").mapInPandas(run, f"{key} {kind}, dark long")
 
 
-def red_regions(images: DataFrame, key: str = "page", least: int = 1500) -> DataFrame:
-    """key, phrase, x1, y1, x2, y2: the red phrases of every page's red mask (an image: not black is red)."""
+def mask_runs(images: DataFrame, key: str = "page") -> DataFrame:
+    """The runs of masks given as images: what is not black is set."""
     kind = dict(images.dtypes)[key]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for r in pdf.itertuples(index=False):
-                if r.data is not None:
-                    box = raster.red_boxes(raster.grey_of(pixels(r.data, r.height, r.width, r.nChannels)) > 0, least)
-                    yield pd.DataFrame({key: getattr(r, key), "x1": box[:, 0], "y1": box[:, 1], "x2": box[:, 2], "y2": box[:, 3]})
+                y, x1, x2 = raster.runs(raster.grey_of(pixels(r.data, r.height, r.width, r.nChannels)) > 0)
+                yield pd.DataFrame({key: getattr(r, key), "y": y, "x1": x1, "x2": x2})
+
+    return _known(images, key).mapInPandas(run, f"{key} {kind}, y long, x1 long, x2 long")
+
 
-    found = images.select(key, "height", "width", "nChannels", "data").mapInPandas(run, f"{key} {kind}, x1 long, y1 long, x2 long, y2 long")
-    return core.merge_phrases(found, key)
+def red_regions(images: DataFrame, key: str = "page", least: int = rn.PHRASE_AREA) -> DataFrame:
+    """key, phrase, x1, y1, x2, y2: the red phrases of every page's red mask (an image)."""
+    return rn.red_phrases(mask_runs(images, key), _known(images, key).select(key, "width", "height"), least, key)

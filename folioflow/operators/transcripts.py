@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import matching
 from ..functions import text as tx
-from ..functions import udfs
+from ..functions.sqlparts import rounded
 from . import core
 
 #: Break types after which a space follows (fixed values).
@@ -114,7 +115,7 @@ def page_checks(pages: DataFrame, key: str = "page", alphabet: str = "verify", l
             "digits": tx.count_in(F.col("_full"), digit),
             "script_chars": F.length("_norm").cast("long"),
             "model_red": F.coalesce(F.length("_red") / F.nullif(F.length("_norm"), F.lit(0)), F.lit(0.0)),
-            "agreement": F.when(both, udfs.ratio(F.when(both, F.col("_ocr")), F.when(both, F.col("_norm")))),
+            "agreement": F.when(both, matching.ratio("_ocr", "_norm")),
             "model_lines": lines,
             "empty_type": F.try_element_at(empty, F.lit(1))["type"],
             "draft": tx.is_draft(F.col("source")),
@@ -137,10 +138,10 @@ def page_flags(p: DataFrame, key: str = "page") -> DataFrame:
     say = lambda cond, *parts: F.when(cond, F.concat(*[x if isinstance(x, Column) else text(x) for x in parts]))
     count = lambda name: F.coalesce(F.size(F.when(c(name).isNotNull(), c(name))), text(0))
     shown = lambda items: core.preview(items, 4)
-    two = lambda x: udfs.fixed(x, text(2))
+    two = lambda x: F.format_string("%.2f", F.expr(rounded(x, 2)))
     lacking = F.array_compact(F.array(F.when(c("uncertain").isNull(), "uncertain"), F.when(c("clipped").isNull(), "clipped")))
-    p = p.withColumn("_agreed", two(c("agreement"))).withColumn("_model", two(c("model_red"))).withColumn("_mask", two(c("mask_red"))).withColumn("_agreement", udfs.round_even(c("agreement"), text(3)))
-    p = p.withColumn("_agreement2", two(c("_agreement")))
+    p = p.withColumn("_agreed", two("agreement")).withColumn("_model", two("model_red")).withColumn("_mask", two("mask_red")).withColumn("_agreement", F.expr(rounded("agreement", 3)))
+    p = p.withColumn("_agreement2", two("_agreement"))
     many, gap = count("uncertain"), c("model_red") - c("mask_red")
     open_ = undecided(F.coalesce(c("corrections"), F.expr("array()").cast(p.schema["corrections"].dataType)))
     off = (c("ocr_lines") > 0) & (F.abs(c("model_lines") - c("ocr_lines")) / c("ocr_lines").cast("double") > LINE_TOLERANCE)

@@ -1,4 +1,4 @@
 """The catalogue of queries: QUERIES and, where SQL can say it, ORACLE_SQL."""
 
-from . import books, drafts, records, reviews  # noqa: F401
+from . import books, drafts, masks, records, reviews  # noqa: F401
 from .catalogue import ORACLE_SQL, QUERIES  # noqa: F401

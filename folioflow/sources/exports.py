@@ -51,26 +51,33 @@ def write_page_csv(pages: DataFrame, path: str) -> None:
 
 
 def write_files(files: DataFrame, folder: str) -> int:
-    """Writes rows (name, body) as files of a folder on any file system, each whole or not at all; how many.
+    """Writes rows (name, body) as files of a folder on any file system Spark knows, each replaced in one step; how many.
 
-    A book's pages come through one at a time.
+    A name may hold folders below it.  A file is written beside its target and
+    renamed over it, so a reader, or a crash, finds the old text or the new one.
+    A book's pages come through one at a time; tables of files go through
+    write.format("book"), whose tasks write them.
     """
     spark = files.sparkSession
     jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
+    hadoop = jvm.org.apache.hadoop.fs
+    root = hadoop.Path(folder)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(root)
+    root = fs.makeQualified(root)
+    context = hadoop.FileContext.getFileContext(root.toUri(), spark._jsc.hadoopConfiguration())
+    over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
     n = 0
     for r in files.select("name", "body").toLocalIterator():
-        target, part = (jvm.org.apache.hadoop.fs.Path(root, x) for x in (r.name, f".{r.name}.part"))
+        target = hadoop.Path(root, r.name)
+        part = hadoop.Path(target.getParent(), f".{target.getName()}.part")
+        fs.mkdirs(target.getParent())
         out = fs.create(part, True)
         try:
             out.write(bytearray(r.body.encode()))
         finally:
             out.close()
-        if fs.exists(target):
-            fs.delete(target, False)
-        fs.rename(part, target)
+        context.rename(part, target, over)
         n += 1
     return n
 

@@ -7,7 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.udfs import json_hash, round_even
+from .functions.sqlparts import rounded
+from .functions.udfs import json_hash
 from .operators import book, drafts, rasters, reports, revisions, transcripts, validate
 from .sources import books, exports
 from .sources.pages import select_pages
@@ -76,7 +77,7 @@ def verify(spark: SparkSession, root: str, pages: str = "all") -> dict:
     yes = lambda c: F.coalesce(c, F.lit(False))
     p = p.withColumns({"has_transcript": F.col("raw_json").isNotNull(), "source": F.col("_source"), **{c: yes(F.col(c)) for c in ("has_layout", "has_image", "colour_from_mask", "unresolved")}})
     c = transcripts.page_checks(p)
-    three = lambda name: round_even(F.col(name), F.lit(3))
+    three = lambda name: F.expr(rounded(name, 3))
     checks = c.select("page", F.struct(F.col("draft").alias("draft_transcript"), F.col("latin").alias("latin_chars"), F.col("digits").alias("ascii_digits"), three("model_red").alias("model_red_ratio"), three("mask_red").alias("mask_red_ratio"), F.col("ocr_lines").alias("tesseract_lines"), F.size("blocks").alias("model_blocks"), three("agreement").alias("text_agreement"), F.greatest(F.lit(0), F.size("uncertain")).alias("uncertain_words"), F.greatest(F.lit(0), F.size("clipped")).alias("clipped_lines")).alias("checks"))
     now = transcripts.page_flags(c).withColumnRenamed("flags", "review_flags").join(checks, "page").join(present(spark, at), "page", "left")
     kinds = now.select("review_flags", "checks", "transcript_sha256", "evidence_sha256").schema
@@ -182,8 +183,7 @@ def import_export(spark: SparkSession, root: str, path: str) -> dict:
     summary = out["summary"].first().asDict()
     name = lambda end: F.concat(F.format_string("page_%03d", F.col("page")), F.lit(end)).alias("name")
     # What is replaced is kept before anything is replaced.
-    for r in out["history"].select("page").distinct().collect():  # the pages of one export
-        exports.write_files(out["history"].where(F.col("page") == r.page).select(F.concat("sha256", F.lit(".json")).alias("name"), "body"), f"{at['work']}/history/{r.page}")
+    exports.write_files(out["history"].select(F.concat(F.col("page").cast("string"), F.lit("/"), "sha256", F.lit(".json")).alias("name"), "body"), f"{at['work']}/history")
     exports.write_files(out["originals"].where("body <> ''").select(name(".original.json"), "body"), at["transcripts"])
     stored = json.loads(books.read_text_or(spark, at["review"], '{"entries": {}}'))
     for r in out["reviews"].collect():  # the decisions of one book
@@ -197,16 +197,14 @@ def import_export(spark: SparkSession, root: str, path: str) -> dict:
 
 
 def library(spark: SparkSession, folder: str) -> list[dict]:
-    """The books of a folder: titles, sections, pages rendered and transcribed."""
-    out = []
-    for root in books.discover(spark, folder):
-        b = books.load(spark, [root])
-        own = b.first()
-        at = books.paths(root, own.book_id)
-        n = lambda pattern, own=own: books.file_table(spark, pattern).withColumn(KEY, F.lit(own.book_id))
-        texts = n(f"{at['transcripts']}/page_*.json").where(F.col("name").rlike(r"^page_\d{3,}\.json\z"))
-        out.append(reports.library(b, books.section_rules(b), n(f"{at['page_images']}/page_*.png"), texts).first().asDict())
-    return out
+    """The books of a folder: titles, sections, pages rendered and transcribed. All books are read together."""
+    b = books.load(spark, books.discover(spark, folder))
+    name = lambda path, part: F.element_at(F.split(F.split(path, part)[0], "/"), -1)
+    own = b.select(KEY, name("root", r"/\z").alias("_f"))
+    of = lambda part: books.file_table(spark, f"{folder}/*/work/{part}").withColumn("_f", name("path", "/work/")).join(own, "_f")
+    texts = of("transcripts/page_*.json").where(F.col("name").rlike(r"^page_\d{3,}\.json\z"))
+    rows = reports.library(b, books.section_rules(b), of("page_images/page_*.png"), texts).collect()  # a row per book
+    return [r.asDict() for r in sorted(rows, key=lambda r: r[KEY])]
 
 
 def doctor(spark: SparkSession, root: str) -> dict:

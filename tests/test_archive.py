@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as tx
-from folioflow.functions import udfs
+from folioflow.functions import matching
 from folioflow.operators import archive, reports
 from folioflow.sources import exports
 
@@ -22,11 +22,23 @@ def norm(t):
     return "".join(c for c in t if "a" <= c <= "z")
 
 
+def windowed(needle, text):
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b).ratio()
+    if not needle or not text:
+        return 0.0
+    if needle in text:
+        return 1.0
+    if len(text) - len(needle) <= 4:
+        return ratio(needle, text)
+    size = max(8, len(needle))
+    return max(ratio(needle, text[i : i + size]) for i in range(0, max(0, min(500, len(text)) - size) + 1, max(1, size // 4)))
+
+
 def worth(text, rule):
     _, _, _, title, words, groups, _ = rule
     head = norm("\n".join([x.strip() for x in text.splitlines() if x.strip()][:6]))
     share = sum(norm(k) in head for k in words) / max(1, len(words))
-    t = udfs.windowed_ratio(norm(title), head)
+    t = windowed(norm(title), head)
     base = max(t, share * 0.82 + t * 0.18)
     if groups:
         whole = all(any(norm(a) and norm(a) in head for a in g) for g in groups)
@@ -34,13 +46,10 @@ def worth(text, rule):
     return round(base, 3)
 
 
-def test_window_ratio():
-    r = lambda a, b: difflib.SequenceMatcher(None, a, b).ratio()
-    assert udfs.windowed_ratio("abc", "xxabcx") == 1.0 and udfs.windowed_ratio("", "a") == udfs.windowed_ratio("a", "") == 0.0
-    assert udfs.windowed_ratio("abcd", "abxdyyy") == r("abcd", "abxdyyy")
-    long_ = "q" * 30 + "abxdefgh" + "q" * 30
-    assert udfs.windowed_ratio("abcdefgh", long_) == max(r("abcdefgh", long_[i : i + 8]) for i in range(0, len(long_) - 7, 2))
-    assert udfs.windowed_ratio("abc", "z" * 600 + "ab") == 0.0
+def test_window_ratio(spark):
+    pairs = [("abc", "xxabcx"), ("", "a"), ("a", ""), ("abcd", "abxdyyy"), ("abcdefgh", "q" * 30 + "abxdefgh" + "q" * 30), ("abc", "z" * 600 + "ab"), ("ab", "xbxaxxx" * 90), ("ሀለሐመሠረ" * 3, "ሀለመሠረ " * 40)]
+    got = spark.createDataFrame(pairs, "a string, b string").select(F.expr(matching.windowed_ratio("a", "b")).alias("r")).collect()
+    assert [r.r for r in got] == [windowed(a, b) for a, b in pairs]
 
 
 def test_scores_by_definition(spark):

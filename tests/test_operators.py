@@ -110,17 +110,3 @@ def test_page_checks_and_flags(spark):
     assert f[1] == ["1 Latin characters in Ethiopic text: 'a'", "1 ASCII digits (Ethiopic numerals expected)", "red coverage over-marked: model 0.67 vs mask 0.10", "empty prayer block", "5 uncertain word(s) to check: a, b, c, d (+1 more)", "TEXT CUT OFF at top of page — 1 line(s) missing"]
     assert f[2] == ["legacy transcript missing review field(s): uncertain", "missing colour-mask evidence; run split before verification", "missing word-layout evidence; run layout before verification", "model produced no text but Tesseract found lines", "transcript contains no Ethiopic text", "TEXT CUT OFF at top of page — 1 line(s) missing"]
     assert f[3] == ["no transcript"]
-
-
-def test_ratio_is_difflibs(spark):
-    import difflib
-    import random
-
-    rng = random.Random(3)
-    word = lambda n: "".join(rng.choice("abcdeሀለሐ ") for _ in range(n))
-    rows = [(i, word(a), word(b)) for i, (a, b) in enumerate([(0, 0), (0, 5), (30, 30), (250, 240), (240, 10), (400, 400)])] + [(9, None, "a"), (10, "a", None)]
-    df = spark.createDataFrame(rows, "i int, a string, b string")
-    got = {r.i: r.r for r in df.select("i", udfs.ratio(F.col("a"), F.col("b")).alias("r")).collect()}
-    assert got == {i: None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio() for i, a, b in rows}
-    x = spark.createDataFrame([(0.125, 2), (2.675, 2), (0.5, 0), (None, 2)], "x double, d int")
-    assert [(r.a, r.b) for r in x.select(udfs.round_even("x", "d").alias("a"), udfs.fixed("x", "d").alias("b")).collect()] == [(0.12, "0.12"), (2.67, "2.67"), (0.0, "0"), (None, None)]

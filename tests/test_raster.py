@@ -1,13 +1,14 @@
-"""Rasters against plain loops and drawn pages."""
+"""Rasters in bands and masks in runs against whole pages, plain loops and drawn pages."""
 
 import numpy as np
 import pandas as pd
+import pytest
+import raster_reference as ref
+from folioflow.functions import raster
+from folioflow.operators import rasters, runs
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from folioflow.functions import raster
-from folioflow.operators import rasters
-
 RED, BLACK = (40, 40, 200), (20, 20, 20)
 
 
@@ -27,19 +28,10 @@ def flood(mask):
                         seen[c, d] = True
                         stack.append((c, d))
         ys, xs = zip(*part, strict=True)
-        out.append((min(xs), min(ys), max(xs) + 1, max(ys) + 1, len(part)))
+        out.append((int(min(xs)), int(min(ys)), int(max(xs)) + 1, int(max(ys)) + 1, len(part)))
     return sorted(out)
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.integers(0, 10**6), st.integers(1, 24), st.integers(1, 24), st.floats(0.05, 0.8))
-def test_components(seed, h, w, p):
-    mask = np.random.default_rng(seed).random((h, w)) < p
-    labels, box = raster.components(mask)
-    assert sorted(map(tuple, box.tolist())) == flood(mask)
-    assert ((labels > 0) == mask).all() and sorted(np.bincount(labels.ravel())[1:].tolist()) == sorted(box[:, 4].tolist())
-
-
 @settings(max_examples=20, deadline=None)
 @given(st.integers(0, 10**6), st.sampled_from([3, 5]))
 def test_median(seed, k):
@@ -65,32 +57,128 @@ def page():
     return x
 
 
-def test_split():
-    stats, red, black = raster.split_page(page())
-    assert (stats["red_components_kept"], stats["red_components_dropped_small"], stats["red_components_dropped_ornament"]) == (1, 1, 1)
-    assert red[45, 60] and not red[102, 200] and black[45, 140] and not black[45, 60] and not black[102, 200]
-    assert not stats["is_blank"] and not stats["is_illustration"]
-    assert raster.redness(red, red | black, (30, 30, 90, 60)) == 1.0 and raster.redness(red, red | black, (100, 30, 190, 60)) == 0.0
-    assert raster.redness(red, black, (0, 0, 0, 0)) == 0.0
+def noisy(rng, h, w):
+    x = rng.normal(225 - np.linspace(0, 60, w)[None, :, None], 6, (h, w, 3))
+    for _ in range(40):
+        y, z, a, b = rng.integers(0, h), rng.integers(0, w), rng.integers(2, 20), rng.integers(2, 40)
+        x[y : y + a, z : z + b] = [RED, BLACK, (90, 90, 90), (60, 50, 150), (200, 30, 30)][rng.integers(0, 5)] + rng.normal(0, 8, 3)
+    return np.clip(x, 0, 255).astype(np.uint8)
 
 
-def test_blank_and_empty():
-    stats, red, _ = raster.split_page(np.full((80, 60, 3), 240, np.uint8))
-    assert stats["is_blank"] and stats["red_ink_ratio"] == 0.0 and len(raster.red_boxes(red)) == 0
-    assert raster.split_page(np.full((80, 60, 3), RED, np.uint8))[0]["is_illustration"]
+def images(spark, pages):
+    rows = [(k, *(x.shape[:2] if x is not None else (0, 0)), 1 if x is not None and x.ndim == 2 else 3, None if x is None else x.tobytes()) for k, x in pages.items()]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=["origin", "height", "width", "nChannels", "data"]), "origin string, height int, width int, nChannels int, data binary")
 
 
-def test_red_boxes():
-    red = np.zeros((300, 400), bool)
-    red[40:80, 40:100] = red[40:80, 120:180] = True
-    assert len(raster.red_boxes(red)) == 1
+def painted(rows, shape):
+    out = np.zeros(shape, bool)
+    for r in rows:
+        assert not out[r.y, r.x1 : r.x2].any()
+        out[r.y, r.x1 : r.x2] = True
+    return out
 
 
-def test_rows(spark):
-    x = page()
-    rows = pd.DataFrame([("a", 300, 400, 3, x.tobytes()), ("b", 0, 0, 3, None)], columns=["origin", "height", "width", "nChannels", "data"])
-    df = spark.createDataFrame(rows, "origin string, height int, width int, nChannels int, data binary")
-    got = {r.origin: r for r in rasters.split_pages(df, layers=True).collect()}
-    assert got["a"].red_components_kept == 1 and got["b"].width is None
-    red = np.unpackbits(np.frombuffer(got["a"].red_mask, np.uint8))[: 300 * 400].reshape(300, 400)
-    assert red[45, 60] and red.sum() == got["a"].red_ink_pixels
+@pytest.mark.parametrize("band, k", [(252, 51), (24, 9)])
+def test_bands_are_the_whole_page(spark, monkeypatch, band, k):
+    monkeypatch.setattr(rasters, "BAND", band)
+    rng = np.random.default_rng(band)
+    pages = {"drawn": page(), "noisy": noisy(rng, 270, 180), "small": noisy(rng, 60, 90), "even": np.full((80, 60, 3), 240, np.uint8), "red": np.full((80, 60, 3), RED, np.uint8), "grey": noisy(rng, 70, 50)[..., 0].copy(), "line": noisy(rng, 4, 30), "thin": noisy(rng, 50, 3), "none": None}
+    stats, red, black = rasters.split_pages(images(spark, pages), k=k)
+    stats, red, black = ({r.origin: r for r in stats.collect()}, red.collect(), black.collect())
+    assert stats["none"].width is None and set(stats) == set(pages)
+    for name, x in pages.items():
+        if x is None:
+            continue
+        whole = np.repeat(x[..., None], 3, 2) if x.ndim == 2 else x
+        want, reds, blacks = ref.split_page(whole, k)
+        got = stats[name].asDict()
+        assert {c: got[c] for c in want} == want, name
+        assert (painted([r for r in red if r.origin == name], reds.shape) == reds).all()
+        assert (painted([r for r in black if r.origin == name], reds.shape) == blacks).all(), name
+    assert stats["drawn"].red_components_kept == 1 and stats["even"].is_blank and stats["red"].is_illustration
+
+
+def masks(rng, n):
+    shapes = [(1, 1), (1, 90), (70, 3), (40, 150), (66, 140)]
+    out = {i: rng.random(shapes[i % len(shapes)]) < rng.choice([0.05, 0.3, 0.5, 0.9]) for i in range(n)}
+    spiral = np.zeros((41, 200), bool)
+    for i in range(0, 41, 4):
+        spiral[i] = True
+        spiral[i : i + 3, 199 if i % 8 else 0] = True
+    return out | {n: spiral, n + 1: np.zeros((5, 5), bool)}
+
+
+def as_runs(spark, pages):
+    rows = [(k, int(y), int(a), int(b)) for k, m in pages.items() for y, a, b in zip(*raster.runs(m), strict=True)]
+    sizes = spark.createDataFrame([(k, m.shape[1], m.shape[0]) for k, m in pages.items()], "page int, width int, height int")
+    return spark.createDataFrame(rows, "page int, y long, x1 long, x2 long"), sizes
+
+
+def test_parts_and_filter(spark):
+    pages = masks(np.random.default_rng(2), 15)
+    table, sizes = as_runs(spark, pages)
+    got = runs.parts(runs.labelled(table)).collect()
+    kept, counts = runs.filtered(table, sizes)
+    kept, counts = kept.collect(), {r.page: r for r in counts.collect()}
+    for k, m in pages.items():
+        assert sorted((r.x1, r.y1, r.x2, r.y2, r.area) for r in got if r.page == k) == flood(m)
+        red, ornaments, n = ref.filter_components(m)
+        assert {c: counts[k][c] for c in n} == n
+        for kind, want in (("kept", red), ("ornament", ornaments)):
+            assert (painted([r for r in kept if r.page == k and r.kind == kind], m.shape) == want).all()
+
+
+def test_united_grown_and_without(spark):
+    rng = np.random.default_rng(3)
+    boxes = [(i % 4, int(x), int(y), int(x + w), int(y + h)) for i, (x, y, w, h) in enumerate(zip(*rng.integers(0, 60, (2, 60)), *rng.integers(0, 20, (2, 60)), strict=True))]
+    want = {p: np.zeros((90, 90), bool) for p in range(4)}
+    for p, x1, y1, x2, y2 in boxes:
+        want[p][y1:y2, x1:x2] = True
+    table = runs.of_boxes(spark.createDataFrame(boxes, "page int, x1 int, y1 int, x2 int, y2 int"))
+    other, sizes = as_runs(spark, {p: rng.random((90, 90)) < 0.2 for p in range(4)})
+    holes = {p: painted([r for r in other.collect() if r.page == p], (90, 90)) for p in range(4)}
+    foot = rasters._footprint(5, 5)
+    got, wide, less = table.collect(), runs.grown(table, sizes, foot).collect(), runs.without(table, other).collect()
+    tall = runs.grown(table, sizes, runs.rectangle(45, 15)).collect()
+    for p in range(4):
+        own = lambda rows, p=p: painted([r for r in rows if r.page == p], (90, 90))
+        assert (own(got) == want[p]).all() and (own(less) == (want[p] & ~holes[p])).all()
+        assert (own(wide) == raster.dilate(want[p], raster.ellipse(5, 5))).all()
+        assert (own(tall) == raster.dilate(want[p], np.ones((15, 45), bool))).all()
+
+
+def test_red_phrases(spark):
+    rng = np.random.default_rng(4)
+    pages = {p: np.zeros((300, 400), bool) for p in range(4)}
+    for m in pages.values():
+        for _ in range(9):
+            y, x = rng.integers(0, 290), rng.integers(0, 390)
+            m[y : y + rng.integers(1, 30), x : x + rng.integers(1, 60)] = True
+    images_ = images(spark, {str(p): (m * np.uint8(255)) for p, m in pages.items()})
+    got = rasters.red_regions(images_, "origin").collect()
+    for p, m in pages.items():
+        boxes, phrases = ref.red_boxes(m).tolist(), []
+        for x1, y1, x2, y2 in sorted(boxes, key=lambda b: ((b[1] + (b[3] - b[1]) // 2) // 60, *b)):
+            last = phrases[-1] if phrases else None
+            if last and abs((last[1] + last[3]) / 2 - (y1 + y2) / 2) < 50 and x1 - last[2] < 140:
+                phrases[-1] = [min(last[0], x1), min(last[1], y1), max(last[2], x2), max(last[3], y2)]
+            else:
+                phrases.append([x1, y1, x2, y2])
+        assert [[r.x1, r.y1, r.x2, r.y2] for r in sorted((r for r in got if r.origin == str(p)), key=lambda r: r.phrase)] == phrases
+
+
+def test_word_redness(spark):
+    rng = np.random.default_rng(5)
+    ink = {p: rng.random((150, 170)) < 0.4 for p in range(3)}
+    red = {p: m & (rng.random(m.shape) < 0.5) for p, m in ink.items()}
+    ink[2][:] = red[2][:] = False
+    words = [(p, i, *map(int, (x, y, x + w, y + h))) for p in range(4) for i, (x, y, w, h) in enumerate(zip(*rng.integers(-20, 170, (2, 40)), *rng.integers(0, 130, (2, 40)), strict=True))]
+    df = spark.createDataFrame([(*w, "t") for w in words], "page int, word int, x1 int, y1 int, x2 int, y2 int, text string")
+    (a, sizes), (b, _) = as_runs(spark, red), as_runs(spark, ink)
+    got = {(r.page, r.word): r.redness for r in runs.word_redness(df, a, b, sizes).collect()}
+    assert got == {(p, i): None if p == 3 else round(ref.redness(red[p], ink[p], box), 3) for p, i, *box in words}
+
+
+def test_layers(spark):
+    got = {r.origin: r.dark for r in rasters.dark_pixels(images(spark, {"a": page(), "b": None})).collect()}
+    assert got["b"] is None and got["a"] > 80 * 12

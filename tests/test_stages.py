@@ -93,23 +93,6 @@ def test_stages(spark, root):
     assert (d["analysed_pages"], d["content_pages"], d["transcripts"], d["source_available"], d["draft_pages"]) == (3, 2, 2, True, [1, 2])
 
 
-def test_words_and_red_regions(spark):
-    import numpy as np
-    from folioflow.operators import rasters
-
-    red = np.zeros((100, 300), bool)
-    red[10:30, 20:120] = True
-    black = np.zeros((100, 300), bool)
-    black[10:30, 100:200] = True
-    layers = spark.createDataFrame([(1, 100, 300, bytearray(np.packbits(red).tobytes()), bytearray(np.packbits(black).tobytes()))], "page int, height int, width int, red_mask binary, black_layer binary")
-    words = spark.createDataFrame([(1, "a", 20, 10, 100, 30), (1, "b", 100, 10, 140, 30), (1, "c", 250, 60, 280, 90), (2, "d", 0, 0, 5, 5)], "page int, text string, x1 int, y1 int, x2 int, y2 int")
-    assert {r.text: r.redness for r in rasters.word_redness(words, layers).collect()} == {"a": 1.0, "b": 0.5, "c": 0.0, "d": None}
-    grey = (red * 255).astype(np.uint8)
-    image = spark.createDataFrame([(1, 100, 300, 1, bytearray(grey.tobytes())), (2, 2, 2, 1, None)], "page int, height int, width int, nChannels int, data binary")
-    assert [(r.page, r.phrase) for r in rasters.red_regions(image).collect()] == [(1, 1)]
-    assert {r.page: r.dark for r in rasters.dark_pixels(image, "page").collect()} == {1: 100 * 300 - 2000, 2: None}
-
-
 def test_tsv(spark, tmp_path):
     from folioflow.sources.pages import read_words_tsv
 
