@@ -1,70 +1,13 @@
-"""What the operators share: shared-folder tables, partition counts, graph components."""
+"""What the operators share, beside the library's tables between steps and graph components."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a local one only where that is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        return where.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    where = tempfile.mkdtemp(prefix="folioflow-")
-    atexit.register(shutil.rmtree, where, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{where}")
-    return f"file://{where}"
-
-
-_KEPT: set[str] = set()
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path of this application in the shared folder; what is left there goes when the program ends."""
-    home = f"{shared_dir(spark)}/folioflow/{spark.sparkContext.applicationId}"
-    if home not in _KEPT:
-        _KEPT.add(home)
-
-        def leave():
-            if spark.sparkContext._jsc is not None:
-                _remove(spark, home)
-
-        atexit.register(leave)
-    return f"{home}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stored_at = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Removes stored tables whose last reader has been written itself."""
-    for t in tables:
-        _remove(t.sparkSession, t._stored_at)
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+from ..operators.graph import components  # noqa: F401
+from ..storage import discard, join_hot, partitions, scratch, shared_dir, stored  # noqa: F401
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,27 +40,6 @@ def numbered(df: DataFrame, *order) -> DataFrame:
     return line.join(F.broadcast(base), "_part").withColumn("i", F.col("_base") + F.col("_own")).drop("_part", "_own", "_base")
 
 
-#: A key with over one in so many rows is hot; there are fewer hot keys than that, so they may be broadcast.
-HOT_SHARE = 1024
-
-
-def join_hot(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join by one column in which right names each key once; left's hot keys are not shuffled.
-
-    Rows of left with a hot key meet right's rows for the at most HOT_SHARE hot
-    keys by broadcast, the others by shuffle.  Both sides are read twice, so
-    they should be stored.  Null keys join nothing.
-    """
-    n = left.groupBy(key).agg(F.count("*").alias("n")).where(F.col(key).isNotNull())
-    total = left.count()
-    hot = [r[0] for r in n.where(F.col("n") * HOT_SHARE > total).select(key).collect()] if total else []  # fewer than HOT_SHARE
-    if not hot:
-        return left.join(right, key)
-    hit = F.col(key).isin(hot)
-    cold = left.where(~hit).join(right.where(~hit), key)
-    return cold.unionByName(left.where(hit).join(F.broadcast(right.where(hit)), key))
-
-
 def bitmap(values: DataFrame, bits: int) -> np.ndarray:
     """A bitmap of fixed size, as 64-bit words, with the bit of every value (one long column) modulo bits, a power of two."""
     bit = F.col(values.columns[0]).bitwiseAND(F.lit(bits - 1))
@@ -136,29 +58,3 @@ def running(values: str, op: str) -> str:
 def let(value: str, name: str, body: str) -> str:
     """SQL: body with `name` bound to value, which is evaluated once."""
     return f"transform(array({value}), {name} -> {body})[0]"
-
-
-def components(edges: DataFrame, name: str = "cc") -> DataFrame:
-    """Connected components of (u, v): one row (node, component) per node, component its smallest node.
-
-    Alternates the large-star and small-star steps, each round written to the
-    shared folder, until nothing changes, which takes about log(n) rounds.  Hubs
-    are pre-aggregated; nothing is collected but two sums.
-    """
-    e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    e, before = stored(e, name), None
-    while True:
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
-        last, e = e, stored(small, name)
-        discard(last)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    tops = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(tops)

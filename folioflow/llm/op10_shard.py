@@ -15,12 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, stored
+from .common import documents, fresh_names, numbered, stored
 
 #: The shape of the first shards; each later one is a region of its own.
 REGION_SHARDS, RACK_SHARDS, FIRST_SHARDS = 10, 5, 40
-#: Leading bits of the order within a shard: so many buckets of it are numbered on their own.
-SLOT_BITS = 10
 EXTRA_BYTES = 16
 
 
@@ -53,18 +51,22 @@ def _pick(key: Column, level: str, node: Column, weights: list[list[float]]) ->
 
 
 def with_shard(df: DataFrame, key: str, tree: Tree, name: str) -> DataFrame:
-    """Adds the shard of column `key`. A child's draw depends on its place, so it stays when others come after it."""
-    cols = df.columns
+    """Adds the shard of column `key`; other columns may have any names, one called `name` is replaced.
+
+    A child's draw depends on its place, so it stays when others come after it.
+    """
+    cols = [c for c in df.columns if c.lower() != name.lower() or c == key]
+    region, rack_, leaf = fresh_names([*df.columns, name], "region", "rack", "leaf")
     weight = lambda rack: sum(w for _, w in rack)
     racks = max(map(len, tree.regions))
     padded = [[*r, *[()] * (racks - len(r))] for r in tree.regions]
-    df = df.withColumn("_region", _pick(F.col(key), "region", F.lit(0), [[sum(map(weight, r)) for r in tree.regions]]))
-    df = df.withColumn("_rack", F.col("_region") * racks + _pick(F.col(key), "rack", F.col("_region"), [[weight(x) for x in r] for r in padded]))
+    df = df.withColumn(region, _pick(F.col(key), "region", F.lit(0), [[sum(map(weight, r)) for r in tree.regions]]))
+    df = df.withColumn(rack_, F.col(region) * racks + _pick(F.col(key), "rack", F.col(region), [[weight(x) for x in r] for r in padded]))
     leaves = [[w for _, w in rack] for r in padded for rack in r]
     width = max(map(len, leaves))
     ids = F.array(*[F.lit(s) for r in padded for rack in r for s in [*(i for i, _ in rack), *[-1] * (width - len(rack))]])
-    df = df.withColumn("_leaf", F.col("_rack") * width + _pick(F.col(key), "shard", F.col("_rack"), leaves))
-    return df.select(*cols, F.element_at(ids, (F.col("_leaf") + 1).cast("int")).cast("int").alias(name))
+    df = df.withColumn(leaf, F.col(rack_) * width + _pick(F.col(key), "shard", F.col(rack_), leaves))
+    return df.select(*["`" + c.replace("`", "``") + "`" for c in cols], F.element_at(ids, (F.col(leaf) + 1).cast("int")).cast("int").alias(name))
 
 
 def sharded(docs: DataFrame, shards: int = FIRST_SHARDS) -> DataFrame:
@@ -75,7 +77,7 @@ def sharded(docs: DataFrame, shards: int = FIRST_SHARDS) -> DataFrame:
     none) plus EXTRA_BYTES.  Slots run from 0 without gaps in the order of the
     MD5 of doc_id (of the text, where doc_id is null), then doc_id, checksum and
     size; identical rows get neighbouring slots, and which of them gets which
-    shows in no column.  An empty table gives no rows.  Other columns are not read.
+    shows in no column.  Rows of one doc_id may be any share of the table.  An empty table gives no rows.  Other columns are not read.
     """
     raw = F.col("text").cast("string").cast("binary")
     text = F.coalesce(raw, F.lit("").cast("binary"))
@@ -83,16 +85,14 @@ def sharded(docs: DataFrame, shards: int = FIRST_SHARDS) -> DataFrame:
     h = F.md5(F.concat(F.lit("slot|"), F.coalesce(key.cast("string"), F.md5(raw), F.lit(""))).cast("binary"))
     r = docs.select(key.alias("doc_id"), (F.length(text) + EXTRA_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), h.alias("h"))
     r = with_shard(with_shard(r, "doc_id", Tree.of(shards), "shard"), "doc_id", Tree.of(shards + 1), "grown_shard")
-    r = r.withColumn("bucket", F.shiftright(F.conv(F.substring("h", 1, 8), 16, 10).cast("long"), 32 - SLOT_BITS).cast("int"))
-    # Read twice below; without it every draw would be made twice.
-    r = stored(r, "drawn")
-    counts = r.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.select(F.col("shard").alias("s"), F.col("bucket").alias("b"), F.coalesce(before, F.lit(0)).alias("base"))
-    own = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("h", "doc_id", "text_crc32", "size"))
-    r = r.withColumn("own", own)
-    # At most shards * 2**SLOT_BITS rows: a proven bound.
-    return r.join(F.broadcast(counts), (r.shard == counts.s) & (r.bucket == counts.b)).select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("own") - 1).cast("long").alias("slot"), "grown_shard")
+    # Read several times below; without it every draw would be made as often.
+    r = stored(r.withColumn("row", F.monotonically_increasing_id()), "drawn")
+    # Numbered by range over all shards; the row's own number parts rows of one key, however many there are.
+    line = numbered(r, *[F.col(c) for c in ("shard", "h", "doc_id", "text_crc32", "size", "row")])
+    first = r.groupBy("shard").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    first = first.select(F.col("shard").alias("s"), F.coalesce(before, F.lit(0)).alias("base"))  # a row per shard
+    return line.join(F.broadcast(first), line.shard == first.s).select("doc_id", "size", "text_crc32", "shard", (F.col("i") - F.col("base")).alias("slot"), "grown_shard")
 
 
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,6 @@ import numpy as np
 import pytest
 import xxhash
 from folioflow.llm import op11_simhash as op
-from folioflow.llm.common import join_hot
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -112,10 +111,3 @@ def test_counts_differ_by_the_distance_at_most():
     for cut in op.CUTS:
         assert (gap[:, cut].sum(1) <= np.bitwise_count(a ^ b)).all()
         assert (op.counts_of(a)[:, cut].sum(1, dtype=int) == np.bitwise_count(a)).all()
-
-
-def test_join_by_a_hot_key(spark):
-    left = spark.createDataFrame([(i, 7 if i % 3 else i % 2000) for i in range(6000)] + [(-1, None)], "a long, k long")
-    right = spark.createDataFrame([(k, k * 2) for k in range(0, 2000, 2)] + [(7, 14)], "k long, b long")
-    want = left.join(right, "k").select("k", "a", "b").collect()
-    assert sorted(join_hot(left, right, "k").select("k", "a", "b").collect()) == sorted(want)

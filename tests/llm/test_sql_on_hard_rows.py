@@ -54,3 +54,20 @@ def test_shards_of_null_ids_and_repeated_rows(spark):
     for r in got:
         slots.setdefault(r.shard, []).append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_slots_of_one_hot_doc_id(spark):
+    from pyspark.sql import functions as F
+
+    hot = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 1000).alias("text"))
+    got = op10_shard.sharded(hot.repartition(8))
+    per = got.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.min("slot").alias("lo"), F.max("slot").alias("hi")).collect()
+    assert sum(r.n for r in per) == 200_000 and all(r.n == r.d == r.hi + 1 and r.lo == 0 for r in per)
+    assert got.where("doc_id = 7").select("shard").distinct().count() == 1
+
+
+def test_shard_of_any_columns(spark):
+    df = spark.createDataFrame([(i, 100, 200, 300, "x") for i in range(50)], "doc_id long, _region int, region int, Rack int, shard string")
+    got = op10_shard.with_shard(df, "doc_id", op10_shard.Tree.of(40), "shard")
+    assert got.columns == ["doc_id", "_region", "region", "Rack", "shard"]
+    assert all((r[1], r[2], r[3]) == (100, 200, 300) and 0 <= r[4] < 40 for r in got.collect())
