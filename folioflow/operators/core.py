@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -174,11 +176,12 @@ def symmetric_difference(a: DataFrame, b: DataFrame, on: str) -> DataFrame:
     return j.where("_l IS NULL OR _r IS NULL").select(F.coalesce("_l", "_r").alias(on), F.when(F.col("_r").isNull(), "missing").otherwise("unexpected").alias("side"))
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """New rows replace old ones of their key; old ones that nothing replaces stay."""
-    o, n = (d.select(F.col(key).alias(f"{p}k"), F.lit(True).alias(f"{p}has"), *[F.col(c).alias(f"{p}{c}") for c in columns]) for d, p in ((old, "o_"), (new, "n_")))
-    j = o.join(n, F.col("o_k") == F.col("n_k"), "full")
-    return j.select(F.coalesce("n_k", "o_k").alias(key), *[F.when(F.col("n_has"), F.col(f"n_{c}")).otherwise(F.col(f"o_{c}")).alias(c) for c in columns])
+def upsert(old: DataFrame, new: DataFrame, key: str | list[str], columns: list[str]) -> DataFrame:
+    """New rows replace old ones of their key (a column or several); old ones that nothing replaces stay."""
+    keys = [key] if isinstance(key, str) else key
+    o, n = (d.select(F.struct(*keys).alias(f"{p}k"), F.lit(True).alias(f"{p}has"), *[F.col(c).alias(f"{p}{c}") for c in columns]) for d, p in ((old, "o_"), (new, "n_")))
+    j = o.join(n, reduce(and_, [F.col("o_k")[k] == F.col("n_k")[k] for k in keys]), "full").withColumn("_k", F.coalesce("n_k", "o_k"))
+    return j.select(*[F.col("_k")[k].alias(k) for k in keys], *[F.when(F.col("n_has"), F.col(f"n_{c}")).otherwise(F.col(f"o_{c}")).alias(c) for c in columns])
 
 
 def latest(df: DataFrame, key: str, value: str, order: Column) -> DataFrame:

@@ -301,7 +301,7 @@ def adopted(pages: DataFrame, candidates: DataFrame, readings: DataFrame, drafts
     return outcomes, base.withColumn("legacy", F.when(F.col("_name").isNotNull(), F.concat(F.lit("transcripts-legacy/"), "_name"))).drop("_name"), kept
 
 
-def adopt_summary(outcomes: DataFrame, page: str = "page") -> DataFrame:
-    """One row: adopted, missing_candidate, missing_red (sorted pages), uncertain (sum)."""
+def adopt_summary(outcomes: DataFrame, page: str = "page", keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row per book (keys): adopted, missing_candidate, missing_red (sorted pages), uncertain (sum)."""
     listed = lambda k: F.sort_array(F.collect_list(F.when(F.col("outcome") == k, F.col(page)))).alias(k)
-    return outcomes.agg(listed("adopted"), listed("missing_candidate"), listed("missing_red"), F.coalesce(F.sum("uncertain"), F.lit(0)).alias("uncertain"))
+    return outcomes.groupBy(*keys).agg(listed("adopted"), listed("missing_candidate"), listed("missing_red"), F.coalesce(F.sum("uncertain"), F.lit(0)).alias("uncertain"))

@@ -203,15 +203,15 @@ def run_plan(keys: DataFrame, done: DataFrame, force: bool = False, page: str =
     return keys.join(have, "file", "left").select(page, F.when(F.col("missing_image"), "failed").when(cached, "cached").otherwise("run").alias("todo"))
 
 
-def run_summary(plan: DataFrame, results: DataFrame, page: str = "page") -> DataFrame:
-    """One row: requested, completed, cached (sorted pages), failed (page to error).
+def run_summary(plan: DataFrame, results: DataFrame, page: str = "page", keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row per book (keys): requested, completed, cached (sorted pages), failed (page to error).
 
     plan: of run_plan; results: page, finish_reason, error of the pages that ran.
     A page whose reading did not stop by itself failed, whatever it says.
     """
-    j = plan.join(results, page, "left")
+    j = plan.join(results, [*keys, page], "left")
     error = F.when(F.col("todo") == "failed", "page image is missing").when((F.col("todo") == "run") & F.col("error").isNotNull(), F.col("error")).when((F.col("todo") == "run") & ~F.col("finish_reason").eqNullSafe("stop"), "model did not finish normally; output may be truncated")
     j = j.withColumn("_error", error)
     listed = lambda cond, name: F.sort_array(F.collect_list(F.when(cond, F.col(page)))).alias(name)
     bad = F.sort_array(F.collect_list(F.when(F.col("_error").isNotNull(), F.struct(F.col(page).cast("string").alias("key"), F.col("_error").alias("value")))))
-    return j.agg(F.sort_array(F.collect_list(page)).alias("requested"), listed((F.col("todo") == "run") & F.col("_error").isNull(), "completed"), listed(F.col("todo") == "cached", "cached"), F.map_from_entries(bad).alias("failed"))
+    return j.groupBy(*keys).agg(F.sort_array(F.collect_list(page)).alias("requested"), listed((F.col("todo") == "run") & F.col("_error").isNull(), "completed"), listed(F.col("todo") == "cached", "cached"), F.map_from_entries(bad).alias("failed"))

@@ -169,10 +169,10 @@ def page_flags(p: DataFrame, key: str = "page") -> DataFrame:
     return p.select(key, F.when(F.coalesce(c("has_transcript"), text(False)), flags).otherwise(F.array(text("no transcript"))).alias("flags"))
 
 
-def report_totals(reports: DataFrame, page: str = "page", flags: str = "flags") -> DataFrame:
-    """One row: pages_checked, pages_flagged, flagged_pages (ascending)."""
+def report_totals(reports: DataFrame, page: str = "page", flags: str = "flags", keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row per book (keys): pages_checked, pages_flagged, flagged_pages (ascending)."""
     hit = F.size(flags) > 0
-    return reports.agg(F.count("*").alias("pages_checked"), F.count_if(hit).alias("pages_flagged"), F.sort_array(F.collect_list(F.when(hit, F.col(page)))).alias("flagged_pages"))
+    return reports.groupBy(*keys).agg(F.count("*").alias("pages_checked"), F.count_if(hit).alias("pages_flagged"), F.sort_array(F.collect_list(F.when(hit, F.col(page)))).alias("flagged_pages"))
 
 
 def layout_hint(lines: DataFrame, words: DataFrame, page: str = "page") -> DataFrame:

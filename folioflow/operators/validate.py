@@ -142,6 +142,11 @@ def layouts(pages: DataFrame, page: str = "page", raw: str = "content") -> DataF
     return v.withColumn("reason", reason).select(page, "reason", F.when(F.col("reason").isNull(), F.expr(scaled)).alias("cells"))
 
 
+def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, copies: keys that more than one row has; null keys are equal. No rows where keys are unique."""
+    return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
+
+
 def known_books(ids: DataFrame, registry: DataFrame, key: str = "book_id") -> DataFrame:
     """ids with reason: a book that is not in the registry is unknown."""
     have = registry.select(F.col(key).alias("_k"), "max_page")

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import archive, book, layout, reports
-from ..sources import books, exports
-from ..sources.pages import select_pages
-from .catalogue import _SPACE, ACCENTED, L, _strip, query, t
+from ..sources import books, exports, pages
+from .catalogue import RATIO, _SPACE, ACCENTED, L, _strip, query, t
 
 # ---- a book from its blocks ------------------------------------------------------
 
@@ -143,10 +142,12 @@ def content_pages(spark, d):
     return reports.pages_with_text(t(spark, d, "documents").select(F.col("doc_id").alias("page")), stats)
 
 
-@query("SELECT i AS page FROM range(1, 101) AS r(i) WHERE i IN (3, 7, 90) OR i BETWEEN 95 AND 100")
+@query("SELECT doc_id AS page, 'asked' AS kind FROM documents WHERE doc_id IN (3, 7) OR doc_id BETWEEN 95 AND 120 UNION ALL SELECT doc_id, 'sample' FROM documents WHERE doc_id IN (90, 91, 5)")
 def lenient_pages(spark, d):
-    """Selectors with empty parts, pages beyond the book, and a named sample."""
-    return spark.range(1, 101).select(F.col("id").alias("page")).where(F.col("page").isin(select_pages("7,,3,95-120,", 100, strict=False) + select_pages("sample", 100, strict=False, sample=(90,))))
+    """Selectors with empty parts, pages beyond the book, and a named sample, of the documents."""
+    p = t(spark, d, "documents").select(F.col("doc_id").alias("page"))
+    asked = lambda spec, kind: pages.selected(p, spec, 100, strict=False, sample=(90, 91, 5)).withColumn("kind", F.lit(kind))
+    return asked("7,,3,95-120,900000000-900000001,", "asked").unionByName(asked("sample", "sample"))
 
 
 @query("SELECT doc_id, regexp_matches(trim(split_part(text, ' ', 1)), '^[A-Z]+$') AS numeral FROM documents")
@@ -289,12 +290,26 @@ def page_text_files(spark, d):
     return exports.text_files(t(spark, d, "documents"), "text", "doc_id").select("name", F.sha2("body", 256).alias("body"))
 
 
-@query()
+_BREAK = r"(?:\r\n|[\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}])"
+_FUZZY = [(1, "one", "the thing and", ["the"], [["and", "und"]]), (2, "two", "der die das", ["die"], [])]
+_WORTH = "greatest(t, share * 0.82::DOUBLE + t * 0.18::DOUBLE)"
+
+
+@query(rf"""WITH RECURSIVE v AS (SELECT conv_id || '-' || turn AS page, CASE WHEN coalesce(text, '') = '' THEN [] ELSE regexp_split_to_array(regexp_replace(text, '{_BREAK}\z', ''), '{_BREAK}') END AS v FROM conversations),
+h AS (SELECT page, v, regexp_replace(array_to_string(list_slice(list_filter(v, lambda x: NOT regexp_matches(x, '^({_SPACE})*$')), 1, 6), ' '), '[^A-Za-z]', '', 'g') AS head FROM v),
+w AS (SELECT page, section_id, title, head, greatest(8, length(title)) AS size FROM h, (VALUES ('one', 'thethingand'), ('two', 'derdiedas')) r(section_id, title) WHERE head <> '' AND NOT contains(head, title)),
+e AS (SELECT page, section_id, title AS a, unnest(CASE WHEN length(head) - length(title) <= 4 THEN [head] ELSE [head[i + 1:i + size] FOR i IN range(0, greatest(0, least(500, length(head)) - size) + 1, greatest(1, size // 4))] END) AS b FROM w),
+p AS (SELECT row_number() OVER () AS id, a, b FROM (SELECT DISTINCT a, b FROM e)), {RATIO},
+best AS (SELECT page, section_id, max(r) AS t FROM e JOIN p USING (a, b) JOIN ratio USING (id) GROUP BY 1, 2),
+x AS (SELECT h.page, r.section_id, h.v, h.head, CASE WHEN head = '' THEN 0.0::DOUBLE WHEN contains(head, r.title) THEN 1.0::DOUBLE ELSE t END AS t, CASE WHEN contains(head, r.word) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS share FROM h CROSS JOIN (VALUES ('one', 'thethingand', 'the'), ('two', 'derdiedas', 'die')) r(section_id, title, word) LEFT JOIN best ON best.page = h.page AND best.section_id = r.section_id),
+y AS (SELECT *, CAST(CASE WHEN section_id = 'two' THEN {_WORTH} WHEN contains(head, 'and') OR contains(head, 'und') THEN greatest({_WORTH}, 0.78::DOUBLE) ELSE least({_WORTH}, 0.52::DOUBLE) END * 1152921504606846976::DOUBLE AS HUGEINT) * 1000 AS m FROM x)
+SELECT page, section_id, CAST(m // 1152921504606846976 + CASE WHEN m % 1152921504606846976 > 576460752303423488 OR (m % 1152921504606846976 = 576460752303423488 AND m // 1152921504606846976 % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 1000::DOUBLE AS score,
+  CAST(CASE WHEN section_id = 'two' THEN 0 ELSE coalesce(list_filter(range(0, least(len(v), 24)), lambda i: regexp_matches(regexp_replace(array_to_string(v[i + 1:i + 3], ' '), '[^A-Za-z]', '', 'g'), 'and|und'))[1], 0) END AS INTEGER) AS start_line FROM y""")
 def section_scores(spark, d):
-    """Every message against fuzzy titles; a string ratio is not SQL."""
-    p = t(spark, d, "conversations").select(F.lit(1).alias("book"), F.monotonically_increasing_id().alias("page"), "text")
-    rules = spark.createDataFrame([(1, 1, "one", "the thing and", ["the"], [["and", "und"]]), (1, 2, "two", "der die das", ["die"], [])], "book int, ord int, section_id string, title_am string, keywords array<string>, required_any array<array<string>>")
-    return archive.section_scores(p, rules, ["book"], _SCRIPT).groupBy("section_id", "start_line").agg(F.count("*").alias("n"), F.round(F.avg("score"), 6).alias("mean"))
+    """Every message against fuzzy titles."""
+    p = t(spark, d, "conversations").select(F.lit(1).alias("book"), F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("page"), "text")
+    rules = spark.createDataFrame([(1, *r) for r in _FUZZY], "book int, ord int, section_id string, title_am string, keywords array<string>, required_any array<array<string>>")
+    return archive.section_scores(p, rules, ["book"], _SCRIPT).select("page", "section_id", "score", "start_line")
 
 
 @query(rf"""WITH l AS (SELECT doc_id, i, regexp_matches(x, '^({_SPACE})*$') AS b FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents))

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import matching
 from ..functions import text as tx
-from ..operators import archive, core, layout, quality, reports
-from ..sources import exports
+from ..operators import archive, core, layout, quality, reports, validate
+from ..sources import exports, pages
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -312,12 +312,13 @@ def union_low_unassigned(spark, d):
 
 @query("SELECT text, count(*) AS copies FROM documents GROUP BY text HAVING count(*) > 1")
 def duplicate_regions(spark, d):
-    return t(spark, d, "documents").groupBy("text").agg(F.count("*").alias("copies")).where("copies > 1")
+    return validate.repeated(t(spark, d, "documents"), ["text"])
 
 
-@query("SELECT count(*) AS n, count(DISTINCT doc_id) AS ids, count(*) = count(DISTINCT doc_id) AS is_unique FROM documents")
+@query("SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def unique_ids(spark, d):
-    return t(spark, d, "documents").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids")).select("n", "ids", (F.col("n") == F.col("ids")).alias("is_unique"))
+    """Lines that share their order and number, which should name one line."""
+    return validate.repeated(t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("""WITH o AS (SELECT user_id, max(event_id) AS last, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY 1), w AS (SELECT user_id, max(event_id) AS last, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1)
@@ -348,11 +349,11 @@ def save_conflicts(spark, d):
     return t(spark, d, "events").select("user_id", "event_id", p.alias("p")).select("user_id", "event_id", F.when(F.col("p").isNull() | (F.col("p") % 10 != 3), "saved").otherwise("conflict").alias("outcome"))
 
 
-@query("SELECT i AS page FROM range(1, 101) AS r(i) WHERE i IN (3, 7) OR i BETWEEN 10 AND 20")
+@query("SELECT doc_id + 1 AS page, lang FROM documents WHERE doc_id + 1 IN (3, 7) OR doc_id + 1 BETWEEN 10 AND 20 OR doc_id + 1 BETWEEN 100 AND 150")
 def page_selector(spark, d):
-    from ..sources.pages import select_pages
-
-    return spark.range(1, 101).select(F.col("id").alias("page")).where(F.col("page").isin(select_pages("7,3,10-20,12", 100)))
+    """The asked pages of the documents, which are one book."""
+    p = t(spark, d, "documents").select((F.col("doc_id") + 1).alias("page"), "lang")
+    return pages.selected(p, "7,3,10-20,12,100-150", p.agg(F.max("page")).first()[0])
 
 
 # ---- aggregates ------------------------------------------------------------

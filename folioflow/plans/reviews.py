@@ -166,23 +166,34 @@ def run_plan(spark, d):
     return keys.join(revisions.run_plan(keys, done), "page").select("page", "cache_key", "file", "todo")
 
 
-@query("""WITH r AS (SELECT d.doc_id AS page, CASE WHEN lang = 'de' THEN 'failed' WHEN l.doc_id IS NOT NULL THEN 'cached' ELSE 'run' END AS todo, CASE WHEN n_chars % 3 = 0 THEN 'length' ELSE 'stop' END AS finish, CASE WHEN n_chars % 5 = 0 THEN 'broken ' || d.doc_id END AS err FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id),
+@query("""WITH r AS (SELECT conv_id, turn AS page, CASE WHEN role = 'system' THEN 'failed' WHEN length(text) % 2 = 0 THEN 'cached' ELSE 'run' END AS todo, CASE WHEN length(text) % 3 = 0 THEN 'length' ELSE 'stop' END AS finish, CASE WHEN length(text) % 5 = 0 THEN 'broken ' || turn END AS err FROM conversations),
 f AS (SELECT *, CASE WHEN todo = 'failed' THEN 'page image is missing' WHEN todo = 'run' AND err IS NOT NULL THEN err WHEN todo = 'run' AND finish <> 'stop' THEN 'model did not finish normally; output may be truncated' END AS error FROM r)
-SELECT count(*) AS requested, CAST(count(*) FILTER (todo = 'run' AND error IS NULL) AS BIGINT) AS completed, CAST(count(*) FILTER (todo = 'cached') AS BIGINT) AS cached, sha256(string_agg(page || '=' || error, ';' ORDER BY CAST(page AS VARCHAR)) FILTER (error IS NOT NULL)) AS failed FROM f""")
+SELECT conv_id, count(*) AS requested, CAST(count(*) FILTER (todo = 'run' AND error IS NULL) AS BIGINT) AS completed, CAST(count(*) FILTER (todo = 'cached') AS BIGINT) AS cached, coalesce(string_agg(page || '=' || error, ';' ORDER BY CAST(page AS VARCHAR)) FILTER (error IS NOT NULL), '') AS failed FROM f GROUP BY 1""")
 def run_summary(spark, d):
-    x, l = t(spark, d, "documents"), t(spark, d, "labels").select("doc_id", F.lit(True).alias("have")).distinct()
-    x = x.join(l, "doc_id", "left").withColumnRenamed("doc_id", "page")
-    plan = x.select("page", F.when(F.col("lang") == "de", "failed").when(F.col("have"), "cached").otherwise("run").alias("todo"))
-    res = x.select("page", F.when(F.col("n_chars") % 3 == 0, "length").otherwise("stop").alias("finish_reason"), F.when(F.col("n_chars") % 5 == 0, F.concat(F.lit("broken "), F.col("page").cast("string"))).alias("error"))
-    s = revisions.run_summary(plan, res)
+    """What became of the pages of each run: a conversation is one, its turns are the pages."""
+    x = t(spark, d, "conversations").withColumnRenamed("turn", "page").withColumn("n", F.length("text"))
+    plan = x.select("conv_id", "page", F.when(F.col("role") == "system", "failed").when(F.col("n") % 2 == 0, "cached").otherwise("run").alias("todo"))
+    res = x.select("conv_id", "page", F.when(F.col("n") % 3 == 0, "length").otherwise("stop").alias("finish_reason"), F.when(F.col("n") % 5 == 0, F.concat(F.lit("broken "), F.col("page").cast("string"))).alias("error"))
+    s = revisions.run_summary(plan, res, keys=("conv_id",))
     said = F.array_join(F.transform(F.sort_array(F.map_entries("failed")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
     size = lambda c: F.size(c).cast("long").alias(c)
-    return s.select(size("requested"), size("completed"), size("cached"), F.sha2(said, 256).alias("failed"))
+    return s.select("conv_id", size("requested"), size("completed"), size("cached"), said.alias("failed"))
 
 
 # ---- the hosted store --------------------------------------------------------------
 
 
+@query("""WITH o AS (SELECT conv_id, turn, CASE WHEN length(text) % 3 = 0 THEN 'missing_candidate' WHEN length(text) % 3 = 1 THEN 'missing_red' ELSE 'adopted' END AS outcome FROM conversations)
+SELECT conv_id, coalesce(string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) FILTER (outcome = 'adopted'), '') AS adopted, coalesce(string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) FILTER (outcome = 'missing_candidate'), '') AS missing_candidate, coalesce(string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) FILTER (outcome = 'missing_red'), '') AS missing_red, CAST(coalesce(sum(turn) FILTER (outcome = 'adopted'), 0) AS BIGINT) AS uncertain FROM o GROUP BY 1""")
+def adopt_summary(spark, d):
+    """What adopting came to in each book (a conversation)."""
+    n = F.length("text") % 3
+    x = t(spark, d, "conversations").withColumn("outcome", F.when(n == 0, "missing_candidate").when(n == 1, "missing_red").otherwise("adopted"))
+    x = x.select("conv_id", F.col("turn").alias("page"), "outcome", F.when(F.col("outcome") == "adopted", F.col("turn")).otherwise(0).cast("long").alias("uncertain"))
+    s = drafts.adopt_summary(x, keys=("conv_id",))
+    return s.select("conv_id", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("adopted", "missing_candidate", "missing_red")], "uncertain")
+
+
 @query("""WITH s AS (SELECT user_id AS page, event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS cur, lag(ts, 1 + CAST(event_id % 4 = 0 AS INT)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS base, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS who FROM events)
 SELECT page, event_id, CASE WHEN base IS NOT DISTINCT FROM cur THEN 'saved' ELSE coalesce(who, 'Someone') || ' saved this page' END AS outcome FROM s""")
 def hosted_saves(spark, d):
@@ -278,23 +289,32 @@ def page_maps(spark, d):
     return page_map(m, "m").select(F.col("page").cast("long").alias("page"), "value")
 
 
-@query("""WITH o AS (SELECT doc_id AS page, ['x'] AS f FROM documents WHERE lang <> 'de'), n AS (SELECT doc_id AS page, CASE WHEN quality = 0 THEN ['y'] ELSE [] END AS f FROM labels), m AS (SELECT coalesce(n.page, o.page) AS page, CASE WHEN n.page IS NOT NULL THEN n.f ELSE o.f END AS f FROM o FULL JOIN n ON n.page = o.page)
-SELECT count(*) AS pages_checked, CAST(count(*) FILTER (len(f) > 0) AS BIGINT) AS pages_flagged, sha256(string_agg(CAST(page AS VARCHAR), ',' ORDER BY page) FILTER (len(f) > 0)) AS flagged, sha256(string_agg(page || array_to_string(f, ''), ',' ORDER BY page)) AS reports FROM m""")
+_RERUN = "SELECT conv_id, CASE WHEN length(text) % 5 = 0 THEN turn + 1000 ELSE turn END AS page, role, text FROM conversations WHERE length(text) % 2 = 1"
+
+
+def _rerun(spark, d):
+    """Every second turn again, some under numbers of their own."""
+    x = t(spark, d, "conversations").where(F.length("text") % 2 == 1)
+    return x.withColumn("page", F.when(F.length("text") % 5 == 0, F.col("turn") + 1000).otherwise(F.col("turn")))
+
+
+@query(f"""WITH o AS (SELECT conv_id, turn AS page, ['x'] AS f FROM conversations), n AS (SELECT conv_id, page, CASE WHEN role = 'user' THEN ['y'] ELSE [] END AS f FROM ({_RERUN})), m AS (SELECT coalesce(n.conv_id, o.conv_id) AS conv_id, coalesce(n.page, o.page) AS page, CASE WHEN n.page IS NOT NULL THEN n.f ELSE o.f END AS f FROM o FULL JOIN n ON n.conv_id = o.conv_id AND n.page = o.page)
+SELECT conv_id, count(*) AS pages_checked, CAST(count(*) FILTER (len(f) > 0) AS BIGINT) AS pages_flagged, coalesce(string_agg(CAST(page AS VARCHAR), ',' ORDER BY page) FILTER (len(f) > 0), '') AS flagged, string_agg(page || array_to_string(f, ''), ',' ORDER BY page) AS reports FROM m GROUP BY 1""")
 def report_merge(spark, d):
-    """The merged report of a run over the labelled pages."""
+    """The merged report of each book (a conversation) after a run over some of its pages."""
     none = F.expr("cast(array() as array<string>)")
-    old = t(spark, d, "documents").where("lang <> 'de'").select(F.col("doc_id").alias("page"), F.array(F.lit("x")).alias("review_flags"))
-    new = t(spark, d, "labels").select(F.col("doc_id").alias("page"), F.when(F.col("quality") == 0, F.array(F.lit("y"))).otherwise(none).alias("review_flags"))
-    r = exports.report_document(old, new)
+    old = t(spark, d, "conversations").select("conv_id", F.col("turn").alias("page"), F.array(F.lit("x")).alias("review_flags"))
+    new = _rerun(spark, d).select("conv_id", "page", F.when(F.col("role") == "user", F.array(F.lit("y"))).otherwise(none).alias("review_flags"))
+    r = exports.report_document(old, new, keys=("conv_id",))
     each = F.array_join(F.transform("reports", lambda x: F.concat(x["page"].cast("string"), F.array_join(x["review_flags"], ""))), ",")
-    return r.select("pages_checked", "pages_flagged", F.sha2(F.array_join(F.col("flagged_pages").cast("array<string>"), ","), 256).alias("flagged"), F.sha2(each, 256).alias("reports"))
+    return r.select("conv_id", "pages_checked", "pages_flagged", F.array_join(F.col("flagged_pages").cast("array<string>"), ",").alias("flagged"), each.alias("reports"))
 
 
-@query("""SELECT sha256(string_agg('===== Page ' || page || ' =====' || chr(10) || chr(10) || body || chr(10), chr(10) ORDER BY page)) AS body FROM (SELECT conv_id AS page, string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (text <> '') AS body FROM conversations GROUP BY 1)""")
+@query("""SELECT conv_id, sha256(string_agg('===== Page ' || turn || ' =====' || chr(10) || chr(10) || coalesce(text, '') || chr(10), chr(10) ORDER BY turn)) AS body FROM conversations GROUP BY 1""")
 def combined_text(spark, d):
-    """All conversations as one text with banners."""
-    texts = exports.page_texts(t(spark, d, "conversations"), "conv_id", "turn").withColumnRenamed("conv_id", "page")
-    return exports.combined_text(texts).select(F.sha2("body", 256).alias("body"))
+    """Each conversation as a book, a page a turn, with banners."""
+    texts = t(spark, d, "conversations").select("conv_id", F.col("turn").alias("page"), F.coalesce("text", F.lit("")).alias("body"))
+    return exports.combined_text(texts, keys=("conv_id",)).select("conv_id", F.sha2("body", 256).alias("body"))
 
 
 # ---- what is stored -------------------------------------------------------------------
@@ -349,14 +369,14 @@ def hosted_export(spark, d):
     return pages.select(F.lit("text").alias("part"), "page", F.get_json_object("raw_json", "$.lang").alias("said")).unionByName(e.select(F.lit("entry").alias("part"), "page", F.col("note").alias("said")))
 
 
-@query("""WITH o AS (SELECT doc_id AS page, n_chars AS v FROM documents WHERE lang <> 'de'), n AS (SELECT doc_id AS page, quality AS v FROM labels), m AS (SELECT coalesce(n.page, o.page) AS page, CASE WHEN n.page IS NOT NULL THEN n.v ELSE o.v END AS v FROM o FULL JOIN n ON n.page = o.page) SELECT sha256(string_agg(page || '=' || v, ',' ORDER BY page)) AS stats, count(*) AS pages FROM m""")
+@query(f"""WITH o AS (SELECT conv_id, turn AS page, length(text) AS v FROM conversations), n AS (SELECT conv_id, page, length(role) AS v FROM ({_RERUN})), m AS (SELECT coalesce(n.conv_id, o.conv_id) AS conv_id, coalesce(n.page, o.page) AS page, CASE WHEN n.page IS NOT NULL THEN n.v ELSE o.v END AS v FROM o FULL JOIN n ON n.conv_id = o.conv_id AND n.page = o.page) SELECT conv_id, string_agg(page || '=' || v, ',' ORDER BY page) AS stats, count(*) AS pages FROM m GROUP BY 1""")
 def stats_merge(spark, d):
-    """The statistics after a run over the labelled pages, as one map in page order."""
-    old = t(spark, d, "documents").where("lang <> 'de'").select(F.col("doc_id").alias("page"), F.col("n_chars").cast("long").alias("v"))
-    new = t(spark, d, "labels").select(F.col("doc_id").alias("page"), F.col("quality").cast("long").alias("v"))
-    s = exports.stats_document(old, new)
+    """The statistics of each book (a conversation) after a run over some of its pages, as one map in page order."""
+    old = t(spark, d, "conversations").select("conv_id", F.col("turn").alias("page"), F.length("text").cast("long").alias("v"))
+    new = _rerun(spark, d).select("conv_id", "page", F.length("role").cast("long").alias("v"))
+    s = exports.stats_document(old, new, keys=("conv_id",))
     each = F.array_join(F.transform(F.map_entries("stats"), lambda e: F.concat(e["key"], F.lit("="), e["value"]["v"].cast("string"))), ",")
-    return s.select(F.sha2(each, 256).alias("stats"), F.size("stats").cast("long").alias("pages"))
+    return s.select("conv_id", each.alias("stats"), F.size("stats").cast("long").alias("pages"))
 
 
 @query("""SELECT 'page_' || CASE WHEN conv_id < 1000 THEN lpad(CAST(conv_id AS VARCHAR), 3, '0') ELSE CAST(conv_id AS VARCHAR) END || '.json' AS name, sha256('{"page":' || conv_id || ',"lines":[' || string_agg('{"order":' || turn || ',"role":"' || role || '","note":null}', ',' ORDER BY turn) || ']}' || chr(10)) AS body FROM conversations GROUP BY conv_id""")

@@ -100,10 +100,10 @@ def candidate_documents(results: DataFrame, parameters: str, page: str = "page")
     return results.select(F.concat(stem, F.when(failed, ".error.json").otherwise(".json")).alias("name"), F.when(failed, bad).otherwise(good).alias("body"))
 
 
-def combined_text(texts: DataFrame, page: str = "page") -> DataFrame:
-    """One row, body: every page's text under a banner, in page order. A book's text is one file, so it is one row."""
+def combined_text(texts: DataFrame, page: str = "page", keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, body: every page's text under a banner, in page order. A book's text is one file, so it is one row; keys name the book."""
     one = F.concat(F.lit("===== Page "), F.col(page).cast("string"), F.lit(" =====\n\n"), F.col("body"), F.lit("\n"))
-    return texts.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(page, one.alias("t")))), lambda x: x["t"]), "\n").alias("body"))
+    return texts.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(page, one.alias("t")))), lambda x: x["t"]), "\n").alias("body"))
 
 
 def text_files(pages: DataFrame, column: str, page: str = "page") -> DataFrame:
@@ -150,21 +150,21 @@ def extraction_markdown(title: str, facts: dict, sections: DataFrame, confidence
     return "\n".join(out) + "\n"
 
 
-def report_document(old: DataFrame, new: DataFrame, page: str = "page") -> DataFrame:
-    """One row: pages_checked, pages_flagged, flagged_pages, reports, after new reports (page, review_flags, ...) replaced old ones of their page."""
-    fields = [c for c in new.columns if c != page]
-    merged = core.upsert(old, new, page, fields)
-    totals = transcripts.report_totals(merged, page, "review_flags")
-    every = merged.agg(F.sort_array(F.collect_list(F.struct(page, *fields))).alias("reports"))
-    return totals.join(every, F.lit(True))
+def report_document(old: DataFrame, new: DataFrame, page: str = "page", keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row per book (keys): pages_checked, pages_flagged, flagged_pages, reports, after new reports (page, review_flags, ...) replaced old ones of their page."""
+    fields = [c for c in new.columns if c not in (page, *keys)]
+    merged = core.upsert(old, new, [*keys, page], fields)
+    totals = transcripts.report_totals(merged, page, "review_flags", keys)
+    every = merged.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(page, *fields))).alias("reports"))
+    return totals.join(every, list(keys)) if keys else totals.join(every, F.lit(True))
 
 
-def stats_document(old: DataFrame, new: DataFrame, page: str = "page") -> DataFrame:
-    """One row, stats: page strings to measures in page order, after new pages replaced old ones."""
-    fields = [c for c in new.columns if c != page]
-    merged = core.upsert(old, new, page, fields)
+def stats_document(old: DataFrame, new: DataFrame, page: str = "page", keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row per book (keys), stats: page strings to measures in page order, after new pages replaced old ones."""
+    fields = [c for c in new.columns if c not in (page, *keys)]
+    merged = core.upsert(old, new, [*keys, page], fields)
     rows = F.sort_array(F.collect_list(F.struct(F.col(page).alias("k"), F.struct(*fields).alias("v"))))
-    return merged.agg(F.map_from_entries(F.transform(rows, lambda x: F.struct(x["k"].cast("string"), x["v"]))).alias("stats"))
+    return merged.groupBy(*keys).agg(F.map_from_entries(F.transform(rows, lambda x: F.struct(x["k"].cast("string"), x["v"]))).alias("stats"))
 
 
 def export_of(raw: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:

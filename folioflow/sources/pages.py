@@ -46,6 +46,20 @@ def select_pages(spec: str, total: int, strict: bool = True, sample: tuple[int,
     return sorted(pages)
 
 
+def selected(df: DataFrame, spec: str, total: int, strict: bool = True, sample: tuple[int, ...] = (), page: str = "page") -> DataFrame:
+    """The rows of the asked pages. Pages come as ranges, so a filter on them stays short and reaches the scan."""
+    asked, ranges = select_pages(spec, total, strict, sample), []
+    for p in asked:
+        if ranges and ranges[-1][1] == p - 1:
+            ranges[-1][1] = p
+        else:
+            ranges.append([p, p])
+    hit = F.lit(False)
+    for low, high in ranges:
+        hit = hit | F.col(page).between(low, high)
+    return df.where(hit)
+
+
 def canonical_page(name: Column) -> Column:
     """The page of a canonical transcript file: page_, three digits or more, .json; null for sidecars and anything else."""
     return F.nullif(F.regexp_extract(name, r"^page_(\d{3,})\.json\z", 1), F.lit("")).cast("int")
