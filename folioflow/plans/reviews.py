@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions import text as tx
 from ..operators import drafts, revisions, transcripts, validate
-from ..sources import books, exports
+from ..sources import book_format, books, exports
 from ..sources.pages import canonical_page, page_map
 from .catalogue import L, query, t
 
@@ -317,6 +318,16 @@ def combined_text(spark, d):
     return exports.combined_text(texts, keys=("conv_id",)).select("conv_id", F.sha2("body", 256).alias("body"))
 
 
+@query("""SELECT conv_id AS page, 'page_' || CASE WHEN conv_id < 1000 THEN lpad(CAST(conv_id AS VARCHAR), 3, '0') ELSE CAST(conv_id AS VARCHAR) END || '.txt' AS name, CAST(strlen(body) AS BIGINT) AS size, sha256(body) AS body FROM (SELECT CAST(conv_id AS INTEGER) AS conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (text <> '') AS body FROM conversations GROUP BY 1) WHERE conv_id >= 10""")
+def book_files(spark, d):
+    """Conversations written as files of a folder, and read back from page 10 on without opening the others."""
+    texts = exports.page_texts(t(spark, d, "conversations"), "conv_id", "turn")
+    folder = storage.scratch(book_format.register(spark), "files")
+    exports.text_files(texts, "body", "conv_id").write.format("book").mode("append").save(folder)
+    files = spark.read.format("book").load(folder).where("page >= 10")
+    return files.select("page", "name", "size", F.sha2("body", 256).alias("body"))
+
+
 # ---- what is stored -------------------------------------------------------------------
 
 

@@ -7,29 +7,62 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+
+#: What is known of a page: the hash of its text, whether a first text is kept, and the hash its approval was given for.
+_CURRENT, _APPROVED = "sha256 string, edited boolean", "sha256 string"
+_OUTCOMES = "page long, seq long, kind string, outcome string, archived string, keeps_original boolean, withdraws_approval boolean"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _Page(StatefulProcessor):
+    """One page's edits and approvals, in the order of seq within a batch, later batches after all earlier ones."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.current, self.approved = handle.getValueState("current", _CURRENT), handle.getValueState("approved", _APPROVED)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        now, edited = self.current.get() if self.current.exists() else (None, False)
+        approval = self.approved.get()[0] if self.approved.exists() else None
+        known, out = (now, edited, approval), []
+        pdf = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        for seq, kind, base, body in zip(pdf.seq, pdf.kind, pdf.base, pdf.body_hash, strict=True):
+            base = None if pd.isna(base) else base
+            fits = base == now
+            if kind == "approve":
+                # An approval names the text that its reader saw.
+                fits = fits and now is not None
+                approval = now if fits else approval
+                out.append((key[0], seq, kind, "saved" if fits else "conflict", None, False, False))
+                continue
+            changed = fits and now is not None and now != body
+            withdraws = fits and now != body and approval is not None
+            out.append((key[0], seq, kind, "saved" if fits else "conflict", now if changed else None, changed and not edited, withdraws))
+            if fits:
+                now, edited, approval = body, edited or changed, None if withdraws else approval
+        if (now, edited) != known[:2]:
+            self.current.update((now, edited))
+        if approval != known[2]:
+            self.approved.update((approval,)) if approval is not None else self.approved.clear()
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in _OUTCOMES.split(", ")])
+
+    def close(self) -> None:
+        pass
 
 
 def fold_edits(edits: DataFrame) -> DataFrame:
-    """edits (page long, seq long, base string, body_hash string): each edit's outcome against the state of its page.
-
-    An edit is saved where its base is the page's current hash.  Within a batch,
-    edits go by seq; a later batch's edits come after all earlier ones.  The state
-    is one hash per page.
+    """edits (page long, seq long, kind string, base string, body_hash string): each one's outcome against the state of its page.
+
+    kind is edit or approve.  An edit is saved where its base is the page's
+    current hash (null: no text yet); a changed one archives what it replaces,
+    keeps the first text once, and withdraws an approval.  An approval holds
+    where its base is the current hash.  Within a batch rows go by seq; a later
+    batch's come after all earlier ones.  A page's state is two small values in
+    RocksDB, which the checkpoint brings back after a restart.
     """
-
-    def one(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        current = state.get[0] if state.exists else None
-        pdf = pd.concat(list(frames)).sort_values("seq", kind="stable")
-        rows = []
-        for seq, base, body in zip(pdf.seq, pdf.base, pdf.body_hash, strict=True):
-            saved = (None if pd.isna(base) else base) == current
-            rows.append((key[0], seq, "saved" if saved else "conflict", current if saved and current != body else None))
-            current = body if saved else current
-        state.update((current,))
-        yield pd.DataFrame(rows, columns=["page", "seq", "outcome", "archived"])
-
-    return edits.groupBy("page").applyInPandasWithState(one, "page long, seq long, outcome string, archived string", "current string", "append", GroupStateTimeout.NoTimeout)
+    edits.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return edits.groupBy("page").transformWithStateInPandas(_Page(), _OUTCOMES, "append", "None")
 
 
 #: Parts of an upserted table, by hash of the key; a batch rewrites those it has rows of.

@@ -83,19 +83,27 @@ def test_sinks(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
 
 
-EDITS = [(1, 1, None, "a"), (1, 2, "a", "b"), (1, 3, "a", "c"), (2, 1, "x", "a"), (2, 2, None, "d"), (1, 4, "b", "b")]
+EDITS = [
+    [(1, 1, "edit", None, "a"), (1, 2, "edit", "a", "b"), (1, 3, "edit", "a", "c"), (2, 1, "edit", "x", "a"), (2, 2, "edit", None, "d"), (2, 3, "approve", "d", None), (3, 1, "approve", None, None)],
+    [(1, 4, "edit", "b", "b"), (2, 4, "approve", "old", None), (2, 5, "edit", "d", "e")],
+    [(2, 6, "edit", "e", "f"), (1, 5, "edit", "b", "g")],
+]
 
 
-def test_fold_stream(spark, tmp_path):
-    schema = "page long, seq long, base string, body_hash string"
-    edits = spark.createDataFrame(EDITS, schema)
-    for k, part in enumerate((edits.where("seq <= 2"), edits.where("seq > 2"))):
-        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+def test_fold_stream_over_restarts(spark, tmp_path):
+    schema = "page long, seq long, kind string, base string, body_hash string"
+    for rows in EDITS:  # each run begins from the checkpoint of the one before
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         q = reviews.fold_edits(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
         q.awaitTermination(120)
-    got = {(r.page, r.seq): (r.outcome, r.archived) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert got == {(1, 1): ("saved", None), (1, 2): ("saved", "a"), (1, 3): ("conflict", None), (2, 1): ("conflict", None), (2, 2): ("saved", None), (1, 4): ("saved", None)}
+    got = {(r.page, r.seq): (r.outcome, r.archived, r.keeps_original, r.withdraws_approval) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    plain = ("saved", None, False, False)
+    conflict = ("conflict", None, False, False)
+    assert got == {
+        (1, 1): plain, (1, 2): ("saved", "a", True, False), (1, 3): conflict, (2, 1): conflict, (2, 2): plain, (2, 3): plain, (3, 1): conflict,
+        (1, 4): plain, (2, 4): conflict, (2, 5): ("saved", "d", True, True), (2, 6): ("saved", "e", False, False), (1, 5): ("saved", "b", False, False),
+    }
 
 
 def test_upsert_stream(spark, tmp_path):
