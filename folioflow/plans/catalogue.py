@@ -446,24 +446,27 @@ def model_dimensions(spark, d):
 # ---- what SQL cannot say ---------------------------------------------------
 
 
-#: The ratio of pairs p (id, a, b): equal characters by diagonal, windows cut at their longest stretch, round by round.
-RATIO = """ra AS (SELECT id, unnest(string_split(a, '')) AS c, generate_subscripts(string_split(a, ''), 1) AS i FROM p WHERE a <> ''),
-rb AS (SELECT id, unnest(string_split(b, '')) AS c, generate_subscripts(string_split(b, ''), 1) AS j FROM p WHERE b <> ''),
+#: The ratio of pairs p (id, a, b): equal characters by diagonal; a round cuts each window at its longest stretch and deals the runs to both sides.
+RATIO = """ra AS (SELECT id, unnest(string_split(a, '')) AS c, generate_subscripts(string_split(a, ''), 1) AS i FROM p WHERE a <> '' AND a <> b),
+rb AS (SELECT id, unnest(string_split(b, '')) AS c, generate_subscripts(string_split(b, ''), 1) AS j FROM p WHERE b <> '' AND a <> b),
 popular AS (SELECT id, c FROM rb JOIN p USING (id) WHERE length(b) >= 200 GROUP BY id, c, length(b) HAVING count(*) > length(b) // 100 + 1),
 met AS (SELECT ra.id, i, i - j AS d, popular.c IS NOT NULL AS common FROM ra JOIN rb ON ra.id = rb.id AND ra.c = rb.c LEFT JOIN popular ON popular.id = ra.id AND popular.c = ra.c),
-every AS (SELECT id, d, min(i) AS i0, count(*) AS n FROM (SELECT *, i - row_number() OVER (PARTITION BY id, d ORDER BY i) AS g FROM met) GROUP BY id, d, g),
+long_ AS (SELECT DISTINCT id FROM popular),
+every AS (SELECT id, d, min(i) AS i0, count(*) AS n FROM (SELECT *, i - row_number() OVER (PARTITION BY id, d ORDER BY i) AS g FROM met WHERE id IN (SELECT id FROM long_)) GROUP BY id, d, g),
 rare AS (SELECT id, d, min(i) AS i0, count(*) AS n FROM (SELECT *, i - row_number() OVER (PARTITION BY id, d ORDER BY i) AS g FROM met WHERE NOT common) GROUP BY id, d, g),
-f(id, a1, a2, b1, b2, i, j, k, root) AS (
-  SELECT id, 1::BIGINT, length(a) + 1, 1::BIGINT, length(b) + 1, length(a) + 1, length(b) + 1, 0::BIGINT, true FROM p WHERE a <> '' AND b <> ''
+f(id, a1, a2, b1, b2, i0, n, d) AS (
+  SELECT id, 1::BIGINT, length(a) + 1, 1::BIGINT, length(b) + 1, i0, n, d FROM p JOIN (SELECT id, i0, n, d FROM rare UNION ALL SELECT id, 1, 0, 0 FROM p) USING (id) WHERE a <> '' AND b <> '' AND a <> b
   UNION ALL
-  SELECT id, a1, a2, b1, b2, i - least(i - a1, j - b1, i - e1), j - least(i - a1, j - b1, i - e1), k + least(i - a1, j - b1, i - e1) + greatest(0, least(a2 - i - k, b2 - j - k, e2 - i - k)), false
-  FROM (SELECT g.*, CASE WHEN e.id IS NULL THEN g.i ELSE e.i0 END AS e1, CASE WHEN e.id IS NULL THEN g.i ELSE e.i0 + e.n END AS e2 FROM (
-      SELECT id, a1, a2, b1, b2, -best[2] AS i, -best[3] AS j, best[1] AS k FROM (
-        SELECT r.id, r.a1, r.a2, r.b1, r.b2, max(CASE WHEN rare.id IS NOT NULL AND least(i0 + n, r.a2, r.b2 + d) > greatest(i0, r.a1, r.b1 + d) THEN [least(i0 + n, r.a2, r.b2 + d) - greatest(i0, r.a1, r.b1 + d), -greatest(i0, r.a1, r.b1 + d), d - greatest(i0, r.a1, r.b1 + d)] ELSE [0, -r.a1, -r.b1] END) AS best
-        FROM (SELECT id, CASE WHEN s = 0 THEN a1 ELSE i + k END AS a1, CASE WHEN s = 0 THEN i ELSE a2 END AS a2, CASE WHEN s = 0 THEN b1 ELSE j + k END AS b1, CASE WHEN s = 0 THEN j ELSE b2 END AS b2 FROM f, (VALUES (0), (1)) t(s) WHERE root OR k > 0) r
-        LEFT JOIN rare ON rare.id = r.id WHERE r.a1 < r.a2 AND r.b1 < r.b2 GROUP BY r.id, r.a1, r.a2, r.b1, r.b2)) g
-      LEFT JOIN every e ON e.id = g.id AND e.d = g.i - g.j AND e.i0 <= g.i AND g.i < e.i0 + e.n)),
-ratio AS (SELECT p.id, CASE WHEN p.a = p.b THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * coalesce(s.k, 0) / (length(p.a) + length(p.b)) END AS r FROM p LEFT JOIN (SELECT id, CAST(sum(k) AS BIGINT) AS k FROM f GROUP BY id) s USING (id) WHERE p.a IS NOT NULL AND p.b IS NOT NULL)"""
+  SELECT id, a1, a2, b1, b2, CASE WHEN n = 0 THEN a1 ELSE greatest(i0, a1, b1 + d) END, CASE WHEN n = 0 THEN 0 ELSE least(i0 + n, a2, b2 + d) - greatest(i0, a1, b1 + d) END, CASE WHEN n = 0 THEN a1 - b1 ELSE d END
+  FROM (SELECT id, i0, n, d, CASE WHEN s = 0 THEN a1 ELSE i + k END AS a1, CASE WHEN s = 0 THEN i ELSE a2 END AS a2, CASE WHEN s = 0 THEN b1 ELSE j + k END AS b1, CASE WHEN s = 0 THEN j ELSE b2 END AS b2
+    FROM (SELECT id, a1, a2, b1, b2, i0, n, d, -best[2] - back AS i, -best[3] - back AS j, best[1] + back + greatest(0, least(a2 + best[2] - best[1], b2 + best[3] - best[1], e2 + best[2] - best[1])) AS k
+      FROM (SELECT g.*, least(-best[2] - a1, -best[3] - b1, CASE WHEN e.id IS NULL THEN 0 ELSE -best[2] - e.i0 END) AS back, CASE WHEN e.id IS NULL THEN -best[2] + best[1] ELSE e.i0 + e.n END AS e2
+        FROM (SELECT *, max([n, -i0, d - i0]) OVER (PARTITION BY id, a1, a2, b1, b2) AS best FROM f) g LEFT JOIN every e ON e.id = g.id AND e.d = best[3] - best[2] AND e.i0 <= -best[2] AND -best[2] < e.i0 + e.n)), (VALUES (0), (1)) t(s) WHERE k > 0)
+  WHERE a1 < a2 AND b1 < b2 AND (n = 0 OR least(i0 + n, a2, b2 + d) > greatest(i0, a1, b1 + d))),
+rect AS (SELECT id, a1, a2, b1, b2, max([n, -i0, d - i0]) AS best FROM f GROUP BY ALL),
+block AS (SELECT r.id, best[1] + least(-best[2] - a1, -best[3] - b1, CASE WHEN e.id IS NULL THEN 0 ELSE -best[2] - e.i0 END) + greatest(0, least(a2 + best[2] - best[1], b2 + best[3] - best[1], CASE WHEN e.id IS NULL THEN 0 ELSE e.i0 + e.n + best[2] - best[1] END)) AS k
+  FROM rect r LEFT JOIN every e ON e.id = r.id AND e.d = best[3] - best[2] AND e.i0 <= -best[2] AND -best[2] < e.i0 + e.n),
+ratio AS (SELECT p.id, CASE WHEN p.a = p.b THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * coalesce(s.k, 0) / (length(p.a) + length(p.b)) END AS r FROM p LEFT JOIN (SELECT id, CAST(sum(k) AS BIGINT) AS k FROM block GROUP BY id) s USING (id) WHERE p.a IS NOT NULL AND p.b IS NOT NULL)"""
 
 
 @query(f"""WITH RECURSIVE p AS (SELECT row_number() OVER () AS id, conv_id, turn, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS a, text AS b FROM conversations), {RATIO}
