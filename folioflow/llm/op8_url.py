@@ -30,7 +30,7 @@ from .kernels import released
 RULE_BLOCK = 500_000
 
 #: The rule set of the query: (verdict, host, path).
-RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("allow", "example.net", "/de/8"), ("block", "org", "/es/"))
+RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 
 
 def host_key(host: str) -> str:
@@ -207,7 +207,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = r"""
-WITH rules(verdict, host, path) AS (VALUES ('block','com','/en/'), ('allow','example.com','/en/7'), ('block','net','/de/'), ('allow','example.net','/de/8'), ('block','org','/es/')),
+WITH rules(verdict, host, path) AS (VALUES ('block','com','/en/'), ('allow','example.com','/en/7'), ('allow','net','/de/'), ('block','example.net','/de/8'), ('block','org','/es/')),
 cut AS (SELECT page_id, CASE WHEN strpos(coalesce(url,''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut)
 SELECT u.page_id, u.host, u.path, arg_max(r.host || r.path, length(r.host) * 100000 + length(r.path)) AS rule, coalesce(arg_max(r.verdict, length(r.host) * 100000 + length(r.path)), 'allow') AS verdict
