@@ -87,10 +87,15 @@ def hosted_error(raw: str = "body", page: str = "page", most: str = "max_page")
     body = f"""case when not {_is('v', None, 'OBJECT')} then 'expected a JSON object'
         when not {_is('v', 'blocks', 'ARRAY')} or size({_items('v', 'blocks')}) > {MOST_BLOCKS} then concat('expected a ', chr(39), 'blocks', chr(39), ' array with at most {MOST_BLOCKS} blocks')
         else coalesce({_first(_items('v', 'blocks'), 'b', block)}, case when {given('notes')} not in ('VOID', 'STRING') or length({_text('v', 'notes')}) > 100000 then 'invalid notes' end, {lists}) end"""
-    sent = f"case when {raw} is null or {raw} = '' or octet_length({raw}) > {MOST_BODY} then 'request body is empty or too large' when try_parse_json({raw}) is null then 'request body is not valid JSON' else {let(f'try_parse_json({raw})', 'v', body)} end"
+    sent = f"case when {body_error(raw)} is not null then {body_error(raw)} else {let(f'try_parse_json({raw})', 'v', body)} end"
     return F.coalesce(page_error(F.col(page), F.col(most)), F.expr(sent))
 
 
+def body_error(raw: str = "body") -> str:
+    """SQL: why a request's body is refused before it is looked at: empty, over MOST_BODY bytes, or no JSON; null for one that is read."""
+    return f"case when {raw} is null or {raw} = '' or octet_length({raw}) > {MOST_BODY} then 'request body is empty or too large' when try_parse_json({raw}) is null then 'request body is not valid JSON' end"
+
+
 def page_error(page: Column, most: Column) -> Column:
     """Why a page number in a request is refused: one to four digits, within the book."""
     digits = page.rlike(r"^[0-9]{1,4}\z")

@@ -140,6 +140,16 @@ def content_hash(spark, d):
     return t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("content_sha256"))
 
 
+#: Letters that stand for letters, numerals and signs of the script, and for some outside it.
+_LATIN, _SCRIPT_LIKE = "abcdefghijklmn", "ሀለሐመ፩፪፼፡ᎀⶀꬁꬡé፟"
+
+
+@query(f"SELECT doc_id, regexp_replace(regexp_replace(translate(text, '{_LATIN}', '{_SCRIPT_LIKE}'), '{tx.char_class(tx.ALPHABETS['v1'], negate=True)}', '', 'g'), '[፩-፼]', '', 'g') AS form FROM documents")
+def normalize_v1(spark, d):
+    """The archived normaliser on texts some of whose letters are made the script's."""
+    return t(spark, d, "documents").select("doc_id", tx.normalize_v1(F.translate("text", _LATIN, _SCRIPT_LIKE)).alias("form"))
+
+
 @query("SELECT doc_id, 'page_' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') AS stem FROM documents")
 def page_stems(spark, d):
     return t(spark, d, "documents").select("doc_id", tx.page_stem(F.col("doc_id") % 1000).alias("stem"))

@@ -183,9 +183,15 @@ def page_number_check(spark, d):
     return t(spark, d, "documents").select("doc_id", validate.page_error(x, F.lit(166)).alias("reason"))
 
 
-@query("SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes FROM documents WHERE strlen(text) > 2000")
+@query(f"""WITH x AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text WHEN doc_id % 5 = 1 THEN '{{"n": ' || n_chars || '}}' WHEN doc_id % 5 = 2 THEN '' ELSE '"' || lang || '"' END AS body, CASE WHEN doc_id % 97 = 3 THEN {validate.MOST_BODY} - 4 WHEN doc_id % 97 = 4 THEN {validate.MOST_BODY} - 3 ELSE 0 END AS more FROM documents)
+SELECT doc_id, CASE WHEN body = '' AND more = 0 OR strlen(body) + more > {validate.MOST_BODY} THEN 'request body is empty or too large' WHEN NOT json_valid(body) THEN 'request body is not valid JSON' END AS reason FROM x""")
 def body_limit(spark, d):
-    return t(spark, d, "documents").select("doc_id", L(F.octet_length("text")).alias("bytes")).where("bytes > 2000")
+    """Bodies of requests: some are empty, some no JSON, some blown up by blanks to the limit and one byte beyond."""
+    k = F.col("doc_id")
+    body = F.when(k % 5 == 0, F.col("text")).when(k % 5 == 1, F.concat(F.lit('{"n": '), F.col("n_chars").cast("string"), F.lit("}"))).when(k % 5 == 2, "").otherwise(F.concat(F.lit('"'), "lang", F.lit('"')))
+    more = F.when(k % 97 == 3, validate.MOST_BODY - 4).when(k % 97 == 4, validate.MOST_BODY - 3).otherwise(0)
+    x = t(spark, d, "documents").select("doc_id", F.concat(body, F.repeat(F.lit(" "), more)).alias("body"))
+    return x.select("doc_id", F.expr(validate.body_error("body")).alias("reason"))
 
 
 @query("""WITH e AS (SELECT event_type, CAST(floor(value) AS BIGINT) % 100 - 20 AS c, CASE WHEN event_id % 4 = 0 THEN ' ' ELSE 'x' END AS x FROM events)

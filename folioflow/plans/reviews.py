@@ -328,6 +328,15 @@ def book_files(spark, d):
     return files.select("page", "name", "size", F.sha2("body", 256).alias("body"))
 
 
+@query("""SELECT CAST(conv_id AS INTEGER) AS page, sha256(coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (text <> ''), '')) AS sha256 FROM conversations GROUP BY conv_id""")
+def file_hashes(spark, d):
+    """Hashes of files as they lie in a folder, written from the conversations."""
+    texts = exports.page_texts(t(spark, d, "conversations"), "conv_id", "turn")
+    folder = storage.scratch(book_format.register(spark), "hashed")
+    exports.text_files(texts, "body", "conv_id").write.format("book").mode("append").save(folder)
+    return books.file_hashes(spark, f"{folder}/page_*.txt")
+
+
 # ---- what is stored -------------------------------------------------------------------
 
 
