@@ -21,6 +21,7 @@ ATTACHED, LOOSE = "።፡፣፤", "። "
 #: How far from a block a reading's centre may lie, and a reading's height in lines (fixed values).
 NEAR, PITCH = 40, 1.2
 SPANS = "array<struct<t:string,c:string>>"
+#: Sentences and names that drafts carry (fixed values).
 WHY_RED = "red ink on the scan that was not found in this text; check spelling and colour"
 NOTES = {
     "regions": "OCR draft. Check text, verse labels, block roles and colour against the scan.",
@@ -236,6 +237,7 @@ def word_drafts(pages: DataFrame, lines: DataFrame, words: DataFrame, page: str
     body = _pieces(text, page, blocks, word_spans(text, [page, "block"], ["line", "word"]))
     say = F.struct("line", "word", F.struct("text", F.concat(F.lit("Tesseract confidence "), F.bround("conf").cast("long").cast("string"), F.lit(" — check against the scan")).alias("why")).alias("u"))
     doubt = words.where(F.col("conf") < least).groupBy(page).agg(F.transform(F.sort_array(F.collect_list(say)), lambda x: x["u"]).alias("_u"))
+    # The sentences on cut lines and on the draft as a whole.
     note = F.create_map(F.lit("top"), F.lit("First line sits against the top edge of the scan — it is probably sliced and words may be missing."), F.lit("bottom"), F.lit("Last line runs into the bottom edge of the scan — it is probably sliced and words may be missing."))
     cut = transcripts.clipped_edges(lines.join(pages.select(page, "height"), page), [page], "line", "top", "bottom", F.col("height"))
     cut = cut.select(page, F.transform("edges", lambda e: F.struct(e.alias("edge"), note[e].alias("note"))).alias("_c"))
@@ -264,6 +266,7 @@ def vision_drafts(pages: DataFrame, words: DataFrame, page: str = "page", least:
     seen = words.groupBy(page).agg(F.count("*").alias("_n"), F.coalesce(F.avg(F.when(conf > 0, conf)), F.lit(0.0)).alias("_mean"), F.slice(F.transform(F.sort_array(F.collect_list(say)), lambda x: x["u"]), 1, listed).alias("_u"))
     out = pages.join(body, page, "left").join(seen, page, "left")
     empty = lambda c: F.coalesce(c, F.array().cast(dict(out.dtypes)[c]))
+    # The sentences on an empty response and on a draft from one.
     notes = F.when(F.col("_n").isNull(), "Google Vision returned no text for this page.").otherwise(F.concat(F.lit("Transcribed by Google Cloud Vision (Amharic is an experimental language for Vision). Mean word confidence "), fixed(F.col("_mean")), F.lit(" over "), F.col("_n").cast("string"), F.lit(" words. Block types and verse numerals are not detected by OCR and need setting during review.")))
     out = out.withColumn("mean_confidence", F.bround("_mean", 3)).withColumn("blocks", empty("blocks"))
     return _finished(out, page, "vision", ["mean_confidence"], notes=notes, uncertain=empty("_u"))

@@ -86,7 +86,7 @@ def clean_text(spark, d):
     return t(spark, d, "documents").select("doc_id", F.sha2(tx.clean_text(F.col("text")), 256).alias("cleaned"), F.sha2(tx.clean_text(marked), 256).alias("marked"))
 
 
-_MARK = r"(?i)(www\.|https?://|zenadebretsion|debretsion|\.org|\.com|gmail|facebook)"
+_MARK = tx.WATERMARK
 _NUMBERS = tx.PAGE_NUMBER.replace("'", "''")
 _LINE_REASON = f"CASE WHEN regexp_matches(l, '{_MARK}') THEN 'website/watermark: ' || substr(l, 1, 120) WHEN regexp_matches(l, '{_NUMBERS}') THEN 'page number: ' || substr(l, 1, 80) WHEN NOT regexp_matches(l, '[À-ÿ]') AND regexp_matches(l, '[A-Za-z]') THEN 'latin artifact: ' || substr(l, 1, 120) END"
 

@@ -204,6 +204,7 @@ def hosted_saves(spark, d):
     return revisions.hosted_outcomes(e).select("page", "event_id", "outcome")
 
 
+#: Faulty fields of a block and what the validator says of them (fixed values).
 _BAD = {1: ('"type":"song"', "invalid block type"), 2: ('"verse_num_am":3', "verse number must be a string"), 3: ('"spans":{}', "spans must be an array"), 4: ('"spans":[{"t":"a","c":"blue"}]', "invalid text/colour span"), 5: ('"spans":[{"t":"a","c":"red"},7]', "invalid text/colour span")}
 
 
