@@ -317,3 +317,43 @@ def simhash_classes(docs: DataFrame, k: int = 3, radius: int = 3, seed: int = 42
 
 def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id", "n_same")
+
+
+def _oracle() -> str:
+    """XXH64 in SQL: 64-bit arithmetic on 128-bit numbers, lanes from the hexadecimal form of a shingle's bytes."""
+    p1, p2, p3, p4, p5 = (f"{int(p)}::UBIGINT" for p in (P1, P2, P3, P4, P5))
+    whole = "18446744073709551616::UHUGEINT"
+    mul = lambda a, b: f"CAST((({a})::UHUGEINT * ({b})::UHUGEINT) % {whole} AS UBIGINT)"
+    add = lambda a, b: f"CAST((({a})::UHUGEINT + ({b})::UHUGEINT) % {whole} AS UBIGINT)"
+    turn = lambda x, r: f"({mul(x, f'{1 << r}')} | (({x}) >> {64 - r}))"
+    step = lambda acc, lane: mul(turn(add(acc, mul(lane, p2)), 31), p1)
+    lane = lambda at, size: "(" + " | ".join(f"(CAST('0x' || substr(x, 2 * ({at}) + {2 * k + 1}, 2) AS UBIGINT) << {8 * k})" for k in range(size)) + ")"
+    each = lambda values, start, body: f"list_reduce(list_prepend({start}, {values}), lambda g, y: {body})"
+    seed = 42
+    first = [(seed + int(P1) + int(P2)) % 2**64, (seed + int(P2)) % 2**64, seed, (seed - int(P1)) % 2**64]
+    accs = ",\n    ".join(f"{each(f'[{lane(f'32 * j + {8 * k}', 8)} FOR j IN range(n // 32)]', f'{v}::UBIGINT', step('g', 'y'))} AS a{k}" for k, v in enumerate(first))
+    merged = "CAST((" + " + ".join(f"{turn(f'a{k}', r)}::UHUGEINT" for k, r in enumerate((1, 7, 12, 18))) + f") % {whole} AS UBIGINT)"
+    for k in range(4):
+        merged = add(mul(f"xor({merged}, {step('0', f'a{k}')})", p1), p4)
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+s AS (SELECT row, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS s FROM w),
+b AS (SELECT s, hex(encode(s)) AS x, CAST(octet_length(encode(s)) AS BIGINT) AS n FROM (SELECT DISTINCT s FROM s)),
+wide AS (SELECT s, x, n, {accs} FROM b WHERE n >= 32),
+head AS (SELECT s, x, n, n // 32 * 32 AS pos, {merged} AS h FROM wide UNION ALL SELECT s, x, n, 0, {(seed + int(P5)) % 2**64}::UBIGINT FROM b WHERE n < 32),
+eight AS (SELECT s, x, n, pos + (n - pos) // 8 * 8 AS pos, {each(f"[{lane('pos + 8 * k', 8)} FOR k IN range((n - pos) // 8)]", add('h', 'n'), add(mul(turn(f"xor(g, {step('0', 'y')})", 27), p1), p4))} AS h FROM head),
+four AS (SELECT s, x, n, CASE WHEN n - pos >= 4 THEN pos + 4 ELSE pos END AS pos, CASE WHEN n - pos >= 4 THEN {add(mul(turn(f"xor(h, {mul(lane('pos', 4), p1)})", 23), p2), p3)} ELSE h END AS h FROM eight),
+one AS (SELECT s, {each(f"[{lane('pos + k', 1)} FOR k IN range(n - pos)]", 'h', mul(turn(f"xor(g, {mul('y', p5)})", 11), p1))} AS h FROM four),
+f1 AS (SELECT s, {mul('xor(h, h >> 33)', p2)} AS h FROM one), f2 AS (SELECT s, {mul('xor(h, h >> 29)', p3)} AS h FROM f1), hash AS (SELECT s, xor(h, h >> 32) AS h FROM f2),
+bits AS (SELECT row, bit, 2 * sum(CAST(h >> bit & 1 AS INTEGER)) > count(*) AS up FROM s JOIN hash USING (s), (SELECT unnest(range(64))::UBIGINT AS bit) GROUP BY row, bit),
+prints AS (SELECT row, doc_id, coalesce(fp, 0::UBIGINT) AS fp FROM w LEFT JOIN (SELECT row, bit_or(1::UBIGINT << bit) FILTER (up) AS fp FROM bits GROUP BY row) USING (row)),
+reps AS (SELECT fp, min(doc_id) AS id, count(*) AS n_same FROM prints GROUP BY fp),
+links AS (SELECT a.id AS u, b.id AS v FROM reps a JOIN reps b ON a.fp <> b.fp AND bit_count(CAST(xor(a.fp, b.fp) AS HUGEINT)) <= 3),
+reach(id, seen) AS (SELECT id, id FROM reps UNION SELECT v, seen FROM reach JOIN links ON reach.id = u WHERE seen < v),
+top AS (SELECT id, min(seen) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, lpad(lower(to_hex(fp)), 16, '0') AS fingerprint, component_id, n_same FROM prints JOIN reps USING (fp) JOIN top USING (id)
+"""
+
+
+ORACLE = _oracle()

@@ -30,6 +30,7 @@ ORACLE_SQL = {
     "op8_url_filter": op8_url.ORACLE,
     "op9_topk": op9_topk.ORACLE,
     "op10_shard": op10_shard.ORACLE,
+    "op11_simhash": op11_simhash.ORACLE,
     "op12_resample": op12_resample.ORACLE,
     "op13_search": op13_search.ORACLE,
 }

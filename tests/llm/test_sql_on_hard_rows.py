@@ -4,7 +4,7 @@ import random
 
 import duckdb
 import pytest
-from folioflow.llm import op1_jaccard, op2_mix, op4_decontaminate, op6_secrets, op10_shard
+from folioflow.llm import op1_jaccard, op2_mix, op4_decontaminate, op6_secrets, op10_shard, op11_simhash
 
 SCHEMA = "doc_id long, text string, source string, shard int, size int"
 
@@ -35,7 +35,7 @@ def table(spark, tmp_path_factory):
     return path, con
 
 
-@pytest.mark.parametrize("query, sql", [(op1_jaccard.op1_jaccard_join, op1_jaccard.ORACLE), (op2_mix.op2_mix, op2_mix.ORACLE), (op4_decontaminate.op4_decontaminate, op4_decontaminate.ORACLE), (op6_secrets.op6_secrets, op6_secrets.ORACLE), (op10_shard.op10_shard, op10_shard.ORACLE)], ids=["op1", "op2", "op4", "op6", "op10"])
+@pytest.mark.parametrize("query, sql", [(op1_jaccard.op1_jaccard_join, op1_jaccard.ORACLE), (op2_mix.op2_mix, op2_mix.ORACLE), (op4_decontaminate.op4_decontaminate, op4_decontaminate.ORACLE), (op6_secrets.op6_secrets, op6_secrets.ORACLE), (op10_shard.op10_shard, op10_shard.ORACLE), (op11_simhash.op11_simhash, op11_simhash.ORACLE)], ids=["op1", "op2", "op4", "op6", "op10", "op11"])
 def test_sql(spark, table, query, sql):
     path, con = table
     got = query(spark, path)
