@@ -91,9 +91,18 @@ def hosted_error(raw: str = "body", page: str = "page", most: str = "max_page")
     return F.coalesce(page_error(F.col(page), F.col(most)), F.expr(sent))
 
 
+def whole_json(raw: str) -> str:
+    """SQL: whether a text is one JSON value and nothing after it, which parse_json alone does not see.
+
+    In a list before a word that the text cannot hold, its hash, the value must be followed by that word.
+    """
+    listed = f"""try_parse_json(concat('[', {raw}, ',"', md5({raw}), '"]'))"""
+    return f"coalesce(try_variant_get({listed}, '$[1]', 'string') = md5({raw}), false)"
+
+
 def body_error(raw: str = "body") -> str:
     """SQL: why a request's body is refused before it is looked at: empty, over MOST_BODY bytes, or no JSON; null for one that is read."""
-    return f"case when {raw} is null or {raw} = '' or octet_length({raw}) > {MOST_BODY} then 'request body is empty or too large' when try_parse_json({raw}) is null then 'request body is not valid JSON' end"
+    return f"case when {raw} is null or {raw} = '' or octet_length({raw}) > {MOST_BODY} then 'request body is empty or too large' when not {whole_json(raw)} then 'request body is not valid JSON' end"
 
 
 def page_error(page: Column, most: Column) -> Column:

@@ -114,3 +114,12 @@ def test_layouts(spark):
     assert got[99].reason and got[5].cells is None
     c = got[0].cells
     assert [(x.ord, x.category, x.text, x.x1, x.x2, x.y2) for x in c] == [(0, "Text", "ሰላም", 0.0, 56.0, 14.5), (1, "Picture", "", 2.0, 6.0, 4.0)]
+
+
+def test_json_and_more_is_no_json(spark):
+    """What follows a value makes a body invalid, whatever it looks like."""
+    good = ['{"n": 1}', ' [1] \n', "null", '"a"', "12", "  -1.5e3"]
+    bad = ["8316107434564120 Thanlyan of", '"a" b', '{"n": 1} x', "[1] [2]", '"a", "b"] c', '1, 2', "[1", "   ", "x"]
+    df = spark.createDataFrame([(x,) for x in good + bad], "body string")
+    got = {r.body: r.e for r in df.select("body", F.expr(validate.body_error()).alias("e")).collect()}
+    assert got == {x: None for x in good} | {x: "request body is not valid JSON" for x in bad}
