@@ -104,21 +104,21 @@ WATERMARK = r"(?i)(www\.|https?://|zenadebretsion|debretsion|\.org|\.com|gmail|f
 PAGE_NUMBER = r"^[0-9 .,:;\-_()\[\]{}|/\\፡።፣፤፥፦፧፨፩-፼]+$"
 
 
-def line_reason(line: Column, script=ALPHABETS["v1"], latin=ALPHABETS["latin"], page_number: str = PAGE_NUMBER) -> Column:
+def line_reason(line: Column, script=ALPHABETS["v1"], latin=ALPHABETS["latin"], page_number: str = PAGE_NUMBER, watermark: str = WATERMARK) -> Column:
     """Why a stripped line of recognised text is not body text (archived cleaner), or null for one that stays."""
     say = lambda text, most: F.concat(F.lit(f"{text}: "), F.substring(line, 1, most))
     foreign = (count_in(line, script) == 0) & (count_in(line, latin) > 0)
-    return F.when(line.rlike(WATERMARK), say("website/watermark", 120)).when(line.rlike(page_number), say("page number", 80)).when(foreign, say("latin artifact", 120))
+    return F.when(line.rlike(watermark), say("website/watermark", 120)).when(line.rlike(page_number), say("page number", 80)).when(foreign, say("latin artifact", 120))
 
 
-def clean_lines(text: Column, script=ALPHABETS["v1"], latin=ALPHABETS["latin"], page_number: str = PAGE_NUMBER) -> Column:
+def clean_lines(text: Column, script=ALPHABETS["v1"], latin=ALPHABETS["latin"], page_number: str = PAGE_NUMBER, watermark: str = WATERMARK) -> Column:
     """struct(text, removed): the archived cleaner, inside the row.
 
     Lines are stripped and blanks in them squeezed; dropped lines are listed with
     their reason; stretches of blank lines become one, and none stays at the ends.
     """
     lines = F.transform(F.split(F.regexp_replace(text, r"\r\n?", "\n"), "\n"), lambda x: strip(x))
-    marked = F.transform(lines, lambda x: F.struct(x.alias("t"), F.when(x != "", line_reason(x, script, latin, page_number)).alias("why")))
+    marked = F.transform(lines, lambda x: F.struct(x.alias("t"), F.when(x != "", line_reason(x, script, latin, page_number, watermark)).alias("why")))
     removed = F.transform(F.filter(marked, lambda x: x["why"].isNotNull()), lambda x: x["why"])
     kept = F.filter(marked, lambda x: x["why"].isNull())
     # A kept line is preceded by a blank one where a blank line came since the last kept one.

@@ -199,13 +199,13 @@ def page_notes(confidence: Column, letters: Column, before: Column) -> Column:
     return F.concat(before, F.array_compact(F.array(doubt, F.when(letters < FEW, LITTLE_TEXT))))
 
 
-def stored_results(texts: DataFrame, previous: DataFrame, keys: list[str], script: Script = Script(), latin=tx.ALPHABETS["latin"], page_number: str = tx.PAGE_NUMBER) -> DataFrame:
+def stored_results(texts: DataFrame, previous: DataFrame, keys: list[str], script: Script = Script(), latin=tx.ALPHABETS["latin"], page_number: str = tx.PAGE_NUMBER, watermark: str = tx.WATERMARK) -> DataFrame:
     """Page results from stored raw texts (keys, raw_text) and an earlier map (keys, ocr_source, ocr_language, psm, confidence, variants_tried, notes as text).
 
     Texts are cleaned and counted again; values of the map that are no numbers
     count as missing.
     """
-    j = texts.join(previous, keys, "left").withColumn("_c", tx.clean_lines(F.coalesce("raw_text", F.lit("")), script.letters, latin, page_number))
+    j = texts.join(previous, keys, "left").withColumn("_c", tx.clean_lines(F.coalesce("raw_text", F.lit("")), script.letters, latin, page_number, watermark))
     t = F.col("_c.text")
     number = lambda c, kind: F.expr(f"try_cast({c} as {kind})")
     old = F.filter(F.transform(F.split(F.coalesce("notes", F.lit("")), r"\|"), lambda x: tx.strip(x)), lambda x: x != "")

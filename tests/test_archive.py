@@ -141,3 +141,10 @@ def test_stored_texts(spark, tmp_path):
     assert (got[1].mode, got[1].variants_tried, got[1].confidence, got[1].letters) == (6, 0, 59.5, 30)
     assert got[1].notes == ["one", "two", archive.LOW_CONFIDENCE]
     assert (got[2].source, got[2].text, got[2].notes) == ("reused", "", [archive.NO_CONFIDENCE, archive.LITTLE_TEXT])
+
+
+def test_stored_texts_keep_lines_with_addresses_where_no_rule_drops_them(spark):
+    t = spark.createDataFrame([(1, "ሰላም " * 10 + "a@b.com")], "page int, raw_text string")
+    p = spark.createDataFrame([], "page int, ocr_source string, ocr_language string, psm string, confidence string, variants_tried string, notes string")
+    assert archive.stored_results(t, p, ["page"]).first().letters == 0
+    assert archive.stored_results(t, p, ["page"], watermark="^$.").first().letters == 30
