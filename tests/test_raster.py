@@ -182,3 +182,31 @@ def test_word_redness(spark):
 def test_layers(spark):
     got = {r.origin: r.dark for r in rasters.dark_pixels(images(spark, {"a": page(), "b": None})).collect()}
     assert got["b"] is None and got["a"] > 80 * 12
+
+
+def tall_boxes(rng, n=40):
+    """Boxes of several bands' height over three pages, and the masks they make."""
+    boxes = [(p, int(x), int(y), int(x + w), int(y + h)) for p in range(3) for x, y, w, h in zip(*rng.integers(0, 180, (1, n)), *rng.integers(0, 380, (1, n)), *rng.integers(1, 25, (1, n)), *rng.integers(1, 150, (1, n)), strict=True)]
+    want = {p: np.zeros((400, 200), bool) for p in range(3)}
+    boxes = [(p, x1, y1, min(x2, 200), min(y2, 400)) for p, x1, y1, x2, y2 in boxes]
+    for p, x1, y1, x2, y2 in boxes:
+        want[p][y1:y2, x1:x2] = True
+    return boxes, want
+
+
+PLACES = "page int, x1 int, y1 int, x2 int, y2 int"
+
+
+def test_filter_of_boxes_across_bands(spark):
+    boxes, want = tall_boxes(np.random.default_rng(6), 12)
+    want[3] = np.random.default_rng(7).random((300, 40)) < 0.45
+    boxes += [(3, int(a), int(y), int(b), int(y) + 1) for y, a, b in zip(*raster.runs(want[3]), strict=True)]
+    df = spark.createDataFrame(boxes, PLACES)
+    sizes = spark.createDataFrame([(p, m.shape[1], m.shape[0]) for p, m in want.items()] + [(9, 5, 5)], "page int, width int, height int")
+    got = runs.parts(runs.pieces(df)).collect()
+    counts = {r.page: r for r in runs.filter_counts(df, sizes).collect()}
+    for p, m in want.items():
+        assert sorted((r.x1, r.y1, r.x2, r.y2, r.area) for r in got if r.page == p) == flood(m)
+        red, _, n = ref.filter_components(m)
+        assert {c: counts[p][c] for c in n} | {"kept_area": counts[p].kept_area} == n | {"kept_area": int(red.sum())}
+    assert (counts[9].kept, counts[9].kept_area) == (0, 0)
