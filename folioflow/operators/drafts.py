@@ -202,20 +202,11 @@ def red_drafts(regions: DataFrame, readings: DataFrame, ignore: Iterable[str] =
 # ---- from recognised words ------------------------------------------------------
 
 
-def word_spans(words: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """keys, spans: neighbouring words of one colour joined by spaces; blank spans go."""
-    part = F.struct(*order, F.struct(F.col("text").alias("t"), F.when(F.col("is_red"), "red").otherwise("black").alias("c")).alias("s"))
-    line = words.groupBy(*keys).agg(F.sort_array(F.collect_list(part)).alias("_w")).withColumn("_w", F.transform("_w", lambda x: x["s"]))
+def joined_spans() -> Column:
+    """The spans of _w, an array of words (t, c) in order."""
     # Each word but a span's first carries its space.
     spaced = "transform(_w, (w, i) -> named_struct('t', case when i > 0 and _w[i - 1].c = w.c then concat(' ', w.t) else w.t end, 'c', w.c))"
-    return line.select(*keys, F.filter(F.expr(merged_spans(spaced)), lambda s: tx.strip(s["t"]) != "").alias("spans"))
-
-
-def _pieces(words: DataFrame, page: str, blocks: DataFrame, spans: DataFrame) -> DataFrame:
-    """Per page its blocks in order, those without spans left out."""
-    b = blocks.join(spans, [page, "block"]).where(F.size("spans") > 0)
-    one = F.struct("block", F.struct("type", "verse_num_am", "spans").alias("b"))
-    return b.groupBy(page).agg(F.transform(F.sort_array(F.collect_list(one)), lambda x: x["b"]).alias("blocks"))
+    return F.filter(F.expr(merged_spans(spaced)), lambda s: tx.strip(s["t"]) != "")
 
 
 def word_drafts(pages: DataFrame, lines: DataFrame, words: DataFrame, page: str = "page", numeral=tx.ALPHABETS["numeral"], least: float = 70.0, listed: int = 30) -> DataFrame:
@@ -227,21 +218,31 @@ def word_drafts(pages: DataFrame, lines: DataFrame, words: DataFrame, page: str
     leaves the text (on a title it is lost); other lines go on.  Words under
     `least` confidence are listed, `listed` of them at most.
     """
-    first = words.groupBy(page, "line").agg(F.min_by(F.struct("text", "word"), "word").alias("_first"))
-    own = tx.strip(F.col("_first.text"))
-    heads = lines.select(page, "line", F.coalesce("looks_like_title", F.lit(False)).alias("_t")).join(first, [page, "line"]).withColumn("_n", F.when(tx.is_numeral(F.col("_first.text"), numeral), own))
-    heads = transcripts.line_blocks(heads, [page], ["line"], F.col("_t"), F.col("_n").isNotNull())
+    # Words travel twice: to their line, and with it to their page; the rest is done where a page lies.
+    item = F.struct("word", "text", "is_red", "conf")
+    own = words.groupBy(page, "line").agg(F.sort_array(F.collect_list(item)).alias("_w"))
+    own = own.join(lines.select(page, "line", F.coalesce("looks_like_title", F.lit(False)).alias("_t")), [page, "line"], "left").repartition(page)
+    head = F.col("_w")[0]["text"]
+    # Words of lines that are not listed are in no block, but may be uncertain.
+    heads = own.withColumn("_own", F.col("_t").isNotNull()).withColumn("_n", F.when(tx.is_numeral(head, numeral), tx.strip(head)))
+    heads = transcripts.line_blocks(heads, [page, "_own"], ["line"], F.col("_t"), F.col("_n").isNotNull())
     opened = F.min_by(F.struct(F.when(F.col("kind") == "title", "title").when(F.col("kind") == "verse", "verse").otherwise("prayer").alias("type"), F.when(F.col("kind") == "verse", F.col("_n")).otherwise("").alias("verse_num_am")), "line")
-    blocks = heads.groupBy(page, "block").agg(opened.alias("_o")).select(page, "block", "_o.*")
-    text = words.join(heads.select(page, "line", "block", F.when(F.col("_n").isNotNull(), F.col("_first.word")).alias("_skip")), [page, "line"]).where("_skip IS NULL OR word <> _skip")
-    body = _pieces(text, page, blocks, word_spans(text, [page, "block"], ["line", "word"]))
-    say = F.struct("line", "word", F.struct("text", F.concat(F.lit("Tesseract confidence "), F.bround("conf").cast("long").cast("string"), F.lit(" — check against the scan")).alias("why")).alias("u"))
-    doubt = words.where(F.col("conf") < least).groupBy(page).agg(F.transform(F.sort_array(F.collect_list(say)), lambda x: x["u"]).alias("_u"))
+    coloured = F.transform("_w", lambda w: F.struct(w["text"].alias("t"), F.when(w["is_red"], "red").otherwise("black").alias("c")))
+    left = F.when(F.col("_n").isNotNull(), F.slice(coloured, 2, F.size("_w"))).otherwise(coloured)
+    why = lambda w: F.concat(F.lit("Tesseract confidence "), F.bround(w["conf"]).cast("long").cast("string"), F.lit(" — check against the scan"))
+    said = F.transform(F.filter("_w", lambda w: w["conf"] < least), lambda w: F.struct(w["text"].alias("text"), why(w).alias("why")))
+    ordered = lambda c: F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("line", c))), lambda x: x["v"]))
+    blocks = heads.groupBy(page, "_own", "block").agg(opened.alias("_o"), ordered(left.alias("v")).alias("_w"), F.collect_list(F.struct("line", said.alias("v"))).alias("_u"))
+    blocks = blocks.withColumn("spans", joined_spans())
+    one = F.struct("block", F.struct("_o.type", "_o.verse_num_am", "spans").alias("b"))
+    listed_blocks = F.collect_list(F.when(F.col("_own") & (F.size("spans") > 0), one))
+    doubts = F.flatten(F.transform(F.sort_array(F.flatten(F.collect_list("_u"))), lambda x: x["v"]))
+    body = blocks.groupBy(page).agg(F.transform(F.sort_array(listed_blocks), lambda x: x["b"]).alias("blocks"), doubts.alias("_u"))
     # The sentences on cut lines and on the draft as a whole.
     note = F.create_map(F.lit("top"), F.lit("First line sits against the top edge of the scan — it is probably sliced and words may be missing."), F.lit("bottom"), F.lit("Last line runs into the bottom edge of the scan — it is probably sliced and words may be missing."))
     cut = transcripts.clipped_edges(lines.join(pages.select(page, "height"), page), [page], "line", "top", "bottom", F.col("height"))
     cut = cut.select(page, F.transform("edges", lambda e: F.struct(e.alias("edge"), note[e].alias("note"))).alias("_c"))
-    out = pages.join(body, page, "left").join(doubt, page, "left").join(cut, page, "left")
+    out = pages.join(body, page, "left").join(cut, page, "left")
     empty = lambda c, like: F.coalesce(c, F.array().cast(dict(out.dtypes)[like]))
     u = empty(F.col("_u"), "_u")
     notes = F.concat(F.lit("DRAFT — Tesseract reading of the cleaned page layers, not a checked transcription. "), F.size(u).cast("string"), F.lit(" of "), F.coalesce("word_count", F.lit(0)).cast("string"), F.lit(f" words scored below {least:.0f} confidence and are listed as uncertain. Expect glyph-level slips throughout; every word needs reading against the scan. Colour and verse numerals are derived from pixels and are more reliable than the text."))

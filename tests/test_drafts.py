@@ -154,3 +154,16 @@ def test_adoption(spark):
     assert tuple(drafts.adopt_summary(outcomes).first()) == ([1], [3], [2], 1)
     assert [(r.page, r.legacy) for r in base.collect()] == [(1, "transcripts-legacy/page_001.json")]
     assert [(r.name, r.body) for r in kept.collect()] == [("page_001.json", "old")]
+
+
+def test_word_draft_moves_words_twice(spark):
+    """Words go to their line and to their page, no more; those of lines that are not listed are in no block, but may be uncertain."""
+    words = [(1, 1, 2, "b", 40.0, False), (1, 1, 1, "a", 90.0, True), (1, 7, 1, "lost", 10.0, False), (1, 2, 1, "c", 90.0, False)]
+    lines = spark.createDataFrame([(1, 1, False, 100, 140), (1, 2, None, 150, 180), (1, 3, True, 190, 200)], "page int, line int, looks_like_title boolean, top int, bottom int")
+    df = spark.createDataFrame(words, "page int, line int, word int, text string, conf double, is_red boolean")
+    out = drafts.word_drafts(spark.createDataFrame([(1, 1000, 4)], "page int, height int, word_count int"), lines, df)
+    got = out.collect()[0]
+    assert [(b.type, [(s.t, s.c) for s in b.spans]) for b in got.blocks] == [("prayer", [("a", "red"), ("b c", "black")])]
+    assert [u.text for u in got.uncertain] == ["b", "lost"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 5, plan
