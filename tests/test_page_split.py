@@ -78,3 +78,20 @@ def test_thresholds_over_batches():
     for size in (1, 2, 3, 8):
         got = [r for b in rasters._thresholds(rows.slice(i, size) for i in range(0, len(pages), size)) for r in b.to_pylist()]
         assert [r["page"] for r in got] == list(want) and {r["page"]: r["threshold"] for r in got} == want
+
+
+def test_ink_makes_no_rows(spark, monkeypatch):
+    """What is kept between steps grows with pages, bands and red runs, not with runs of ink or levels."""
+    made, keep = {}, rasters.stored
+
+    def stored(df, name):
+        out = keep(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(rasters, "stored", stored)
+    page = np.random.default_rng(15).choice(np.frombuffer(b"etaoin ,.", np.uint8), (560, 30, 3))
+    images = spark.createDataFrame([("a", 560, 30, 3, page.tobytes())], "origin string, height int, width int, nChannels int, data binary")
+    got = rasters.split_pages(images, k=9)[0].collect()[0]
+    assert got.black_ink_pixels == ref.split_page(page, 9)[0]["black_ink_pixels"] > 1000
+    assert made["masks"] == 3 and sum(made.values()) < 100, made
