@@ -23,7 +23,8 @@ def looks_like_title(x1: Column, x2: Column, width: Column, red: Column, words:
 
 def ornament(w: Column, h: Column, area: Column, page_w: Column, page_h: Column) -> Column:
     """A part of red ink that is a rule or border, not a glyph: over 55 % of the page's width, over 10 % of its height, or lying long (12 : 1) and full (0.55)."""
-    long_ = (w >= 12 * F.greatest(F.lit(1), h)) & (area >= 0.55 * F.greatest(F.lit(1), w * h))
+    # As a quotient, 11 of 20 pixels are 0.55; as a product, 0.55 * 200 is more than 110.
+    long_ = (w >= 12 * F.greatest(F.lit(1), h)) & (area / F.greatest(F.lit(1), w * h) >= 0.55)
     return (w > 0.55 * page_w) | (h > 0.10 * page_h) | long_
 
 

@@ -1,13 +1,17 @@
 """Rasters in bands and masks in runs against whole pages, plain loops and drawn pages."""
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
 import raster_reference as ref
 from folioflow.functions import raster
-from folioflow.operators import rasters, runs
+from folioflow.operators import layout, rasters, runs
+from folioflow.plans import ORACLE_SQL, QUERIES
+from folioflow.plans.masks import HIGH, WIDE
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 RED, BLACK = (40, 40, 200), (20, 20, 20)
 
@@ -237,3 +241,37 @@ def test_word_redness_of_boxes(spark):
     df = spark.createDataFrame(words, "page int, word int, x1 int, y1 int, x2 int, y2 int")
     got = sorted((r.word, -1.0 if r.redness is None else r.redness) for r in runs.word_redness(df, spark.createDataFrame(reds, PLACES), spark.createDataFrame(boxes, PLACES), sizes).collect())
     assert got == sorted((i, -1.0 if p == 7 else 0.0 if i >= 900 else round(ref.redness(red[p], ink[p], tuple(box)), 3)) for p, i, *box in words)
+
+
+def test_rules_that_fill_just_enough(spark):
+    """0.55 of a box is 11 of 20 pixels, whatever the box; one pixel less is no rule."""
+    sides = [(w, h) for w in range(12, 400) for h in range(1, w // 12 + 1) if 11 * w * h % 20 == 0]
+    df = spark.createDataFrame([(w, h, 11 * w * h // 20 - less, less) for w, h in sides for less in (0, 1)], "w long, h long, area long, less int")
+    got = df.withColumn("rule", layout.ornament(F.col("w"), F.col("h"), F.col("area"), F.lit(4000), F.lit(4000)))
+    assert got.where("rule <> (less = 0)").count() == 0
+
+
+def strokes(places):
+    """lineitem rows (page, x, y, quantity, rule) of line 1 whose strokes lie at x and y."""
+    across, down = WIDE - 60, HIGH - 20
+    for page, x, y, quantity, rule in places:
+        order = next(o for o in range(97 * down) if (o * 13 + 101 - y) % down == 0 and (o % 97 == 0) == rule)
+        part = (x - order * 3) * pow(7, -1, across) % across
+        yield order, part, page, 1, quantity, "R"
+
+
+def test_component_filter_of_just_full_rules(spark, tmp_path):
+    """Strokes whose boxes they fill to 0.55 exactly, and to one column less or more, as in the SQL."""
+    # x and width of a stroke, whether it is a rule, and the other's way from it and width.
+    pairs = [(30, 40, False, 35, 2, 15), (30, 40, False, 35, 2, 14), (30, 40, False, 35, 2, 16), (40, 60, True, 60, 3, 20), (40, 60, True, 57, 3, 31), (40, 60, True, 60, 3, 21)]
+    places = [s for i, (x, w, rule, dx, dy, v) in enumerate(pairs) for s in ((i, x, 120, w - 1.0, rule), (i, x + dx, 120 + dy, v - 1.0, False))]
+    rows = list(strokes(places))
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    names = "page, kept, small, ornament, red_pixels"
+    want = con.execute(f"SELECT {names} FROM ({ORACLE_SQL['component_filter']}) ORDER BY page").fetchall()
+    got = QUERIES["component_filter"](spark, str(tmp_path)).selectExpr(*names.split(", ")).orderBy("page").collect()
+    assert [tuple(r) for r in got] == want
+    assert [r.ornament for r in got] == [1, 1, 0, 1, 1, 0]
